@@ -16,6 +16,7 @@ from fieldrank import oracle as O
 from fieldrank.operators import bm25f as bm
 from fieldrank.operators import stats
 from fieldrank.operators.evaluate import mean_ndcg, ndcg_per_query, query_result_counts
+from fieldrank.params import BM25FParams, CosineWeights
 from fieldrank.plans.rankers import RankingJob, ranked
 from fieldrank.sources import tables as T
 
@@ -112,16 +113,16 @@ def q_query_result_counts(spark, sf):
 
 
 # ------------------------------------------------------------------ evaluation (judged documents)
-def ndcg_cte(src: str, score: str, name: str = "ndcg_q") -> dict[str, str]:
-    return {name: f"""SELECT query_id, dcg, idcg, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 1.0 END AS ndcg, n_ranked FROM (
-          SELECT query_id,
+def ndcg_cte(src: str, score: str, name: str = "ndcg_q", part: str = "query_id") -> dict[str, str]:
+    return {name: f"""SELECT {part}, dcg, idcg, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 1.0 END AS ndcg, n_ranked FROM (
+          SELECT {part},
             sum((pow(2.0, greatest(rel, 0)) - 1) / log2(rnk + 1)) AS dcg,
             sum((pow(2.0, greatest(rel, 0)) - 1) / log2(irnk + 1)) AS idcg,
             count(*) AS n_ranked
-          FROM (SELECT query_id, rel,
-                  row_number() OVER (PARTITION BY query_id ORDER BY round({score}, 9) DESC, page_id) AS rnk,
-                  row_number() OVER (PARTITION BY query_id ORDER BY rel DESC) AS irnk
-                FROM {src}) GROUP BY query_id)"""}
+          FROM (SELECT {part}, rel,
+                  row_number() OVER (PARTITION BY {part} ORDER BY round({score}, 9) DESC, page_id) AS rnk,
+                  row_number() OVER (PARTITION BY {part} ORDER BY rel DESC) AS irnk
+                FROM {src}) GROUP BY {part})"""}
 
 
 def _ndcg_sql(src: str, score: str) -> str:
@@ -150,6 +151,436 @@ def q_score_mean_ndcg(spark, sf):
     return m.select(r6("mean_ndcg").alias("mean_ndcg"), "n_queries")
 
 
+# ------------------------------------------------------------------ tokenisers (raw page text)
+from fieldrank.functions import text as TX  # noqa: E402
+from fieldrank.functions import scoring as SC  # noqa: E402
+from fieldrank.oracle import toks as _toks, url_toks as _url_toks  # noqa: E402
+
+_RAW_TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+_RAW_H1 = "regexp_extract_all(html, '<h1>([^<]*)</h1>', 1)"
+_RAW_A = """regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)"""
+
+
+def _pos_tokens_sql(key: str, arr: str, src: str = "pages") -> str:
+    return (f"SELECT {key}, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token "
+            f"FROM (SELECT {key}, {arr} AS t FROM {src})")
+
+
+def _pos_tokens(df: DataFrame, key: str, arr) -> DataFrame:
+    return df.select(key, F.posexplode(arr).alias("pos", "token")).withColumn("pos", F.col("pos").cast("int"))
+
+
+def _pages(spark, sf):
+    return T.table(spark, sf, "pages")
+
+
+@register("tok_url", _pos_tokens_sql("page_id", _url_toks("url")))
+def q_tok_url(spark, sf):
+    return _pos_tokens(_pages(spark, sf), "page_id", TX.tok_url(F.col("url")))
+
+
+@register("tok_title_lower", _pos_tokens_sql("page_id", _toks(_RAW_TITLE, True)))
+def q_tok_title_lower(spark, sf):
+    return _pos_tokens(_pages(spark, sf), "page_id", TX.tok_lower(F.regexp_extract("html", "<title>([^<]*)</title>", 1)))
+
+
+@register("tok_title_raw", _pos_tokens_sql("page_id", _toks(_RAW_TITLE)))
+def q_tok_title_raw(spark, sf):
+    return _pos_tokens(_pages(spark, sf), "page_id", TX.tok_raw(F.regexp_extract("html", "<title>([^<]*)</title>", 1)))
+
+
+@register("tok_header_lower", _pos_tokens_sql(
+    "page_id", f"flatten(list_transform({_RAW_H1}, lambda h: {_toks('h', True)}))"))
+def q_tok_header_lower(spark, sf):
+    h = F.regexp_extract_all("html", F.lit("<h1>([^<]*)</h1>"), 1)
+    return _pos_tokens(_pages(spark, sf), "page_id", TX.tok_headers_lower(h))
+
+
+@register("tok_header_raw", _pos_tokens_sql(
+    "page_id", f"flatten(list_transform({_RAW_H1}, lambda h: {_toks('h')}))"))
+def q_tok_header_raw(spark, sf):
+    h = F.regexp_extract_all("html", F.lit("<h1>([^<]*)</h1>"), 1)
+    return _pos_tokens(_pages(spark, sf), "page_id", TX.tok_headers_raw(h))
+
+
+@register("tok_anchor", f"""SELECT page_id, link_no, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos,
+        unnest(t) AS token, unnest(r) AS token_raw FROM (
+      SELECT page_id, CAST(link_no AS INTEGER) AS link_no, {_toks('a', True)} AS t, {_toks('a')} AS r FROM (
+        SELECT page_id, unnest(l) AS a, generate_subscripts(l, 1) - 1 AS link_no
+        FROM (SELECT page_id, {_RAW_A} AS l FROM pages)))""")
+def q_tok_anchor(spark, sf):
+    a = _pages(spark, sf).select("page_id", F.posexplode(
+        F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), 1)).alias("link_no", "a"))
+    z = F.arrays_zip(TX.tok_lower(F.col("a")).alias("token"), TX.tok_raw(F.col("a")).alias("token_raw"))
+    return a.select("page_id", F.col("link_no").cast("int").alias("link_no"), F.posexplode(z).alias("pos", "z")).select(
+        "page_id", "link_no", F.col("pos").cast("int").alias("pos"), "z.token", "z.token_raw")
+
+
+@register("tok_query", O.with_sql("SELECT query_id, qpos AS pos, term FROM q_tok"))
+def q_tok_query(spark, sf):
+    q = T.queries(spark, sf)
+    return q.select("query_id", F.posexplode(TX.tok_query(F.col("query"))).alias("pos", "term")).withColumn(
+        "pos", F.col("pos").cast("int"))
+
+
+@register("body_postings", O.with_sql(
+    "SELECT page_id, term, CAST(count(*) AS BIGINT) AS tf, array_to_string(list_sort(list(pos)), ' ') AS positions "
+    "FROM pg_tok WHERE f = 'body' GROUP BY page_id, term"))
+def q_body_postings(spark, sf):
+    post = pages_job(spark, sf).index.postings.where("field = 'body'")
+    return post.select("page_id", "term", "tf", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
+
+
+@register("body_length_clamp", O.with_sql(
+    "SELECT page_id, CAST(len(body_tokens) AS INTEGER) AS body_length, "
+    "greatest(1000.0, coalesce(CAST(len(body_tokens) AS DOUBLE), 1.0)) AS clamped FROM pg_coll"))
+def q_body_length_clamp(spark, sf):
+    c = T.pages_collection(spark, sf)
+    return c.select("page_id", "body_length", TX.body_length_clamp(F.col("body_length")).alias("clamped"))
+
+
+@register("body_hits_total", O.with_sql("SELECT query_id, page_id, hits FROM pg_pairs"))
+def q_body_hits_total(spark, sf):
+    return pages_job(spark, sf).cands.select("query_id", "page_id", "hits")
+
+
+# ------------------------------------------------------------------ term frequencies and vectors
+@register("tf_counts", O.with_sql(
+    "SELECT page_id, term, CAST(count(*) AS DOUBLE) AS tf FROM pg_tok WHERE f = 'title' GROUP BY page_id, term"))
+def q_tf_counts(spark, sf):
+    t = pages_job(spark, sf).index.terms.where("tf_title > 0")
+    return t.select("page_id", "term", F.col("tf_title").cast("double").alias("tf"))
+
+
+@register("tf_body", O.with_sql(
+    "SELECT m.query_id, m.page_id, m.term, CAST(m.tf_body AS BIGINT) AS tf FROM pg_m m "
+    "SEMI JOIN pg_pairs USING (query_id, page_id) WHERE m.tf_body > 0"))
+def q_tf_body(spark, sf):
+    j = pages_job(spark, sf)
+    return j.matched.where("tf_body > 0").select("query_id", "page_id", "term", F.col("tf_body").alias("tf"))
+
+
+@register("tf_anchor", O.with_sql(
+    "SELECT page_id, term, CAST(tf_anchor AS BIGINT) AS tf FROM pg_pt WHERE tf_anchor > 0"))
+def q_tf_anchor(spark, sf):
+    t = pages_job(spark, sf).index.terms.where("tf_anchor > 0")
+    return t.select("page_id", "term", F.col("tf_anchor").alias("tf"))
+
+
+_PFV_SQL = """SELECT page_id, field, term, CAST(tf AS BIGINT) AS tf, round(tf / L, 9) AS ntf,
+        round(CASE WHEN tf / L > 0 THEN 1 + ln(tf / L) ELSE 0.0 END, 6) AS weight
+    FROM (SELECT page_id, term, unnest(['url', 'title', 'header', 'body', 'anchor']) AS field,
+                 unnest([tf_url, tf_title, tf_header, tf_body, tf_anchor]) AS tf FROM pg_pt)
+    JOIN (SELECT page_id, L FROM pg_ps) USING (page_id) WHERE tf > 0"""
+
+
+def _pfv(spark, sf):
+    from fieldrank.operators.cosine import page_field_vectors
+    v = page_field_vectors(pages_job(spark, sf).index)
+    return v.select("page_id", "field", "term", "tf", F.round("ntf", 9).alias("ntf"), r6("weight").alias("weight"))
+
+
+@register("page_field_vectors", O.with_sql(_PFV_SQL))
+def q_page_field_vectors(spark, sf):
+    return _pfv(spark, sf)
+
+
+@register("tf_normalize", O.with_sql(f"SELECT page_id, field, term, ntf FROM ({_PFV_SQL})"))
+def q_tf_normalize(spark, sf):
+    return _pfv(spark, sf).select("page_id", "field", "term", "ntf")
+
+
+@register("tf_logify", O.with_sql(f"SELECT page_id, field, term, weight FROM ({_PFV_SQL})"))
+def q_tf_logify(spark, sf):
+    return _pfv(spark, sf).select("page_id", "field", "term", "weight")
+
+
+def _page_weight_sql(src: str, w: CosineWeights = CosineWeights()) -> str:
+    lg = O.lg
+    return (f"{w.url} * {lg('tf_url / L')} + {w.title} * {lg('tf_title / L')} + {w.header} * {lg('tf_header / L')} + "
+            f"{w.anchor} * {lg('tf_anchor / L')} + (CASE WHEN tf_body > 0 THEN {w.body} * {lg('tf_body / L')} ELSE 0.0 END)")
+
+
+@register("page_vector", O.with_sql(
+    f"SELECT page_id, term, round({_page_weight_sql('x')}, 6) AS weight FROM "
+    "(SELECT t.*, ps.L FROM pg_pt t JOIN pg_ps ps USING (page_id)) "
+    "WHERE tf_url + tf_title + tf_header + tf_body + tf_anchor > 0"))
+def q_page_vector(spark, sf):
+    from fieldrank.operators.cosine import page_vector
+    v = page_vector(pages_job(spark, sf).index)
+    return v.select("page_id", "term", r6("weight").alias("weight"))
+
+
+@register("query_vector", O.with_sql("SELECT query_id, term, round(qw, 6) AS weight FROM q_idf"))
+def q_query_vector(spark, sf):
+    return q_tfidf_query(spark, sf)
+
+
+@register("cosine_l1", O.with_sql("SELECT query_id, page_id, round(cosine, 6) AS cosine FROM pg_pairs_cos"))
+def q_cosine_l1(spark, sf):
+    return pages_job(spark, sf).cosine().select("query_id", "page_id", r6("score").alias("cosine"))
+
+
+@register("join_shared_terms", O.with_sql(
+    f"SELECT query_id, page_id, term, round(qw, 6) AS query_weight, round({_page_weight_sql('m')}, 6) AS page_weight "
+    "FROM pg_m SEMI JOIN pg_pairs USING (query_id, page_id) "
+    "WHERE tf_url + tf_title + tf_header + tf_body + tf_anchor > 0"))
+def q_join_shared_terms(spark, sf):
+    from fieldrank.operators.match import body_part, static_part
+    j = pages_job(spark, sf)
+    w = CosineWeights().as_tuple()
+    L = F.col("ps.L")
+    m = j.matched.where("tf_url + tf_title + tf_header + tf_body + tf_anchor > 0")
+    m = m.join(j.cands.select("query_id", "page_id"), ["query_id", "page_id"], "left_semi")
+    pw = static_part(w, L) + F.coalesce(body_part(w, L), F.lit(0.0))
+    return m.select("query_id", "page_id", "term", r6("qw").alias("query_weight"), r6(pw).alias("page_weight"))
+
+
+# ------------------------------------------------------------------ BM25F parts
+
+
+def _bm25_rows_sql(cols: str, where: str = "") -> str:
+    return O.with_sql(f"SELECT {cols} FROM (SELECT m.* FROM pg_m m SEMI JOIN pg_pairs USING (query_id, page_id)) "
+                      f"CROSS JOIN pg_avg {where}")
+
+
+def _bm25_rows(spark, sf):
+    j = pages_job(spark, sf)
+    m = j.matched.join(j.cands.select("query_id", "page_id"), ["query_id", "page_id"], "left_semi")
+    return m.crossJoin(F.broadcast(j.avg_len))
+
+
+@register("bm25f_raw_tf", _bm25_rows_sql(
+    "query_id, page_id, term, tf_url, rtf_title AS tf_title, rtf_header AS tf_header, tf_body, rtf_anchor AS tf_anchor",
+    "WHERE tf_url + rtf_title + rtf_header + tf_body + rtf_anchor > 0"))
+def q_bm25f_raw_tf(spark, sf):
+    m = _bm25_rows(spark, sf).where("tf_url + rtf_title + rtf_header + tf_body + rtf_anchor > 0")
+    return m.select("query_id", "page_id", "term", "tf_url", F.col("rtf_title").alias("tf_title"),
+                    F.col("rtf_header").alias("tf_header"), "tf_body", F.col("rtf_anchor").alias("tf_anchor"))
+
+
+def _norm_sql(i: int, prm: BM25FParams = BM25FParams()) -> str:
+    raw = ("tf_url", "rtf_title", "rtf_header", "tf_body", "rtf_anchor")[i]
+    ln_ = ("len_url", "len_title", "len_header", "L", "len_anchor")[i]
+    av = ("avg_url", "avg_title", "avg_header", "avg_body", "avg_anchor")[i]
+    bp = f"(1 + {prm.B[i]} * ({ln_} / nullif({av}, 0) - 1))"
+    return f"(CASE WHEN {av} = 0 OR {bp} = 0 THEN 0.0 ELSE {raw} / {bp} END)"
+
+
+_FN = ("url", "title", "header", "body", "anchor")
+
+
+@register("bm25f_field_norm", _bm25_rows_sql(
+    "query_id, page_id, term, " + ", ".join(f"round({_norm_sql(i)}, 6) AS n_{f}" for i, f in enumerate(_FN))))
+def q_bm25f_field_norm(spark, sf):
+    p = BM25FParams()
+    m = _bm25_rows(spark, sf)
+    cols = [r6(SC.bm25f_field_norm(F.col(bm.RAW_TF[i]), p.B[i], F.col(bm.LENGTH[i]), F.col(bm.AVG[i]))).alias(f"n_{f}")
+            for i, f in enumerate(_FN)]
+    return m.select("query_id", "page_id", "term", *cols)
+
+
+@register("bm25f_weight", _bm25_rows_sql(
+    "query_id, page_id, term, round(" + O.bm25f_expr(BM25FParams())[0] + ", 6) AS w"))
+def q_bm25f_weight(spark, sf):
+    m = _bm25_rows(spark, sf)
+    return m.select("query_id", "page_id", "term", r6(bm.term_weight(bm.P.of(BM25FParams()))).alias("w"))
+
+
+@register("bm25f_text", O.with_sql("SELECT query_id, page_id, round(text_score, 6) AS text_score FROM pg_bm25f"))
+def q_bm25f_text(spark, sf):
+    return pages_job(spark, sf).bm25f().select("query_id", "page_id", r6("text_score").alias("text_score"))
+
+
+def _vf_sql(name: str, l1: float, l2: float) -> str:
+    prm = BM25FParams(lamd=1.0, lamd_prime=l1, lamd_prime2=l2, vf=name)
+    expr = O.bm25f_expr(prm)[1].split("*", 1)[1]
+    return f"SELECT page_id, CAST(page_id % 11 AS INTEGER) AS pagerank, round({expr}, 6) AS vf FROM pages"
+
+
+def _vf_q(fn, l1, l2):
+    def q(spark, sf):
+        c = T.pages_collection(spark, sf)
+        return c.select("page_id", "pagerank", r6(fn(F.col("pagerank"), l1, l2)).alias("vf"))
+    return q
+
+
+# Vf settings of the published BM25F runs (lambda', lambda'')
+register("vf_logarithmic", _vf_sql("logarithmic", 2.0, 1.0))(_vf_q(SC.vf_logarithmic, 2.0, 1.0))
+register("vf_saturation", _vf_sql("saturation", 20.0, 1.0))(_vf_q(SC.vf_saturation, 20.0, 1.0))
+register("vf_sigmoid", _vf_sql("sigmoid", 1.0, 0.5))(_vf_q(SC.vf_sigmoid, 1.0, 0.5))
+
+
+# ------------------------------------------------------------------ windows
+@register("all_terms_in_field", O.with_sql(
+    "SELECT query_id, page_id, CASE WHEN fld LIKE 'anchor:%' THEN 'anchor' ELSE fld END AS field, "
+    "CAST(count(*) AS BIGINT) AS n_instances FROM pg_ek GROUP BY ALL"))
+def q_all_terms_in_field(spark, sf):
+    from fieldrank.operators.window import all_terms_in_field, query_term_postings
+    j = pages_job(spark, sf)
+    full = all_terms_in_field(query_term_postings(j.qterms, j.index))
+    return full.select("query_id", "page_id", "field", "instance").distinct().groupBy(
+        "query_id", "page_id", "field").agg(F.count(F.lit(1)).alias("n_instances"))
+
+
+@register("window_boost", O.with_sql("SELECT query_id, page_id, qlen, window_size, round(boost, 6) AS boost FROM pg_cw"))
+def q_window_boost(spark, sf):
+    c = pages_job(spark, sf).cosine_window()
+    return c.select("query_id", "page_id", "qlen", "window_size", r6("boost").alias("boost"))
+
+
+def _boost_fn_sql(fn: str) -> str:
+    e = {"inverse": "greatest(1.0, 16.0 * (CAST(qlen AS DOUBLE) / window_size))",
+         "sigmoid": "greatest(1.0, 16.0 * (1 - 1 / (1 + exp(-CAST(window_size - qlen AS DOUBLE)))))"}[fn]
+    return O.with_sql(f"SELECT query_id, page_id, qlen, window_size, round({e}, 6) AS boost "
+                      "FROM pg_win JOIN q_stats USING (query_id)")
+
+
+def _boost_q(fn):
+    def q(spark, sf):
+        j = pages_job(spark, sf)
+        w = j.windows.join(j.query_stats, "query_id")
+        return w.select("query_id", "page_id", "qlen", "window_size",
+                        r6(fn(16.0, F.col("qlen"), F.col("window_size"))).alias("boost"))
+    return q
+
+
+register("boost_inverse", _boost_fn_sql("inverse"))(_boost_q(SC.boost_inverse))
+register("boost_sigmoid", _boost_fn_sql("sigmoid"))(_boost_q(SC.boost_sigmoid))
+
+
+# ------------------------------------------------------------------ ranking and evaluation (judged documents)
+@register("rank_within_query", O.with_sql(O.ranked_sql("dc_pairs_cos", "cosine")))
+def q_rank_within_query(spark, sf):
+    return ranked(docs_job(spark, sf).cosine())
+
+
+@register("dcg", O.with_sql("SELECT query_id, round(dcg, 6) AS dcg FROM ndcg_q", extra=ndcg_cte("dc_bm25f", "bm25f")))
+def q_dcg(spark, sf):
+    return _ndcg(docs_job(spark, sf).bm25f()).select("query_id", "dcg")
+
+
+@register("idcg", O.with_sql("SELECT query_id, round(idcg, 6) AS idcg FROM ndcg_q", extra=ndcg_cte("dc_bm25f", "bm25f")))
+def q_idcg(spark, sf):
+    return _ndcg(docs_job(spark, sf).bm25f()).select("query_id", "idcg")
+
+
+@register("mean_ndcg", O.with_sql(
+    "SELECT round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries FROM ndcg_q",
+    extra=ndcg_cte("dc_pairs_cos", "cosine")))
+def q_mean_ndcg(spark, sf):
+    from fieldrank.operators.evaluate import rank_within
+    r = rank_within(docs_job(spark, sf).cosine().withColumn("rel", F.col("ps.rel")), "score")
+    return mean_ndcg(ndcg_per_query(r)).select(r6("mean_ndcg").alias("mean_ndcg"), "n_queries")
+
+
+@register("join_judgments", O.with_sql(
+    "SELECT r.query_id, r.rank, r.page_id, CAST(2 * l.quality - l.toxic AS DOUBLE) AS rel FROM ("
+    + O.ranked_sql("dc_bm25f", "bm25f") + ") r JOIN labels l ON l.doc_id = r.page_id"))
+def q_join_judgments(spark, sf):
+    from fieldrank.operators.evaluate import join_judgments
+    r = ranked(docs_job(spark, sf).bm25f())
+    return join_judgments(r, T.judgments(spark, sf).withColumnRenamed("doc_id", "page_id"), "page_id").select(
+        "query_id", "rank", "page_id", "rel")
+
+
+@register("ranking_completeness", O.with_sql(
+    "SELECT (SELECT count(*) FROM pg_pairs x ANTI JOIN r USING (query_id, page_id)) AS missing, "
+    "(SELECT count(*) FROM r ANTI JOIN pg_pairs USING (query_id, page_id)) AS unexpected, "
+    "(SELECT count(*) FROM (SELECT query_id, page_id FROM r GROUP BY ALL HAVING count(*) > 1)) AS duplicated",
+    extra={"r": O.ranked_sql("pg_bm25f", "bm25f")}))
+def q_ranking_completeness(spark, sf):
+    from fieldrank.operators.evaluate import ranking_completeness
+    j = pages_job(spark, sf)
+    return ranking_completeness(ranked(j.bm25f()), j.cands)
+
+
+# ------------------------------------------------------------------ sweeps
+from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, cosine_weight_grid  # noqa: E402
+from fieldrank.plans import sweeps as SW  # noqa: E402
+
+
+def _values(rows, cols) -> str:
+    def v(x):
+        return f"'{x}'" if isinstance(x, str) else repr(float(x)) if isinstance(x, float) else str(x)
+    body = ", ".join("(" + ", ".join(v(x) for x in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) t({', '.join(cols)})"
+
+
+_BP = _values([(i, fn, b) for i, (fn, b) in enumerate((fn, b) for fn in BOOST_FUNCTIONS for b in BOOST_GRID)],
+              ["param_id", "function", "boost"])
+_BOOST_COLS = ("(CASE WHEN w.window_size IS NULL THEN 1.0 WHEN w.window_size = s.qlen THEN bp.boost "
+               "WHEN w.window_size > s.qlen THEN (CASE bp.function "
+               "WHEN 'inverse' THEN greatest(1.0, bp.boost * (CAST(s.qlen AS DOUBLE) / w.window_size)) "
+               "WHEN 'sigmoid' THEN greatest(1.0, bp.boost * (1 - 1 / (1 + exp(-CAST(w.window_size - s.qlen AS DOUBLE))))) "
+               "ELSE 1.0 END) ELSE 1.0 END)")
+
+
+@register("sweep_window_boost", O.with_sql(
+    "SELECT function, boost, round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries "
+    "FROM sw_nd JOIN bp USING (param_id) GROUP BY function, boost",
+    extra={"bp": _BP,
+           "sw_sc": f"""SELECT bp.param_id, x.query_id, x.page_id, x.rel, {_BOOST_COLS} * x.cosine AS score
+                FROM dc_pairs_cos x JOIN q_stats s USING (query_id) LEFT JOIN dc_win w USING (query_id, page_id)
+                CROSS JOIN bp""",
+           **ndcg_cte("sw_sc", "score", "sw_nd", "param_id, query_id")}))
+def q_sweep_window_boost(spark, sf):
+    return SW.sweep_window_boost(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+
+
+def _bm25_sweep_sql() -> str:
+    ext = {}
+    parts = []
+    for i, prm in enumerate(BM25F_SETTINGS):
+        ext.update(O.bm25f_cte("dc", prm, name=f"dc_bm_{i}"))
+        parts.append(f"SELECT {i} AS param_id, '{prm.name}' AS setting, query_id, page_id, rel, bm25f AS score FROM dc_bm_{i}")
+    ext["sb_sc"] = " UNION ALL ".join(parts)
+    ext.update(ndcg_cte("sb_sc", "score", "sb_nd", "param_id, query_id"))
+    return O.with_sql("SELECT setting, round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries FROM sb_nd "
+                      "JOIN (SELECT DISTINCT param_id, setting FROM sb_sc) USING (param_id) GROUP BY setting", extra=ext)
+
+
+@register("sweep_bm25f", _bm25_sweep_sql())
+def q_sweep_bm25f(spark, sf):
+    return SW.sweep_bm25f(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+
+
+def _cos_sweep_sql() -> str:
+    ext = {}
+    parts = []
+    for i, w in enumerate(cosine_weight_grid()):
+        ext.update(O.pairs_cte("dc", w, name=f"dc_cw_{i}"))
+        parts.append(f"SELECT {i} AS param_id, {w.url} AS w_url, {w.title} AS w_title, {w.header} AS w_header, "
+                     f"{w.body} AS w_body, {w.anchor} AS w_anchor, query_id, page_id, rel, cosine AS score "
+                     f"FROM dc_cw_{i}_cos")
+    ext["sc_sc"] = " UNION ALL ".join(parts)
+    ext.update(ndcg_cte("sc_sc", "score", "sc_nd", "param_id, query_id"))
+    return O.with_sql("SELECT w_url, w_title, w_header, w_body, w_anchor, round(avg(ndcg), 6) AS mean_ndcg, "
+                      "count(*) AS n_queries FROM sc_nd JOIN (SELECT DISTINCT param_id, w_url, w_title, w_header, "
+                      "w_body, w_anchor FROM sc_sc) USING (param_id) GROUP BY ALL", extra=ext)
+
+
+@register("sweep_cosine_weights", _cos_sweep_sql())
+def q_sweep_cosine_weights(spark, sf):
+    return SW.sweep_cosine_weights(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+
+
+def _compare_sql() -> str:
+    srcs = {"baseline": ("dc_pairs", "CAST(hits AS DOUBLE)"), "cosine": ("dc_pairs_cos", "cosine"),
+            "bm25f": ("dc_bm25f", "bm25f"), "cosine_window": ("dc_cw", "cw")}
+    parts = [f"SELECT '{k}' AS ranker, query_id, page_id, rel, {sc} AS score FROM {src}" for k, (src, sc) in srcs.items()]
+    ext = {"cr_sc": " UNION ALL ".join(parts)}
+    ext.update(ndcg_cte("cr_sc", "score", "cr_nd", "ranker, query_id"))
+    cols = ", ".join(f"round(max(CASE WHEN ranker = '{k}' THEN ndcg END), 6) AS ndcg_{k}" for k in srcs)
+    return O.with_sql(f"SELECT query_id, {cols} FROM cr_nd GROUP BY query_id", extra=ext)
+
+
+@register("compare_rankers", _compare_sql())
+def q_compare_rankers(spark, sf):
+    c = SW.compare_rankers(docs_job(spark, sf))
+    return c.select("query_id", *[r6(x).alias(x) for x in c.columns if x != "query_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
