@@ -17,7 +17,7 @@ from fieldrank.params import BM25FParams
 
 # raw tf column and page length (inside ``ps``) per field, in the order url,title,header,body,anchor
 RAW_TF = ("tf_url", "rtf_title", "rtf_header", "tf_body", "rtf_anchor")
-LENGTH = ("ps.len_url", "ps.len_title", "ps.len_header", "ps.L", "ps.len_anchor")
+LENGTH = ("len_url", "len_title", "len_header", "L", "len_anchor")
 AVG = ("avg_url", "avg_title", "avg_header", "avg_body", "avg_anchor")
 
 
@@ -67,11 +67,11 @@ def avg_field_len(cands: DataFrame) -> DataFrame:
         return F.when(F.coalesce(d, F.lit(0.0)) != 0, F.sum(num) / d).otherwise(F.lit(0.0))
 
     return cands.agg(
-        ratio("ps.len_url", n).alias("avg_url"),
-        ratio("ps.len_title", n).alias("avg_title"),
-        ratio("ps.len_header", F.sum("ps.n_header_d")).alias("avg_header"),
-        ratio("ps.body_len_raw", n).alias("avg_body"),
-        ratio("ps.len_anchor", F.sum("ps.n_anchor_d")).alias("avg_anchor"),
+        ratio("len_url", n).alias("avg_url"),
+        ratio("len_title", n).alias("avg_title"),
+        ratio("len_header", F.sum("n_header_d")).alias("avg_header"),
+        ratio("body_len_raw", n).alias("avg_body"),
+        ratio("len_anchor", F.sum("n_anchor_d")).alias("avg_anchor"),
     )
 
 
@@ -107,4 +107,4 @@ def bm25f_scores(matched: DataFrame, avg: DataFrame, cands: DataFrame, params: B
     text = m.groupBy(*keys).agg(F.sum(text_contribution(p)).alias("text_score"))
     j = cands.join(text, list(keys), "left")
     return j.withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).withColumn(
-        "bm25f", F.col("text_score") + p.lamd * _vf(p, F.col("ps.pagerank")))
+        "bm25f", F.col("text_score") + p.lamd * _vf(p, F.col("pagerank")))

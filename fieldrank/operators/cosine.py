@@ -25,7 +25,7 @@ from fieldrank.session import broadcast_if_small
 
 def static_norms(index: PageIndex, weights=CosineWeights().as_tuple()) -> DataFrame:
     """Per page: ``S`` = sum of |s(t)| and ``has_static`` = page has any non-body term."""
-    L = F.col("ps.L")
+    L = F.col("L")
     nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
     return index.terms.groupBy(*page_keys(index)).agg(
         F.sum(F.abs(static_part(weights, L))).alias("S"),
@@ -43,7 +43,7 @@ def cosine_scores(cands: DataFrame, index: PageIndex, qterms: DataFrame,
     """Cosine per candidate pair: ``dot / (n1 * L1(q, d))``, 0 when the norm is 0."""
     s = static_norms(index, weights)
     qn = query_norms(qterms)
-    j = cands.join(s, page_keys(index)).join(broadcast_if_small(qn), "query_id", "left")
+    j = cands.join(s.hint("shuffle_hash"), page_keys(index)).join(broadcast_if_small(qn), "query_id", "left")
     norm = F.coalesce(F.col("n1"), F.lit(0.0)) * (F.col("S") + F.col("delta"))
     return j.withColumn("cosine", F.when(norm > 0, F.col("dot") / norm).otherwise(F.lit(0.0)))
 
@@ -51,10 +51,10 @@ def cosine_scores(cands: DataFrame, index: PageIndex, qterms: DataFrame,
 def page_field_vectors(index: PageIndex) -> DataFrame:
     """C2 (with M1, M2): (page_id, field, term, tf, ntf, weight) for the five fields;
     ``ntf = tf / L`` and ``weight = logify(ntf)``; the body holds every body term."""
-    L = F.col("ps.L")
+    L = F.col("L")
     cols = {"url": "tf_url", "title": "tf_title", "header": "tf_header", "body": "tf_body", "anchor": "tf_anchor"}
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(c).alias("tf")) for f, c in cols.items()])
-    v = index.terms.select(*page_keys(index), "term", L.alias("L"), F.explode(arr).alias("x")).where("x.tf > 0")
+    v = index.terms.select(*page_keys(index), "term", "L", F.explode(arr).alias("x")).where("x.tf > 0")
     ntf = F.col("x.tf") / F.col("L")
     return v.select(*page_keys(index), F.col("x.field").alias("field"), "term",
                     F.col("x.tf").alias("tf"), ntf.alias("ntf"), logify(ntf).alias("weight"))
@@ -62,7 +62,7 @@ def page_field_vectors(index: PageIndex) -> DataFrame:
 
 def page_vector(index: PageIndex, weights=CosineWeights().as_tuple()) -> DataFrame:
     """C3 over the full page (all body terms): (page_id, term, weight)."""
-    L = F.col("ps.L")
+    L = F.col("L")
     b = F.coalesce(body_part(weights, L), F.lit(0.0))
     nz = (F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_body") + F.col("tf_anchor")) > 0
     return index.terms.where(nz).select(*page_keys(index), "term", (static_part(weights, L) + b).alias("weight"))

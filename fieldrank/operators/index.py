@@ -51,24 +51,31 @@ def _anchor_events(anchors: Column, tok, field: str, weighted: bool) -> Column:
     )
 
 
-def page_scalars(coll: DataFrame) -> Column:
+# numeric page scalars every matched term row needs (grouping keys of the term table, so
+# the aggregations stay hash-based with fixed-width buffers)
+TERM_SCALARS = ("L", "len_url", "len_title", "len_header", "len_anchor")
+# page attributes only needed once per (query, page) pair; joined back by page_id
+PAGE_ATTRS = ("url", "pagerank", "rel", "body_len_raw", "n_header_d", "n_anchor_d")
+
+
+def page_scalars(coll: DataFrame) -> list[Column]:
     """Per-page scalars used by the rankers, computed inside the row."""
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
     rel = F.col("rel").cast("double") if "rel" in coll.columns else F.lit(None).cast("double")
-    return F.struct(
-        F.col("url").alias("url"),
+    return [
         body_length_clamp(F.col("body_length")).alias("L"),
-        F.coalesce(F.col("body_length").cast("double"), F.lit(0.0)).alias("body_len_raw"),
-        F.coalesce(F.col("pagerank"), F.lit(0)).cast("int").alias("pagerank"),
         F.size(tok_url(F.col("url"))).cast("double").alias("len_url"),
         F.size(tok_raw(F.col("title"))).cast("double").alias("len_title"),
         F.size(tok_headers_raw(headers)).cast("double").alias("len_header"),
-        F.greatest(F.size(headers), F.lit(1)).cast("double").alias("n_header_d"),
         F.aggregate(anchors, F.lit(0), lambda acc, a: acc + F.size(tok_raw(a["text"]))).cast("double").alias("len_anchor"),
-        F.greatest(F.size(anchors), F.lit(1)).cast("double").alias("n_anchor_d"),
+        F.col("url").alias("url"),
+        F.coalesce(F.col("pagerank"), F.lit(0)).cast("int").alias("pagerank"),
         rel.alias("rel"),
-    )
+        F.coalesce(F.col("body_length").cast("double"), F.lit(0.0)).alias("body_len_raw"),
+        F.greatest(F.size(headers), F.lit(1)).cast("double").alias("n_header_d"),
+        F.greatest(F.size(anchors), F.lit(1)).cast("double").alias("n_anchor_d"),
+    ]
 
 
 def _body_events(coll: DataFrame) -> Column:
@@ -92,11 +99,22 @@ def _body_events(coll: DataFrame) -> Column:
 
 @dataclass
 class PageIndex:
-    pages: DataFrame      # page_id, [query_id], ps (struct of scalars); partitioned by page_id
+    pages: DataFrame      # page_id, [query_id], TERM_SCALARS, PAGE_ATTRS; partitioned by page_id
     postings: DataFrame   # page_id, [query_id], field, instance, term, tf, w, positions
-    terms: DataFrame      # page_id, [query_id], term, tf_url..tf_anchor, rtf_title..rtf_anchor, ps
+    terms: DataFrame      # page_id, [query_id], term, TERM_SCALARS, tf_url..tf_anchor, rtf_title..rtf_anchor
     keyed_by_query: bool  # True for feature records: pages belong to one query
 
+    @property
+    def keys(self) -> list[str]:
+        return ["page_id"] + (["query_id"] if self.keyed_by_query else [])
+
+    def attach_pages(self, df: DataFrame, how: str = "inner") -> DataFrame:
+        """Join the per-page attributes onto per-(query, page) rows. Both sides are hash
+        partitioned by page_id already, so this is a shuffled hash join without an
+        exchange (and without sorting either side)."""
+        attrs = self.pages.select(*self.keys, *PAGE_ATTRS)
+        return df.join(attrs.hint("shuffle_hash"), self.keys, how)
+
     def persist(self) -> "PageIndex":
         self.postings = self.postings.persist()
         self.terms = self.terms.persist()
@@ -109,9 +127,8 @@ def build_index(coll: DataFrame) -> PageIndex:
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
 
-    pages = coll.repartition("page_id").select(*keys, page_scalars(coll).alias("ps"), *[
-        c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns
-    ])
+    src = [c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns]
+    pages = coll.repartition("page_id").select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
     events = F.concat(
         _events(tok_url(F.col("url")), "url").cast(f"array<{EVENT}>"),
         _events(tok_lower(F.col("title")), "title").cast(f"array<{EVENT}>"),
@@ -122,24 +139,23 @@ def build_index(coll: DataFrame) -> PageIndex:
         _events(tok_headers_raw(headers), "header_raw").cast(f"array<{EVENT}>"),
         _anchor_events(anchors, tok_raw, "anchor_raw", weighted=False).cast(f"array<{EVENT}>"),
     )
-    ev = pages.select(*keys, "ps", F.inline(events))
+    ev = pages.select(*keys, *TERM_SCALARS, F.inline(events))
     is_raw = F.col("field").endswith("_raw")
-    postings = ev.groupBy(*keys, "field", "instance", "term").agg(
+    postings = ev.where(~is_raw).groupBy(*keys, "field", "instance", "term").agg(
         F.count(F.lit(1)).alias("tf"),
-        F.first("w").alias("w"),
-        F.sort_array(F.collect_list(F.when(~is_raw, F.col("pos")))).alias("positions"),
-        F.first("ps").alias("ps"),
+        F.max("w").alias("w"),
+        F.sort_array(F.collect_list("pos")).alias("positions"),
     )
 
     def fsum(field: str, weighted: bool = False) -> Column:
-        v = F.col("tf") * F.col("w") if weighted else F.col("tf")
+        v = F.col("w") if weighted else F.lit(1)
         return F.coalesce(F.sum(F.when(F.col("field") == field, v)), F.lit(0)).cast("long")
 
-    terms = postings.groupBy(*keys, "term").agg(
+    terms = ev.groupBy(*keys, "term", *TERM_SCALARS).agg(
         fsum("url").alias("tf_url"), fsum("title").alias("tf_title"), fsum("header").alias("tf_header"),
         fsum("body").alias("tf_body"), fsum("anchor", weighted=True).alias("tf_anchor"),
         fsum("title_raw").alias("rtf_title"), fsum("header_raw").alias("rtf_header"),
         fsum("anchor_raw").alias("rtf_anchor"),
-        F.first("ps").alias("ps"),
     )
-    return PageIndex(pages=pages.select(*keys, "ps"), postings=postings.drop("ps"), terms=terms, keyed_by_query=keyed)
+    return PageIndex(pages=pages.select(*keys, *TERM_SCALARS, *PAGE_ATTRS), postings=postings, terms=terms,
+                     keyed_by_query=keyed)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldrank.functions.scoring import logify
-from fieldrank.operators.index import PageIndex
+from fieldrank.operators.index import TERM_SCALARS, PageIndex
 from fieldrank.params import CosineWeights
 from fieldrank.session import broadcast_if_small
 
@@ -41,7 +41,7 @@ def page_keys(index: PageIndex) -> list[str]:
 
 
 def match_terms(qterms: DataFrame, index: PageIndex) -> DataFrame:
-    """(page_id, query_id, term, ti, n, qlen, k, [idf, qw], tf_*, rtf_*, ps) for every query
+    """(page_id, query_id, term, ti, n, qlen, k, [idf, qw], TERM_SCALARS, tf_*, rtf_*) for every query
     term present in any field of the page. Feature records join on (query_id, term)."""
     on = ["term"] + (["query_id"] if index.keyed_by_query else [])
     return index.terms.join(broadcast_if_small(qterms), on)
@@ -49,8 +49,9 @@ def match_terms(qterms: DataFrame, index: PageIndex) -> DataFrame:
 
 def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple()) -> DataFrame:
     """Per (query_id, page_id): baseline hits, candidate flag, cosine dot product and the
-    query-dependent part of the page L1 norm (see ``cosine.py``)."""
-    L = F.col("ps.L")
+    query-dependent part of the page L1 norm (see ``cosine.py``). Buffers are fixed-width
+    numbers only, so this is a hash aggregation on the page_id partitioning (no exchange)."""
+    L = F.col("L")
     s = static_part(weights, L)
     b = body_part(weights, L)
     return matched.groupBy("query_id", "page_id").agg(
@@ -58,22 +59,22 @@ def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple()) -> D
         F.max(F.col("tf_body") > 0).alias("has_body"),
         F.sum(F.col("qw") * (s + F.coalesce(b, F.lit(0.0)))).alias("dot"),
         F.coalesce(F.sum(F.when(b.isNotNull(), F.abs(s + b) - F.abs(s))), F.lit(0.0)).alias("delta"),
-        F.first("ps").alias("ps"),
         F.first("qlen").alias("qlen"),
         F.first("k").alias("k"),
+        *[F.max(c).alias(c) for c in TERM_SCALARS],
     )
 
 
 def candidates(pairs: DataFrame, index: PageIndex, queries_stats: DataFrame | None = None) -> DataFrame:
-    """Restrict / complete the pair aggregates to the ranked (query, page) pairs.
+    """Restrict / complete the pair aggregates to the ranked (query, page) pairs and attach
+    the page attributes.
 
     Collections (test tables): a page is a candidate of a query when they share a body term.
     Feature records: every record is a candidate of its own query, matched or not."""
     if not index.keyed_by_query:
-        return pairs.where("has_body")
-    base = index.pages.join(queries_stats, "query_id") if queries_stats is not None else index.pages
-    out = base.join(pairs.drop("ps", *([c for c in ("qlen", "k") if queries_stats is not None])),
-                    ["page_id", "query_id"], "left")
+        return index.attach_pages(pairs.where("has_body"))
+    base = index.pages.join(queries_stats, "query_id")
+    out = base.join(pairs.drop("qlen", "k", *TERM_SCALARS), ["page_id", "query_id"], "left")
     return (
         out.withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long"))
         .withColumn("has_body", F.coalesce("has_body", F.lit(False)))

@@ -132,7 +132,7 @@ def _ndcg_sql(src: str, score: str) -> str:
 
 def _ndcg(scored: DataFrame) -> DataFrame:
     from fieldrank.operators.evaluate import rank_within
-    r = rank_within(scored.withColumn("rel", F.col("ps.rel")), "score")
+    r = rank_within(scored, "score")
     n = ndcg_per_query(r)
     return n.select("query_id", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"), "n_ranked")
 
@@ -146,7 +146,7 @@ def q_ndcg(spark, sf):
     "SELECT round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries FROM ndcg_q", extra=ndcg_cte("dc_bm25f", "bm25f")))
 def q_score_mean_ndcg(spark, sf):
     from fieldrank.operators.evaluate import rank_within
-    r = rank_within(docs_job(spark, sf).bm25f().withColumn("rel", F.col("ps.rel")), "score")
+    r = rank_within(docs_job(spark, sf).bm25f(), "score")
     m = mean_ndcg(ndcg_per_query(r))
     return m.select(r6("mean_ndcg").alias("mean_ndcg"), "n_queries")
 
@@ -329,7 +329,7 @@ def q_join_shared_terms(spark, sf):
     from fieldrank.operators.match import body_part, static_part
     j = pages_job(spark, sf)
     w = CosineWeights().as_tuple()
-    L = F.col("ps.L")
+    L = F.col("L")
     m = j.matched.where("tf_url + tf_title + tf_header + tf_body + tf_anchor > 0")
     m = m.join(j.cands.select("query_id", "page_id"), ["query_id", "page_id"], "left_semi")
     pw = static_part(w, L) + F.coalesce(body_part(w, L), F.lit(0.0))
@@ -470,7 +470,7 @@ def q_idcg(spark, sf):
     extra=ndcg_cte("dc_pairs_cos", "cosine")))
 def q_mean_ndcg(spark, sf):
     from fieldrank.operators.evaluate import rank_within
-    r = rank_within(docs_job(spark, sf).cosine().withColumn("rel", F.col("ps.rel")), "score")
+    r = rank_within(docs_job(spark, sf).cosine(), "score")
     return mean_ndcg(ndcg_per_query(r)).select(r6("mean_ndcg").alias("mean_ndcg"), "n_queries")
 
 

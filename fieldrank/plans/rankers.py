@@ -67,16 +67,15 @@ class RankingJob:
     # ---- rankers -------------------------------------------------------------------
     def baseline(self) -> DataFrame:
         """Total body hits of the query terms, descending; ties in input order."""
-        return self.cands.select("query_id", "page_id", F.col("ps.url").alias("url"),
-                                 F.col("hits").cast("double").alias("score"), "ps")
+        return self.cands.select("query_id", "page_id", "url", F.col("hits").cast("double").alias("score"),
+                                 "rel", "pagerank")
 
     def cosine(self, weights: CosineWeights | None = None) -> DataFrame:
         """Weighted fielded cosine with L1 norms."""
         w = (weights or self.weights)
         c = self.cands if weights is None else self.pairs(weights)
         s = cosine_scores(c, self.index, self.qterms_idf, w.as_tuple())
-        return s.select("query_id", "page_id", F.col("ps.url").alias("url"),
-                        F.col("cosine").alias("score"), "ps", "qlen")
+        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen")
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -86,7 +85,7 @@ class RankingJob:
         """Cosine x window boost."""
         c = self.cosine(weights).join(self.windows, ["query_id", "page_id"], "left")
         b = window_boost(float(boost.boost), boost.function, F.col("qlen"), F.col("window_size"))
-        return c.select("query_id", "page_id", "url", (b * F.col("score")).alias("score"), "ps",
+        return c.select("query_id", "page_id", "url", (b * F.col("score")).alias("score"), "rel",
                         "qlen", "window_size", b.alias("boost"), F.col("score").alias("cosine"))
 
     @cached_property
@@ -96,8 +95,7 @@ class RankingJob:
     def bm25f(self, params: BM25FParams = BM25FParams()) -> DataFrame:
         """C11: BM25F text score + lambda * Vf(pagerank)."""
         s = bm.bm25f_scores(self.matched, self.avg_len, self.cands, params)
-        return s.select("query_id", "page_id", F.col("ps.url").alias("url"), F.col("bm25f").alias("score"),
-                        "text_score", "ps")
+        return s.select("query_id", "page_id", "url", F.col("bm25f").alias("score"), "text_score", "rel")
 
 
 def ranked(scored: DataFrame, digits: int = 6) -> DataFrame:

@@ -36,7 +36,7 @@ def sweep_window_boost(job: RankingJob, spark: SparkSession) -> DataFrame:
     """Mean NDCG for B in 2..1024 x {inverse, sigmoid}; cosine and windows once."""
     c = job.cosine().join(job.windows, ["query_id", "page_id"], "left")
     c = c.select("query_id", "page_id", F.col("score").alias("cosine"), "qlen", "window_size",
-                 F.col("ps.rel").alias("rel"))
+                 "rel")
     p = F.broadcast(boost_params(spark))  # 20 rows
     s = c.crossJoin(p).withColumn(
         "score", window_boost(F.col("boost"), F.col("function"), F.col("qlen"), F.col("window_size")) * F.col("cosine"))
@@ -50,10 +50,10 @@ def sweep_bm25f(job: RankingJob, spark: SparkSession, settings=BM25F_SETTINGS) -
     p = bm.P.columns()
     m = job.matched.crossJoin(F.broadcast(job.avg_len)).crossJoin(F.broadcast(pt))
     text = m.groupBy("param_id", "query_id", "page_id").agg(F.sum(bm.text_contribution(p)).alias("text_score"))
-    base = job.cands.select("query_id", "page_id", "ps").crossJoin(F.broadcast(pt))
+    base = job.cands.select("query_id", "page_id", "rel", "pagerank").crossJoin(F.broadcast(pt))
     s = base.join(text, ["param_id", "query_id", "page_id"], "left").select(
-        "param_id", "query_id", "page_id", F.col("ps.rel").alias("rel"),
-        (F.coalesce("text_score", F.lit(0.0)) + p.lamd * bm._vf(p, F.col("ps.pagerank"))).alias("score"))
+        "param_id", "query_id", "page_id", "rel",
+        (F.coalesce("text_score", F.lit(0.0)) + p.lamd * bm._vf(p, F.col("pagerank"))).alias("score"))
     out = _eval(s)
     return out.join(F.broadcast(pt.select("param_id", "setting")), "param_id").select("setting", "mean_ndcg", "n_queries")
 
@@ -71,15 +71,15 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
     join of the small parameter table), then aggregated once per (param, query, page)."""
     prm = cosine_params(spark, grid)
     w = tuple(F.col(f"w_{f}") for f in ("url", "title", "header", "body", "anchor"))
-    L = F.col("ps.L")
+    L = F.col("L")
     m = job.matched.crossJoin(F.broadcast(prm))
     s, b = static_part(w, L), body_part(w, L)
     pairs = m.groupBy("param_id", "query_id", "page_id").agg(
         F.max(F.col("tf_body") > 0).alias("has_body"),
         F.sum(F.col("qw") * (s + F.coalesce(b, F.lit(0.0)))).alias("dot"),
         F.coalesce(F.sum(F.when(b.isNotNull(), F.abs(s + b) - F.abs(s))), F.lit(0.0)).alias("delta"),
-        F.first("ps.rel").alias("rel"),
     ).where("has_body")
+    pairs = job.index.attach_pages(pairs.drop("rel"))
     nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
     stat = (job.index.terms.where(nonbody > 0).crossJoin(F.broadcast(prm))
             .groupBy("param_id", *page_keys(job.index)).agg(F.sum(F.abs(s)).alias("S")))
@@ -102,7 +102,7 @@ def compare_rankers(job: RankingJob) -> DataFrame:
     }
     u = None
     for name, df in parts.items():
-        d = df.select(F.lit(name).alias("ranker"), "query_id", "page_id", "score", F.col("ps.rel").alias("rel"))
+        d = df.select(F.lit(name).alias("ranker"), "query_id", "page_id", "score", "rel")
         u = d if u is None else u.unionByName(d)
     r = rank_within(u, "score", part=("ranker", "query_id"))
     n = ndcg_per_query(r, part=("ranker", "query_id"))
