@@ -74,10 +74,10 @@ def candidates(pairs: DataFrame, index: PageIndex, queries_stats: DataFrame | No
     if not index.keyed_by_query:
         return index.attach_pages(pairs.where("has_body"))
     base = index.pages.join(queries_stats, "query_id")
-    out = base.join(pairs.drop("qlen", "k", *TERM_SCALARS), ["page_id", "query_id"], "left")
-    return (
-        out.withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long"))
-        .withColumn("has_body", F.coalesce("has_body", F.lit(False)))
-        .withColumn("dot", F.coalesce("dot", F.lit(0.0)))
-        .withColumn("delta", F.coalesce("delta", F.lit(0.0)))
-    )
+    out = base.join(pairs.drop(*[c for c in ("qlen", "k", *TERM_SCALARS) if c in pairs.columns]),
+                    ["page_id", "query_id"], "left")
+    fill = {"hits": F.lit(0).cast("long"), "has_body": F.lit(False), "dot": F.lit(0.0), "delta": F.lit(0.0)}
+    for c, v in fill.items():
+        if c in out.columns:
+            out = out.withColumn(c, F.coalesce(F.col(c), v))
+    return out

@@ -581,6 +581,120 @@ def q_compare_rankers(spark, sf):
     return c.select("query_id", *[r6(x).alias(x) for x in c.columns if x != "query_id"])
 
 
+# ------------------------------------------------------------------ files: readers, writers, snapshots
+from fieldrank.sources import corpus as CO  # noqa: E402
+from fieldrank.sources import textfmt as TF  # noqa: E402
+
+
+def _distinct_query_texts(spark, sf):
+    return T.queries(spark, sf).groupBy("query").agg(F.min("query_id").alias("query_id"))
+
+
+def feature_records(spark, sf) -> DataFrame:
+    """Feature records (the reference's input shape) of the page candidates of every
+    distinct query text: body_hits hold the query's terms only."""
+    from fieldrank.operators.evaluate import rank_within
+    j = pages_job(spark, sf)
+    qt = _distinct_query_texts(spark, sf)
+    c = j.cands.select("query_id", "page_id").join(F.broadcast(qt), "query_id")
+    qd = j.qterms.select("query_id", "term").join(F.broadcast(qt.select("query_id")), "query_id")
+    body = j.index.postings.where("field = 'body'").select("page_id", "term", "positions")
+    hits = body.join(F.broadcast(qd), "term").groupBy("query_id", "page_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("body_hits"))
+    coll = T.pages_collection(spark, sf).select(
+        "page_id", "url", "title", "headers", "body_length", "pagerank",
+        F.map_from_entries(F.transform("anchors", lambda a: F.struct(a["text"], a["cnt"]))).alias("anchors"))
+    r = c.join(hits, ["query_id", "page_id"], "left").join(coll, "page_id")
+    r = rank_within(r.withColumn("_o", -F.col("page_id")), "_o", tiebreak="page_id", out="url_pos")
+    return r.withColumn("url_pos", (F.col("url_pos") - 1).cast("int")).drop("_o")
+
+
+def _flat_features(df: DataFrame) -> DataFrame:
+    hits = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")))),
+                                    lambda e: F.concat_ws(" ", e["key"], F.array_join(e["value"].cast("array<string>"), " "))), ";")
+    anch = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>")))),
+                                    lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
+    return df.select("query", "url", "url_pos", "title", F.size("headers").cast("int").alias("n_headers"),
+                     F.array_join("headers", "|").alias("headers"), hits.alias("body_hits"),
+                     "body_length", "pagerank", anch.alias("anchors"))
+
+
+_FEAT_SQL = O.with_sql("""SELECT q.query, p.url, CAST(row_number() OVER (PARTITION BY q.query ORDER BY c.page_id) - 1 AS INTEGER) AS url_pos,
+        p.title, CAST(len(p.headers) AS INTEGER) AS n_headers, array_to_string(p.headers, '|') AS headers,
+        coalesce(h.body_hits, '') AS body_hits, CAST(len(p.body_tokens) AS INTEGER) AS body_length, p.pagerank,
+        coalesce(a.anchors, '') AS anchors
+    FROM pg_pairs c JOIN (SELECT query, min(query_id) AS query_id FROM fx_queries GROUP BY query) q USING (query_id)
+    JOIN pg_coll p USING (page_id)
+    LEFT JOIN (SELECT query_id, page_id, string_agg(term || ' ' || pos, ';' ORDER BY term) AS body_hits FROM (
+          SELECT d.query_id, b.page_id, b.term, array_to_string(list_sort(list(b.pos)), ' ') AS pos
+          FROM pg_tok b JOIN (SELECT DISTINCT query_id, term FROM q_tok) d USING (term)
+          WHERE b.f = 'body' GROUP BY d.query_id, b.page_id, b.term) GROUP BY query_id, page_id) h
+      USING (query_id, page_id)
+    LEFT JOIN (SELECT page_id, string_agg(text || '=' || cnt, ';' ORDER BY text) AS anchors FROM pg_anch GROUP BY page_id) a
+      USING (page_id)""")
+
+
+@register("read_features_roundtrip", _FEAT_SQL)
+def q_read_features_roundtrip(spark, sf):
+    path = CO.scratch_path(spark, "features")
+    TF.write_feature_file(feature_records(spark, sf), path)
+    return _flat_features(TF.read_feature_file(spark, path))
+
+
+@register("read_judgments_roundtrip", O.with_sql(
+    "SELECT DISTINCT q.query, x.url, x.rel FROM dc_pairs x JOIN fx_queries q USING (query_id)"))
+def q_read_judgments_roundtrip(spark, sf):
+    j = docs_job(spark, sf)
+    judged = j.cands.select("query_id", "url", "rel").join(T.queries(spark, sf), "query_id").select(
+        "query", "url", "rel").distinct()
+    path = CO.scratch_path(spark, "judgments")
+    TF.write_judgments(judged, path)
+    return TF.read_judgments(spark, path)
+
+
+@register("write_ranking_roundtrip", O.with_sql(
+    "SELECT q.query, r.rank, r.url FROM (" + O.ranked_sql("pg_bm25f", "bm25f") + ") r JOIN fx_queries q USING (query_id)"))
+def q_write_ranking_roundtrip(spark, sf):
+    r = ranked(pages_job(spark, sf).bm25f()).join(T.queries(spark, sf), "query_id")
+    path = CO.scratch_path(spark, "ranking")
+    TF.write_ranking(r, path)
+    return TF.read_ranking(spark, path)
+
+
+@register("corpus_scan", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
+def q_corpus_scan(spark, sf):
+    root = CO.scratch_path(spark, "corpus")
+    CO.write_corpus(T.table(spark, sf, "documents"), root)
+    return stats.doc_freq(CO.scan_corpus(spark, root))
+
+
+@register("df_snapshot_roundtrip", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
+def q_df_snapshot_roundtrip(spark, sf):
+    return CO.snapshot(stats.doc_freq(T.corpus(spark, sf)), CO.scratch_path(spark, "df"))
+
+
+@register("query_vocab_df", O.with_sql(
+    "SELECT term, count(*) AS df FROM d_tok WHERE term IN (SELECT term FROM q_tok) GROUP BY term"))
+def q_query_vocab_df(spark, sf):
+    path = CO.scratch_path(spark, "vocab")
+    CO.write_vocab(stats.query_terms(T.queries(spark, sf)), path)
+    return stats.doc_freq(T.corpus(spark, sf), CO.read_vocab(spark, path))
+
+
+@register("join_params", O.with_sql(
+    "SELECT function, boost, count(*) AS n_pairs, count(*) FILTER (WHERE b > 1.0) AS n_boosted FROM ("
+    f"SELECT bp.function, bp.boost, {_BOOST_COLS} AS b FROM pg_pairs x JOIN q_stats s USING (query_id) "
+    "LEFT JOIN pg_win w USING (query_id, page_id) CROSS JOIN bp) GROUP BY function, boost", extra={"bp": _BP}))
+def q_join_params(spark, sf):
+    from fieldrank.functions.scoring import window_boost
+    j = pages_job(spark, sf)
+    c = j.cands.select("query_id", "page_id", "qlen").join(j.windows, ["query_id", "page_id"], "left")
+    x = c.crossJoin(F.broadcast(SW.boost_params(spark)))
+    b = window_boost(F.col("boost"), F.col("function"), F.col("qlen"), F.col("window_size"))
+    return x.groupBy("function", "boost").agg(F.count(F.lit(1)).alias("n_pairs"),
+                                               F.count(F.when(b > 1.0, 1)).alias("n_boosted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -45,7 +45,9 @@ class RankingJob:
 
     @cached_property
     def index(self) -> PageIndex:
-        return build_index(self.collection)
+        """The per-page index, persisted for the lifetime of the job: every ranker and
+        sweep reads it several times (pairs, averages, per-term scores, windows)."""
+        return build_index(self.collection).persist()
 
     @cached_property
     def matched(self) -> DataFrame:
@@ -66,9 +68,13 @@ class RankingJob:
 
     # ---- rankers -------------------------------------------------------------------
     def baseline(self) -> DataFrame:
-        """Total body hits of the query terms, descending; ties in input order."""
-        return self.cands.select("query_id", "page_id", "url", F.col("hits").cast("double").alias("score"),
-                                 "rel", "pagerank")
+        """Total body hits of the query terms, descending; ties in input order.
+        Needs no corpus statistics, so it matches the plain query terms (no idf job)."""
+        m = match_terms(self.qterms, self.index)
+        hits = m.groupBy("query_id", "page_id").agg(
+            F.sum("tf_body").cast("long").alias("hits"), F.max(F.col("tf_body") > 0).alias("has_body"))
+        c = candidates(hits, self.index, self.query_stats if self.index.keyed_by_query else None)
+        return c.select("query_id", "page_id", "url", F.col("hits").cast("double").alias("score"), "rel", "pagerank")
 
     def cosine(self, weights: CosineWeights | None = None) -> DataFrame:
         """Weighted fielded cosine with L1 norms."""
