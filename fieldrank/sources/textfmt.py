@@ -97,7 +97,8 @@ def read_feature_file(spark: SparkSession, path: str) -> DataFrame:
 def last_block_wins(df: DataFrame, key: str = "query") -> DataFrame:
     """Keep only the last block of every repeated query text (file order, then block order)."""
     w = Window.partitionBy(key)
-    return df.where(F.struct("file", "block") == F.max(F.struct("file", "block")).over(w))
+    last = df.withColumn("_last", F.max(F.struct("file", "block")).over(w))
+    return last.where(F.struct("file", "block") == F.col("_last")).drop("_last")
 
 
 def read_judgments(spark: SparkSession, path: str) -> DataFrame:
@@ -172,3 +173,19 @@ def write_feature_file(records: DataFrame, path: str, mode: str = "overwrite") -
     body = records.select(F.col("query").alias("qkey"), F.col("url_pos").alias("o1"),
                           F.posexplode(text_lines).alias("o2", "text"))
     _write_lines(head.unionByName(body), path, mode)
+
+
+def features_to_collection(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turn feature records into (queries, collection) for ``RankingJob``.
+
+    query_id = xxhash64(query text); page_id = xxhash64(file, block, url_pos) — both
+    deterministic, so recomputed partitions give the same ids. Every record is a candidate
+    of its own query (the collection carries ``query_id``)."""
+    recs = records.withColumn("query_id", F.xxhash64("query")).withColumn(
+        "page_id", F.xxhash64("file", "block", "url_pos"))
+    queries = recs.select("query_id", "query").distinct()
+    anchors = F.transform(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>"))),
+                          lambda e: F.struct(e["key"].alias("text"), e["value"].alias("cnt")))
+    coll = recs.select("page_id", "query_id", "url", "url_pos", "title", "headers", anchors.alias("anchors"),
+                       "body_hits", "body_length", "pagerank")
+    return queries, coll
