@@ -33,6 +33,14 @@ class RankingJob:
     corpus: DataFrame       # doc_id, text (document frequencies)
     weights: CosineWeights = CosineWeights()
 
+    @classmethod
+    def with_index(cls, queries: DataFrame, index: PageIndex, corpus: DataFrame, **kw) -> "RankingJob":
+        """A job over an index built (and persisted or written) earlier, e.g. for every
+        micro-batch of a query stream."""
+        job = cls(queries, None, corpus, **kw)
+        job.__dict__["index"] = index
+        return job
+
     @cached_property
     def qterms(self) -> DataFrame:
         """(query_id, term, ti, n, qlen, k) — from the queries only."""

@@ -1 +1,6 @@
-"""streaming."""
+"""Ranking of query files as they arrive.
+
+The reference is a batch tool and has no streaming operators; this module only feeds the
+same batch rankers from a Structured Streaming file source, one micro-batch at a time."""
+
+from fieldrank.streaming.queries import rank_query_stream  # noqa: F401

@@ -1,0 +1,48 @@
+"""Structured Streaming driver: query text files (one query per line) arriving in a folder
+are ranked against a page index built once; every micro-batch writes its ranking in the
+``query:`` / ``url:`` format under ``<out_dir>/epoch=<id>``.
+
+The sink is idempotent per epoch (overwrite of the epoch folder), so a batch replayed
+after a failure rewrites the same output; progress is kept in the checkpoint location
+(defaulting to a folder under the shared ``spark.checkpoint.dir``)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from fieldrank.operators.index import PageIndex, build_index
+from fieldrank.params import BM25FParams, CosineWeights, WindowBoost
+from fieldrank.plans.rankers import RankingJob, ranked
+from fieldrank.sources.corpus import scratch_path
+from fieldrank.sources.textfmt import write_ranking
+
+
+def _score(job: RankingJob, ranker: str) -> DataFrame:
+    if ranker == "baseline":
+        return job.baseline()
+    if ranker == "cosine":
+        return job.cosine()
+    if ranker == "cosine_window":
+        return job.cosine_window(WindowBoost())
+    return job.bm25f(BM25FParams())
+
+
+def rank_query_stream(spark: SparkSession, query_dir: str, collection: DataFrame, corpus: DataFrame,
+                      out_dir: str, ranker: str = "bm25f", checkpoint: str | None = None,
+                      index: PageIndex | None = None, available_now: bool = True) -> StreamingQuery:
+    idx = index or build_index(collection).persist()
+    stream = spark.readStream.schema("value string").text(query_dir)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        q = (df.select(F.trim("value").alias("query")).where(F.length("query") > 0).distinct()
+             .select(F.xxhash64("query").alias("query_id"), "query"))
+        job = RankingJob.with_index(q, idx, corpus, weights=CosineWeights())
+        r = ranked(_score(job, ranker)).join(q, "query_id")
+        write_ranking(r, f"{out_dir.rstrip('/')}/epoch={epoch_id}")
+
+    w = (stream.writeStream.foreachBatch(batch)
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()

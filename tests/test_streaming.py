@@ -1,0 +1,26 @@
+"""Query files ranked by the streaming driver equal the batch ranking of the same queries."""
+
+from pyspark.sql import functions as F
+
+from fieldrank.plans.rankers import RankingJob, ranked
+from fieldrank.sources import tables as T
+from fieldrank.sources.textfmt import read_ranking
+from fieldrank.streaming import rank_query_stream
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stream_matches_batch(spark, tmp_path):
+    qdir, out = tmp_path / "queries", tmp_path / "out"
+    qdir.mkdir()
+    texts = sorted({r["query"] for r in T.queries(spark, SF).collect()})
+    (qdir / "batch1.txt").write_text("\n".join(texts) + "\n")
+    coll, corpus = T.pages_collection(spark, SF), T.corpus(spark, SF)
+    q = rank_query_stream(spark, str(qdir), coll, corpus, str(out), ranker="bm25f",
+                          checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(600)
+    got = read_ranking(spark, str(out / "epoch=0"))
+    qb = spark.createDataFrame([(t,) for t in texts], "query string").select(F.xxhash64("query").alias("query_id"), "query")
+    exp = ranked(RankingJob(qb, coll, corpus).bm25f()).join(qb, "query_id").select("query", "rank", "url")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+    assert got.count() > 0
