@@ -21,7 +21,7 @@ WS = r"\s+"
 
 
 def nonempty(arr: Column) -> Column:
-    return F.filter(arr, lambda x: x != F.lit(""))
+    return F.array_remove(arr, "")
 
 
 def tok_url(url: Column) -> Column:

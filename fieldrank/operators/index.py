@@ -78,23 +78,22 @@ def page_scalars(coll: DataFrame) -> list[Column]:
     ]
 
 
-def _body_events(coll: DataFrame) -> Column:
-    if "body_tokens" in coll.columns:
-        return _events(F.coalesce(F.col("body_tokens"), F.array().cast("array<string>")), "body", base=1)
-    # feature-record shape: body_hits map term -> positions (only the query's terms)
-    hits = F.coalesce(F.col("body_hits"), F.create_map().cast("map<string,array<int>>"))
-    return F.flatten(
-        F.transform(
-            F.map_entries(hits),
-            lambda e: F.transform(
-                e["value"],
-                lambda p: F.struct(
-                    F.lit("body").alias("field"), F.lit(0).alias("instance"), p.cast("int").alias("pos"),
-                    e["key"].alias("term"), F.lit(1).alias("w"),
-                ),
-            ),
-        )
-    )
+def _body_events(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Body events via plain generators (code-generated, no per-token lambda): the body is
+    by far the largest field."""
+    cols = [*keys, *TERM_SCALARS]
+    # *_outer generators: an inner generator makes Catalyst infer a non-empty filter and
+    # push it below the page exchange of this branch only, which would stop the two union
+    # branches from sharing one exchange (pages parsed and shuffled twice)
+    if "body_tokens" in pages.columns:
+        ev = pages.select(*cols, F.posexplode_outer(F.col("body_tokens")).alias("pos", "term"))
+        ev = ev.withColumn("pos", (F.col("pos") + 1).cast("int"))
+    else:  # feature-record shape: body_hits map term -> positions (only the query's terms)
+        ev = pages.select(*cols, F.explode_outer(F.col("body_hits")).alias("term", "positions"))
+        ev = ev.select(*cols, "term", F.explode_outer("positions").alias("pos")).withColumn("pos", F.col("pos").cast("int"))
+    ev = ev.where(F.col("term").isNotNull() & F.col("pos").isNotNull())
+    return ev.select(*cols, F.lit("body").alias("field"), F.lit(0).alias("instance"), "pos", "term",
+                     F.lit(1).alias("w"))
 
 
 @dataclass
@@ -116,10 +115,17 @@ class PageIndex:
         return df.join(attrs.hint("shuffle_hash"), self.keys, how)
 
     def persist(self) -> "PageIndex":
-        self.postings = self.postings.persist()
+        """Keep the parts of the index that a job reads more than once (MEMORY_AND_DISK):
+        the per-page attributes (one small row per page) and the term table. Postings are
+        read once (windows only) and are not cached."""
+        self.pages = self.pages.persist()
         self.terms = self.terms.persist()
         return self
 
+    def unpersist(self) -> None:
+        for df in (self.pages, self.postings, self.terms):
+            df.unpersist()
+
 
 def build_index(coll: DataFrame) -> PageIndex:
     keyed = "query_id" in coll.columns
@@ -134,12 +140,13 @@ def build_index(coll: DataFrame) -> PageIndex:
         _events(tok_lower(F.col("title")), "title").cast(f"array<{EVENT}>"),
         _events(tok_headers_lower(headers), "header").cast(f"array<{EVENT}>"),
         _anchor_events(anchors, tok_lower, "anchor", weighted=True).cast(f"array<{EVENT}>"),
-        _body_events(coll).cast(f"array<{EVENT}>"),
         _events(tok_raw(F.col("title")), "title_raw").cast(f"array<{EVENT}>"),
         _events(tok_headers_raw(headers), "header_raw").cast(f"array<{EVENT}>"),
         _anchor_events(anchors, tok_raw, "anchor_raw", weighted=False).cast(f"array<{EVENT}>"),
     )
-    ev = pages.select(*keys, *TERM_SCALARS, F.inline(events))
+    small = pages.select(*keys, *TERM_SCALARS, F.inline(events))
+    # the union keeps the page_id hash partitioning of both branches (no exchange)
+    ev = _body_events(pages, keys).unionByName(small)
     is_raw = F.col("field").endswith("_raw")
     postings = ev.where(~is_raw).groupBy(*keys, "field", "instance", "term").agg(
         F.count(F.lit(1)).alias("tf"),

@@ -72,8 +72,17 @@ class RankingJob:
 
     @cached_property
     def cands(self) -> DataFrame:
+        """Candidate pairs with their aggregates (recomputed from the cached term table
+        where read twice: cheaper than caching them)."""
         return self.pairs()
 
+    def unpersist(self) -> None:
+        for name in ("cands", "qterms_idf"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+        if "index" in self.__dict__:
+            self.index.unpersist()
+
     # ---- rankers -------------------------------------------------------------------
     def baseline(self) -> DataFrame:
         """Total body hits of the query terms, descending; ties in input order.

@@ -58,3 +58,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     df = df.persist()  # the check and the join read the same rows once
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when its input has fewer partitions than the
+    cluster has cores (a file with few row groups); a no-op on large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

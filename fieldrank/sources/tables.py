@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldrank.functions.text import regex_tokens
+from fieldrank.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -113,5 +114,6 @@ def judged_documents_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text) — the corpus for document frequencies."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """(doc_id, text) — the corpus for document frequencies, spread over all cores when
+    the file has fewer splits than cores."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
