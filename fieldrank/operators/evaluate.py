@@ -8,16 +8,51 @@ from pyspark.sql import functions as F
 from fieldrank.functions.scoring import ndcg_discount, ndcg_gain
 
 SCORE_DIGITS = 9  # ties are decided on round(score, 9), then on the input order
+# "window": one task per query group (default; right when there are many more queries than
+# tasks). "range": splits a hot query over many tasks (rank_by_range) at the price of a
+# sampling pass over the scored rows and caching them — for a few huge queries.
+RANK_METHOD = "window"
 
 
 def rank_within(df: DataFrame, score: str = "score", part=("query_id",), tiebreak: str = "page_id",
-                out: str = "rank") -> DataFrame:
-    """Full descending order per query: ``row_number`` over ``round(score, 9) desc,
-    tiebreak asc``. One exchange by the partition keys; every page is kept (no top-k)."""
+                out: str = "rank", method: str | None = None) -> DataFrame:
+    """Full descending order per query, ties on ``round(score, 9)`` broken by
+    ``tiebreak`` ascending; every row is kept (no top-k).
+
+    ``window``: ``row_number`` over a hash exchange by the partition keys — one task per
+    query group (default). ``range``: skew-proof — see ``rank_by_range``."""
+    if (method or RANK_METHOD) == "range":
+        return rank_by_range(df, score, part, tiebreak, out)
     w = Window.partitionBy(*part).orderBy(F.round(F.col(score), SCORE_DIGITS).desc(), F.col(tiebreak).asc())
     return df.withColumn(out, F.row_number().over(w))
 
 
+def rank_by_range(df: DataFrame, score: str = "score", part=("query_id",), tiebreak: str = "page_id",
+                  out: str = "rank") -> DataFrame:
+    """R1 for groups of any size: a global sort on (group, score desc, tiebreak) range-
+    partitions the rows, so one hot query is split over many partitions instead of one
+    task. Inside a partition the rows are sorted, so ``monotonically_increasing_id`` is the
+    position; one row per (partition, group) — at most #groups + #partitions rows — gives
+    each block its first id and the number of rows of the same group in earlier
+    partitions, and is joined back (AQE broadcasts it at run time when small).
+
+    Both branches must see the same partitioning: two executions of a range exchange
+    sample their own bounds, so the sorted rows are persisted once and read by both. A
+    lost cached partition is rebuilt from the same shuffle output and sorts identically
+    (the order keys are unique per group)."""
+    keys = [F.col(c) for c in part]
+    order = [*keys, F.round(F.col(score), SCORE_DIGITS).desc(), F.col(tiebreak).asc()]
+    s = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+         .persist())
+    blocks = s.groupBy("_pid", *part).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    r = s.join(blocks, ["_pid", *part])
+    return r.withColumn(out, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("int")).drop(
+        "_pid", "_mid", "_first", "_off")
+
+
 def join_judgments(ranked: DataFrame, judgments: DataFrame, on, on_missing: str = "drop") -> DataFrame:
     """Attach ``rel`` to ranked rows. ``drop`` keeps judged rows only and re-numbers the
     ranks among them (what NDCG over the judged list sees); ``error`` raises when a ranked

@@ -110,3 +110,11 @@ def test_results_unchanged_by_repartitioning(spark):
     key = lambda r: (r["query_id"], r["rank"])
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert math.isfinite(sum(r["score"] for r in a))
+
+
+def test_range_rank_equals_window_rank(pj):
+    from fieldrank.operators.evaluate import rank_within
+    for scored in (pj.cosine(), pj.bm25f()):
+        a = rank_within(scored, "score", method="window").select("query_id", "page_id", "rank")
+        b = rank_within(scored, "score", method="range").select("query_id", "page_id", "rank")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
