@@ -18,6 +18,7 @@ from fieldrank.operators import stats
 from fieldrank.operators.evaluate import mean_ndcg, ndcg_per_query, query_result_counts
 from fieldrank.params import BM25FParams, CosineWeights
 from fieldrank.plans.rankers import RankingJob, ranked
+from fieldrank.session import broadcast_if_small
 from fieldrank.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -596,10 +597,11 @@ def feature_records(spark, sf) -> DataFrame:
     from fieldrank.operators.evaluate import rank_within
     j = pages_job(spark, sf)
     qt = _distinct_query_texts(spark, sf)
-    c = j.cands.select("query_id", "page_id").join(F.broadcast(qt), "query_id")
-    qd = j.qterms.select("query_id", "term").join(F.broadcast(qt.select("query_id")), "query_id")
+    qt = broadcast_if_small(qt)  # one row per distinct query text
+    c = j.cands.select("query_id", "page_id").join(qt, "query_id")
+    qd = j.qterms.select("query_id", "term").join(qt.select("query_id"), "query_id")
     body = j.index.postings.where("field = 'body'").select("page_id", "term", "positions")
-    hits = body.join(F.broadcast(qd), "term").groupBy("query_id", "page_id").agg(
+    hits = body.join(broadcast_if_small(qd), "term").groupBy("query_id", "page_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("body_hits"))
     coll = T.pages_collection(spark, sf).select(
         "page_id", "url", "title", "headers", "body_length", "pagerank",
