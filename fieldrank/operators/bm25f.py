@@ -92,9 +92,16 @@ def _vf(p: P, pagerank: Column) -> Column:
     return vf(p.vf, pagerank, p.l1, p.l2)
 
 
+def with_term_weight(df: DataFrame, p: P) -> DataFrame:
+    """Adds ``_w`` (M9 + M10) as its own column: it is used three times by the text score
+    and inlining it would blow the generated code past the JIT method limit."""
+    return df.withColumn("_w", term_weight(p))
+
+
 def text_contribution(p: P) -> Column:
-    """C10 per matched term row: ``n * w * idf / (K1 + w)`` (query duplicates counted via n)."""
-    w = term_weight(p)
+    """C10 per matched term row (after ``with_term_weight``): ``n * w * idf / (K1 + w)``
+    (query duplicates counted via n)."""
+    w = F.col("_w")
     den = p.K1 + w
     return F.col("n") * F.when(den != 0, w * F.col("idf") / den).otherwise(F.lit(0.0))
 
@@ -103,7 +110,7 @@ def bm25f_scores(matched: DataFrame, avg: DataFrame, cands: DataFrame, params: B
                  keys=("query_id", "page_id")) -> DataFrame:
     """C11: text score + ``lambda * Vf(pagerank)`` for every candidate pair."""
     p = P.of(params)
-    m = matched.crossJoin(F.broadcast(avg))  # one row
+    m = with_term_weight(matched.crossJoin(F.broadcast(avg)), p)  # one row
     text = m.groupBy(*keys).agg(F.sum(text_contribution(p)).alias("text_score"))
     j = cands.join(text, list(keys), "left")
     return j.withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).withColumn(

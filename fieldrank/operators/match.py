@@ -52,8 +52,10 @@ def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple()) -> D
     query-dependent part of the page L1 norm (see ``cosine.py``). Buffers are fixed-width
     numbers only, so this is a hash aggregation on the page_id partitioning (no exchange)."""
     L = F.col("L")
-    s = static_part(weights, L)
-    b = body_part(weights, L)
+    # s(t) and b(t) are each used several times: computed once in their own columns so the
+    # aggregate's generated code stays small
+    matched = matched.withColumn("_s", static_part(weights, L)).withColumn("_b", body_part(weights, L))
+    s, b = F.col("_s"), F.col("_b")
     return matched.groupBy("query_id", "page_id").agg(
         F.sum("tf_body").cast("long").alias("hits"),
         F.max(F.col("tf_body") > 0).alias("has_body"),

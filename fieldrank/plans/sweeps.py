@@ -48,7 +48,7 @@ def sweep_bm25f(job: RankingJob, spark: SparkSession, settings=BM25F_SETTINGS) -
     """Mean NDCG per BM25F setting; matched rows and averages computed once."""
     pt = bm.param_table(spark, settings)
     p = bm.P.columns()
-    m = job.matched.crossJoin(F.broadcast(job.avg_len)).crossJoin(F.broadcast(pt))
+    m = bm.with_term_weight(job.matched.crossJoin(F.broadcast(job.avg_len)).crossJoin(F.broadcast(pt)), p)
     text = m.groupBy("param_id", "query_id", "page_id").agg(F.sum(bm.text_contribution(p)).alias("text_score"))
     base = job.cands.select("query_id", "page_id", "rel", "pagerank").crossJoin(F.broadcast(pt))
     s = base.join(text, ["param_id", "query_id", "page_id"], "left").select(
@@ -73,7 +73,8 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
     w = tuple(F.col(f"w_{f}") for f in ("url", "title", "header", "body", "anchor"))
     L = F.col("L")
     m = job.matched.crossJoin(F.broadcast(prm))
-    s, b = static_part(w, L), body_part(w, L)
+    m = m.withColumn("_s", static_part(w, L)).withColumn("_b", body_part(w, L))
+    s, b = F.col("_s"), F.col("_b")
     pairs = m.groupBy("param_id", "query_id", "page_id").agg(
         F.max(F.col("tf_body") > 0).alias("has_body"),
         F.sum(F.col("qw") * (s + F.coalesce(b, F.lit(0.0)))).alias("dot"),
@@ -82,7 +83,7 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
     pairs = job.index.attach_pages(pairs.drop("rel"))
     nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
     stat = (job.index.terms.where(nonbody > 0).crossJoin(F.broadcast(prm))
-            .groupBy("param_id", *page_keys(job.index)).agg(F.sum(F.abs(s)).alias("S")))
+            .groupBy("param_id", *page_keys(job.index)).agg(F.sum(F.abs(static_part(w, L))).alias("S")))
     qn = broadcast_if_small(query_norms(job.qterms_idf))
     j = pairs.join(stat, ["param_id", "page_id"], "left").join(qn, "query_id", "left")
     norm = F.coalesce("n1", F.lit(0.0)) * (F.coalesce("S", F.lit(0.0)) + F.col("delta"))
