@@ -106,12 +106,19 @@ def text_contribution(p: P) -> Column:
     return F.col("n") * F.when(den != 0, w * F.col("idf") / den).otherwise(F.lit(0.0))
 
 
-def bm25f_scores(matched: DataFrame, avg: DataFrame, cands: DataFrame, params: BM25FParams = BM25FParams(),
-                 keys=("query_id", "page_id")) -> DataFrame:
-    """C11: text score + ``lambda * Vf(pagerank)`` for every candidate pair."""
+def bm25f_scores(matched: DataFrame, avg: DataFrame, index, params: BM25FParams = BM25FParams(),
+                 queries_stats: DataFrame | None = None) -> DataFrame:
+    """C11: text score + ``lambda * Vf(pagerank)`` for every candidate pair.
+
+    The text score and the candidate flag come from one aggregation of the matched rows
+    (partitioned by page_id), and the page attributes are attached on the same
+    partitioning — no join on (query_id, page_id), no extra exchange."""
+    from fieldrank.operators.match import candidates
+
     p = P.of(params)
     m = with_term_weight(matched.crossJoin(F.broadcast(avg)), p)  # one row
-    text = m.groupBy(*keys).agg(F.sum(text_contribution(p)).alias("text_score"))
-    j = cands.join(text, list(keys), "left")
+    agg = m.groupBy("query_id", "page_id").agg(
+        F.sum(text_contribution(p)).alias("text_score"), F.max(F.col("tf_body") > 0).alias("has_body"))
+    j = candidates(agg, index, queries_stats)
     return j.withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).withColumn(
         "bm25f", F.col("text_score") + p.lamd * _vf(p, F.col("pagerank")))

@@ -102,6 +102,7 @@ class PageIndex:
     postings: DataFrame   # page_id, [query_id], field, instance, term, tf, w, positions
     terms: DataFrame      # page_id, [query_id], term, TERM_SCALARS, tf_url..tf_anchor, rtf_title..rtf_anchor
     keyed_by_query: bool  # True for feature records: pages belong to one query
+    parsed: DataFrame | None = None  # the partitioned, parsed collection the tables derive from
 
     @property
     def keys(self) -> list[str]:
@@ -118,23 +119,27 @@ class PageIndex:
         """Keep the parts of the index that a job reads more than once (MEMORY_AND_DISK):
         the per-page attributes (one small row per page) and the term table. Postings are
         read once (windows only) and are not cached."""
-        self.pages = self.pages.persist()
+        if self.parsed is not None:
+            cached = self.parsed.persist()
+            keys = self.keys
+            self.pages = cached.select(*keys, *TERM_SCALARS, *PAGE_ATTRS)
+            rebuilt = _tables_from(cached, keys)
+            self.postings, self.terms = rebuilt
+        else:
+            self.pages = self.pages.persist()
         self.terms = self.terms.persist()
         return self
 
     def unpersist(self) -> None:
-        for df in (self.pages, self.postings, self.terms):
-            df.unpersist()
+        for df in (self.parsed, self.pages, self.postings, self.terms):
+            if df is not None:
+                df.unpersist()
 
 
-def build_index(coll: DataFrame) -> PageIndex:
-    keyed = "query_id" in coll.columns
-    keys = ["page_id"] + (["query_id"] if keyed else [])
+def _tables_from(pages: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Postings and the per-term field tf table from the partitioned, parsed pages."""
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
-
-    src = [c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns]
-    pages = coll.repartition("page_id").select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
     events = F.concat(
         _events(tok_url(F.col("url")), "url").cast(f"array<{EVENT}>"),
         _events(tok_lower(F.col("title")), "title").cast(f"array<{EVENT}>"),
@@ -164,5 +169,16 @@ def build_index(coll: DataFrame) -> PageIndex:
         fsum("title_raw").alias("rtf_title"), fsum("header_raw").alias("rtf_header"),
         fsum("anchor_raw").alias("rtf_anchor"),
     )
+    return postings, terms
+
+
+def build_index(coll: DataFrame) -> PageIndex:
+    keyed = "query_id" in coll.columns
+    keys = ["page_id"] + (["query_id"] if keyed else [])
+    src = [c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns]
+    # parsed pages, hash-partitioned once; cached by ``persist`` so the body and small-field
+    # generators (and the page attributes) read one copy instead of re-parsing each time
+    pages = coll.repartition("page_id").select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
+    postings, terms = _tables_from(pages, keys)
     return PageIndex(pages=pages.select(*keys, *TERM_SCALARS, *PAGE_ATTRS), postings=postings, terms=terms,
-                     keyed_by_query=keyed)
+                     keyed_by_query=keyed, parsed=pages)

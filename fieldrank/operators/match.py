@@ -47,7 +47,7 @@ def match_terms(qterms: DataFrame, index: PageIndex) -> DataFrame:
     return index.terms.join(broadcast_if_small(qterms), on)
 
 
-def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple()) -> DataFrame:
+def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extra=()) -> DataFrame:
     """Per (query_id, page_id): baseline hits, candidate flag, cosine dot product and the
     query-dependent part of the page L1 norm (see ``cosine.py``). Buffers are fixed-width
     numbers only, so this is a hash aggregation on the page_id partitioning (no exchange)."""
@@ -61,9 +61,10 @@ def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple()) -> D
         F.max(F.col("tf_body") > 0).alias("has_body"),
         F.sum(F.col("qw") * (s + F.coalesce(b, F.lit(0.0)))).alias("dot"),
         F.coalesce(F.sum(F.when(b.isNotNull(), F.abs(s + b) - F.abs(s))), F.lit(0.0)).alias("delta"),
-        F.first("qlen").alias("qlen"),
-        F.first("k").alias("k"),
+        F.first("qlen", ignorenulls=True).alias("qlen"),
+        F.first("k", ignorenulls=True).alias("k"),
         *[F.max(c).alias(c) for c in TERM_SCALARS],
+        *extra,
     )
 
 

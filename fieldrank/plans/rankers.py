@@ -104,9 +104,20 @@ class RankingJob:
     def windows(self) -> DataFrame:
         return smallest_windows(self.qterms, self.index)
 
+    def cosine_with_windows(self, weights: CosineWeights | None = None) -> DataFrame:
+        """Cosine per candidate pair plus its smallest window (null when none). The window
+        rows are unioned into the pair aggregation (both keep the page_id partitioning), so
+        no join on (query_id, page_id) is needed."""
+        w = (weights or self.weights).as_tuple()
+        rows = self.matched.unionByName(self.windows, allowMissingColumns=True)
+        agg = pair_aggregates(rows, w, extra=[F.min("window_size").alias("window_size")])
+        c = candidates(agg, self.index, self.query_stats if self.index.keyed_by_query else None)
+        s = cosine_scores(c, self.index, self.qterms_idf, w)
+        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "window_size")
+
     def cosine_window(self, boost: WindowBoost = WindowBoost(), weights: CosineWeights | None = None) -> DataFrame:
         """Cosine x window boost."""
-        c = self.cosine(weights).join(self.windows, ["query_id", "page_id"], "left")
+        c = self.cosine_with_windows(weights)
         b = window_boost(float(boost.boost), boost.function, F.col("qlen"), F.col("window_size"))
         return c.select("query_id", "page_id", "url", (b * F.col("score")).alias("score"), "rel",
                         "qlen", "window_size", b.alias("boost"), F.col("score").alias("cosine"))
@@ -117,7 +128,8 @@ class RankingJob:
 
     def bm25f(self, params: BM25FParams = BM25FParams()) -> DataFrame:
         """C11: BM25F text score + lambda * Vf(pagerank)."""
-        s = bm.bm25f_scores(self.matched, self.avg_len, self.cands, params)
+        s = bm.bm25f_scores(self.matched, self.avg_len, self.index, params,
+                            self.query_stats if self.index.keyed_by_query else None)
         return s.select("query_id", "page_id", "url", F.col("bm25f").alias("score"), "text_score", "rel")
 
 

@@ -34,9 +34,8 @@ def boost_params(spark: SparkSession) -> DataFrame:
 
 def sweep_window_boost(job: RankingJob, spark: SparkSession) -> DataFrame:
     """Mean NDCG for B in 2..1024 x {inverse, sigmoid}; cosine and windows once."""
-    c = job.cosine().join(job.windows, ["query_id", "page_id"], "left")
-    c = c.select("query_id", "page_id", F.col("score").alias("cosine"), "qlen", "window_size",
-                 "rel")
+    c = job.cosine_with_windows().select("query_id", "page_id", F.col("score").alias("cosine"), "qlen",
+                                         "window_size", "rel")
     p = F.broadcast(boost_params(spark))  # 20 rows
     s = c.crossJoin(p).withColumn(
         "score", window_boost(F.col("boost"), F.col("function"), F.col("qlen"), F.col("window_size")) * F.col("cosine"))
