@@ -79,6 +79,27 @@ def ndcg_per_query(ranked: DataFrame, part=("query_id",), rank: str = "rank", re
     return agg.withColumn("ndcg", F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(1.0)))
 
 
+def dcg_per_group(ranked: DataFrame, part=("query_id",), rank: str = "rank", rel: str = "rel") -> DataFrame:
+    """R2 only: DCG per group from ranked rows (one exchange-free aggregation after the rank)."""
+    return ranked.groupBy(*part).agg(
+        F.sum(ndcg_gain(F.col(rel)) / ndcg_discount(F.col(rank))).alias("dcg"),
+        F.count(F.lit(1)).alias("n_ranked"))
+
+
+def idcg_per_query(candidates: DataFrame, rel: str = "rel") -> DataFrame:
+    """R3 once per query from its candidate set: the ideal order only depends on the
+    relevances, so settings or rankers that rank the same candidates share it."""
+    ideal = Window.partitionBy("query_id").orderBy(F.col(rel).desc())
+    r = candidates.select("query_id", rel).withColumn("_irank", F.row_number().over(ideal))
+    return r.groupBy("query_id").agg(F.sum(ndcg_gain(F.col(rel)) / ndcg_discount(F.col("_irank"))).alias("idcg"))
+
+
+def ndcg_from(dcg: DataFrame, idcg: DataFrame) -> DataFrame:
+    """R4 from per-group DCG and per-query IDCG (both small)."""
+    j = dcg.join(idcg, "query_id")
+    return j.withColumn("ndcg", F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(1.0)))
+
+
 def mean_ndcg(per_query: DataFrame, part=()) -> DataFrame:
     """A10: mean over queries (per parameter setting when ``part`` is given)."""
     agg = [F.avg("ndcg").alias("mean_ndcg"), F.count(F.lit(1)).alias("n_queries")]
