@@ -27,9 +27,6 @@ def get_spark(master: str | None = None, app: str = "fieldrank", shuffle_partiti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("FIELDRANK_DRIVER_MEMORY", "16g"))
-        # per-(query, page) results are partitioned by page_id already; let joins on
-        # (query_id, page_id) reuse that partitioning instead of re-shuffling both sides
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
