@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldrank.session import broadcast_if_small
 from fieldrank.functions.text import (
     body_length_clamp, tok_headers_lower, tok_headers_raw, tok_lower, tok_raw, tok_url,
 )
@@ -103,6 +104,7 @@ class PageIndex:
     terms: DataFrame      # page_id, [query_id], term, TERM_SCALARS, tf_url..tf_anchor, rtf_title..rtf_anchor
     keyed_by_query: bool  # True for feature records: pages belong to one query
     parsed: DataFrame | None = None  # the partitioned, parsed collection the tables derive from
+    vocab: DataFrame | None = None   # body terms kept (None = all)
 
     @property
     def keys(self) -> list[str]:
@@ -123,7 +125,7 @@ class PageIndex:
             cached = self.parsed.persist()
             keys = self.keys
             self.pages = cached.select(*keys, *TERM_SCALARS, *PAGE_ATTRS)
-            rebuilt = _tables_from(cached, keys)
+            rebuilt = _tables_from(cached, keys, self.vocab)
             self.postings, self.terms = rebuilt
         else:
             self.pages = self.pages.persist()
@@ -136,8 +138,11 @@ class PageIndex:
                 df.unpersist()
 
 
-def _tables_from(pages: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Postings and the per-term field tf table from the partitioned, parsed pages."""
+def _tables_from(pages: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Postings and the per-term field tf table from the partitioned, parsed pages. With
+    ``vocab`` (one ``term`` column), body tokens outside it are dropped before aggregating:
+    the rankers read body rows of query terms only (norms use non-body fields, lengths the
+    page scalars), and the body is the bulk of the tokens."""
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
     events = F.concat(
@@ -150,8 +155,11 @@ def _tables_from(pages: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFram
         _anchor_events(anchors, tok_raw, "anchor_raw", weighted=False).cast(f"array<{EVENT}>"),
     )
     small = pages.select(*keys, *TERM_SCALARS, F.inline(events))
+    body = _body_events(pages, keys)
+    if vocab is not None:  # broadcast semi join: the page_id partitioning is kept
+        body = body.join(broadcast_if_small(vocab.select("term").distinct()), "term", "left_semi")
     # the union keeps the page_id hash partitioning of both branches (no exchange)
-    ev = _body_events(pages, keys).unionByName(small)
+    ev = body.unionByName(small)
     is_raw = F.col("field").endswith("_raw")
     postings = ev.where(~is_raw).groupBy(*keys, "field", "instance", "term").agg(
         F.count(F.lit(1)).alias("tf"),
@@ -172,13 +180,14 @@ def _tables_from(pages: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFram
     return postings, terms
 
 
-def build_index(coll: DataFrame) -> PageIndex:
+def build_index(coll: DataFrame, vocab: DataFrame | None = None) -> PageIndex:
+    """Index of ``coll``; ``vocab`` restricts the body terms kept (see ``_tables_from``)."""
     keyed = "query_id" in coll.columns
     keys = ["page_id"] + (["query_id"] if keyed else [])
     src = [c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns]
     # parsed pages, hash-partitioned once; cached by ``persist`` so the body and small-field
     # generators (and the page attributes) read one copy instead of re-parsing each time
     pages = coll.repartition("page_id").select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
-    postings, terms = _tables_from(pages, keys)
+    postings, terms = _tables_from(pages, keys, vocab)
     return PageIndex(pages=pages.select(*keys, *TERM_SCALARS, *PAGE_ATTRS), postings=postings, terms=terms,
-                     keyed_by_query=keyed, parsed=pages)
+                     keyed_by_query=keyed, parsed=pages, vocab=vocab)

@@ -38,8 +38,9 @@ def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
-def pages_job(spark: SparkSession, sf_dir: str) -> RankingJob:
-    return RankingJob(T.queries(spark, sf_dir), T.pages_collection(spark, sf_dir), T.corpus(spark, sf_dir))
+def pages_job(spark: SparkSession, sf_dir: str, full_index: bool = False) -> RankingJob:
+    return RankingJob(T.queries(spark, sf_dir), T.pages_collection(spark, sf_dir), T.corpus(spark, sf_dir),
+                      full_index=full_index)
 
 
 def docs_job(spark: SparkSession, sf_dir: str) -> RankingJob:
@@ -228,7 +229,7 @@ def q_tok_query(spark, sf):
     "SELECT page_id, term, CAST(count(*) AS BIGINT) AS tf, array_to_string(list_sort(list(pos)), ' ') AS positions "
     "FROM pg_tok WHERE f = 'body' GROUP BY page_id, term"))
 def q_body_postings(spark, sf):
-    post = pages_job(spark, sf).index.postings.where("field = 'body'")
+    post = pages_job(spark, sf, full_index=True).index.postings.where("field = 'body'")
     return post.select("page_id", "term", "tf", F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"))
 
 
@@ -249,7 +250,7 @@ def q_body_hits_total(spark, sf):
 @register("tf_counts", O.with_sql(
     "SELECT page_id, term, CAST(count(*) AS DOUBLE) AS tf FROM pg_tok WHERE f = 'title' GROUP BY page_id, term"))
 def q_tf_counts(spark, sf):
-    t = pages_job(spark, sf).index.terms.where("tf_title > 0")
+    t = pages_job(spark, sf, full_index=True).index.terms.where("tf_title > 0")
     return t.select("page_id", "term", F.col("tf_title").cast("double").alias("tf"))
 
 
@@ -264,7 +265,7 @@ def q_tf_body(spark, sf):
 @register("tf_anchor", O.with_sql(
     "SELECT page_id, term, CAST(tf_anchor AS BIGINT) AS tf FROM pg_pt WHERE tf_anchor > 0"))
 def q_tf_anchor(spark, sf):
-    t = pages_job(spark, sf).index.terms.where("tf_anchor > 0")
+    t = pages_job(spark, sf, full_index=True).index.terms.where("tf_anchor > 0")
     return t.select("page_id", "term", F.col("tf_anchor").alias("tf"))
 
 
@@ -277,7 +278,7 @@ _PFV_SQL = """SELECT page_id, field, term, CAST(tf AS BIGINT) AS tf, round(tf /
 
 def _pfv(spark, sf):
     from fieldrank.operators.cosine import page_field_vectors
-    v = page_field_vectors(pages_job(spark, sf).index)
+    v = page_field_vectors(pages_job(spark, sf, full_index=True).index)
     return v.select("page_id", "field", "term", "tf", F.round("ntf", 9).alias("ntf"), r6("weight").alias("weight"))
 
 
@@ -308,7 +309,7 @@ def _page_weight_sql(src: str, w: CosineWeights = CosineWeights()) -> str:
     "WHERE tf_url + tf_title + tf_header + tf_body + tf_anchor > 0"))
 def q_page_vector(spark, sf):
     from fieldrank.operators.cosine import page_vector
-    v = page_vector(pages_job(spark, sf).index)
+    v = page_vector(pages_job(spark, sf, full_index=True).index)
     return v.select("page_id", "term", r6("weight").alias("weight"))
 
 

@@ -32,6 +32,7 @@ class RankingJob:
     collection: DataFrame   # see sources.tables
     corpus: DataFrame       # doc_id, text (document frequencies)
     weights: CosineWeights = CosineWeights()
+    full_index: bool = False  # keep every body term (page vectors); rankers need query terms only
 
     @classmethod
     def with_index(cls, queries: DataFrame, index: PageIndex, corpus: DataFrame, **kw) -> "RankingJob":
@@ -55,7 +56,8 @@ class RankingJob:
     def index(self) -> PageIndex:
         """The per-page index, persisted for the lifetime of the job: every ranker and
         sweep reads it several times (pairs, averages, per-term scores, windows)."""
-        return build_index(self.collection).persist()
+        vocab = None if self.full_index else self.qterms.select("term")
+        return build_index(self.collection, vocab).persist()
 
     @cached_property
     def matched(self) -> DataFrame:
