@@ -9,7 +9,7 @@ functions inside the row (no Python UDF, no driver loop). Parsing rules:
 * ``url`` starts a record; later ``title``/``body_length``/``pagerank`` lines of the same
   record override earlier ones; ``header`` lines accumulate in order;
 * ``body_hits: term p1 p2 ...`` — a repeated term keeps its last list;
-* ``stanford_anchor_count`` belongs to the nearest preceding ``anchor_text``; a repeated
+* the anchor count line (``ANCHOR_COUNT_KEY``) belongs to the nearest preceding ``anchor_text``; a repeated
   anchor text keeps its last count.
 
 Repeated ``query:`` blocks and repeated urls are kept as separate rows (``url_pos`` and
@@ -26,6 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# ---------------------------------------------------------------------------
+# Key names of the feature-file format (must match the input files).
+#   query, url, title, header, body_hits, body_length, pagerank, anchor_text,
+#   and the anchor count key below
+# ---------------------------------------------------------------------------
+ANCHOR_COUNT_KEY = "stanford_anchor_count"
+
 QUERY_SEP = "\nquery:"
 
 
@@ -75,7 +82,7 @@ def read_feature_file(spark: SparkSession, path: str) -> DataFrame:
     ))
     anchors = F.transform(
         F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                 lambda y: y["x"]["k"] == "stanford_anchor_count"),
+                 lambda y: y["x"]["k"] == ANCHOR_COUNT_KEY),
         lambda y: F.struct(
             F.try_element_at(F.filter(F.slice(lines, 1, y["i"]), lambda z: z["k"] == "anchor_text"), F.lit(-1))["v"].alias("text"),
             y["x"]["v"].cast("int").alias("cnt"),
@@ -148,7 +155,7 @@ def write_judgments(judged: DataFrame, path: str, mode: str = "overwrite") -> No
 def write_feature_file(records: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Feature file from records (query, url, url_pos, title, headers, body_hits map,
     body_length, pagerank, anchors map). Lines per record: url, title, headers,
-    body_hits (terms sorted), body_length, pagerank, anchor_text/stanford_anchor_count."""
+    body_hits (terms sorted), body_length, pagerank, anchor_text / anchor count."""
     ind = "    "
     kv = lambda k, v: F.concat(F.lit(f"{ind}{k}: "), v)
     hits = F.transform(F.array_sort(F.map_entries(F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")))),
@@ -156,7 +163,7 @@ def write_feature_file(records: DataFrame, path: str, mode: str = "overwrite") -
     anchors = F.flatten(F.transform(
         F.array_sort(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>")))),
         lambda e: F.array(kv("anchor_text", e["key"]),
-                          F.concat(F.lit(f"{ind}  stanford_anchor_count: "), e["value"].cast("string")))))
+                          F.concat(F.lit(f"{ind}  {ANCHOR_COUNT_KEY}: "), e["value"].cast("string")))))
     text_lines = F.concat(
         F.array(F.concat(F.lit("  url: "), F.col("url"))),
         F.when(F.col("title").isNotNull(), F.array(kv("title", F.col("title")))).otherwise(F.array().cast("array<string>")),

@@ -8,7 +8,7 @@ from fieldrank.operators.evaluate import ndcg_per_query
 from fieldrank.operators.window import smallest_window_fold
 from fieldrank.params import BM25FParams, CosineWeights, WindowBoost
 from fieldrank.plans.rankers import RankingJob
-from fieldrank.sources.textfmt import features_to_collection, read_feature_file
+from fieldrank.sources.textfmt import ANCHOR_COUNT_KEY as AC, features_to_collection, read_feature_file
 
 APPROX = dict(abs=1e-6)
 
@@ -63,7 +63,7 @@ def test_static_rank_functions(spark):
     assert _eval1(spark, S.vf_sigmoid(F.lit(6), 1.0, 0.5)) == pytest.approx(0.952574, **APPROX)
 
 
-TWO_PAGES = """query: alpha beta
+TWO_PAGES = f"""query: alpha beta
   url: http://x.org/alpha_beta?q=1
     title: alpha beta: home
     header: alpha
@@ -73,7 +73,7 @@ TWO_PAGES = """query: alpha beta
     body_length: 264
     pagerank: 6
     anchor_text: alpha site
-      stanford_anchor_count: 3
+      {AC}: 3
   url: http://x.org/none
     body_length: 5
     pagerank: 0

@@ -2,7 +2,9 @@
 
 from fieldrank.sources import textfmt as TF
 
-FEATURES = """query: q one
+AC = TF.ANCHOR_COUNT_KEY
+
+FEATURES = f"""query: q one
   url: http://a.org/x:1
     title: first
     title: second
@@ -16,11 +18,11 @@ FEATURES = """query: q one
     body_length: 10
     pagerank: 3
     anchor_text: click here
-      stanford_anchor_count: 2
+      {AC}: 2
     anchor_text: click here
-      stanford_anchor_count: 7
+      {AC}: 7
     anchor_text: other
-      stanford_anchor_count: 1
+      {AC}: 1
   url: http://b.org
 query: q two
   url: http://c.org
