@@ -182,12 +182,19 @@ def write_feature_file(records: DataFrame, path: str, mode: str = "overwrite") -
     _write_lines(head.unionByName(body), path, mode)
 
 
-def features_to_collection(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def features_to_collection(records: DataFrame, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
     """Turn feature records into (queries, collection) for ``RankingJob``.
 
     query_id = xxhash64(query text); page_id = xxhash64(file, block, url_pos) — both
     deterministic, so recomputed partitions give the same ids. Every record is a candidate
-    of its own query (the collection carries ``query_id``)."""
+    of its own query (the collection carries ``query_id``). With ``dedupe`` the reference's
+    dictionary semantics apply: the last block of a repeated query text wins, and a url
+    repeated inside a block keeps its last record."""
+    if dedupe:
+        records = last_block_wins(records)
+        w = Window.partitionBy("query", "url")
+        records = (records.withColumn("_last", F.max("url_pos").over(w))
+                   .where(F.col("url_pos") == F.col("_last")).drop("_last"))
     recs = records.withColumn("query_id", F.xxhash64("query")).withColumn(
         "page_id", F.xxhash64("file", "block", "url_pos"))
     queries = recs.select("query_id", "query").distinct()

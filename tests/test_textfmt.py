@@ -76,3 +76,9 @@ def test_feature_write_read_roundtrip(spark, tmp_text, tmp_path):
     norm = lambda d: sorted((tuple(str(r[c]) for c in cols) for r in d.collect()))
     assert norm(back) == norm(TF.last_block_wins(TF.read_feature_file(spark, tmp_text("h", FEATURES))).drop("file", "block"))
     assert src.count() == 4
+
+
+def test_features_to_collection_dedupes(spark, tmp_text):
+    q, c = TF.features_to_collection(TF.read_feature_file(spark, tmp_text("f", FEATURES)))
+    assert sorted(r["query"] for r in q.collect()) == ["q one", "q two"]
+    assert sorted(r["url"] for r in c.collect()) == ["http://c.org", "http://z.org"]
