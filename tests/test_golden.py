@@ -135,3 +135,27 @@ def test_cosine_weights_change_scores(two_page_job):
     a = _by_url(two_page_job.cosine(), "score")
     b = _by_url(two_page_job.cosine(CosineWeights(url=-1705, title=-288, header=-85, body=-97, anchor=-17)), "score")
     assert a["http://x.org/alpha_beta?q=1"] != b["http://x.org/alpha_beta?q=1"]
+
+
+MISSING_LEN = """query: common rare
+  url: http://y.org/a
+    body_hits: common 3
+  url: http://y.org/b
+    body_hits: common 1 2
+    body_hits: rare 7
+    body_length: 500
+"""
+
+
+def test_df_equal_n_and_missing_body_length(spark, tmp_text):
+    queries, coll = features_to_collection(read_feature_file(spark, tmp_text("m", MISSING_LEN)))
+    corpus = spark.createDataFrame([(1, "common x"), (2, "common rare"), (3, "common")], "doc_id long, text string")
+    job = RankingJob(queries, coll, corpus)
+    idf = {r["term"]: (r["df"], r["idf"]) for r in job.qterms_idf.collect()}
+    # N = 3 documents + 1; 'common' is in every document -> idf = ln(4) - ln(4) = 0
+    assert idf["common"] == (3, pytest.approx(0.0, abs=1e-12))
+    assert idf["rare"][1] == pytest.approx(0.693147, **APPROX)
+    a = job.avg_len.first()
+    assert a["avg_body"] == pytest.approx(250.0)  # missing body_length counts 0, no clamp
+    p = {r["page_id"]: r for r in job.index.pages.collect()}
+    assert sorted(r["L"] for r in p.values()) == [1000.0, 1000.0]  # missing -> 1 -> clamp, 500 -> clamp
