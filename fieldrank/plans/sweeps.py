@@ -49,15 +49,19 @@ def sweep_window_boost(job: RankingJob, spark: SparkSession) -> DataFrame:
 
 
 def sweep_bm25f(job: RankingJob, spark: SparkSession, settings=BM25F_SETTINGS) -> DataFrame:
-    """Mean NDCG per BM25F setting; matched rows and averages computed once."""
+    """Mean NDCG per BM25F setting; matched rows and averages computed once. Text score
+    and candidate flag come from one aggregation per (setting, query, page) on the page_id
+    partitioning, and page attributes are attached on the same partitioning."""
     pt = bm.param_table(spark, settings)
     p = bm.P.columns()
     m = bm.with_term_weight(job.matched.crossJoin(F.broadcast(job.avg_len)).crossJoin(F.broadcast(pt)), p)
-    text = m.groupBy("param_id", "query_id", "page_id").agg(F.sum(bm.text_contribution(p)).alias("text_score"))
-    base = job.cands.select("query_id", "page_id", "rel", "pagerank").crossJoin(F.broadcast(pt))
-    s = base.join(text, ["param_id", "query_id", "page_id"], "left").select(
-        "param_id", "query_id", "page_id", "rel",
-        (F.coalesce("text_score", F.lit(0.0)) + p.lamd * bm._vf(p, F.col("pagerank"))).alias("score"))
+    text = m.groupBy("param_id", "query_id", "page_id").agg(
+        F.sum(bm.text_contribution(p)).alias("text_score"), F.max(F.col("tf_body") > 0).alias("has_body"),
+        F.first("lamd").alias("lamd"), F.first("l1").alias("l1"), F.first("l2").alias("l2"), F.first("vf").alias("vf"))
+    c = job.index.attach_pages(text.where("has_body"))
+    pv = bm.P(p.B, p.W, p.K1, F.col("lamd"), F.col("l1"), F.col("l2"), F.col("vf"))
+    s = c.select("param_id", "query_id", "page_id", "rel",
+                 (F.col("text_score") + F.col("lamd") * bm._vf(pv, F.col("pagerank"))).alias("score"))
     out = _eval(s, job.cands)
     return out.join(F.broadcast(pt.select("param_id", "setting")), "param_id").select("setting", "mean_ndcg", "n_queries")
 

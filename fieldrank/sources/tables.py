@@ -1,7 +1,7 @@
 """Views over the parquet test tables that give the rankers their inputs.
 
 The test tables hold raw text, not (query, page) feature records, so the inputs are
-derived by fixed rules (the same rules are spelled in SQL in ``sql_oracle.py``):
+derived by fixed rules (the same rules are spelled in SQL in ``fieldrank/oracle.py``):
 
 * queries:    every sentence of every ``benchmark`` text (split on ``.!?`` and newlines),
               normalised to its ``[a-z]+`` words; ``query_id = item_id * 1000 + sentence_no``.
