@@ -90,10 +90,15 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
     ).where("has_body")
     pairs = job.index.attach_pages(pairs.drop("rel"))
     nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
+    # static norms per (setting, page), folded into one map per page so the join with the
+    # pairs is on page_id alone: both sides keep the page_id partitioning (no exchange)
     stat = (job.index.terms.where(nonbody > 0).crossJoin(F.broadcast(prm))
-            .groupBy("param_id", *page_keys(job.index)).agg(F.sum(F.abs(static_part(w, L))).alias("S")))
+            .groupBy("page_id", "param_id").agg(F.sum(F.abs(static_part(w, L))).alias("S"))
+            .groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("param_id", "S"))).alias("S_by_param")))
+    pairs = pairs.join(stat.hint("shuffle_hash"), "page_id", "left").withColumn(
+        "S", F.coalesce(F.try_element_at(F.col("S_by_param"), F.col("param_id")), F.lit(0.0))).drop("S_by_param")
     qn = broadcast_if_small(query_norms(job.qterms_idf))
-    j = pairs.join(stat, ["param_id", "page_id"], "left").join(qn, "query_id", "left")
+    j = pairs.join(qn, "query_id", "left")
     norm = F.coalesce("n1", F.lit(0.0)) * (F.coalesce("S", F.lit(0.0)) + F.col("delta"))
     scored = j.withColumn("score", F.when(norm > 0, F.col("dot") / norm).otherwise(F.lit(0.0)))
     out = _eval(scored, job.cands)
