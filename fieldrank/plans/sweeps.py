@@ -15,8 +15,8 @@ from fieldrank.functions.scoring import window_boost
 from fieldrank.operators import bm25f as bm
 from fieldrank.operators.cosine import query_norms
 from fieldrank.operators.evaluate import dcg_per_group, idcg_per_query, mean_ndcg, ndcg_from, rank_within
-from fieldrank.operators.match import body_part, page_keys, static_part
-from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, CosineWeights, cosine_weight_grid
+from fieldrank.operators.match import body_part, static_part
+from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, cosine_weight_grid
 from fieldrank.plans.rankers import RankingJob
 from fieldrank.session import broadcast_if_small
 
@@ -125,4 +125,4 @@ def compare_rankers(job: RankingJob) -> DataFrame:
 
 
 __all__ = ["sweep_window_boost", "sweep_bm25f", "sweep_cosine_weights", "compare_rankers",
-           "boost_params", "cosine_params", "CosineWeights"]
+           "boost_params", "cosine_params"]
