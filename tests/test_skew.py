@@ -1,0 +1,22 @@
+"""A query holding most of the candidates: the range rank spreads it over several tasks
+and still equals the per-query window rank."""
+
+from pyspark.sql import functions as F
+
+from fieldrank.operators.evaluate import SCORE_DIGITS, rank_within
+
+
+def test_hot_query_is_split_and_ranked_exactly(spark):
+    hot = spark.range(20000).select(F.lit(1).cast("long").alias("query_id"), F.col("id").alias("page_id"),
+                                    ((F.col("id") * 7919) % 1000 / 7.0).alias("score"))
+    cold = spark.range(200).select((F.col("id") % 20 + 2).alias("query_id"), F.col("id").alias("page_id"),
+                                   (F.col("id") % 13).cast("double").alias("score"))
+    df = hot.unionByName(cold).repartition(8)
+    order = [F.col("query_id"), F.round("score", SCORE_DIGITS).desc(), F.col("page_id")]
+    tasks = (df.repartitionByRange(8, *order).withColumn("p", F.spark_partition_id())
+             .where("query_id = 1").select("p").distinct().count())
+    assert tasks > 1  # the hot query does not land in a single task
+    a = rank_within(df, "score", method="window").select("query_id", "page_id", "rank")
+    b = rank_within(df, "score", method="range").select("query_id", "page_id", "rank")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert b.where("query_id = 1").agg(F.max("rank")).first()[0] == 20000
