@@ -77,22 +77,26 @@ def q_tfidf_query(spark, sf):
 # ------------------------------------------------------------------ rankers (pages)
 @register("rank_baseline", O.with_sql(O.ranked_sql("pg_pairs", "CAST(hits AS DOUBLE)")))
 def q_rank_baseline(spark, sf):
-    return ranked(pages_job(spark, sf).baseline())
+    j = pages_job(spark, sf)
+    return j.rank(j.baseline())
 
 
 @register("rank_cosine", O.with_sql(O.ranked_sql("pg_pairs_cos", "cosine")))
 def q_rank_cosine(spark, sf):
-    return ranked(pages_job(spark, sf).cosine())
+    j = pages_job(spark, sf)
+    return j.rank(j.cosine())
 
 
 @register("rank_bm25f", O.with_sql(O.ranked_sql("pg_bm25f", "bm25f")))
 def q_rank_bm25f(spark, sf):
-    return ranked(pages_job(spark, sf).bm25f())
+    j = pages_job(spark, sf)
+    return j.rank(j.bm25f())
 
 
 @register("rank_cosine_window", O.with_sql(O.ranked_sql("pg_cw", "cw")))
 def q_rank_cosine_window(spark, sf):
-    return ranked(pages_job(spark, sf).cosine_window())
+    j = pages_job(spark, sf)
+    return j.rank(j.cosine_window())
 
 
 @register("smallest_window", O.with_sql("SELECT query_id, page_id, window_size FROM pg_win"))
@@ -454,7 +458,8 @@ register("boost_sigmoid", _boost_fn_sql("sigmoid"))(_boost_q(SC.boost_sigmoid))
 # ------------------------------------------------------------------ ranking and evaluation (judged documents)
 @register("rank_within_query", O.with_sql(O.ranked_sql("dc_pairs_cos", "cosine")))
 def q_rank_within_query(spark, sf):
-    return ranked(docs_job(spark, sf).cosine())
+    j = docs_job(spark, sf)
+    return j.rank(j.cosine())
 
 
 @register("dcg", O.with_sql("SELECT query_id, round(dcg, 6) AS dcg FROM ndcg_q", extra=ndcg_cte("dc_bm25f", "bm25f")))

@@ -85,6 +85,19 @@ class RankingJob:
         if "index" in self.__dict__:
             self.index.unpersist()
 
+    @cached_property
+    def rank_method(self) -> str:
+        """``range`` (skew-proof, see ``evaluate.rank_by_range``) when there are fewer
+        queries than twice the cluster's parallelism — then single queries hold large
+        shares of the candidates — else the per-query ``window``. A bounded count of the
+        query table decides."""
+        par = self.queries.sparkSession.sparkContext.defaultParallelism
+        return "range" if self.queries.limit(2 * par).count() < 2 * par else "window"
+
+    def rank(self, scored: DataFrame, digits: int = 6) -> DataFrame:
+        """``ranked`` with the job's rank method."""
+        return ranked(scored, digits, method=self.rank_method)
+
     # ---- rankers -------------------------------------------------------------------
     def baseline(self) -> DataFrame:
         """Total body hits of the query terms, descending; ties in input order.
@@ -135,8 +148,8 @@ class RankingJob:
         return s.select("query_id", "page_id", "url", F.col("bm25f").alias("score"), "text_score", "rel")
 
 
-def ranked(scored: DataFrame, digits: int = 6) -> DataFrame:
+def ranked(scored: DataFrame, digits: int = 6, method: str | None = None) -> DataFrame:
     """R1 + the ranking schema (query_id, rank, page_id, url, score rounded)."""
-    r = rank_within(scored, "score")
+    r = rank_within(scored, "score", method=method)
     return r.select("query_id", F.col("rank").cast("int").alias("rank"), "page_id", "url",
                     F.round("score", digits).alias("score"))
