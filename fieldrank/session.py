@@ -38,15 +38,18 @@ def get_spark(master: str | None = None, app: str = "fieldrank", shuffle_partiti
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the deployment and only read here. When it is unset
-    (local tests), a fresh scratch folder is created and registered."""
+    On a cluster it is set by the deployment and only read here; without it a cluster job
+    fails, since a machine-local folder would not be seen by other executors. A local
+    session (tests) gets a fresh scratch folder, registered for later calls."""
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="fieldrank-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return d
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
