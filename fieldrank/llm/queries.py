@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import cuckoo, mixing
+from . import cuckoo, mixing, outliers
 
 QUERIES = {
+    "op4_outliers": outliers.op4_outliers,
     "op9_mixing": mixing.op9_mixing,
     "op10_cuckoo_dedup": cuckoo.op10_cuckoo_dedup,
 }
