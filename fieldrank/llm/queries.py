@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import cuckoo, mixing, outliers
+from . import cuckoo, license_join, mixing, outliers
 
 QUERIES = {
     "op4_outliers": outliers.op4_outliers,
+    "op8_license_join": license_join.op8_license_join,
     "op9_mixing": mixing.op9_mixing,
     "op10_cuckoo_dedup": cuckoo.op10_cuckoo_dedup,
 }
 
 ORACLE_SQL = {
+    "op8_license_join": license_join.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_cuckoo_dedup": cuckoo.OP10_SQL,
 }
