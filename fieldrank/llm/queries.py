@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cuckoo, license_join, mixing, outliers
+from . import cuckoo, license_join, mixing, outliers, sos_packing
 
 QUERIES = {
     "op4_outliers": outliers.op4_outliers,
+    "op7_sos_packing": sos_packing.op7_sos_packing,
     "op8_license_join": license_join.op8_license_join,
     "op9_mixing": mixing.op9_mixing,
     "op10_cuckoo_dedup": cuckoo.op10_cuckoo_dedup,
