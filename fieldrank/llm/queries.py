@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cuckoo, license_join, mixing, outliers, sos_packing
+from . import bagminhash, cuckoo, license_join, mixing, outliers, sos_packing
 
 QUERIES = {
     "op4_outliers": outliers.op4_outliers,
+    "op6_bagminhash": bagminhash.op6_bagminhash,
     "op7_sos_packing": sos_packing.op7_sos_packing,
     "op8_license_join": license_join.op8_license_join,
     "op9_mixing": mixing.op9_mixing,
