@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bagminhash, cuckoo, license_join, mixing, outliers, sos_packing
+from . import bagminhash, cuckoo, license_join, mixing, outliers, sos_packing, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op4_outliers": outliers.op4_outliers,
     "op6_bagminhash": bagminhash.op6_bagminhash,
     "op7_sos_packing": sos_packing.op7_sos_packing,
