@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bagminhash, cuckoo, license_join, mixing, outliers, sos_packing, toxicity
+from . import bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_outliers": outliers.op4_outliers,
+    "op5_quality": quality.op5_quality,
     "op6_bagminhash": bagminhash.op6_bagminhash,
     "op7_sos_packing": sos_packing.op7_sos_packing,
     "op8_license_join": license_join.op8_license_join,
