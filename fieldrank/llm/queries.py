@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity
+from . import bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity, warc
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_warc": warc.op3_warc,
     "op4_outliers": outliers.op4_outliers,
     "op5_quality": quality.op5_quality,
     "op6_bagminhash": bagminhash.op6_bagminhash,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_warc": warc.OP3_SQL,
     "op8_license_join": license_join.OP8_SQL,
     "op9_mixing": mixing.OP9_SQL,
     "op10_cuckoo_dedup": cuckoo.OP10_SQL,
