@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity, warc
+from . import bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity, url_trust, warc
 
 QUERIES = {
+    "op1_url_trust": url_trust.op1_url_trust,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_warc": warc.op3_warc,
     "op4_outliers": outliers.op4_outliers,
