@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sorted_distinct, table
 
 BITS, TRAIN_ROWS, MIN_DOCS = 18, 3000, 5
 L2, PENALTY, ROUNDS, RATE = 1e-3, 10.0, 200, 0.05
@@ -57,7 +57,7 @@ IDENTITY_TERMS = {
 
 
 class WordFeatures(dict):
-    """Word -> its number; the hashed features of word k are ``flat[start[k]:start[k+1]]``."""
+    """Word -> its number, with its hashed features."""
 
     def __init__(self, bits: int = BITS):
         self.mask = (1 << bits) - 1
@@ -87,7 +87,7 @@ class WordFeatures(dict):
         start, n = np.cumsum(size) - size, size[word]
         upto = np.cumsum(n)
         feature = flat[np.repeat(start[word] - upto + n, n) + np.arange(upto[-1] if len(upto) else 0)]
-        pairs = np.unique(np.repeat(doc, n) * (self.mask + 1) + feature)
+        pairs = sorted_distinct(np.repeat(doc, n) * (self.mask + 1) + feature)
         if len(self) > CACHE_WORDS:
             self.reset()
         return pairs // (self.mask + 1), pairs & self.mask
