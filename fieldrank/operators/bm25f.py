@@ -7,7 +7,7 @@ attributes are Columns.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,7 @@ class P:
     l1: Column
     l2: Column
     vf: object  # str name, callable, or Column holding a name
+    custom: dict = field(default_factory=dict)  # name -> callable, for names in a Column
 
     @staticmethod
     def of(p: BM25FParams) -> "P":
@@ -38,17 +39,18 @@ class P:
                  lit(p.lamd_prime), lit(p.lamd_prime2), p.vf)
 
     @staticmethod
-    def columns() -> "P":
-        """Parameters read from the columns of ``param_table``."""
+    def columns(settings: tuple[BM25FParams, ...] = ()) -> "P":
+        """Parameters read from the columns of ``param_table(settings)``."""
         c = F.col
         return P(tuple(c(f"b_{f}") for f in ("url", "title", "header", "body", "anchor")),
                  tuple(c(f"w_{f}") for f in ("url", "title", "header", "body", "anchor")),
-                 c("k1"), c("lamd"), c("l1"), c("l2"), c("vf"))
+                 c("k1"), c("lamd"), c("l1"), c("l2"), c("vf"),
+                 {f"custom{i}": s.vf for i, s in enumerate(settings) if not isinstance(s.vf, str)})
 
 
 def param_table(spark, settings: tuple[BM25FParams, ...]) -> DataFrame:
     rows = [(i, s.name, *s.B, *s.W, float(s.K1), float(s.lamd), float(s.lamd_prime), float(s.lamd_prime2),
-             s.vf if isinstance(s.vf, str) else "custom") for i, s in enumerate(settings)]
+             s.vf if isinstance(s.vf, str) else f"custom{i}") for i, s in enumerate(settings)]
     names = ["param_id", "setting"] + [f"b_{f}" for f in ("url", "title", "header", "body", "anchor")] + \
         [f"w_{f}" for f in ("url", "title", "header", "body", "anchor")] + ["k1", "lamd", "l1", "l2", "vf"]
     return spark.createDataFrame(rows, names)
@@ -85,10 +87,12 @@ def term_weight(p: P) -> Column:
 
 def _vf(p: P, pagerank: Column) -> Column:
     if isinstance(p.vf, Column):
-        return (F.when(p.vf == "logarithmic", vf_logarithmic(pagerank, p.l1, p.l2))
+        out = (F.when(p.vf == "logarithmic", vf_logarithmic(pagerank, p.l1, p.l2))
                 .when(p.vf == "saturation", vf_saturation(pagerank, p.l1, p.l2))
-                .when(p.vf == "sigmoid", vf_sigmoid(pagerank, p.l1, p.l2))
-                .otherwise(F.lit(0.0)))
+                .when(p.vf == "sigmoid", vf_sigmoid(pagerank, p.l1, p.l2)))
+        for name, fn in p.custom.items():  # callables are named by their setting
+            out = out.when(p.vf == name, fn(pagerank, p.l1, p.l2))
+        return out
     return vf(p.vf, pagerank, p.l1, p.l2)
 
 
@@ -106,19 +110,15 @@ def text_contribution(p: P) -> Column:
     return F.col("n") * F.when(den != 0, w * F.col("idf") / den).otherwise(F.lit(0.0))
 
 
-def bm25f_scores(matched: DataFrame, avg: DataFrame, index, params: BM25FParams = BM25FParams(),
-                 queries_stats: DataFrame | None = None) -> DataFrame:
-    """C11: text score + ``lambda * Vf(pagerank)`` for every candidate pair.
-
-    The text score and the candidate flag come from one aggregation of the matched rows
-    (partitioned by page_id), and the page attributes are attached on the same
-    partitioning — no join on (query_id, page_id), no extra exchange."""
+def bm25f_scores(matched: DataFrame, avg: DataFrame, index, queries_stats: DataFrame, params: BM25FParams = BM25FParams(),
+                 cands: DataFrame | None = None) -> DataFrame:
+    """C11: text score + ``lambda * Vf(pagerank)`` for every candidate pair."""
     from fieldrank.operators.match import candidates
 
     p = P.of(params)
     m = with_term_weight(matched.crossJoin(F.broadcast(avg)), p)  # one row
     agg = m.groupBy("query_id", "page_id").agg(
-        F.sum(text_contribution(p)).alias("text_score"), F.max(F.col("tf_body") > 0).alias("has_body"))
-    j = candidates(agg, index, queries_stats)
+        F.sum(text_contribution(p)).alias("text_score"))
+    j = candidates(agg, index, queries_stats, cands)
     return j.withColumn("text_score", F.coalesce("text_score", F.lit(0.0))).withColumn(
         "bm25f", F.col("text_score") + p.lamd * _vf(p, F.col("pagerank")))

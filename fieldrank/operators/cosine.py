@@ -7,7 +7,7 @@ Its L1 norm therefore splits into a query-independent part and a small correctio
     L1(q, d) = S(d) + sum over t in q with a body hit of (|s(t) + b(t)| - |s(t)|)
     S(d)     = sum over page terms of |s(t)|
 
-``S(d)`` is one aggregation per page (partition-local, no exchange); the correction is a
+``S(d)`` is one aggregation per page; the correction is a
 sum over the matched query-term rows. No (query x page x all page terms) explosion.
 """
 
@@ -20,16 +20,15 @@ from fieldrank.functions.scoring import logify
 from fieldrank.operators.index import PageIndex
 from fieldrank.operators.match import body_part, page_keys, static_part
 from fieldrank.params import CosineWeights
-from fieldrank.session import broadcast_if_small
 
 
 def static_norms(index: PageIndex, weights=CosineWeights().as_tuple()) -> DataFrame:
-    """Per page: ``S`` = sum of |s(t)| and ``has_static`` = page has any non-body term."""
+    """Per page: ``S`` = sum of |s(t)|; a feature record lists its body terms itself, so its
+    sum holds them all."""
     L = F.col("L")
-    nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
+    listed = F.coalesce(body_part(weights, L), F.lit(0.0)) if index.keyed_by_query else F.lit(0.0)
     return index.terms.groupBy(*page_keys(index)).agg(
-        F.sum(F.abs(static_part(weights, L))).alias("S"),
-        F.max(nonbody > 0).alias("has_static"),
+        F.sum(F.abs(static_part(weights, L) + listed)).alias("S"),
     )
 
 
@@ -43,8 +42,10 @@ def cosine_scores(cands: DataFrame, index: PageIndex, qterms: DataFrame,
     """Cosine per candidate pair: ``dot / (n1 * L1(q, d))``, 0 when the norm is 0."""
     s = static_norms(index, weights)
     qn = query_norms(qterms)
-    j = cands.join(s.hint("shuffle_hash"), page_keys(index)).join(broadcast_if_small(qn), "query_id", "left")
-    norm = F.coalesce(F.col("n1"), F.lit(0.0)) * (F.col("S") + F.col("delta"))
+    # left joins: a page without any token, or a query without any, is still scored (0)
+    j = cands.join(s, page_keys(index), "left").join(qn, "query_id", "left")
+    delta = F.lit(0.0) if index.keyed_by_query else F.col("delta")
+    norm = F.coalesce(F.col("n1"), F.lit(0.0)) * (F.coalesce(F.col("S"), F.lit(0.0)) + delta)
     return j.withColumn("cosine", F.when(norm > 0, F.col("dot") / norm).otherwise(F.lit(0.0)))
 
 

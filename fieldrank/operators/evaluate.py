@@ -2,58 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldrank.functions.scoring import ndcg_discount, ndcg_gain
 
 SCORE_DIGITS = 9  # ties are decided on round(score, 9), then on the input order
-# "window": one task per query group (default; right when there are many more queries than
-# tasks). "range": splits a hot query over many tasks (rank_by_range) at the price of a
-# sampling pass over the scored rows and caching them — for a few huge queries.
-RANK_METHOD = "window"
-
-
-def rank_within(df: DataFrame, score: str = "score", part=("query_id",), tiebreak: str = "page_id",
-                out: str = "rank", method: str | None = None) -> DataFrame:
-    """Full descending order per query, ties on ``round(score, 9)`` broken by
-    ``tiebreak`` ascending; every row is kept (no top-k).
-
-    ``window``: ``row_number`` over a hash exchange by the partition keys — one task per
-    query group (default). ``range``: skew-proof — see ``rank_by_range``."""
-    if (method or RANK_METHOD) == "range":
-        return rank_by_range(df, score, part, tiebreak, out)
-    w = Window.partitionBy(*part).orderBy(F.round(F.col(score), SCORE_DIGITS).desc(), F.col(tiebreak).asc())
+
+
+def rank_within(df: DataFrame, score: str = "score", part=("query_id",), tiebreak: str | None = None,
+                out: str = "rank") -> DataFrame:
+    """Full descending order per query, ties on ``round(score, 9)`` in input order
+    (``tie``, else ``page_id``); every row is kept (no top-k). One task orders a query's
+    candidates: they are the pages that share a run of words with it, not all pages."""
+    tie = tiebreak or ("tie" if "tie" in df.columns else "page_id")
+    w = Window.partitionBy(*part).orderBy(F.round(F.col(score), SCORE_DIGITS).desc(), F.col(tie).asc())
     return df.withColumn(out, F.row_number().over(w))
 
 
-def rank_by_range(df: DataFrame, score: str = "score", part=("query_id",), tiebreak: str = "page_id",
-                  out: str = "rank") -> DataFrame:
-    """R1 for groups of any size: a global sort on (group, score desc, tiebreak) range-
-    partitions the rows, so one hot query is split over many partitions instead of one
-    task. Inside a partition the rows are sorted, so ``monotonically_increasing_id`` is the
-    position; one row per (partition, group) — at most #groups + #partitions rows — gives
-    each block its first id and the number of rows of the same group in earlier
-    partitions, and is joined back (AQE broadcasts it at run time when small).
-
-    Both branches must see the same partitioning: two executions of a range exchange
-    sample their own bounds, so the sorted rows are persisted once and read by both. A
-    lost cached partition is rebuilt from the same shuffle output and sorts identically
-    (the order keys are unique per group)."""
-    keys = [F.col(c) for c in part]
-    order = [*keys, F.round(F.col(score), SCORE_DIGITS).desc(), F.col(tiebreak).asc()]
-    s = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-         .persist())
-    blocks = s.groupBy("_pid", *part).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    r = s.join(blocks, ["_pid", *part])
-    return r.withColumn(out, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("int")).drop(
-        "_pid", "_mid", "_first", "_off")
-
-
-def join_judgments(ranked: DataFrame, judgments: DataFrame, on, on_missing: str = "drop") -> DataFrame:
+def join_judgments(ranked: DataFrame, judgments: DataFrame, on, on_missing: str = "drop", part=("query_id",)) -> DataFrame:
     """Attach ``rel`` to ranked rows. ``drop`` keeps judged rows only and re-numbers the
     ranks among them (what NDCG over the judged list sees); ``error`` raises when a ranked
     row has no judgment (the reference's behaviour)."""
@@ -62,21 +29,13 @@ def join_judgments(ranked: DataFrame, judgments: DataFrame, on, on_missing: str
         if missing:
             raise KeyError("ranked rows without a judgment")
     j = ranked.join(judgments, on, "inner")
-    return rank_within(j.withColumn("_r", -F.col("rank")), "_r", tiebreak="rank").drop("_r")
+    return rank_within(j.withColumn("_r", -F.col("rank")), "_r", part, tiebreak="rank").drop("_r")
 
 
 def ndcg_per_query(ranked: DataFrame, part=("query_id",), rank: str = "rank", rel: str = "rel") -> DataFrame:
-    """R2-R4 per query: DCG in ranked order, IDCG over the same relevances sorted
-    descending, ``ndcg = dcg / idcg`` or 1.0 when IDCG is 0. Both row_numbers and the sums
-    share the exchange by the partition keys."""
-    ideal = Window.partitionBy(*part).orderBy(F.col(rel).desc())
-    r = ranked.withColumn("_irank", F.row_number().over(ideal))
-    agg = r.groupBy(*part).agg(
-        F.sum(ndcg_gain(F.col(rel)) / ndcg_discount(F.col(rank))).alias("dcg"),
-        F.sum(ndcg_gain(F.col(rel)) / ndcg_discount(F.col("_irank"))).alias("idcg"),
-        F.count(F.lit(1)).alias("n_ranked"),
-    )
-    return agg.withColumn("ndcg", F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(1.0)))
+    """R2-R4 per query: DCG in ranked order, IDCG over the same relevances, ``ndcg = dcg /
+    idcg`` or 1.0 when IDCG is 0."""
+    return ndcg_from(dcg_per_group(ranked, part, rank, rel), idcg_per_query(ranked, rel, part), part)
 
 
 def dcg_per_group(ranked: DataFrame, part=("query_id",), rank: str = "rank", rel: str = "rel") -> DataFrame:
@@ -86,17 +45,22 @@ def dcg_per_group(ranked: DataFrame, part=("query_id",), rank: str = "rank", rel
         F.count(F.lit(1)).alias("n_ranked"))
 
 
-def idcg_per_query(candidates: DataFrame, rel: str = "rel") -> DataFrame:
-    """R3 once per query from its candidate set: the ideal order only depends on the
-    relevances, so settings or rankers that rank the same candidates share it."""
-    ideal = Window.partitionBy("query_id").orderBy(F.col(rel).desc())
-    r = candidates.select("query_id", rel).withColumn("_irank", F.row_number().over(ideal))
-    return r.groupBy("query_id").agg(F.sum(ndcg_gain(F.col(rel)) / ndcg_discount(F.col("_irank"))).alias("idcg"))
+def idcg_per_query(candidates: DataFrame, rel: str = "rel", part=("query_id",)) -> DataFrame:
+    """R3 per query: the ideal order depends on the relevances only, so pages are counted per
+    relevance and each count takes the next places; no page is sorted. Settings or rankers
+    that rank the same candidates share it."""
+    counts = candidates.groupBy(*part, rel).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*part).orderBy(F.col(rel).desc()))
+    places = F.sequence(F.col("_upto") - F.col("_c") + 1, F.col("_upto"))
+    discounts = F.aggregate(places, F.lit(0.0), lambda a, k: a + 1 / ndcg_discount(k))
+    gain = ndcg_gain(F.col(rel))
+    return counts.withColumn("_upto", upto).groupBy(*part).agg(
+        F.sum(F.when(gain > 0, gain * discounts).otherwise(0.0)).alias("idcg"))
 
 
-def ndcg_from(dcg: DataFrame, idcg: DataFrame) -> DataFrame:
+def ndcg_from(dcg: DataFrame, idcg: DataFrame, part=("query_id",)) -> DataFrame:
     """R4 from per-group DCG and per-query IDCG (both small)."""
-    j = dcg.join(idcg, "query_id")
+    j = dcg.join(idcg, list(part))
     return j.withColumn("ndcg", F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg")).otherwise(F.lit(1.0)))
 
 
@@ -119,7 +83,3 @@ def ranking_completeness(ranked: DataFrame, expected: DataFrame, keys=("query_id
 def query_result_counts(ranked: DataFrame, part=("query_id",)) -> DataFrame:
     """Pages per query (the output's line count is their sum plus one line per query)."""
     return ranked.groupBy(*part).agg(F.count(F.lit(1)).alias("n_pages"))
-
-
-def rounded(c: str | Column, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits)

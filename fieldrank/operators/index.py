@@ -1,10 +1,9 @@
 """Per-page index of a collection: positional postings (T9) and per-term field tfs.
 
-Plan: the collection rows are hash-partitioned by ``page_id`` once; every token event of a
-page is generated inside its row (``explode`` of one array of structs), so all later
-aggregations keyed by ``(page_id, ...)`` reuse that partitioning and add no exchange.
-A page is the unit of skew here — bounded by one document's length — never a term, so a
-stop word that fills a third of the corpus still spreads over all partitions.
+Plan: every token event of a page is generated inside its row, body tokens outside the query
+vocabulary are dropped there, and the events are counted per (page, term) before they are
+shuffled by that key: no page text crosses the network. The unit of skew is a term of one
+page, so a stop word that fills a third of the corpus still spreads over all partitions.
 
 Fields (lowercase view, used by cosine and windows): url (case kept, 0-based), title,
 header (all headers concatenated), anchor (one instance per distinct anchor text, weight
@@ -19,7 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldrank.session import broadcast_if_small
 from fieldrank.functions.text import (
     body_length_clamp, tok_headers_lower, tok_headers_raw, tok_lower, tok_raw, tok_url,
 )
@@ -56,7 +54,9 @@ def _anchor_events(anchors: Column, tok, field: str, weighted: bool) -> Column:
 # the aggregations stay hash-based with fixed-width buffers)
 TERM_SCALARS = ("L", "len_url", "len_title", "len_header", "len_anchor")
 # page attributes only needed once per (query, page) pair; joined back by page_id
-PAGE_ATTRS = ("url", "pagerank", "rel", "body_len_raw", "n_header_d", "n_anchor_d")
+# (``tie`` orders equal scores: the place in the input; ``listed_hits`` counts every body hit
+# that a feature record lists, whatever its term)
+PAGE_ATTRS = ("url", "pagerank", "rel", "body_len_raw", "n_header_d", "n_anchor_d", "tie", "listed_hits")
 
 
 def page_scalars(coll: DataFrame) -> list[Column]:
@@ -64,6 +64,10 @@ def page_scalars(coll: DataFrame) -> list[Column]:
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
     rel = F.col("rel").cast("double") if "rel" in coll.columns else F.lit(None).cast("double")
+    listed = F.lit(None)
+    if "body_hits" in coll.columns:
+        positions = F.map_values(F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")))
+        listed = F.aggregate(positions, F.lit(0), lambda n, p: n + F.size(p))
     return [
         body_length_clamp(F.col("body_length")).alias("L"),
         F.size(tok_url(F.col("url"))).cast("double").alias("len_url"),
@@ -76,6 +80,8 @@ def page_scalars(coll: DataFrame) -> list[Column]:
         F.coalesce(F.col("body_length").cast("double"), F.lit(0.0)).alias("body_len_raw"),
         F.greatest(F.size(headers), F.lit(1)).cast("double").alias("n_header_d"),
         F.greatest(F.size(anchors), F.lit(1)).cast("double").alias("n_anchor_d"),
+        F.col("url_pos" if "url_pos" in coll.columns else "page_id").alias("tie"),
+        listed.cast("long").alias("listed_hits"),
     ]
 
 
@@ -83,15 +89,12 @@ def _body_events(pages: DataFrame, keys: list[str]) -> DataFrame:
     """Body events via plain generators (code-generated, no per-token lambda): the body is
     by far the largest field."""
     cols = [*keys, *TERM_SCALARS]
-    # *_outer generators: an inner generator makes Catalyst infer a non-empty filter and
-    # push it below the page exchange of this branch only, which would stop the two union
-    # branches from sharing one exchange (pages parsed and shuffled twice)
     if "body_tokens" in pages.columns:
-        ev = pages.select(*cols, F.posexplode_outer(F.col("body_tokens")).alias("pos", "term"))
+        ev = pages.select(*cols, F.posexplode(F.col("body_tokens")).alias("pos", "term"))
         ev = ev.withColumn("pos", (F.col("pos") + 1).cast("int"))
     else:  # feature-record shape: body_hits map term -> positions (only the query's terms)
-        ev = pages.select(*cols, F.explode_outer(F.col("body_hits")).alias("term", "positions"))
-        ev = ev.select(*cols, "term", F.explode_outer("positions").alias("pos")).withColumn("pos", F.col("pos").cast("int"))
+        ev = pages.select(*cols, F.explode(F.col("body_hits")).alias("term", "positions"))
+        ev = ev.select(*cols, "term", F.explode("positions").alias("pos")).withColumn("pos", F.col("pos").cast("int"))
     ev = ev.where(F.col("term").isNotNull() & F.col("pos").isNotNull())
     return ev.select(*cols, F.lit("body").alias("field"), F.lit(0).alias("instance"), "pos", "term",
                      F.lit(1).alias("w"))
@@ -99,47 +102,18 @@ def _body_events(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 @dataclass
 class PageIndex:
-    pages: DataFrame      # page_id, [query_id], TERM_SCALARS, PAGE_ATTRS; partitioned by page_id
+    pages: DataFrame      # page_id, [query_id], TERM_SCALARS, PAGE_ATTRS
     postings: DataFrame   # page_id, [query_id], field, instance, term, tf, w, positions
     terms: DataFrame      # page_id, [query_id], term, TERM_SCALARS, tf_url..tf_anchor, rtf_title..rtf_anchor
     keyed_by_query: bool  # True for feature records: pages belong to one query
-    parsed: DataFrame | None = None  # the partitioned, parsed collection the tables derive from
-    vocab: DataFrame | None = None   # body terms kept (None = all)
 
     @property
     def keys(self) -> list[str]:
         return ["page_id"] + (["query_id"] if self.keyed_by_query else [])
 
-    def attach_pages(self, df: DataFrame, how: str = "inner") -> DataFrame:
-        """Join the per-page attributes onto per-(query, page) rows. Both sides are hash
-        partitioned by page_id already, so this is a shuffled hash join without an
-        exchange (and without sorting either side)."""
-        attrs = self.pages.select(*self.keys, *PAGE_ATTRS)
-        return df.join(attrs.hint("shuffle_hash"), self.keys, how)
-
-    def persist(self) -> "PageIndex":
-        """Keep the parts of the index that a job reads more than once (MEMORY_AND_DISK):
-        the per-page attributes (one small row per page) and the term table. Postings are
-        read once (windows only) and are not cached."""
-        if self.parsed is not None:
-            cached = self.parsed.persist()
-            keys = self.keys
-            self.pages = cached.select(*keys, *TERM_SCALARS, *PAGE_ATTRS)
-            rebuilt = _tables_from(cached, keys, self.vocab)
-            self.postings, self.terms = rebuilt
-        else:
-            self.pages = self.pages.persist()
-        self.terms = self.terms.persist()
-        return self
-
-    def unpersist(self) -> None:
-        for df in (self.parsed, self.pages, self.postings, self.terms):
-            if df is not None:
-                df.unpersist()
-
 
 def _tables_from(pages: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Postings and the per-term field tf table from the partitioned, parsed pages. With
+    """Postings and the per-term field tf table from the parsed pages. With
     ``vocab`` (one ``term`` column), body tokens outside it are dropped before aggregating:
     the rankers read body rows of query terms only (norms use non-body fields, lengths the
     page scalars), and the body is the bulk of the tokens."""
@@ -156,9 +130,8 @@ def _tables_from(pages: DataFrame, keys: list[str], vocab: DataFrame | None = No
     )
     small = pages.select(*keys, *TERM_SCALARS, F.inline(events))
     body = _body_events(pages, keys)
-    if vocab is not None:  # broadcast semi join: the page_id partitioning is kept
-        body = body.join(broadcast_if_small(vocab.select("term").distinct()), "term", "left_semi")
-    # the union keeps the page_id hash partitioning of both branches (no exchange)
+    if vocab is not None:
+        body = body.join(vocab.select("term").distinct(), "term", "left_semi")
     ev = body.unionByName(small)
     is_raw = F.col("field").endswith("_raw")
     postings = ev.where(~is_raw).groupBy(*keys, "field", "instance", "term").agg(
@@ -185,9 +158,7 @@ def build_index(coll: DataFrame, vocab: DataFrame | None = None) -> PageIndex:
     keyed = "query_id" in coll.columns
     keys = ["page_id"] + (["query_id"] if keyed else [])
     src = [c for c in ("url", "title", "headers", "anchors", "body_tokens", "body_hits") if c in coll.columns]
-    # parsed pages, hash-partitioned once; cached by ``persist`` so the body and small-field
-    # generators (and the page attributes) read one copy instead of re-parsing each time
-    pages = coll.repartition("page_id").select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
+    pages = coll.select(*keys, *page_scalars(coll), *[c for c in src if c != "url"])
     postings, terms = _tables_from(pages, keys, vocab)
     return PageIndex(pages=pages.select(*keys, *TERM_SCALARS, *PAGE_ATTRS), postings=postings, terms=terms,
-                     keyed_by_query=keyed, parsed=pages, vocab=vocab)
+                     keyed_by_query=keyed)

@@ -1,8 +1,8 @@
-"""Query-term x page-term matching and the per-(query, page) aggregates shared by the rankers.
+"""Candidate pairs, their matched terms, and the per-(query, page) aggregates the rankers share.
 
-``match_terms`` joins the query terms (small, broadcast behind a row-count check) to the
-per-page term table; the big side is never shuffled and keeps its ``page_id``
-partitioning, so grouping by ``(query_id, page_id)`` adds no exchange either.
+The pairs to rank are an explicit relation (query_id, page_id). Their query terms are joined
+to the page terms by (page, term), so rows are made for candidate pairs only, at most one per
+pair and query term.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from fieldrank.functions.scoring import logify
 from fieldrank.operators.index import TERM_SCALARS, PageIndex
 from fieldrank.params import CosineWeights
-from fieldrank.session import broadcast_if_small
 
 
 def _w(x) -> Column:
@@ -40,17 +39,19 @@ def page_keys(index: PageIndex) -> list[str]:
     return ["page_id"] + (["query_id"] if index.keyed_by_query else [])
 
 
-def match_terms(qterms: DataFrame, index: PageIndex) -> DataFrame:
-    """(page_id, query_id, term, ti, n, qlen, k, [idf, qw], TERM_SCALARS, tf_*, rtf_*) for every query
-    term present in any field of the page. Feature records join on (query_id, term)."""
-    on = ["term"] + (["query_id"] if index.keyed_by_query else [])
-    return index.terms.join(broadcast_if_small(qterms), on)
+def match_terms(qterms: DataFrame, index: PageIndex, cands: DataFrame | None = None) -> DataFrame:
+    """(page_id, query_id, term, ti, n, qlen, k, [idf, qw], TERM_SCALARS, tf_*, rtf_*) for every
+    query term present in any field of a candidate page of the query. Feature records are
+    candidates of their own query."""
+    if index.keyed_by_query:
+        return index.terms.join(qterms, ["term", "query_id"])
+    return index.terms.join(cands.join(qterms, "query_id"), ["page_id", "term"])
 
 
 def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extra=()) -> DataFrame:
     """Per (query_id, page_id): baseline hits, candidate flag, cosine dot product and the
     query-dependent part of the page L1 norm (see ``cosine.py``). Buffers are fixed-width
-    numbers only, so this is a hash aggregation on the page_id partitioning (no exchange)."""
+    numbers only, so this is a hash aggregation."""
     L = F.col("L")
     # s(t) and b(t) are each used several times: computed once in their own columns so the
     # aggregate's generated code stays small
@@ -68,17 +69,12 @@ def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extr
     )
 
 
-def candidates(pairs: DataFrame, index: PageIndex, queries_stats: DataFrame | None = None) -> DataFrame:
-    """Restrict / complete the pair aggregates to the ranked (query, page) pairs and attach
-    the page attributes.
-
-    Collections (test tables): a page is a candidate of a query when they share a body term.
-    Feature records: every record is a candidate of its own query, matched or not."""
-    if not index.keyed_by_query:
-        return index.attach_pages(pairs.where("has_body"))
-    base = index.pages.join(queries_stats, "query_id")
-    out = base.join(pairs.drop(*[c for c in ("qlen", "k", *TERM_SCALARS) if c in pairs.columns]),
-                    ["page_id", "query_id"], "left")
+def candidates(pairs: DataFrame, index: PageIndex, queries_stats: DataFrame, cands: DataFrame | None = None) -> DataFrame:
+    """Every candidate pair with the page attributes and its aggregates (zeros where no term
+    matched, or the query has no term at all)."""
+    base = index.pages if index.keyed_by_query else index.pages.join(cands, "page_id")
+    base = base.join(queries_stats, "query_id", "left")
+    out = base.join(pairs.drop("qlen", "k", *TERM_SCALARS), ["page_id", "query_id"], "left")
     fill = {"hits": F.lit(0).cast("long"), "has_body": F.lit(False), "dot": F.lit(0.0), "delta": F.lit(0.0)}
     for c, v in fill.items():
         if c in out.columns:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fieldrank.functions.scoring import idf_expr, logify
 from fieldrank.functions.text import tok_corpus_distinct, tok_query
-from fieldrank.session import broadcast_if_small
 
 
 def doc_freq(corpus: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
@@ -17,10 +16,10 @@ def doc_freq(corpus: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     partial+final aggregation suffices; the partial (map-side) aggregation collapses a
     term that sits in every document to one row per partition before the shuffle, so a
     stop word cannot skew the exchange. With ``vocab`` (one ``term`` column) the tokens
-    are first semi-joined against it (broadcast behind a row-count check)."""
+    are first semi-joined against it."""
     toks = corpus.select(F.explode(tok_corpus_distinct(F.col("text"))).alias("term"))
     if vocab is not None:
-        toks = toks.join(broadcast_if_small(vocab.select("term").distinct()), "term", "left_semi")
+        toks = toks.join(vocab.select("term").distinct(), "term", "left_semi")
     return toks.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

@@ -4,8 +4,8 @@ For each (query, page) the window is the shortest span ``max - min + 1`` that ho
 distinct query term inside one field: url, title, the concatenated headers, the body, or a
 single anchor text. No such field -> no window (null = infinite).
 
-Plan (all keyed by page_id, so no exchange after the index build):
-1. postings of the query terms: broadcast join of the distinct query terms to the postings;
+Plan:
+1. postings of the candidate pairs' query terms: an equi-join on (page, term);
 2. relational division (J4): ``count(*) over (query, page, field, instance) = k`` keeps only
    the fields that hold every term — before any positions are gathered;
 3. per surviving field: the (pos, term) events sorted and folded by one ``aggregate`` whose
@@ -19,21 +19,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldrank.operators.index import LOWER_FIELDS, PageIndex
-from fieldrank.session import broadcast_if_small
 
 INT_MAX = 2**31 - 1
 
 
-def query_term_postings(qdistinct: DataFrame, index: PageIndex) -> DataFrame:
-    """(page_id, query_id, field, instance, term, ti, k, qlen, positions)."""
-    on = ["term"] + (["query_id"] if index.keyed_by_query else [])
+def query_term_postings(qdistinct: DataFrame, index: PageIndex, cands: DataFrame | None = None) -> DataFrame:
+    """(page_id, query_id, field, instance, term, ti, k, qlen, positions) of candidate pairs."""
     post = index.postings.where(F.col("field").isin(*LOWER_FIELDS))
-    return post.join(broadcast_if_small(qdistinct.select("query_id", "term", "ti", "k", "qlen")), on)
+    q = qdistinct.select("query_id", "term", "ti", "k", "qlen")
+    if index.keyed_by_query:
+        return post.join(q, ["term", "query_id"])
+    return post.join(cands.join(q, "query_id"), ["page_id", "term"])
 
 
 def all_terms_in_field(qpost: DataFrame) -> DataFrame:
     """The rows of the (query, page, field, instance) groups that contain every distinct
-    query term; the window count reuses the page_id partitioning."""
+    query term."""
     g = Window.partitionBy("query_id", "page_id", "field", "instance")
     return qpost.withColumn("_nt", F.count(F.lit(1)).over(g)).where(F.col("_nt") == F.col("k")).drop("_nt")
 
@@ -73,7 +74,7 @@ def field_windows(qpost: DataFrame) -> DataFrame:
                     smallest_window_fold(events, F.col("k")).alias("window_size"))
 
 
-def smallest_windows(qdistinct: DataFrame, index: PageIndex) -> DataFrame:
-    """(query_id, page_id, window) for pairs with a finite window."""
-    fw = field_windows(query_term_postings(qdistinct, index))
+def smallest_windows(qdistinct: DataFrame, index: PageIndex, cands: DataFrame | None = None) -> DataFrame:
+    """(query_id, page_id, window) for candidate pairs with a finite window."""
+    fw = field_windows(query_term_postings(qdistinct, index, cands))
     return fw.groupBy("query_id", "page_id").agg(F.min("window_size").alias("window_size"))

@@ -25,17 +25,28 @@ def url_toks(expr: str) -> str:
     return f"list_filter(string_split_regex(coalesce({expr}, ''), '\\W'), lambda x: x <> '')"
 
 
+WORD = r"[\p{L}\p{N}_]+"
+
+
 def norm_text(expr: str) -> str:
-    return f"array_to_string(regexp_extract_all(lower({expr}), '[a-z0-9_]+'), ' ')"
+    return f"array_to_string(regexp_extract_all({expr}, '{WORD}'), ' ')"
+
+
+def runs(words: str, n: int) -> str:
+    """The runs of n consecutive words, as strings."""
+    return (f"(CASE WHEN len({words}) >= {n} THEN list_transform(range(1, len({words}) - {n} + 2), "
+            f"lambda i: array_to_string({words}[i:i + {n} - 1], ' ')) ELSE []::VARCHAR[] END)")
 
 
 # ---------------------------------------------------------------------------- base views
 BASE = {
     "fx_sent": r"""SELECT item_id, unnest(s) AS sent, generate_subscripts(s, 1) - 1 AS sno
         FROM (SELECT item_id, string_split_regex(text, '[.!?\n]+') AS s FROM benchmark)""",
-    "fx_queries": r"""SELECT CAST(item_id * 1000 + sno AS BIGINT) AS query_id,
-        array_to_string(regexp_extract_all(lower(sent), '[a-z]+'), ' ') AS query
-        FROM fx_sent WHERE len(regexp_extract_all(lower(sent), '[a-z]+')) > 0""",
+    "fx_queries": f"""SELECT item_id || '-' || sno AS query_id,
+        array_to_string(regexp_extract_all(lower(sent), '{WORD}'), ' ') AS query
+        FROM fx_sent WHERE len(regexp_extract_all(lower(sent), '{WORD}')) > 0""",
+    "q_run": f"""SELECT DISTINCT query_id, unnest(CASE WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE {runs('w', 4)} END) AS run
+        FROM (SELECT query_id, string_split(query, ' ') AS w FROM fx_queries)""",
     "q_tok": f"""SELECT query_id, unnest(t) AS term, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS qpos
         FROM (SELECT query_id, {toks('query', True)} AS t FROM fx_queries)""",
     "q_stats": """SELECT query_id, CAST(count(*) AS INTEGER) AS qlen, CAST(count(DISTINCT term) AS INTEGER) AS k
@@ -53,22 +64,38 @@ BASE = {
     "pg_coll": f"""SELECT page_id, url,
         {norm_text("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title,
         list_transform(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1), lambda x: {norm_text('x')}) AS headers,
-        regexp_extract_all(lower(regexp_replace(split_part(html, '<article>', 2), '<[^>]*>', ' ', 'g')),
-                           '[a-z0-9_]+') AS body_tokens,
+        regexp_extract_all(lower(regexp_replace(html, '<[^>]*>', ' ', 'g')), '{WORD}') AS body_tokens,
         list_filter(list_transform(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1),
                                    lambda x: {norm_text('x')}), lambda x: x <> '') AS links,
         CAST(page_id % 11 AS INTEGER) AS pagerank, CAST(NULL AS DOUBLE) AS rel
         FROM pages""",
     "pg_anch": """SELECT page_id, text, CAST(count(*) + any_value(page_id % 5) AS INTEGER) AS cnt
         FROM (SELECT page_id, unnest(links) AS text FROM pg_coll) GROUP BY page_id, text""",
-    # judged documents collection (body only)
-    "dc_coll": """SELECT d.doc_id AS page_id, CAST(d.doc_id AS VARCHAR) AS url, '' AS title,
-        CAST([] AS VARCHAR[]) AS headers,
-        regexp_extract_all(lower(d.text), '[a-z0-9_]+') AS body_tokens,
-        CAST([] AS VARCHAR[]) AS links, 0 AS pagerank,
-        CAST(2 * l.quality - l.toxic AS DOUBLE) AS rel
-        FROM documents d JOIN labels l USING (doc_id)""",
-    "dc_anch": """SELECT page_id, CAST(NULL AS VARCHAR) AS text, 0 AS cnt FROM dc_coll WHERE false""",
+    "pg_run": f"""SELECT DISTINCT page_id, unnest({' || '.join(runs('body_tokens', n) for n in range(1, 5))}) AS run FROM pg_coll""",
+    "pg_cand": "SELECT DISTINCT query_id, page_id FROM pg_run JOIN q_run USING (run)",
+    "pg_body": "SELECT page_id, unnest(body_tokens) AS term, generate_subscripts(body_tokens, 1) AS pos FROM pg_coll",
+    "pg_len": "SELECT page_id, CAST(len(body_tokens) AS DOUBLE) AS body_length FROM pg_coll",
+    # judged pages: those with a label of their id
+    "dc_coll": """SELECT c.* EXCLUDE (rel), CAST(2 * l.quality - l.toxic AS DOUBLE) AS rel
+        FROM pg_coll c JOIN labels l ON l.doc_id = c.page_id""",
+    "dc_anch": "SELECT a.* FROM pg_anch a SEMI JOIN dc_coll USING (page_id)",
+    "dc_cand": "SELECT c.* FROM pg_cand c SEMI JOIN dc_coll USING (page_id)",
+    "dc_body": "SELECT b.* FROM pg_body b SEMI JOIN dc_coll USING (page_id)",
+    "dc_len": "SELECT b.* FROM pg_len b SEMI JOIN dc_coll USING (page_id)",
+    # feature records of the page candidates of each distinct query text, and per query one
+    # record without any token; page_id names the record, tie is its place in the query
+    "fr_q": "SELECT query, min(query_id) AS query_id FROM fx_queries GROUP BY query",
+    "fr_rec": """SELECT q.query_id, q.query, c.page_id AS page, q.query_id || '#' || c.page_id AS page_id,
+          row_number() OVER (PARTITION BY q.query_id ORDER BY c.page_id) - 1 AS tie FROM pg_cand c JOIN fr_q q USING (query_id)""",
+    "fr_none": """SELECT query_id, query, query_id || '#' AS page_id, max(tie) + 1 AS tie FROM fr_rec GROUP BY query_id, query""",
+    "fr_cand": "SELECT query_id, page_id, tie FROM fr_rec UNION ALL SELECT query_id, page_id, tie FROM fr_none",
+    "fr_coll": """SELECT r.page_id, c.url, c.title, c.headers, c.pagerank, c.rel FROM fr_rec r JOIN pg_coll c ON c.page_id = r.page
+        UNION ALL SELECT page_id, '///', '', []::VARCHAR[], 0, NULL FROM fr_none""",
+    "fr_anch": "SELECT r.page_id, a.text, a.cnt FROM fr_rec r JOIN pg_anch a ON a.page_id = r.page",
+    "fr_len": "SELECT r.page_id, l.body_length FROM fr_rec r JOIN pg_len l ON l.page_id = r.page",
+    "fr_body": """SELECT r.page_id, b.term, b.pos FROM fr_rec r JOIN pg_body b ON b.page_id = r.page
+          JOIN q_terms q ON q.query_id = r.query_id AND q.term = b.term
+        UNION ALL SELECT page_id, 'zz_listed', unnest([3, 7]) FROM fr_rec WHERE page % 5 = 0""",
 }
 
 
@@ -84,8 +111,7 @@ def _collection(p: str) -> dict[str, str]:
               FROM (SELECT page_id, {toks('title', True)} AS t FROM {c})
             UNION ALL SELECT page_id, 'header', 'header', unnest(t), generate_subscripts(t, 1) - 1, 1
               FROM (SELECT page_id, flatten(list_transform(headers, lambda h: {toks('h', True)})) AS t FROM {c})
-            UNION ALL SELECT page_id, 'body', 'body', unnest(body_tokens), generate_subscripts(body_tokens, 1), 1
-              FROM {c}
+            UNION ALL SELECT page_id, 'body', 'body', term, pos, 1 FROM {p}_body
             UNION ALL SELECT page_id, 'anchor', 'anchor:' || text, unnest(t), generate_subscripts(t, 1) - 1,
                              greatest(cnt, 1)
               FROM (SELECT page_id, text, cnt, {toks('text', True)} AS t FROM {a})""",
@@ -108,19 +134,20 @@ def _collection(p: str) -> dict[str, str]:
                   UNION ALL SELECT page_id, f, term, 1 FROM {p}_rawtok)
             GROUP BY page_id, term""",
         f"{p}_ps": f"""
-            SELECT c.page_id, c.url, greatest(1000.0, coalesce(CAST(len(c.body_tokens) AS DOUBLE), 1.0)) AS L,
-              CAST(len(c.body_tokens) AS DOUBLE) AS body_len_raw, coalesce(c.pagerank, 0) AS pagerank,
+            SELECT c.page_id, c.url, greatest(1000.0, coalesce(n.body_length, 1.0)) AS L,
+              coalesce(n.body_length, 0) AS body_len_raw, coalesce(c.pagerank, 0) AS pagerank,
               CAST(len({url_toks('c.url')}) AS DOUBLE) AS len_url,
               CAST(len({toks('c.title')}) AS DOUBLE) AS len_title,
               CAST(len(flatten(list_transform(c.headers, lambda h: {toks('h')}))) AS DOUBLE) AS len_header,
               CAST(greatest(len(c.headers), 1) AS DOUBLE) AS n_header_d,
               CAST(coalesce(an.len_anchor, 0) AS DOUBLE) AS len_anchor,
               CAST(greatest(coalesce(an.n_anchor, 0), 1) AS DOUBLE) AS n_anchor_d, c.rel
-            FROM {c} c LEFT JOIN (SELECT page_id, sum(len({toks('text')})) AS len_anchor, count(*) AS n_anchor
+            FROM {c} c LEFT JOIN {p}_len n USING (page_id) LEFT JOIN (SELECT page_id, sum(len({toks('text')})) AS len_anchor, count(*) AS n_anchor
                                    FROM {a} GROUP BY page_id) an USING (page_id)""",
         # matched query-term rows, with page scalars
         f"{p}_m": f"""SELECT q.query_id, q.n, q.idf, q.qw, t.*, ps.* EXCLUDE (page_id)
-            FROM q_idf q JOIN {p}_pt t USING (term) JOIN {p}_ps ps USING (page_id)""",
+            FROM {p}_cand x JOIN q_idf q USING (query_id) JOIN {p}_pt t ON t.page_id = x.page_id AND t.term = q.term
+            JOIN {p}_ps ps ON ps.page_id = x.page_id""",
     }
 
 
@@ -129,17 +156,19 @@ def pairs_cte(p: str, w: CosineWeights = CosineWeights(), name: str | None = Non
          f"{w.header} * {lg('tf_header / L')} + {w.anchor} * {lg('tf_anchor / L')}")
     b = f"(CASE WHEN tf_body > 0 THEN {w.body} * {lg('tf_body / L')} END)"
     nm = name or f"{p}_pairs"
+    # the literal norm: all terms of the page, body terms as far as the pair lists them
+    listed = "true" if p == "fr" else "q.term IS NOT NULL"
+    tie = "x.tie" if p == "fr" else "x.page_id"
     return {
-        f"{nm}_S": f"""SELECT page_id, sum(abs({s})) AS S FROM (SELECT t.*, ps.L FROM {p}_pt t JOIN {p}_ps ps USING (page_id))
-            GROUP BY page_id""",
-        nm: f"""SELECT query_id, page_id, any_value(url) AS url, any_value(pagerank) AS pagerank,
-              any_value(rel) AS rel, CAST(sum(tf_body) AS BIGINT) AS hits,
-              sum(qw * ({s} + coalesce({b}, 0.0))) AS dot,
-              coalesce(sum(CASE WHEN tf_body > 0 THEN abs({s} + {b}) - abs({s}) END), 0.0) AS delta
-            FROM {p}_m GROUP BY query_id, page_id HAVING max(tf_body) > 0""",
-        f"{nm}_cos": f"""SELECT x.*, CASE WHEN n.n1 * (S.S + x.delta) > 0 THEN x.dot / (n.n1 * (S.S + x.delta))
-                 ELSE 0.0 END AS cosine
-            FROM {nm} x JOIN {nm}_S S USING (page_id) JOIN q_norm n USING (query_id)""",
+        f"{nm}_L1": f"""SELECT x.query_id, x.page_id, sum(abs({s} + CASE WHEN {listed} THEN coalesce({b}, 0.0) ELSE 0.0 END)) AS L1
+            FROM {p}_cand x JOIN {p}_pt t USING (page_id) JOIN (SELECT page_id, L FROM {p}_ps) USING (page_id)
+            LEFT JOIN q_terms q ON q.query_id = x.query_id AND q.term = t.term GROUP BY x.query_id, x.page_id""",
+        nm: f"""SELECT x.query_id, x.page_id, {tie} AS tie, ps.url, ps.pagerank, ps.rel, coalesce(a.hits, 0) AS hits, coalesce(a.dot, 0.0) AS dot
+            FROM {p}_cand x JOIN {p}_ps ps ON ps.page_id = x.page_id LEFT JOIN (SELECT query_id, page_id, CAST(sum(tf_body) AS BIGINT) AS hits,
+              sum(qw * ({s} + coalesce({b}, 0.0))) AS dot FROM {p}_m GROUP BY query_id, page_id) a
+              ON a.query_id = x.query_id AND a.page_id = x.page_id""",
+        f"{nm}_cos": f"""SELECT x.*, CASE WHEN n.n1 * l.L1 > 0 THEN x.dot / (n.n1 * l.L1) ELSE 0.0 END AS cosine
+            FROM {nm} x LEFT JOIN {nm}_L1 l USING (query_id, page_id) LEFT JOIN q_norm n USING (query_id)""",
     }
 
 
@@ -174,7 +203,7 @@ def bm25f_cte(p: str, prm: BM25FParams = BM25FParams(), name: str | None = None)
     w, static = bm25f_expr(prm)
     nm = name or f"{p}_bm25f"
     k1 = float(prm.K1)
-    return {nm: f"""SELECT x.query_id, x.page_id, x.url, x.rel, x.pagerank,
+    return {nm: f"""SELECT x.query_id, x.page_id, x.tie, x.url, x.rel, x.pagerank,
             coalesce(t.text_score, 0.0) + {static} AS bm25f, coalesce(t.text_score, 0.0) AS text_score
         FROM {p}_pairs x LEFT JOIN (
             SELECT query_id, page_id, sum(n * CASE WHEN {k1} + w <> 0 THEN w * idf / ({k1} + w) ELSE 0.0 END) AS text_score
@@ -188,7 +217,8 @@ def window_ctes(p: str) -> dict[str, str]:
     Fields that miss a query term are removed first (relational division)."""
     return {
         f"{p}_qd": "SELECT DISTINCT query_id, term FROM q_tok",
-        f"{p}_e": f"""SELECT q.query_id, t.page_id, t.fld, t.term, t.pos FROM {p}_qd q JOIN {p}_tok t USING (term)""",
+        f"{p}_e": f"""SELECT q.query_id, t.page_id, t.fld, t.term, t.pos FROM {p}_cand x JOIN {p}_qd q USING (query_id)
+            JOIN {p}_tok t ON t.page_id = x.page_id AND t.term = q.term""",
         f"{p}_ek": f"""SELECT query_id, page_id, fld FROM (
               SELECT query_id, page_id, fld, count(DISTINCT term) AS c FROM {p}_e GROUP BY query_id, page_id, fld)
             JOIN q_stats USING (query_id) WHERE c = k""",
@@ -223,7 +253,7 @@ def cosine_window_cte(p: str, b: WindowBoost = WindowBoost()) -> dict[str, str]:
 # ---------------------------------------------------------------------------- assembly
 def ctes_for(*wanted: str, extra: dict[str, str] | None = None) -> dict[str, str]:
     pool = dict(BASE)
-    for p in ("pg", "dc"):
+    for p in ("pg", "dc", "fr"):
         pool.update(_collection(p))
         pool.update(pairs_cte(p))
         pool.update(avg_cte(p))
@@ -260,5 +290,5 @@ def with_sql(body: str, extra: dict[str, str] | None = None) -> str:
 
 
 def ranked_sql(src: str, score: str, extra_cols: str = "") -> str:
-    return f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({score}, 9) DESC, page_id) AS INTEGER) AS rank,
+    return f"""SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round({score}, 9) DESC, tie) AS INTEGER) AS rank,
         page_id, url, round({score}, 6) AS score{extra_cols} FROM {src}"""

@@ -9,16 +9,15 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldrank import oracle as O
 from fieldrank.operators import bm25f as bm
 from fieldrank.operators import stats
-from fieldrank.operators.evaluate import mean_ndcg, ndcg_per_query, query_result_counts
+from fieldrank.operators.evaluate import mean_ndcg, ndcg_per_query, query_result_counts, rank_within
 from fieldrank.params import BM25FParams, CosineWeights
 from fieldrank.plans.rankers import RankingJob, ranked
-from fieldrank.session import broadcast_if_small
 from fieldrank.sources import tables as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,12 +38,13 @@ def r6(c):
 
 
 def pages_job(spark: SparkSession, sf_dir: str, full_index: bool = False) -> RankingJob:
-    return RankingJob(T.queries(spark, sf_dir), T.pages_collection(spark, sf_dir), T.corpus(spark, sf_dir),
-                      full_index=full_index)
+    q, c = T.queries(spark, sf_dir), T.pages_collection(spark, sf_dir)
+    return RankingJob(q, c, T.corpus(spark, sf_dir), T.candidates(q, c), full_index=full_index)
 
 
 def docs_job(spark: SparkSession, sf_dir: str) -> RankingJob:
-    return RankingJob(T.queries(spark, sf_dir), T.judged_documents_collection(spark, sf_dir), T.corpus(spark, sf_dir))
+    q, c = T.queries(spark, sf_dir), T.judged_pages_collection(spark, sf_dir)
+    return RankingJob(q, c, T.corpus(spark, sf_dir), T.candidates(q, c))
 
 
 # ------------------------------------------------------------------ corpus statistics
@@ -118,7 +118,7 @@ def q_query_result_counts(spark, sf):
     return query_result_counts(ranked(pages_job(spark, sf).baseline()))
 
 
-# ------------------------------------------------------------------ evaluation (judged documents)
+# ------------------------------------------------------------------ evaluation (judged pages)
 def ndcg_cte(src: str, score: str, name: str = "ndcg_q", part: str = "query_id") -> dict[str, str]:
     return {name: f"""SELECT {part}, dcg, idcg, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 1.0 END AS ndcg, n_ranked FROM (
           SELECT {part},
@@ -126,7 +126,7 @@ def ndcg_cte(src: str, score: str, name: str = "ndcg_q", part: str = "query_id")
             sum((pow(2.0, greatest(rel, 0)) - 1) / log2(irnk + 1)) AS idcg,
             count(*) AS n_ranked
           FROM (SELECT {part}, rel,
-                  row_number() OVER (PARTITION BY {part} ORDER BY round({score}, 9) DESC, page_id) AS rnk,
+                  row_number() OVER (PARTITION BY {part} ORDER BY round({score}, 9) DESC, tie) AS rnk,
                   row_number() OVER (PARTITION BY {part} ORDER BY rel DESC) AS irnk
                 FROM {src}) GROUP BY {part})"""}
 
@@ -337,7 +337,6 @@ def q_join_shared_terms(spark, sf):
     w = CosineWeights().as_tuple()
     L = F.col("L")
     m = j.matched.where("tf_url + tf_title + tf_header + tf_body + tf_anchor > 0")
-    m = m.join(j.cands.select("query_id", "page_id"), ["query_id", "page_id"], "left_semi")
     pw = static_part(w, L) + F.coalesce(body_part(w, L), F.lit(0.0))
     return m.select("query_id", "page_id", "term", r6("qw").alias("query_weight"), r6(pw).alias("page_weight"))
 
@@ -352,8 +351,7 @@ def _bm25_rows_sql(cols: str, where: str = "") -> str:
 
 def _bm25_rows(spark, sf):
     j = pages_job(spark, sf)
-    m = j.matched.join(j.cands.select("query_id", "page_id"), ["query_id", "page_id"], "left_semi")
-    return m.crossJoin(F.broadcast(j.avg_len))
+    return j.matched.crossJoin(F.broadcast(j.avg_len))
 
 
 @register("bm25f_raw_tf", _bm25_rows_sql(
@@ -424,7 +422,7 @@ register("vf_sigmoid", _vf_sql("sigmoid", 1.0, 0.5))(_vf_q(SC.vf_sigmoid, 1.0, 0
 def q_all_terms_in_field(spark, sf):
     from fieldrank.operators.window import all_terms_in_field, query_term_postings
     j = pages_job(spark, sf)
-    full = all_terms_in_field(query_term_postings(j.qterms, j.index))
+    full = all_terms_in_field(query_term_postings(j.qterms, j.index, j.candidate_pairs))
     return full.select("query_id", "page_id", "field", "instance").distinct().groupBy(
         "query_id", "page_id", "field").agg(F.count(F.lit(1)).alias("n_instances"))
 
@@ -455,7 +453,7 @@ register("boost_inverse", _boost_fn_sql("inverse"))(_boost_q(SC.boost_inverse))
 register("boost_sigmoid", _boost_fn_sql("sigmoid"))(_boost_q(SC.boost_sigmoid))
 
 
-# ------------------------------------------------------------------ ranking and evaluation (judged documents)
+# ------------------------------------------------------------------ ranking and evaluation (judged pages)
 @register("rank_within_query", O.with_sql(O.ranked_sql("dc_pairs_cos", "cosine")))
 def q_rank_within_query(spark, sf):
     j = docs_job(spark, sf)
@@ -527,7 +525,7 @@ _BOOST_COLS = ("(CASE WHEN w.window_size IS NULL THEN 1.0 WHEN w.window_size = s
     "SELECT function, boost, round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries "
     "FROM sw_nd JOIN bp USING (param_id) GROUP BY function, boost",
     extra={"bp": _BP,
-           "sw_sc": f"""SELECT bp.param_id, x.query_id, x.page_id, x.rel, {_BOOST_COLS} * x.cosine AS score
+           "sw_sc": f"""SELECT bp.param_id, x.query_id, x.page_id, x.tie, x.rel, {_BOOST_COLS} * x.cosine AS score
                 FROM dc_pairs_cos x JOIN q_stats s USING (query_id) LEFT JOIN dc_win w USING (query_id, page_id)
                 CROSS JOIN bp""",
            **ndcg_cte("sw_sc", "score", "sw_nd", "param_id, query_id")}))
@@ -540,7 +538,7 @@ def _bm25_sweep_sql() -> str:
     parts = []
     for i, prm in enumerate(BM25F_SETTINGS):
         ext.update(O.bm25f_cte("dc", prm, name=f"dc_bm_{i}"))
-        parts.append(f"SELECT {i} AS param_id, '{prm.name}' AS setting, query_id, page_id, rel, bm25f AS score FROM dc_bm_{i}")
+        parts.append(f"SELECT {i} AS param_id, '{prm.name}' AS setting, query_id, page_id, tie, rel, bm25f AS score FROM dc_bm_{i}")
     ext["sb_sc"] = " UNION ALL ".join(parts)
     ext.update(ndcg_cte("sb_sc", "score", "sb_nd", "param_id, query_id"))
     return O.with_sql("SELECT setting, round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries FROM sb_nd "
@@ -558,7 +556,7 @@ def _cos_sweep_sql() -> str:
     for i, w in enumerate(cosine_weight_grid()):
         ext.update(O.pairs_cte("dc", w, name=f"dc_cw_{i}"))
         parts.append(f"SELECT {i} AS param_id, {w.url} AS w_url, {w.title} AS w_title, {w.header} AS w_header, "
-                     f"{w.body} AS w_body, {w.anchor} AS w_anchor, query_id, page_id, rel, cosine AS score "
+                     f"{w.body} AS w_body, {w.anchor} AS w_anchor, query_id, page_id, tie, rel, cosine AS score "
                      f"FROM dc_cw_{i}_cos")
     ext["sc_sc"] = " UNION ALL ".join(parts)
     ext.update(ndcg_cte("sc_sc", "score", "sc_nd", "param_id, query_id"))
@@ -575,7 +573,7 @@ def q_sweep_cosine_weights(spark, sf):
 def _compare_sql() -> str:
     srcs = {"baseline": ("dc_pairs", "CAST(hits AS DOUBLE)"), "cosine": ("dc_pairs_cos", "cosine"),
             "bm25f": ("dc_bm25f", "bm25f"), "cosine_window": ("dc_cw", "cw")}
-    parts = [f"SELECT '{k}' AS ranker, query_id, page_id, rel, {sc} AS score FROM {src}" for k, (src, sc) in srcs.items()]
+    parts = [f"SELECT '{k}' AS ranker, query_id, page_id, tie, rel, {sc} AS score FROM {src}" for k, (src, sc) in srcs.items()]
     ext = {"cr_sc": " UNION ALL ".join(parts)}
     ext.update(ndcg_cte("cr_sc", "score", "cr_nd", "ranker, query_id"))
     cols = ", ".join(f"round(max(CASE WHEN ranker = '{k}' THEN ndcg END), 6) AS ndcg_{k}" for k in srcs)
@@ -593,28 +591,55 @@ from fieldrank.sources import corpus as CO  # noqa: E402
 from fieldrank.sources import textfmt as TF  # noqa: E402
 
 
-def _distinct_query_texts(spark, sf):
-    return T.queries(spark, sf).groupBy("query").agg(F.min("query_id").alias("query_id"))
-
-
 def feature_records(spark, sf) -> DataFrame:
     """Feature records (the reference's input shape) of the page candidates of every
-    distinct query text: body_hits hold the query's terms only."""
-    from fieldrank.operators.evaluate import rank_within
-    j = pages_job(spark, sf)
-    qt = _distinct_query_texts(spark, sf)
-    qt = broadcast_if_small(qt)  # one row per distinct query text
-    c = j.cands.select("query_id", "page_id").join(qt, "query_id")
-    qd = j.qterms.select("query_id", "term").join(qt.select("query_id"), "query_id")
-    body = j.index.postings.where("field = 'body'").select("page_id", "term", "positions")
-    hits = body.join(broadcast_if_small(qd), "term").groupBy("query_id", "page_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("body_hits"))
-    coll = T.pages_collection(spark, sf).select(
-        "page_id", "url", "title", "headers", "body_length", "pagerank",
-        F.map_from_entries(F.transform("anchors", lambda a: F.struct(a["text"], a["cnt"]))).alias("anchors"))
-    r = c.join(hits, ["query_id", "page_id"], "left").join(coll, "page_id")
-    r = rank_within(r.withColumn("_o", -F.col("page_id")), "_o", tiebreak="page_id", out="url_pos")
-    return r.withColumn("url_pos", (F.col("url_pos") - 1).cast("int")).drop("_o")
+    distinct query text: body_hits hold the query's terms (and, where the page id divides by
+    5, a listed term outside the query). Each query also has a record without any token."""
+    q, coll = T.queries(spark, sf), T.pages_collection(spark, sf)
+    texts = q.groupBy("query").agg(F.min("query_id").alias("query_id"))
+    c = T.candidates(q, coll).join(texts, "query_id")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("page_id")) - 1  # a query's candidates
+    c = c.withColumn("url_pos", place.cast("int"))
+    terms = F.array_distinct(TX.tok_query(F.col("query")))
+    found = F.transform(terms, lambda t: F.struct(t.alias("term"), F.filter(F.transform(
+        "body_tokens", lambda x, i: F.when(x == t, i + 1)), lambda p: p.isNotNull()).alias("positions")))
+    hits = F.filter(found, lambda h: F.size(h["positions"]) > 0)
+    extra = F.array(F.struct(F.lit("zz_listed").alias("term"), F.array(F.lit(3), F.lit(7)).alias("positions")))
+    hits = F.concat(hits, F.filter(extra, lambda h: F.col("page_id") % 5 == 0))
+    anchors = F.map_from_entries(F.transform("anchors", lambda a: F.struct(a["text"], a["cnt"])))
+    rows = c.join(coll, "page_id").select("query", "url", "url_pos", "title", "headers", F.map_from_entries(hits).alias("body_hits"),
+                                          "body_length", "pagerank", anchors.alias("anchors"))
+    none = rows.groupBy("query").agg((F.max("url_pos") + 1).cast("int").alias("url_pos")).withColumn("url", F.lit("///"))
+    return rows.unionByName(none, allowMissingColumns=True)
+
+
+def records_job(spark, sf) -> RankingJob:
+    """The rankers' only way in the reference: a feature file, read and ranked."""
+    path = CO.scratch_path(spark, "features")
+    TF.write_feature_file(feature_records(spark, sf), path)
+    queries, coll = TF.features_to_collection(TF.read_feature_file(spark, path))
+    return RankingJob(queries, coll, T.corpus(spark, sf))
+
+
+def _features_rank(ranker):
+    def q(spark, sf):
+        r = rank_within(ranker(records_job(spark, sf)), "score")
+        return r.select(F.col("query_id").alias("query"), "rank", "url", r6("score").alias("score"))
+    return q
+
+
+def _features_sql(src: str, score: str) -> str:
+    return O.with_sql("SELECT q.query, r.rank, r.url, r.score FROM (" + O.ranked_sql(src, score) + ") r JOIN fr_q q USING (query_id)")
+
+
+register("features_rank_baseline", O.with_sql(
+    "SELECT q.query, CAST(row_number() OVER (PARTITION BY query_id ORDER BY hits DESC, tie) AS INTEGER) AS rank, url, hits AS score "
+    "FROM (SELECT x.query_id, x.tie, x.url, CAST(coalesce(b.hits, 0) AS DOUBLE) AS hits FROM fr_pairs x LEFT JOIN "
+    "(SELECT page_id, count(*) AS hits FROM fr_body GROUP BY page_id) b USING (page_id)) JOIN fr_q q USING (query_id)"))(
+    _features_rank(lambda j: j.baseline()))
+register("features_rank_cosine", _features_sql("fr_pairs_cos", "cosine"))(_features_rank(lambda j: j.cosine()))
+register("features_rank_bm25f", _features_sql("fr_bm25f", "bm25f"))(_features_rank(lambda j: j.bm25f()))
+register("features_rank_cosine_window", _features_sql("fr_cw", "cw"))(_features_rank(lambda j: j.cosine_window()))
 
 
 def _flat_features(df: DataFrame) -> DataFrame:
@@ -627,19 +652,18 @@ def _flat_features(df: DataFrame) -> DataFrame:
                      "body_length", "pagerank", anch.alias("anchors"))
 
 
-_FEAT_SQL = O.with_sql("""SELECT q.query, p.url, CAST(row_number() OVER (PARTITION BY q.query ORDER BY c.page_id) - 1 AS INTEGER) AS url_pos,
-        p.title, CAST(len(p.headers) AS INTEGER) AS n_headers, array_to_string(p.headers, '|') AS headers,
-        coalesce(h.body_hits, '') AS body_hits, CAST(len(p.body_tokens) AS INTEGER) AS body_length, p.pagerank,
+_FEAT_SQL = O.with_sql("""SELECT q.query, c.url, CAST(x.tie AS INTEGER) AS url_pos,
+        CASE WHEN r.page IS NOT NULL THEN c.title END AS title, CAST(len(c.headers) AS INTEGER) AS n_headers,
+        array_to_string(c.headers, '|') AS headers, coalesce(h.body_hits, '') AS body_hits,
+        CAST(l.body_length AS INTEGER) AS body_length, CASE WHEN r.page IS NOT NULL THEN c.pagerank END AS pagerank,
         coalesce(a.anchors, '') AS anchors
-    FROM pg_pairs c JOIN (SELECT query, min(query_id) AS query_id FROM fx_queries GROUP BY query) q USING (query_id)
-    JOIN pg_coll p USING (page_id)
-    LEFT JOIN (SELECT query_id, page_id, string_agg(term || ' ' || pos, ';' ORDER BY term) AS body_hits FROM (
-          SELECT d.query_id, b.page_id, b.term, array_to_string(list_sort(list(b.pos)), ' ') AS pos
-          FROM pg_tok b JOIN (SELECT DISTINCT query_id, term FROM q_tok) d USING (term)
-          WHERE b.f = 'body' GROUP BY d.query_id, b.page_id, b.term) GROUP BY query_id, page_id) h
-      USING (query_id, page_id)
-    LEFT JOIN (SELECT page_id, string_agg(text || '=' || cnt, ';' ORDER BY text) AS anchors FROM pg_anch GROUP BY page_id) a
-      USING (page_id)""")
+    FROM fr_cand x JOIN fr_q q USING (query_id) JOIN fr_coll c ON c.page_id = x.page_id LEFT JOIN fr_rec r ON r.page_id = x.page_id
+    LEFT JOIN fr_len l ON l.page_id = x.page_id
+    LEFT JOIN (SELECT page_id, string_agg(term || ' ' || pos, ';' ORDER BY term) AS body_hits FROM (
+          SELECT page_id, term, array_to_string(list_sort(list(pos)), ' ') AS pos FROM fr_body GROUP BY page_id, term) GROUP BY page_id) h
+      ON h.page_id = x.page_id
+    LEFT JOIN (SELECT page_id, string_agg(text || '=' || cnt, ';' ORDER BY text) AS anchors FROM fr_anch GROUP BY page_id) a
+      ON a.page_id = x.page_id""")
 
 
 @register("read_features_roundtrip", _FEAT_SQL)
@@ -669,6 +693,25 @@ def q_write_ranking_roundtrip(spark, sf):
     return TF.read_ranking(spark, path)
 
 
+@register("score_files", O.with_sql(
+    "SELECT round(avg(ndcg), 6) AS mean_ndcg, count(*) AS n_queries FROM sf_nd",
+    extra={"sf_sc": "SELECT b.query_id, b.tie, b.bm25f AS score, CAST(2 * l.quality - l.toxic AS DOUBLE) AS rel "
+                    "FROM pg_bm25f b SEMI JOIN fr_q USING (query_id) JOIN labels l ON l.doc_id = b.page_id",
+           **ndcg_cte("sf_sc", "score", "sf_nd")}))
+def q_score_files(spark, sf):
+    """NDCG of a ranking file against a judgments file, joined on query text and url; ranked
+    urls without a judgment are dropped."""
+    from fieldrank.operators.evaluate import join_judgments
+    one = T.queries(spark, sf).groupBy("query").agg(F.min("query_id").alias("query_id"))
+    r = ranked(pages_job(spark, sf).bm25f()).join(one, "query_id")
+    ranking, judged = CO.scratch_path(spark, "ranking"), CO.scratch_path(spark, "judgments")
+    TF.write_ranking(r, ranking)
+    labels = T.judgments(spark, sf).withColumnRenamed("doc_id", "page_id")
+    TF.write_judgments(r.join(labels, "page_id").select("query", "url", "rel"), judged)
+    j = join_judgments(TF.read_ranking(spark, ranking), TF.read_judgments(spark, judged), ["query", "url"], part=("query",))
+    return mean_ndcg(ndcg_per_query(j, part=("query",))).select(r6("mean_ndcg").alias("mean_ndcg"), "n_queries")
+
+
 @register("corpus_scan", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
 def q_corpus_scan(spark, sf):
     root = CO.scratch_path(spark, "corpus")

@@ -1,8 +1,8 @@
 """End-to-end rankers (C1, C6, C9, C11) over a collection or feature records.
 
-``RankingJob`` builds the shared pieces once (query terms with idf, the page index, the
-matched term rows, the per-pair aggregates) and every ranker reads them lazily, so the
-rankers and sweeps never recompute features with a different plan.
+``RankingJob`` derives the shared pieces lazily (query terms with idf, the page index, the
+matched term rows of the candidate pairs, their aggregates); building a ranker starts no
+Spark job and caches nothing.
 """
 
 from __future__ import annotations
@@ -31,17 +31,10 @@ class RankingJob:
     queries: DataFrame      # query_id, query
     collection: DataFrame   # see sources.tables
     corpus: DataFrame       # doc_id, text (document frequencies)
+    candidate_pairs: DataFrame | None = None  # query_id, page_id to rank; not for feature records, which carry query_id
     weights: CosineWeights = CosineWeights()
     full_index: bool = False  # keep every body term (page vectors); rankers need query terms only
 
-    @classmethod
-    def with_index(cls, queries: DataFrame, index: PageIndex, corpus: DataFrame, **kw) -> "RankingJob":
-        """A job over an index built (and persisted or written) earlier, e.g. for every
-        micro-batch of a query stream."""
-        job = cls(queries, None, corpus, **kw)
-        job.__dict__["index"] = index
-        return job
-
     @cached_property
     def qterms(self) -> DataFrame:
         """(query_id, term, ti, n, qlen, k) — from the queries only."""
@@ -49,19 +42,17 @@ class RankingJob:
 
     @cached_property
     def qterms_idf(self) -> DataFrame:
-        """query terms with df, idf and query weight; small, cached once."""
-        return join_term_idf(self.qterms, self.corpus).persist()
+        """query terms with df, idf and query weight."""
+        return join_term_idf(self.qterms, self.corpus)
 
     @cached_property
     def index(self) -> PageIndex:
-        """The per-page index, persisted for the lifetime of the job: every ranker and
-        sweep reads it several times (pairs, averages, per-term scores, windows)."""
-        vocab = None if self.full_index else self.qterms.select("term")
-        return build_index(self.collection, vocab).persist()
+        vocab = None if self.full_index or "query_id" in self.collection.columns else self.qterms.select("term")
+        return build_index(self.collection, vocab)
 
     @cached_property
     def matched(self) -> DataFrame:
-        return match_terms(self.qterms_idf, self.index)
+        return match_terms(self.qterms_idf, self.index, self.candidate_pairs)
 
     @cached_property
     def query_stats(self) -> DataFrame:
@@ -69,73 +60,52 @@ class RankingJob:
 
     def pairs(self, weights: CosineWeights | None = None) -> DataFrame:
         w = (weights or self.weights).as_tuple()
-        agg = pair_aggregates(self.matched, w)
-        return candidates(agg, self.index, self.query_stats if self.index.keyed_by_query else None)
+        return candidates(pair_aggregates(self.matched, w), self.index, self.query_stats, self.candidate_pairs)
 
     @cached_property
     def cands(self) -> DataFrame:
-        """Candidate pairs with their aggregates (recomputed from the cached term table
-        where read twice: cheaper than caching them)."""
+        """Candidate pairs with their aggregates."""
         return self.pairs()
 
-    def unpersist(self) -> None:
-        for name in ("cands", "qterms_idf"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
-        if "index" in self.__dict__:
-            self.index.unpersist()
-
-    @cached_property
-    def rank_method(self) -> str:
-        """``range`` (skew-proof, see ``evaluate.rank_by_range``) when there are fewer
-        queries than twice the cluster's parallelism — then single queries hold large
-        shares of the candidates — else the per-query ``window``. A bounded count of the
-        query table decides."""
-        par = self.queries.sparkSession.sparkContext.defaultParallelism
-        return "range" if self.queries.limit(2 * par).count() < 2 * par else "window"
-
     def rank(self, scored: DataFrame, digits: int = 6) -> DataFrame:
-        """``ranked`` with the job's rank method."""
-        return ranked(scored, digits, method=self.rank_method)
+        return ranked(scored, digits)
 
     # ---- rankers -------------------------------------------------------------------
     def baseline(self) -> DataFrame:
-        """Total body hits of the query terms, descending; ties in input order.
-        Needs no corpus statistics, so it matches the plain query terms (no idf job)."""
-        m = match_terms(self.qterms, self.index)
-        hits = m.groupBy("query_id", "page_id").agg(
-            F.sum("tf_body").cast("long").alias("hits"), F.max(F.col("tf_body") > 0).alias("has_body"))
-        c = candidates(hits, self.index, self.query_stats if self.index.keyed_by_query else None)
-        return c.select("query_id", "page_id", "url", F.col("hits").cast("double").alias("score"), "rel", "pagerank")
+        """Total body hits, descending; ties in input order. Feature records count every
+        listed hit. Needs no corpus statistics, so it matches the plain query terms."""
+        m = match_terms(self.qterms, self.index, self.candidate_pairs)
+        hits = m.groupBy("query_id", "page_id").agg(F.sum("tf_body").cast("long").alias("hits"))
+        c = candidates(hits, self.index, self.query_stats, self.candidate_pairs)
+        return c.select("query_id", "page_id", "url", F.coalesce("listed_hits", "hits").cast("double").alias("score"), "rel", "pagerank", "tie")
 
     def cosine(self, weights: CosineWeights | None = None) -> DataFrame:
         """Weighted fielded cosine with L1 norms."""
         w = (weights or self.weights)
         c = self.cands if weights is None else self.pairs(weights)
         s = cosine_scores(c, self.index, self.qterms_idf, w.as_tuple())
-        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen")
+        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "tie")
 
     @cached_property
     def windows(self) -> DataFrame:
-        return smallest_windows(self.qterms, self.index)
+        return smallest_windows(self.qterms, self.index, self.candidate_pairs)
 
     def cosine_with_windows(self, weights: CosineWeights | None = None) -> DataFrame:
-        """Cosine per candidate pair plus its smallest window (null when none). The window
-        rows are unioned into the pair aggregation (both keep the page_id partitioning), so
-        no join on (query_id, page_id) is needed."""
+        """Cosine per candidate pair plus its smallest window (null when none); the window rows
+        are unioned into the pair aggregation."""
         w = (weights or self.weights).as_tuple()
         rows = self.matched.unionByName(self.windows, allowMissingColumns=True)
         agg = pair_aggregates(rows, w, extra=[F.min("window_size").alias("window_size")])
-        c = candidates(agg, self.index, self.query_stats if self.index.keyed_by_query else None)
+        c = candidates(agg, self.index, self.query_stats, self.candidate_pairs)
         s = cosine_scores(c, self.index, self.qterms_idf, w)
-        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "window_size")
+        return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "window_size", "tie")
 
     def cosine_window(self, boost: WindowBoost = WindowBoost(), weights: CosineWeights | None = None) -> DataFrame:
         """Cosine x window boost."""
         c = self.cosine_with_windows(weights)
         b = window_boost(float(boost.boost), boost.function, F.col("qlen"), F.col("window_size"))
         return c.select("query_id", "page_id", "url", (b * F.col("score")).alias("score"), "rel",
-                        "qlen", "window_size", b.alias("boost"), F.col("score").alias("cosine"))
+                        "qlen", "window_size", b.alias("boost"), F.col("score").alias("cosine"), "tie")
 
     @cached_property
     def avg_len(self) -> DataFrame:
@@ -143,13 +113,12 @@ class RankingJob:
 
     def bm25f(self, params: BM25FParams = BM25FParams()) -> DataFrame:
         """C11: BM25F text score + lambda * Vf(pagerank)."""
-        s = bm.bm25f_scores(self.matched, self.avg_len, self.index, params,
-                            self.query_stats if self.index.keyed_by_query else None)
-        return s.select("query_id", "page_id", "url", F.col("bm25f").alias("score"), "text_score", "rel")
+        s = bm.bm25f_scores(self.matched, self.avg_len, self.index, self.query_stats, params, self.candidate_pairs)
+        return s.select("query_id", "page_id", "url", F.col("bm25f").alias("score"), "text_score", "rel", "tie")
 
 
-def ranked(scored: DataFrame, digits: int = 6, method: str | None = None) -> DataFrame:
+def ranked(scored: DataFrame, digits: int = 6) -> DataFrame:
     """R1 + the ranking schema (query_id, rank, page_id, url, score rounded)."""
-    r = rank_within(scored, "score", method=method)
+    r = rank_within(scored, "score")
     return r.select("query_id", F.col("rank").cast("int").alias("rank"), "page_id", "url",
                     F.round("score", digits).alias("score"))

@@ -2,8 +2,7 @@
 
 Features (matched term rows, cosine parts, windows, average lengths) are computed once;
 the parameter settings enter as a small table cross joined after them (row count known,
-so broadcasting it is safe). Ranking and NDCG are then partitioned by
-``(param_id, query_id)`` — one exchange for all settings, no per-setting jobs.
+so broadcasting it is safe). Ranking and NDCG are then partitioned by ``(param_id, query_id)``.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from fieldrank.operators.evaluate import dcg_per_group, idcg_per_query, mean_ndc
 from fieldrank.operators.match import body_part, static_part
 from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, cosine_weight_grid
 from fieldrank.plans.rankers import RankingJob
-from fieldrank.session import broadcast_if_small
 
 
 def _eval(scored: DataFrame, base: DataFrame, part=("param_id",)) -> DataFrame:
@@ -37,31 +35,22 @@ def boost_params(spark: SparkSession) -> DataFrame:
 def sweep_window_boost(job: RankingJob, spark: SparkSession) -> DataFrame:
     """Mean NDCG for B in 2..1024 x {inverse, sigmoid}; cosine and windows once."""
     c = job.cosine_with_windows().select("query_id", "page_id", F.col("score").alias("cosine"), "qlen",
-                                         "window_size", "rel")
-    p = F.broadcast(boost_params(spark))  # 20 rows
-    # shuffle the pairs by query once, then multiply by the settings inside each partition:
-    # the rank window on (param_id, query_id) is satisfied by the query_id partitioning, so
-    # 20x fewer rows cross the network
-    s = c.repartition("query_id").crossJoin(p).withColumn(
+                                         "window_size", "rel", "tie")
+    s = c.crossJoin(F.broadcast(boost_params(spark))).withColumn(  # 20 rows
         "score", window_boost(F.col("boost"), F.col("function"), F.col("qlen"), F.col("window_size")) * F.col("cosine"))
     m = _eval(s, c)
     return m.join(F.broadcast(boost_params(spark)), "param_id").select("function", "boost", "mean_ndcg", "n_queries")
 
 
 def sweep_bm25f(job: RankingJob, spark: SparkSession, settings=BM25F_SETTINGS) -> DataFrame:
-    """Mean NDCG per BM25F setting; matched rows and averages computed once. Text score
-    and candidate flag come from one aggregation per (setting, query, page) on the page_id
-    partitioning, and page attributes are attached on the same partitioning."""
+    """Mean NDCG per BM25F setting; matched rows and averages computed once."""
     pt = bm.param_table(spark, settings)
-    p = bm.P.columns()
+    p = bm.P.columns(settings)
     m = bm.with_term_weight(job.matched.crossJoin(F.broadcast(job.avg_len)).crossJoin(F.broadcast(pt)), p)
-    text = m.groupBy("param_id", "query_id", "page_id").agg(
-        F.sum(bm.text_contribution(p)).alias("text_score"), F.max(F.col("tf_body") > 0).alias("has_body"),
-        F.first("lamd").alias("lamd"), F.first("l1").alias("l1"), F.first("l2").alias("l2"), F.first("vf").alias("vf"))
-    c = job.index.attach_pages(text.where("has_body"))
-    pv = bm.P(p.B, p.W, p.K1, F.col("lamd"), F.col("l1"), F.col("l2"), F.col("vf"))
-    s = c.select("param_id", "query_id", "page_id", "rel",
-                 (F.col("text_score") + F.col("lamd") * bm._vf(pv, F.col("pagerank"))).alias("score"))
+    text = m.groupBy("param_id", "query_id", "page_id").agg(F.sum(bm.text_contribution(p)).alias("text_score"))
+    c = job.cands.crossJoin(F.broadcast(pt)).join(text, ["param_id", "query_id", "page_id"], "left")
+    s = c.select("param_id", "query_id", "page_id", "rel", "tie",
+                 (F.coalesce("text_score", F.lit(0.0)) + F.col("lamd") * bm._vf(p, F.col("pagerank"))).alias("score"))
     out = _eval(s, job.cands)
     return out.join(F.broadcast(pt.select("param_id", "setting")), "param_id").select("setting", "mean_ndcg", "n_queries")
 
@@ -83,24 +72,17 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
     m = job.matched.crossJoin(F.broadcast(prm))
     m = m.withColumn("_s", static_part(w, L)).withColumn("_b", body_part(w, L))
     s, b = F.col("_s"), F.col("_b")
-    pairs = m.groupBy("param_id", "query_id", "page_id").agg(
-        F.max(F.col("tf_body") > 0).alias("has_body"),
+    sums = m.groupBy("param_id", "query_id", "page_id").agg(
         F.sum(F.col("qw") * (s + F.coalesce(b, F.lit(0.0)))).alias("dot"),
-        F.coalesce(F.sum(F.when(b.isNotNull(), F.abs(s + b) - F.abs(s))), F.lit(0.0)).alias("delta"),
-    ).where("has_body")
-    pairs = job.index.attach_pages(pairs.drop("rel"))
+        F.coalesce(F.sum(F.when(b.isNotNull(), F.abs(s + b) - F.abs(s))), F.lit(0.0)).alias("delta"))
     nonbody = F.col("tf_url") + F.col("tf_title") + F.col("tf_header") + F.col("tf_anchor")
-    # static norms per (setting, page), folded into one map per page so the join with the
-    # pairs is on page_id alone: both sides keep the page_id partitioning (no exchange)
-    stat = (job.index.terms.where(nonbody > 0).crossJoin(F.broadcast(prm))
-            .groupBy("page_id", "param_id").agg(F.sum(F.abs(static_part(w, L))).alias("S"))
-            .groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("param_id", "S"))).alias("S_by_param")))
-    pairs = pairs.join(stat.hint("shuffle_hash"), "page_id", "left").withColumn(
-        "S", F.coalesce(F.try_element_at(F.col("S_by_param"), F.col("param_id")), F.lit(0.0))).drop("S_by_param")
-    qn = broadcast_if_small(query_norms(job.qterms_idf))
-    j = pairs.join(qn, "query_id", "left")
-    norm = F.coalesce("n1", F.lit(0.0)) * (F.coalesce("S", F.lit(0.0)) + F.col("delta"))
-    scored = j.withColumn("score", F.when(norm > 0, F.col("dot") / norm).otherwise(F.lit(0.0)))
+    norms = job.index.terms.where(nonbody > 0).join(job.candidate_pairs.select("page_id").distinct(), "page_id", "left_semi") \
+        .crossJoin(F.broadcast(prm)).groupBy("page_id", "param_id").agg(F.sum(F.abs(static_part(w, L))).alias("S"))
+    j = job.cands.drop("dot", "delta").crossJoin(F.broadcast(prm)) \
+        .join(sums, ["param_id", "query_id", "page_id"], "left").join(norms, ["page_id", "param_id"], "left") \
+        .join(query_norms(job.qterms_idf), "query_id", "left")
+    norm = F.coalesce("n1", F.lit(0.0)) * (F.coalesce("S", F.lit(0.0)) + F.coalesce("delta", F.lit(0.0)))
+    scored = j.withColumn("score", F.when(norm > 0, F.coalesce("dot", F.lit(0.0)) / norm).otherwise(F.lit(0.0)))
     out = _eval(scored, job.cands)
     return out.join(F.broadcast(prm), "param_id").select(
         "w_url", "w_title", "w_header", "w_body", "w_anchor", "mean_ndcg", "n_queries")
@@ -116,7 +98,7 @@ def compare_rankers(job: RankingJob) -> DataFrame:
     }
     u = None
     for name, df in parts.items():
-        d = df.select(F.lit(name).alias("ranker"), "query_id", "page_id", "score", "rel")
+        d = df.select(F.lit(name).alias("ranker"), "query_id", "page_id", "score", "rel", "tie")
         u = d if u is None else u.unionByName(d)
     r = rank_within(u, "score", part=("ranker", "query_id"))
     n = ndcg_from(dcg_per_group(r, part=("ranker", "query_id")), idcg_per_query(job.cands))

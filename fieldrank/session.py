@@ -1,33 +1,28 @@
-"""Session construction and small cluster-safety helpers."""
+"""Session construction and the shared folder."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Query-side tables (query terms, query vocabulary) are broadcast only when a bounded
-# count proves them at most this many rows; otherwise the planner's shuffle join is used.
-BROADCAST_MAX_ROWS = 2_000_000
+from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "fieldrank", shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    """A session; master, partitions and memory are left to spark-submit unless given."""
     b = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("FIELDRANK_DRIVER_MEMORY", "16g"))
     )
+    if master:
+        b = b.master(master)
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -44,24 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="fieldrank-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after a bounded count shows it has at most
-    ``max_rows`` rows. Beyond that the join is left to the planner (shuffle join, AQE)."""
-    df = df.persist()  # the check and the join read the same rows once
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` when its input has fewer partitions than the
-    cluster has cores (a file with few row groups); a no-op on large inputs."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -45,10 +45,10 @@ def snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
 def load_or_compute(spark: SparkSession, path: str, compute) -> DataFrame:
     """Read the snapshot at ``path`` if it exists, else compute, write and re-read it."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # path missing
-        return snapshot(compute(), path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.read.parquet(path)  # a damaged snapshot is an error, never overwritten
+    return snapshot(compute(), path)
 
 
 def write_vocab(terms: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -4,14 +4,17 @@ The test tables hold raw text, not (query, page) feature records, so the inputs
 derived by fixed rules (the same rules are spelled in SQL in ``fieldrank/oracle.py``):
 
 * queries:    every sentence of every ``benchmark`` text (split on ``.!?`` and newlines),
-              normalised to its ``[a-z]+`` words; ``query_id = item_id * 1000 + sentence_no``.
-              Whole texts, all rows: no id subsets, no prefixes.
-* pages:      ``pages.html`` parsed into url, title, ``<h1>`` headers, ``<article>`` body tokens
-              and link-text anchors; anchor count = occurrences + page_id % 5;
-              pagerank = page_id % 11 (stand-ins, stated openly).
+              lower-cased, normalised to its words (letters, digits and ``_`` of any script);
+              ``query_id`` is "item-sentence". Whole texts, all rows.
+* pages:      ``pages.html`` parsed into url, title, ``<h1>`` headers, link-text anchors (case
+              kept) and the lower-cased words of all its text outside tags as body; anchor
+              count = occurrences + page_id % 5; pagerank = page_id % 11 (stand-ins, stated
+              openly).
 * documents:  the corpus for document frequencies (whitespace tokens, case kept).
-* judged documents: ``documents`` with a ``labels`` row, as a body-only collection,
+* judged pages: the pages whose id has a ``labels`` row, with all five fields,
               relevance ``2 * quality - toxic`` (grades -1..2).
+* candidates: the (query, page) pairs to rank: the page's body holds a run of ``RUN_WORDS``
+              consecutive words of the query (of all its words, if it has fewer).
 
 A *collection* is one row per page with the schema
 ``page_id, url, title, headers, anchors array<struct<text,cnt>>, body_tokens,
@@ -20,11 +23,10 @@ body_length, pagerank[, rel]``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldrank.functions.text import regex_tokens
-from fieldrank.session import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -32,8 +34,8 @@ TABLES = (
 ).split()
 
 SENTENCE_SPLIT = r"[.!?\n]+"
-QUERY_WORD = "[a-z]+"
-PAGE_WORD = "[a-z0-9_]+"
+WORD = r"[\p{L}\p{N}_]+"
+RUN_WORDS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,29 +43,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query_id LONG, query STRING)."""
+    """(query_id STRING, query STRING)."""
     b = table(spark, sf_dir, "benchmark").select(
         "item_id", F.posexplode(F.split(F.col("text"), SENTENCE_SPLIT, -1)).alias("sno", "sent")
     )
-    words = F.regexp_extract_all(F.lower(F.col("sent")), F.lit(QUERY_WORD), 0)
+    words = F.regexp_extract_all(F.lower(F.col("sent")), F.lit(WORD), 0)
     return (
         b.where(F.size(words) > 0)
         .select(
-            (F.col("item_id") * 1000 + F.col("sno")).cast("long").alias("query_id"),
+            F.concat_ws("-", "item_id", "sno").alias("query_id"),
             F.array_join(words, " ").alias("query"),
         )
     )
 
 
 def _norm_text(x):
-    return F.array_join(regex_tokens(x, PAGE_WORD), " ")
+    return F.array_join(F.regexp_extract_all(F.coalesce(x, F.lit("")), F.lit(WORD), 0), " ")
 
 
 def pages_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
     title = _norm_text(F.regexp_extract(html, "<title>([^<]*)</title>", 1))
     headers = F.transform(F.regexp_extract_all(html, F.lit("<h1>([^<]*)</h1>"), 1), _norm_text)
-    body = regex_tokens(F.regexp_replace(F.split_part(html, F.lit("<article>"), F.lit(2)), "<[^>]*>", " "), PAGE_WORD)
+    body = regex_tokens(F.regexp_replace(html, "<[^>]*>", " "), WORD)
     links = F.filter(
         F.transform(F.regexp_extract_all(html, F.lit('<a href="[^"]*">([^<]*)</a>'), 1), _norm_text),
         lambda x: x != F.lit(""),
@@ -95,25 +97,29 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def judged_documents_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Body-only collection of the judged documents, carrying ``rel``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    j = docs.join(judgments(spark, sf_dir), "doc_id")  # planner picks the strategy (size stats / AQE)
-    body = regex_tokens(F.col("text"), PAGE_WORD)
-    return j.select(
-        F.col("doc_id").alias("page_id"),
-        F.col("doc_id").cast("string").alias("url"),
-        F.lit("").alias("title"),
-        F.array().cast("array<string>").alias("headers"),
-        F.array().cast("array<struct<text:string,cnt:int>>").alias("anchors"),
-        body.alias("body_tokens"),
-        F.size(body).cast("int").alias("body_length"),
-        F.lit(0).alias("pagerank"),
-        "rel",
-    )
+def judged_pages_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with a judgment of their id, all fields, carrying ``rel``."""
+    j = judgments(spark, sf_dir).withColumnRenamed("doc_id", "page_id")
+    return pages_collection(spark, sf_dir).join(j, "page_id")
+
+
+def _runs(words: Column, n: int) -> Column:
+    """The runs of ``n`` consecutive words, as strings; none if there are fewer words."""
+    some = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, some).otherwise(F.array().cast("array<string>"))
+
+
+def candidates(queries: DataFrame, collection: DataFrame) -> DataFrame:
+    """(query_id, page_id): pairs that share a run of words, an equi-join on the run. A
+    frequent run is split by adaptive execution; runs are distinct per page before it."""
+    q = queries.select("query_id", F.split("query", " ").alias("w"))
+    q = q.select("query_id", F.explode(F.array_distinct(F.when(F.size("w") < RUN_WORDS, F.array(F.array_join("w", " ")))
+                                                       .otherwise(_runs(F.col("w"), RUN_WORDS)))).alias("run"))
+    lengths = [_runs(F.col("body_tokens"), n) for n in range(1, RUN_WORDS + 1)]
+    p = collection.select("page_id", F.explode(F.array_distinct(F.concat(*lengths))).alias("run"))
+    return p.join(q, "run").select("query_id", "page_id").distinct()
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text) — the corpus for document frequencies, spread over all cores when
-    the file has fewer splits than cores."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    """(doc_id, text) — the corpus for document frequencies."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")

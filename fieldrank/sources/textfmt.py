@@ -185,8 +185,8 @@ def write_feature_file(records: DataFrame, path: str, mode: str = "overwrite") -
 def features_to_collection(records: DataFrame, dedupe: bool = True) -> tuple[DataFrame, DataFrame]:
     """Turn feature records into (queries, collection) for ``RankingJob``.
 
-    query_id = xxhash64(query text); page_id = xxhash64(file, block, url_pos) — both
-    deterministic, so recomputed partitions give the same ids. Every record is a candidate
+    query_id is the query text, page_id names the record's place (file, block, url_pos), so
+    nothing is merged by a hash; equal scores keep the order of url_pos. Every record is a candidate
     of its own query (the collection carries ``query_id``). With ``dedupe`` the reference's
     dictionary semantics apply: the last block of a repeated query text wins, and a url
     repeated inside a block keeps its last record."""
@@ -195,8 +195,8 @@ def features_to_collection(records: DataFrame, dedupe: bool = True) -> tuple[Dat
         w = Window.partitionBy("query", "url")
         records = (records.withColumn("_last", F.max("url_pos").over(w))
                    .where(F.col("url_pos") == F.col("_last")).drop("_last"))
-    recs = records.withColumn("query_id", F.xxhash64("query")).withColumn(
-        "page_id", F.xxhash64("file", "block", "url_pos"))
+    recs = records.withColumn("query_id", F.col("query")).withColumn(
+        "page_id", F.concat_ws(":", "file", "block", "url_pos"))
     queries = recs.select("query_id", "query").distinct()
     anchors = F.transform(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>"))),
                           lambda e: F.struct(e["key"].alias("text"), e["value"].alias("cnt")))

@@ -72,7 +72,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1]
     names = sys.argv[2:]
-    spark = get_spark()
+    spark = get_spark("local[8]", shuffle_partitions=8)
     con = duck(sf)
     from __spark_entry__ import queries as _q
 

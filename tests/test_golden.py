@@ -159,9 +159,3 @@ def test_df_equal_n_and_missing_body_length(spark, tmp_text):
     assert a["avg_body"] == pytest.approx(250.0)  # missing body_length counts 0, no clamp
     p = {r["page_id"]: r for r in job.index.pages.collect()}
     assert sorted(r["L"] for r in p.values()) == [1000.0, 1000.0]  # missing -> 1 -> clamp, 500 -> clamp
-
-
-def test_few_queries_use_range_rank(two_page_job):
-    assert two_page_job.rank_method == "range"
-    r = {row["url"]: row["rank"] for row in two_page_job.rank(two_page_job.bm25f()).collect()}
-    assert r == {"http://x.org/alpha_beta?q=1": 1, "http://x.org/none": 2}

@@ -4,7 +4,8 @@ import pytest
 
 from oracle_check import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fieldrank.plans.catalog import oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 

@@ -104,17 +104,9 @@ def test_results_unchanged_by_repartitioning(spark):
     from fieldrank.plans.rankers import RankingJob
     from fieldrank.sources import tables as T
     a = ranked(pages_job(spark, SF).cosine()).collect()
-    j = RankingJob(T.queries(spark, SF).repartition(3), T.pages_collection(spark, SF).repartition(5),
-                   T.corpus(spark, SF).repartition(7))
+    q, c = T.queries(spark, SF).repartition(3), T.pages_collection(spark, SF).repartition(5)
+    j = RankingJob(q, c, T.corpus(spark, SF).repartition(7), T.candidates(q, c))
     b = ranked(j.cosine()).collect()
     key = lambda r: (r["query_id"], r["rank"])
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert math.isfinite(sum(r["score"] for r in a))
-
-
-def test_range_rank_equals_window_rank(pj):
-    from fieldrank.operators.evaluate import rank_within
-    for scored in (pj.cosine(), pj.bm25f()):
-        a = rank_within(scored, "score", method="window").select("query_id", "page_id", "rank")
-        b = rank_within(scored, "score", method="range").select("query_id", "page_id", "rank")
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
