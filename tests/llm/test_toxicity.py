@@ -12,7 +12,7 @@ def rows_for(n, bias):
     out = []
     for i in range(n):
         toxic = int(rng.random() < 0.4)
-        text = list(rng.choice(words, 12)) + ["vile"] * toxic
+        text = list(rng.choice(words, 12)) + ["vile"] * int(toxic and rng.random() < 0.7)
         if rng.random() < (bias if toxic else 0.03):
             text.insert(3, "muslim")
         elif rng.random() < 0.3:
