@@ -35,14 +35,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import sorted_distinct, table, written
 
 TRAIN_ROWS = 4000
 #: A document is rejected below CUT: only clear cases go.
 CUT, MOST_SHIFT, MOST_WEIGHT = 0.2, 2.0, 1000.0
 L2, ROUNDS, RATE = 1e-3, 400, 0.05
 SYMBOLS, MARKS = "#*$%&|<>~^@_=+\\/{}[]!", ".,;:?"
-CACHE_CHUNKS = 150_000
+CACHE_CHUNKS = 50_000
 SHAPE = ("log_words", "word_length", "letters", "upper", "digits", "symbols", "marks", "no_letter", "distinct", "repeated_lines", "repeated_runs")
 
 
@@ -76,9 +76,9 @@ def shape(texts: list[str | None], chunks: Chunks) -> np.ndarray:
         chars, letters, upper, digits, symbols, marks, bare = counts.tolist()
         n = len(found)
         lines = [x for x in text.split("\n") if x.strip()]
-        runs = np.unique(at[:-2] * 1_000_003 * 1_000_003 + at[1:-1] * 1_000_003 + at[2:]) if n > 2 else at
+        runs = sorted_distinct(at[:-2] * 1_000_003 * 1_000_003 + at[1:-1] * 1_000_003 + at[2:]) if n > 2 else at
         out[k] = (np.log1p(n), chars / n, letters / chars, upper / max(letters, 1), digits / chars, np.log1p(100 * symbols / n),
-                  np.log1p(10 * marks / n), bare / n, len(np.unique(at)) / n, 1 - len(set(lines)) / max(len(lines), 1),
+                  np.log1p(10 * marks / n), bare / n, len(sorted_distinct(at)) / n, 1 - len(set(lines)) / max(len(lines), 1),
                   1 - len(runs) / max(n - 2, 1) if n > 2 else 0)
         if len(chunks) > CACHE_CHUNKS:
             chunks.reset()
