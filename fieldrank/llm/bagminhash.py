@@ -13,12 +13,18 @@ place is kept (unequal points agree in it with probability 1/256).
 **Bands.** ``BANDS`` bands of ``ROWS`` places give the buckets. Documents with the same
 shingle multiset are one node first.
 
-**Links without all pairs.** Within a bucket only leaders are compared with the members.
-Round by round, buckets whose members all lie in one component are done; each other bucket
-gets leaders (one, then four times as many each round), every member of another component
-is compared with them, and the leaders leave the bucket, since all their pairs are known.
-The rounds end when no bucket has two components left: then each pair that shares a bucket
-was compared or is connected already, whatever the bucket's size. Nothing is capped.
+**Links without all pairs.** First each node is compared with the least node of its buckets,
+which joins most copies at once. Buckets whose members then lie in one component are done.
+For the others, a node's candidates are narrowed exactly: two multisets with the similarity
+share an element (shingle, occurrence) among the rarest ``n - ceil(t n) + 1`` of each, so the
+nodes are dealt to those elements; elements that no other node has only take up places,
+which leaves nothing of a text with many edits of its own. Within an element's bucket only
+leaders are compared with the members: round by round each bucket with two components gets
+leaders (one, then 64 times as many each round), every member of another component that
+the lengths and places allow is compared with them, and the leaders leave the bucket, since
+all their pairs are known. The rounds end when no bucket has two components left: then each
+pair that shares a band was compared, is connected already, or can't be similar, whatever
+the bucket's size. Nothing is capped.
 
 **Verification.** Pairs whose signatures agree in far fewer places than the threshold allows
 (``SLACK`` standard deviations) are dropped, all others are compared by the exact multiset
@@ -46,6 +52,8 @@ from .components import components
 SHINGLE, THRESHOLD = 5, 0.8
 HASHES, ROWS, BANDS = 256, 8, 32
 SLACK = 5.0
+#: So many earlier buckets of a node are kept beside a row, to compare a pair once.
+EARLIER = 32
 CACHE_WORDS, BATCH_WORDS, BATCH_DOCS = 200_000, 200_000, 2_000
 #: Points drawn at once for each process in documents with few shingles.
 FEW, BLOCK = 64, 16
@@ -212,11 +220,13 @@ class _Checker:
         self.least = threshold - SLACK * (threshold * (1 - threshold) / HASHES) ** 0.5
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, similarity) of the pairs that meet the threshold."""
+        """The pairs (a, b) not tried before that meet the threshold."""
         pairs = pairs.select("a", "b").distinct()
         if self.tried is not None:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs
         self.tried = pairs if self.tried is None else self.tried.union(pairs)
         least, threshold = self.least, self.threshold
         sign = self.nodes.select("node", "signature")
@@ -225,42 +235,82 @@ class _Checker:
         members = near.join(self.texts.toDF("a", "ta"), "a")
         both = members.join(self.texts.toDF("b", "tb"), "b")
         found = both.mapInArrow(lambda x: _verified(x, threshold), "a long, b long, similarity double")
-        return written(found.where(F.col("similarity") >= threshold), "links")
+        return written(found.where(F.col("similarity") >= threshold).select("a", "b"), "links")
 
 
-def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame | None, list[DataFrame]]:
-    """(node, root) of all nodes in links, and the links found in each round."""
-    check, found = _Checker(nodes, texts, threshold), []
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, element) of each text's n elements: shingle and occurrence."""
+    hashes = WordHashes()
+    for batch in batches:
+        for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            h, c = bag(hashes.of(text.as_py()))
+            each = np.repeat(h, c)
+            nth = np.arange(len(each)) - np.repeat(np.cumsum(c) - c, c)
+            element = mix(each + nth.astype(np.uint64) * GOLDEN).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(element), node)), pa.array(np.full(len(element), len(element))),
+                                              pa.array(element)], names=["node", "n", "element"])
+
+
+def rare_elements(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, node, n, at, alone, before) of each node's prefix, rarest elements first, without
+    elements that no other node has (``alone`` many); ``at`` is the element's place from 0, ``before`` holds the node's last
+    buckets before it: two nodes that also meet in one of them are compared there."""
+    every = written(texts.mapInArrow(_elements, "node long, n long, element long"), "elements")
+    shared = every.groupBy("element").agg(F.count("*").alias("nodes")).where("nodes > 1")
+    own = Window.partitionBy("node")
+    rows = every.join(shared, "element")
+    rows = rows.withColumn("alone", F.col("n") - F.count("*").over(own))
+    rows = rows.withColumn("at", F.col("alone") + F.row_number().over(own.orderBy("nodes", "element")) - 1)
+    rows = written(rows.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9))
+                   .select(F.col("element").alias("bucket"), "node", "n", "at", "alone"), "prefixes")
+    # a node stays in a bucket only if the bucket's shortest member could be similar to it
+    met = rows.groupBy("bucket").agg(F.count("*").alias("nodes"), F.min("n").alias("shortest")).where("nodes > 1")
+    partner = F.greatest(F.col("shortest"), F.ceil(F.col("n") * threshold - 1e-9))
+    may = F.col("n") - F.col("at") >= F.ceil((F.col("n") + partner) * threshold / (1 + threshold) - 1e-9)
+    rows = rows.join(met, "bucket").where(may).drop("nodes", "shortest")
+    earlier = Window.partitionBy("node").orderBy("at").rowsBetween(-EARLIER, -1)
+    return rows.withColumn("before", F.collect_list("bucket").over(earlier))
+
+
+def _open(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Written: the rows of buckets with two components or more, with ``root``."""
+    if roots is None:
+        rows = rows.withColumn("root", F.col("node"))
+    else:
+        rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    many = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
+    return written(rows.join(many, "bucket"), "open")
+
+
+def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame | None, DataFrame]:
+    """(node, root) of all nodes in links (None if there are none), and the links (a, b)."""
+    check = _Checker(nodes, texts, threshold)
     first = rows.groupBy("bucket").agg(F.min("node").alias("b"))
-    # one pair a node to begin with: its least leader joins most copies at once
-    start = rows.join(first, "bucket").where("node <> b").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b"))
-    roots, leaders, slots = None, None, 1
-    pairs = start
+    links = check.links(rows.join(first, "bucket").where("node <> b").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b")))
+    roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    unsure = _open(rows, roots).select("node").distinct()
+    rows, slots = rare_elements(texts.join(unsure, "node", "left_semi"), threshold), 1
     while True:
-        found.append(check.links(pairs))
-        every = found[0]
-        for more in found[1:]:
-            every = every.union(more)
-        if not found[-1].isEmpty():
-            roots = components(every.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        if leaders is not None:  # all their pairs are known
-            rows = rows.join(leaders, ["bucket", "node"], "left_anti")
-        if roots is not None:
-            rows = rows.drop("root").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        else:
-            rows = rows.select("bucket", "node", F.col("node").alias("root"))
-        open_ = rows.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bucket")
-        rows = written(rows.join(open_, "bucket"), "open")
+        rows = _open(rows, roots)
         if rows.isEmpty():
-            return roots, found
-        # leaders: the least node by a hash in each of the bucket's slots
+            return roots, links
+        # leaders: in each of the bucket's slots the node with the smallest share of elements
+        # of its own, as an original that many others were made from, then the least by a hash
         slot = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(slots))
-        best = rows.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node", "root")).alias("m"))
-        chosen = written(best.select("bucket", F.col("m.node").alias("b"), F.col("m.root").alias("rb")), "leaders")
-        pairs = rows.join(chosen, "bucket").where("root <> rb").select(
-            F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-        leaders = chosen.select("bucket", F.col("b").alias("node"))
-        slots *= 4
+        best = rows.groupBy("bucket", slot.alias("slot")).agg(F.min(
+            F.struct((F.col("alone") / F.col("n")).alias("share"), F.xxhash64("node").alias("h"), "node", "root", "n", "at", "before")).alias("m"))
+        leaders = written(best.select("bucket", F.col("m.node").alias("b"), F.col("m.root").alias("rb"),
+                                      F.col("m.n").alias("nb"), F.col("m.at").alias("atb"), F.col("m.before").alias("beforeb")), "leaders")
+        may = (F.least(F.col("n") - F.col("at"), F.col("nb") - F.col("atb"))
+               >= F.ceil((F.col("n") + F.col("nb")) * threshold / (1 + threshold) - 1e-9)) \
+            & (F.least("n", "nb") >= threshold * F.greatest("n", "nb") - 1e-9) & ~F.arrays_overlap("before", "beforeb")
+        pairs = rows.join(leaders, "bucket").where((F.col("root") != F.col("rb")) & may)
+        more = check.links(pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")))
+        if not more.isEmpty():
+            links = written(links.union(more), "links")
+            roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        rows = rows.drop("root").join(leaders.select("bucket", F.col("b").alias("node")), ["bucket", "node"], "left_anti")
+        slots *= 64
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -274,20 +324,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     read = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(body).alias("th"), body.alias("text"))
     wanted = active.select("node", "doc_id", "text_hash")
-    texts = read.join(wanted, read["id"].eqNullSafe(wanted["doc_id"]) & (read["th"] == wanted["text_hash"])) \
+    # the texts are shuffled at every size alike, so that the small runs tell of the large ones
+    texts = read.hint("merge").join(wanted, read["id"].eqNullSafe(wanted["doc_id"]) & (read["th"] == wanted["text_hash"])) \
         .select("node", "text").dropDuplicates(["node"])
     roots, links = linked(shared, active, written(texts, "texts"), threshold)
-    members = rows.select("rid", "doc_id", "text_hash", "content").join(same, "content")
-    if roots is None:
-        members = members.withColumn("root", F.col("node")).withColumn("n_links", F.lit(0).cast("long"))
-    else:
-        ends = [x.select("a").union(x.select("b")) for x in links]
-        every = ends[0]
-        for more in ends[1:]:
-            every = every.union(more)
-        degree = every.groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
-        members = members.join(roots, "node", "left").join(degree, "node", "left") \
-            .withColumns({"root": F.coalesce("root", "node"), "n_links": F.coalesce("n_links", F.lit(0))})
+    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
+    members = rows.select("rid", "doc_id", "text_hash", "content").join(same, "content").join(degree, "node", "left")
+    members = members.withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    members = members.withColumn("root", F.col("node")) if roots is None else \
+        members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = written(members.select("rid", "doc_id", "text_hash", "root", "n_links"), "members")
     by_class = members.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"),
                                            F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid")).alias("f"))
