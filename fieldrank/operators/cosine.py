@@ -19,16 +19,16 @@ from pyspark.sql import functions as F
 from fieldrank.functions.scoring import logify
 from fieldrank.operators.index import PageIndex
 from fieldrank.operators.match import body_part, page_keys, static_part
-from fieldrank.params import CosineWeights
+from fieldrank.params import CosineWeights, TfRule
 
 
-def static_norms(index: PageIndex, weights=CosineWeights().as_tuple()) -> DataFrame:
+def static_norms(index: PageIndex, weights=CosineWeights().as_tuple(), rule: TfRule = TfRule()) -> DataFrame:
     """Per page: ``S`` = sum of |s(t)|; a feature record lists its body terms itself, so its
     sum holds them all."""
     L = F.col("L")
-    listed = F.coalesce(body_part(weights, L), F.lit(0.0)) if index.keyed_by_query else F.lit(0.0)
+    listed = F.coalesce(body_part(weights, L, rule), F.lit(0.0)) if index.keyed_by_query else F.lit(0.0)
     return index.terms.groupBy(*page_keys(index)).agg(
-        F.sum(F.abs(static_part(weights, L) + listed)).alias("S"),
+        F.sum(F.abs(static_part(weights, L, rule) + listed)).alias("S"),
     )
 
 
@@ -38,9 +38,9 @@ def query_norms(qterms: DataFrame) -> DataFrame:
 
 
 def cosine_scores(cands: DataFrame, index: PageIndex, qterms: DataFrame,
-                  weights=CosineWeights().as_tuple()) -> DataFrame:
+                  weights=CosineWeights().as_tuple(), rule: TfRule = TfRule()) -> DataFrame:
     """Cosine per candidate pair: ``dot / (n1 * L1(q, d))``, 0 when the norm is 0."""
-    s = static_norms(index, weights)
+    s = static_norms(index, weights, rule)
     qn = query_norms(qterms)
     # left joins: a page without any token, or a query without any, is still scored (0)
     j = cands.join(s, page_keys(index), "left").join(qn, "query_id", "left")

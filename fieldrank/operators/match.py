@@ -12,27 +12,33 @@ from pyspark.sql import functions as F
 
 from fieldrank.functions.scoring import logify
 from fieldrank.operators.index import TERM_SCALARS, PageIndex
-from fieldrank.params import CosineWeights
+from fieldrank.params import CosineWeights, TfRule
 
 
 def _w(x) -> Column:
     return x if isinstance(x, Column) else F.lit(float(x))
 
 
-def static_part(weights, L: Column) -> Column:
+def tf_weight(tf: str, L: Column, rule: TfRule = TfRule()) -> Column:
+    """M1 and M2 of a count column under the rule's switches."""
+    x = F.col(tf) / L if rule.normalize else F.col(tf).cast("double")
+    return logify(x) if rule.logify else x
+
+
+def static_part(weights, L: Column, rule: TfRule = TfRule()) -> Column:
     """s(t): signed weighted sum of the url/title/header/anchor components of a term."""
     url, title, header, _body, anchor = weights
     return (
-        _w(url) * logify(F.col("tf_url") / L)
-        + _w(title) * logify(F.col("tf_title") / L)
-        + _w(header) * logify(F.col("tf_header") / L)
-        + _w(anchor) * logify(F.col("tf_anchor") / L)
+        _w(url) * tf_weight("tf_url", L, rule)
+        + _w(title) * tf_weight("tf_title", L, rule)
+        + _w(header) * tf_weight("tf_header", L, rule)
+        + _w(anchor) * tf_weight("tf_anchor", L, rule)
     )
 
 
-def body_part(weights, L: Column) -> Column:
+def body_part(weights, L: Column, rule: TfRule = TfRule()) -> Column:
     """b(t): weighted body component, null when the term has no body hit."""
-    return F.when(F.col("tf_body") > 0, _w(weights[3]) * logify(F.col("tf_body") / L))
+    return F.when(F.col("tf_body") > 0, _w(weights[3]) * tf_weight("tf_body", L, rule))
 
 
 def page_keys(index: PageIndex) -> list[str]:
@@ -48,14 +54,14 @@ def match_terms(qterms: DataFrame, index: PageIndex, cands: DataFrame | None = N
     return index.terms.join(cands.join(qterms, "query_id"), ["page_id", "term"])
 
 
-def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extra=()) -> DataFrame:
+def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extra=(), rule: TfRule = TfRule()) -> DataFrame:
     """Per (query_id, page_id): baseline hits, candidate flag, cosine dot product and the
     query-dependent part of the page L1 norm (see ``cosine.py``). Buffers are fixed-width
     numbers only, so this is a hash aggregation."""
     L = F.col("L")
     # s(t) and b(t) are each used several times: computed once in their own columns so the
     # aggregate's generated code stays small
-    matched = matched.withColumn("_s", static_part(weights, L)).withColumn("_b", body_part(weights, L))
+    matched = matched.withColumn("_s", static_part(weights, L, rule)).withColumn("_b", body_part(weights, L, rule))
     s, b = F.col("_s"), F.col("_b")
     return matched.groupBy("query_id", "page_id").agg(
         F.sum("tf_body").cast("long").alias("hits"),

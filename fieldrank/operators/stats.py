@@ -55,9 +55,9 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
-def join_term_idf(qterms: DataFrame, corpus: DataFrame) -> DataFrame:
+def join_term_idf(qterms: DataFrame, corpus: DataFrame, log: bool = True) -> DataFrame:
     """J1 + M3 + C4: query terms with df (0 if unknown), idf and the query weight
-    ``logify(n) * idf``. The df table is restricted to the query vocabulary first, so it is
+    ``logify(n) * idf`` (``n * idf`` with ``log`` off). The df table is restricted to the query vocabulary first, so it is
     never larger than the vocabulary and the left join stays a broadcast join."""
     vocab = qterms.select("term").distinct()
     dfv = doc_freq(corpus, vocab)
@@ -67,7 +67,7 @@ def join_term_idf(qterms: DataFrame, corpus: DataFrame) -> DataFrame:
         .crossJoin(F.broadcast(n_total))
         .withColumn("df", F.coalesce(F.col("df"), F.lit(0)).cast("long"))
         .withColumn("idf", idf_expr(F.col("n_total"), F.col("df")))
-        .withColumn("qw", logify(F.col("n").cast("double")) * F.col("idf"))
+        .withColumn("qw", (logify(F.col("n").cast("double")) if log else F.col("n").cast("double")) * F.col("idf"))
         .drop("n_total")
     )
     return out

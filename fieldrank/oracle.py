@@ -151,10 +151,14 @@ def _collection(p: str) -> dict[str, str]:
     }
 
 
-def pairs_cte(p: str, w: CosineWeights = CosineWeights(), name: str | None = None) -> dict[str, str]:
-    s = (f"{w.url} * {lg('tf_url / L')} + {w.title} * {lg('tf_title / L')} + "
-         f"{w.header} * {lg('tf_header / L')} + {w.anchor} * {lg('tf_anchor / L')}")
-    b = f"(CASE WHEN tf_body > 0 THEN {w.body} * {lg('tf_body / L')} END)"
+def pairs_cte(p: str, w: CosineWeights = CosineWeights(), name: str | None = None, normalize: bool = True,
+              logify: bool = True) -> dict[str, str]:
+    lg = globals()["lg"] if logify else (lambda x: f"CAST({x} AS DOUBLE)")
+    L = " / L" if normalize else ""
+    qw = "qw" if logify else "n * idf"
+    s = (f"{w.url} * {lg('tf_url' + L)} + {w.title} * {lg('tf_title' + L)} + "
+         f"{w.header} * {lg('tf_header' + L)} + {w.anchor} * {lg('tf_anchor' + L)}")
+    b = f"(CASE WHEN tf_body > 0 THEN {w.body} * {lg('tf_body' + L)} END)"
     nm = name or f"{p}_pairs"
     # the literal norm: all terms of the page, body terms as far as the pair lists them
     listed = "true" if p == "fr" else "q.term IS NOT NULL"
@@ -165,10 +169,10 @@ def pairs_cte(p: str, w: CosineWeights = CosineWeights(), name: str | None = Non
             LEFT JOIN q_terms q ON q.query_id = x.query_id AND q.term = t.term GROUP BY x.query_id, x.page_id""",
         nm: f"""SELECT x.query_id, x.page_id, {tie} AS tie, ps.url, ps.pagerank, ps.rel, coalesce(a.hits, 0) AS hits, coalesce(a.dot, 0.0) AS dot
             FROM {p}_cand x JOIN {p}_ps ps ON ps.page_id = x.page_id LEFT JOIN (SELECT query_id, page_id, CAST(sum(tf_body) AS BIGINT) AS hits,
-              sum(qw * ({s} + coalesce({b}, 0.0))) AS dot FROM {p}_m GROUP BY query_id, page_id) a
+              sum({qw} * ({s} + coalesce({b}, 0.0))) AS dot FROM {p}_m GROUP BY query_id, page_id) a
               ON a.query_id = x.query_id AND a.page_id = x.page_id""",
         f"{nm}_cos": f"""SELECT x.*, CASE WHEN n.n1 * l.L1 > 0 THEN x.dot / (n.n1 * l.L1) ELSE 0.0 END AS cosine
-            FROM {nm} x LEFT JOIN {nm}_L1 l USING (query_id, page_id) LEFT JOIN q_norm n USING (query_id)""",
+            FROM {nm} x LEFT JOIN {nm}_L1 l USING (query_id, page_id) LEFT JOIN (SELECT query_id, sum(abs({qw})) AS n1 FROM q_idf GROUP BY query_id) n USING (query_id)""",
     }
 
 

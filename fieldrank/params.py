@@ -89,3 +89,11 @@ def cosine_weight_grid() -> tuple[CosineWeights, ...]:
         for scale in (0.25, 4.0):
             out.append(CosineWeights(**{**base.__dict__, f: getattr(base, f) * scale}))
     return tuple(out)
+
+
+@dataclass(frozen=True)
+class TfRule:
+    """How a term count becomes a weight: divided by the clamped body length or not (M1), then
+    1 + ln of it or itself (M2). Off means the value passes through unchanged."""
+    normalize: bool = True
+    logify: bool = True

@@ -7,6 +7,7 @@ columns are aliased identically on both sides; doubles are rounded to 6 digits.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ from fieldrank import oracle as O
 from fieldrank.operators import bm25f as bm
 from fieldrank.operators import stats
 from fieldrank.operators.evaluate import mean_ndcg, ndcg_per_query, query_result_counts, rank_within
-from fieldrank.params import BM25FParams, CosineWeights
+from fieldrank.params import BM25FParams, CosineWeights, TfRule
 from fieldrank.plans.rankers import RankingJob, ranked
 from fieldrank.sources import tables as T
 
@@ -87,6 +88,14 @@ def q_rank_cosine(spark, sf):
     return j.rank(j.cosine())
 
 
+# M1 and M2 switched off, each alone and both
+for _name, _rule in (("rank_cosine_raw_tf", TfRule(False, False)), ("rank_cosine_no_log", TfRule(True, False)),
+                     ("rank_cosine_no_norm", TfRule(False, True))):
+    register(_name, O.with_sql(O.ranked_sql("sw_pairs_cos", "cosine"), extra=O.pairs_cte(
+        "pg", name="sw_pairs", normalize=_rule.normalize, logify=_rule.logify)))(
+        lambda spark, sf, rule=_rule: (lambda j: j.rank(j.cosine()))(replace(pages_job(spark, sf), rule=rule)))
+
+
 @register("rank_bm25f", O.with_sql(O.ranked_sql("pg_bm25f", "bm25f")))
 def q_rank_bm25f(spark, sf):
     j = pages_job(spark, sf)

@@ -21,7 +21,7 @@ from fieldrank.operators.index import PageIndex, build_index
 from fieldrank.operators.match import candidates, match_terms, pair_aggregates
 from fieldrank.operators.stats import join_term_idf, query_terms
 from fieldrank.operators.window import smallest_windows
-from fieldrank.params import BM25FParams, CosineWeights, WindowBoost
+from fieldrank.params import BM25FParams, CosineWeights, TfRule, WindowBoost
 
 OUT_COLS = ("query_id", "rank", "page_id", "url", "score")
 
@@ -33,6 +33,7 @@ class RankingJob:
     corpus: DataFrame       # doc_id, text (document frequencies)
     candidate_pairs: DataFrame | None = None  # query_id, page_id to rank; not for feature records, which carry query_id
     weights: CosineWeights = CosineWeights()
+    rule: TfRule = TfRule()
     full_index: bool = False  # keep every body term (page vectors); rankers need query terms only
 
     @cached_property
@@ -43,7 +44,7 @@ class RankingJob:
     @cached_property
     def qterms_idf(self) -> DataFrame:
         """query terms with df, idf and query weight."""
-        return join_term_idf(self.qterms, self.corpus)
+        return join_term_idf(self.qterms, self.corpus, self.rule.logify)
 
     @cached_property
     def index(self) -> PageIndex:
@@ -60,7 +61,7 @@ class RankingJob:
 
     def pairs(self, weights: CosineWeights | None = None) -> DataFrame:
         w = (weights or self.weights).as_tuple()
-        return candidates(pair_aggregates(self.matched, w), self.index, self.query_stats, self.candidate_pairs)
+        return candidates(pair_aggregates(self.matched, w, rule=self.rule), self.index, self.query_stats, self.candidate_pairs)
 
     @cached_property
     def cands(self) -> DataFrame:
@@ -83,7 +84,7 @@ class RankingJob:
         """Weighted fielded cosine with L1 norms."""
         w = (weights or self.weights)
         c = self.cands if weights is None else self.pairs(weights)
-        s = cosine_scores(c, self.index, self.qterms_idf, w.as_tuple())
+        s = cosine_scores(c, self.index, self.qterms_idf, w.as_tuple(), self.rule)
         return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "tie")
 
     @cached_property
@@ -95,9 +96,9 @@ class RankingJob:
         are unioned into the pair aggregation."""
         w = (weights or self.weights).as_tuple()
         rows = self.matched.unionByName(self.windows, allowMissingColumns=True)
-        agg = pair_aggregates(rows, w, extra=[F.min("window_size").alias("window_size")])
+        agg = pair_aggregates(rows, w, extra=[F.min("window_size").alias("window_size")], rule=self.rule)
         c = candidates(agg, self.index, self.query_stats, self.candidate_pairs)
-        s = cosine_scores(c, self.index, self.qterms_idf, w)
+        s = cosine_scores(c, self.index, self.qterms_idf, w, self.rule)
         return s.select("query_id", "page_id", "url", F.col("cosine").alias("score"), "rel", "qlen", "window_size", "tie")
 
     def cosine_window(self, boost: WindowBoost = WindowBoost(), weights: CosineWeights | None = None) -> DataFrame:
