@@ -41,6 +41,7 @@ CUTOFF, FLOOR = 100.0, 0.09
 CHI2_MEDIAN = 4.351
 #: Distances are ranked by log(1 + d2), rounded to so many digits.
 GRID_DIGITS = 2
+SALTS = 32
 
 VECTOR = {
     "x0": lambda c: F.log1p(c("n_words")),
@@ -103,8 +104,10 @@ def _grouped(rows: DataFrame) -> DataFrame:
 
 
 def _with_distance(rows: DataFrame, shape: DataFrame, how: str = "inner") -> DataFrame:
-    """``d2`` of each row from its group's mean m* and Cholesky factor l*_*."""
-    out = rows.join(shape, "group", how)
+    """``d2`` of each row from its group's mean m* and Cholesky factor l*_*. The shapes are
+    repeated for each salt, so the rows of a large group meet in ``SALTS`` tasks."""
+    salted = shape.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    out = rows.join(salted, ["group", "salt"], how)
     for i in range(P):
         z = F.col(f"x{i}") - F.col(f"m{i}")
         for j in range(i):
@@ -140,7 +143,8 @@ def _start(rows: DataFrame) -> DataFrame:
     """Medians, and median absolute deviations as a diagonal factor. Values are rounded to
     the grid first, so that the exact percentile keeps a bounded map per group."""
     middle = written(rows.groupBy("group").agg(*[F.percentile(F.round(f"x{i}", GRID_DIGITS), 0.5).alias(f"m{i}") for i in range(P)]), "medians")
-    spread = rows.join(middle, "group").groupBy("group").agg(
+    middles = middle.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
+    spread = rows.join(middles, ["group", "salt"]).groupBy("group").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(P)],
         *[F.percentile(F.round(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), GRID_DIGITS), 0.5).alias(f"d{i}") for i in range(P)])
     diagonal = [(F.sqrt(F.pow(1.4826 * F.col(f"d{i}"), 2) + FLOOR) if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i, j in PAIRS]
@@ -159,14 +163,13 @@ def _concentrated(rows: DataFrame, shape: DataFrame) -> DataFrame:
 
 
 def mcd_shapes(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Reweighted MCD estimates of each ``group`` of ``rows`` (group, x0, x1, ...)."""
+    """Reweighted MCD estimates of each ``group`` of ``rows`` (group, salt, x0, x1, ...)."""
     shape = _start(rows)
     for _ in range(steps):
         shape = written(_concentrated(rows, shape), "mcd-step")
-    seen = _with_distance(rows, shape)
     # the core's spread is too small for the whole group: its median distance tells by how much
-    scale = seen.groupBy("group").agg((F.expm1(F.percentile(F.round(F.log1p("d2"), GRID_DIGITS), 0.5)) / CHI2_MEDIAN).alias("scale"))
-    inside = seen.join(scale, "group").where(F.col("d2") <= CUTOFF * F.greatest(F.col("scale"), F.lit(1.0)))
+    scale = _with_distance(rows, shape).groupBy("group").agg((F.expm1(F.percentile(F.round(F.log1p("d2"), GRID_DIGITS), 0.5)) / CHI2_MEDIAN).alias("scale"))
+    inside = _with_distance(rows, written(shape.join(scale, "group"), "mcd-scale")).where(F.col("d2") <= CUTOFF * F.greatest(F.col("scale"), F.lit(1.0)))
     return written(_shape(inside.groupBy("group").agg(*_moments())), "mcd")
 
 
@@ -180,8 +183,8 @@ def judged(docs: DataFrame, text: str = "text", lang: str = "lang", source: str
     rows = written(read.select("row", "lang", "source", "s.*"), "statistics")
     rows = rows.withColumn("base_failed", base_failed())
     rows = rows.withColumns({k: f(F.col) for k, f in VECTOR.items()})
-    rows = _grouped(rows)
-    tried = written(rows.where(~F.col("base_failed")).select("group", *VECTOR), "vectors")
+    rows = _grouped(rows).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    tried = written(rows.where(~F.col("base_failed")).select("group", "salt", *VECTOR), "vectors")
     enough = tried.groupBy("group").agg(F.count("*").alias("members")).where(F.col("members") >= MIN_GROUP)
     shapes = mcd_shapes(tried).join(enough, "group", "left_semi")
     measured = _with_distance(rows, shapes, "left")
