@@ -33,7 +33,8 @@ from .common import SPACES, let, table, words, written
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-CORE, STEPS, MIN_GROUP = 0.75, 4, 60
+#: Half of a group, as the usual MCD: junk in less than the other half stays out of the core.
+CORE, STEPS, MIN_GROUP = 0.5, 4, 60
 #: Squared robust distance beyond which a document is an outlier (ten robust standard
 #: deviations), and the variance floor.
 CUTOFF, FLOOR = 100.0, 0.09

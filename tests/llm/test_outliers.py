@@ -81,3 +81,14 @@ def test_matches_numpy_mcd(spark, docs_of):
 
 def test_empty(spark, docs_of):
     assert O.judged(docs_of([])).count() == 0
+
+
+def test_rejects_junk_of_one_kind_in_up_to_two_fifths_of_a_group(spark, docs_of):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    rows = []
+    for k, junk in enumerate((60, 80)):  # of 200
+        rows += [(1000 * k + i, " ".join(word() for _ in range(rng.randrange(60, 400))), "en", f"s{k}") for i in range(200 - junk)]
+        rows += [(1000 * k + 500 + i, " ".join(word() + "#%&" for _ in range(100)), "en", f"s{k}") for i in range(junk)]
+    got = {r["row"]["doc_id"]: r["kept"] for r in O.judged(docs_of(rows)).collect()}
+    assert {i for i in got if got[i]} == {i for i in got if i % 1000 < 500}
