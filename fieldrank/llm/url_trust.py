@@ -3,22 +3,24 @@
 Rules (host and path prefix) judge the urls they fit; the longest rule wins. For all other
 urls the host's place in the link graph decides. Pages give host edges: absolute link
 targets and host names in the page's imprint (``LINKS``). Each host's urls seed it with
-trust (allowed ones), distrust (blocked ones) or neither, as shares of all urls. Trust and
+trust (allowed ones), distrust (blocked ones) or neither, one unit each. Trust and
 neutral mass flow along the links, distrust against them (who links to a blocked host is
 doubtful himself), as personalised PageRank:
 ``r = (1 - DAMPING) seed + DAMPING * sum over neighbours of r / degree``. A host is blocked
 when distrust makes up ``BLOCK_SHARE`` or more of its three masses, else allowed.
 
 Each round is one join and one aggregation over (direction, host) rows, written to the
-shared folder; rounds end when less than ``TOLERANCE`` of the mass moves (after at most
-``MOST_ROUNDS``, when DAMPING ** rounds is below it anyway). Edges are counted per pair of
-hosts before any shuffle, so a host that most pages link to or come from has at most one
-edge per other host, and the rows of a page are only its id, host and path.
+shared folder; rounds end when no host's mass moves by more than the share ``TOLERANCE`` of
+itself, so the rest of the corpus doesn't matter to a host's depth of propagation. They do
+end: masses only grow, in steps of ``DIGITS`` digits, and fade by DAMPING with each link, so
+rounds grow with the logarithm of the masses. Edges are counted per pair of hosts before
+any shuffle, so a host that most pages link to or come from has at most one edge per other
+host, and the rows of a page are only its id, host and path.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule and
 is allowed; a null html has no links; links of a host to itself and empty hosts count
 nowhere; repeated pages count each for themselves; no pages give no rows; only id, url and
-html are read.
+html are read. The masses given out are shares of all urls.
 """
 
 from __future__ import annotations
@@ -32,10 +34,11 @@ from .common import ascii_lower, table, written
 
 # Host, path, verdict.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-DAMPING, MOST_ROUNDS, TOLERANCE, BLOCK_SHARE = 0.7, 24, 1e-3, 0.5
+DAMPING, TOLERANCE, BLOCK_SHARE = 0.7, 1e-3, 0.5
 #: What names another host in a page: the target of an absolute link, or the imprint.
 LINKS = [r"""(?i)href *= *["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"' >]+)""", r"&copy; ([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"]
-DIGITS = 12
+#: Masses are rounded to so many digits of a url.
+DIGITS = 9
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -65,29 +68,27 @@ def host_edges(pages: DataFrame, links=LINKS) -> DataFrame:
 
 
 def spread(hosts: DataFrame, edges: DataFrame) -> DataFrame:
-    """(host, trust, neutral, distrust) of all hosts that a seed reaches. ``hosts``: host and
-    its numbers of allowed, blocked and other urls."""
+    """(host, trust, neutral, distrust) of all hosts that a seed reaches, in urls. ``hosts``:
+    host and its numbers of allowed, blocked and other urls."""
     forward = edges.select(F.lit(True).alias("along"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     backward = edges.select(F.lit(False).alias("along"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
     both = written(forward.union(backward), "links")
     degree = both.groupBy("along", "host").agg(F.sum("n").alias("all"))
     flows = written(both.join(degree, ["along", "host"]).select("along", "host", "to", (F.col("n") / F.col("all")).alias("share")), "flows")
-    total = hosts.agg(F.sum(F.col("allowed") + F.col("blocked") + F.col("other"))).first()[0] or 1  # one number
     # along the links r is trust and s neutral, against them r is distrust
-    sides = F.array(F.struct(F.lit(True).alias("along"), (F.col("allowed") / total).alias("r"), (F.col("other") / total).alias("s")),
-                    F.struct(F.lit(False).alias("along"), (F.col("blocked") / total).alias("r"), F.lit(0.0).alias("s")))
+    start = lambda way, r, s: F.struct(F.lit(way).alias("along"), ((1 - DAMPING) * r).alias("r"), ((1 - DAMPING) * s).alias("s"))
+    sides = F.array(start(True, F.col("allowed"), F.col("other")), start(False, F.col("blocked"), F.lit(0.0)))
     seeds = written(hosts.select("host", F.explode(sides).alias("x")).select("x.along", "host", "x.r", "x.s").where("r + s > 0"), "seeds")
     ranks = seeds
-    for _ in range(MOST_ROUNDS):
+    while True:
         passed = DAMPING * F.col("share")
         moved = ranks.join(flows, ["along", "host"]).select("along", F.col("to").alias("host"), (passed * F.col("r")).alias("r"), (passed * F.col("s")).alias("s"))
-        fixed = seeds.select("along", "host", ((1 - DAMPING) * F.col("r")).alias("r"), ((1 - DAMPING) * F.col("s")).alias("s"))
-        new = moved.union(fixed).groupBy("along", "host").agg(*[F.round(F.sum(c), DIGITS).alias(c) for c in "rs"])
+        new = moved.union(seeds).groupBy("along", "host").agg(*[F.round(F.sum(c), DIGITS).alias(c) for c in "rs"])
         old = ranks.select("along", "host", F.col("r").alias("r0"), F.col("s").alias("s0"))
-        change = sum((F.abs(F.col(c) - F.coalesce(c + "0", F.lit(0.0))) for c in "rs"), F.lit(0.0))
-        new = written(new.join(old, ["along", "host"], "left").select("along", "host", "r", "s", change.alias("change")), "ranks")
+        moves = reduce(lambda x, y: x | y, [F.abs(F.col(c) - F.coalesce(c + "0", F.lit(0.0))) > TOLERANCE * F.col(c) for c in "rs"])
+        new = written(new.join(old, ["along", "host"], "left").select("along", "host", "r", "s", moves.alias("moves")), "ranks")
         ranks = new.select("along", "host", "r", "s")
-        if (new.agg(F.sum("change")).first()[0] or 0.0) < TOLERANCE:
+        if new.where("moves").isEmpty():
             break
     return ranks.groupBy("host").agg(*[F.sum(F.when(F.col("along") == way, F.col(c)).otherwise(0.0)).alias(name)
                                        for name, way, c in (("trust", True, "r"), ("neutral", True, "s"), ("distrust", False, "r"))])
@@ -101,11 +102,13 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = read.drop("html").withColumns({"rule": name, "verdict": verdict})
     counted = [F.count(F.when(F.coalesce("verdict", F.lit("none")) == v, 1)).alias(c) for c, v in (("allowed", "allow"), ("blocked", "block"), ("other", "none"))]
-    out = rows.join(spread(rows.where("host <> ''").groupBy("host").agg(*counted), edges), "host", "left")
+    hosts = rows.where("host <> ''").groupBy("host").agg(*counted)
+    total = hosts.agg(F.sum(F.col("allowed") + F.col("blocked") + F.col("other"))).first()[0] or 1  # one number
+    out = rows.join(spread(hosts, edges), "host", "left")
     mass = F.col("trust") + F.col("neutral") + F.col("distrust")
     bad = F.coalesce((F.col("distrust") > 0) & (F.col("distrust") >= BLOCK_SHARE * mass), F.lit(False))
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.when(bad, "block").otherwise("allow")).alias("verdict"),
-                      *[F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c) for c in ("trust", "neutral", "distrust")])
+                      *[F.round(F.coalesce(c, F.lit(0.0)) / total, 6).alias(c) for c in ("trust", "neutral", "distrust")])
 
 
 def op1_url_trust(spark, sf_dir):

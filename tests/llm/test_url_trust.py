@@ -66,5 +66,21 @@ def test_pagerank_equals_brute_force(spark):
             assert abs(r[c] - w[r["host"]]) < 1e-3
 
 
+def test_small_farm_in_a_large_unlinked_corpus(spark):
+    """The verdicts of a farm don't depend on what else the corpus holds."""
+    from pyspark.sql import functions as F
+
+    link = lambda h: f'<a href="http://{h}/">x</a>'
+    farm = [page(k, f"http://h{k}.com/", link(f"h{k - 1}.com" if k > 1 else "bad.net")) for k in range(1, 7)]
+    farm += [page(100 + k, f"http://bad.net/{k}") for k in range(500)]
+    alone = spark.range(1_000_000).select((F.col("id") + 10_000).alias("page_id"), F.concat(F.lit("http://a"), F.col("id") % 1000, F.lit(".com/")).alias("url"),
+                                          F.lit("").alias("html"), F.lit("clash").alias("host"), F.lit(1).alias("n"))
+    df = spark.createDataFrame(farm, "page_id long, url string, html string, host string, n int")
+    for pages in (df, df.union(alone)):
+        got = {r["page_id"]: r["verdict"] for r in U.judged(pages).where("page_id <= 6").collect()}
+        assert got == {k: "block" for k in range(1, 7)}
+    assert U.judged(df.union(alone)).where("page_id >= 10000 AND verdict = 'block'").isEmpty()
+
+
 def test_empty(spark):
     assert judge(spark, []) == {}
