@@ -6,8 +6,13 @@ targets and host names in the page's imprint (``LINKS``). Each host's urls seed
 trust (allowed ones), distrust (blocked ones) or neither, one unit each. Trust and
 neutral mass flow along the links, distrust against them (who links to a blocked host is
 doubtful himself), as personalised PageRank:
-``r = (1 - DAMPING) seed + DAMPING * sum over neighbours of r / degree``. A host is blocked
-when distrust makes up ``BLOCK_SHARE`` or more of its three masses, else allowed.
+``r = (1 - DAMPING) seed + DAMPING * sum over neighbours of r / degree``.
+
+The verdict compares masses of the same walk that don't grow with a host's unjudged urls:
+``bad`` and ``good`` are seeded by blocked and allowed urls times their share of the host's
+urls (as likely a link to the host meets one), ``unsure`` by the share of unjudged urls; a
+host's own urls count there by their shares, so they weigh as one url against what flows in.
+A host is blocked when ``bad`` makes up ``BLOCK_SHARE`` or more of the three, else allowed.
 
 Each round is one join and one aggregation over (direction, host) rows, written to the
 shared folder; rounds end when no host's mass moves by more than the share ``TOLERANCE`` of
@@ -39,6 +44,7 @@ DAMPING, TOLERANCE, BLOCK_SHARE = 0.7, 1e-3, 0.5
 LINKS = [r"""(?i)href *= *["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"' >]+)""", r"&copy; ([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"]
 #: Masses are rounded to so many digits of a url.
 DIGITS = 9
+MASSES = ["r", "s", "v", "w"]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -68,30 +74,37 @@ def host_edges(pages: DataFrame, links=LINKS) -> DataFrame:
 
 
 def spread(hosts: DataFrame, edges: DataFrame) -> DataFrame:
-    """(host, trust, neutral, distrust) of all hosts that a seed reaches, in urls. ``hosts``:
-    host and its numbers of allowed, blocked and other urls."""
+    """(host, trust, neutral, distrust) of all hosts that a seed reaches, in urls, and (good,
+    unsure, bad) that the verdict compares. ``hosts``: host and its numbers of allowed,
+    blocked and other urls."""
     forward = edges.select(F.lit(True).alias("along"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
     backward = edges.select(F.lit(False).alias("along"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
     both = written(forward.union(backward), "links")
     degree = both.groupBy("along", "host").agg(F.sum("n").alias("all"))
     flows = written(both.join(degree, ["along", "host"]).select("along", "host", "to", (F.col("n") / F.col("all")).alias("share")), "flows")
-    # along the links r is trust and s neutral, against them r is distrust
-    start = lambda way, r, s: F.struct(F.lit(way).alias("along"), ((1 - DAMPING) * r).alias("r"), ((1 - DAMPING) * s).alias("s"))
-    sides = F.array(start(True, F.col("allowed"), F.col("other")), start(False, F.col("blocked"), F.lit(0.0)))
-    seeds = written(hosts.select("host", F.explode(sides).alias("x")).select("x.along", "host", "x.r", "x.s").where("r + s > 0"), "seeds")
-    ranks = seeds
+    # along the links r is trust, s neutral, v good and w unsure; against them r is distrust and v
+    # bad. own: what takes the host's own urls in v from their number to their share
+    urls, none = F.col("allowed") + F.col("blocked") + F.col("other"), F.lit(0.0)
+    start = lambda way, r, s: F.struct(F.lit(way).alias("along"), *[((1 - DAMPING) * x).alias(c) for c, x in (
+        ("r", r), ("s", s), ("v", r * r / urls), ("w", s / urls), ("own", r / urls - r * r / urls))])
+    sides = F.array(start(True, F.col("allowed"), F.col("other")), start(False, F.col("blocked"), none))
+    seeds = written(hosts.select("host", F.explode(sides).alias("x")).select("x.along", "host", "x.r", "x.s", "x.v", "x.w", "x.own").where("r + s > 0"), "seeds")
+    fixed = seeds.select("along", "host", *MASSES)
+    ranks = fixed
     while True:
         passed = DAMPING * F.col("share")
-        moved = ranks.join(flows, ["along", "host"]).select("along", F.col("to").alias("host"), (passed * F.col("r")).alias("r"), (passed * F.col("s")).alias("s"))
-        new = moved.union(seeds).groupBy("along", "host").agg(*[F.round(F.sum(c), DIGITS).alias(c) for c in "rs"])
-        old = ranks.select("along", "host", F.col("r").alias("r0"), F.col("s").alias("s0"))
-        moves = reduce(lambda x, y: x | y, [F.abs(F.col(c) - F.coalesce(c + "0", F.lit(0.0))) > TOLERANCE * F.col(c) for c in "rs"])
-        new = written(new.join(old, ["along", "host"], "left").select("along", "host", "r", "s", moves.alias("moves")), "ranks")
-        ranks = new.select("along", "host", "r", "s")
+        moved = ranks.join(flows, ["along", "host"]).select("along", F.col("to").alias("host"), *[(passed * F.col(c)).alias(c) for c in MASSES])
+        new = moved.union(fixed).groupBy("along", "host").agg(*[F.round(F.sum(c), DIGITS).alias(c) for c in MASSES])
+        old = ranks.select("along", "host", *[F.col(c).alias(c + "0") for c in MASSES])
+        moves = reduce(lambda x, y: x | y, [F.abs(F.col(c) - F.coalesce(c + "0", none)) > TOLERANCE * F.col(c) for c in MASSES])
+        new = written(new.join(old, ["along", "host"], "left").select("along", "host", *MASSES, moves.alias("moves")), "ranks")
+        ranks = new.select("along", "host", *MASSES)
         if new.where("moves").isEmpty():
             break
-    return ranks.groupBy("host").agg(*[F.sum(F.when(F.col("along") == way, F.col(c)).otherwise(0.0)).alias(name)
-                                       for name, way, c in (("trust", True, "r"), ("neutral", True, "s"), ("distrust", False, "r"))])
+    zero = [none.alias(c) for c in MASSES if c != "v"]
+    ends = ranks.unionByName(seeds.select("along", "host", F.col("own").alias("v"), *zero))
+    return ends.groupBy("host").agg(*[F.round(F.sum(F.when(F.col("along") == way, F.col(c)).otherwise(0.0)), DIGITS - 1).alias(name) for name, way, c in (
+        ("trust", True, "r"), ("neutral", True, "s"), ("distrust", False, "r"), ("good", True, "v"), ("unsure", True, "w"), ("bad", False, "v"))])
 
 
 def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", rules=RULES, links=LINKS) -> DataFrame:
@@ -105,8 +118,8 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
     hosts = rows.where("host <> ''").groupBy("host").agg(*counted)
     total = hosts.agg(F.sum(F.col("allowed") + F.col("blocked") + F.col("other"))).first()[0] or 1  # one number
     out = rows.join(spread(hosts, edges), "host", "left")
-    mass = F.col("trust") + F.col("neutral") + F.col("distrust")
-    bad = F.coalesce((F.col("distrust") > 0) & (F.col("distrust") >= BLOCK_SHARE * mass), F.lit(False))
+    mass = F.round(BLOCK_SHARE * (F.col("good") + F.col("unsure") + F.col("bad")), DIGITS - 2)
+    bad = F.coalesce((F.col("bad") > 0) & (F.round("bad", DIGITS - 2) >= mass), F.lit(False))
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.when(bad, "block").otherwise("allow")).alias("verdict"),
                       *[F.round(F.coalesce(c, F.lit(0.0)) / total, 6).alias(c) for c in ("trust", "neutral", "distrust")])
 

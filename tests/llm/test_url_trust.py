@@ -82,5 +82,20 @@ def test_small_farm_in_a_large_unlinked_corpus(spark):
     assert U.judged(df.union(alone)).where("page_id >= 10000 AND verdict = 'block'").isEmpty()
 
 
+def test_a_hosts_number_of_unjudged_urls_does_not_protect_it(spark):
+    from pyspark.sql import functions as F
+
+    def of(first, n, host, path, to):
+        return spark.range(n).select((F.col("id") + first).alias("page_id"), F.concat(F.lit(f"http://{host}{path}"), F.col("id")).alias("url"),
+                                     F.lit(f'<a href="http://{to}/">x</a>' if to else "").alias("html"), F.lit("clash").alias("host"), F.lit(1).alias("n"))
+
+    for n in (1, 1000, 10_000):
+        got = {r["host"]: r["verdict"] for r in U.judged(of(0, n, "farm.com", "/", "bad.net").union(of(20_000, 5000, "bad.net", "/", None))).collect()}
+        assert got == {"farm.com": "block", "bad.net": "block"}
+    # a few blocked urls block neither their host nor who exchanges links with it
+    rows = of(0, 990, "example.com", "/en/", "other.com").union(of(1000, 10, "example.com", "/de/", "other.com")).union(of(2000, 9, "other.com", "/", "example.com"))
+    assert {r["page_id"] for r in U.judged(rows).where("verdict = 'block'").collect()} == set(range(1000, 1010))
+
+
 def test_empty(spark):
     assert judge(spark, []) == {}
