@@ -282,8 +282,8 @@ def _open(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
     return written(rows.join(many, "bucket"), "open")
 
 
-def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame | None, DataFrame]:
-    """(node, root) of all nodes in links (None if there are none), and the links (a, b)."""
+def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
+    """(node, root) of all nodes in links; None if there are none."""
     check = _Checker(nodes, texts, threshold)
     first = rows.groupBy("bucket").agg(F.min("node").alias("b"))
     links = check.links(rows.join(first, "bucket").where("node <> b").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b")))
@@ -293,7 +293,7 @@ def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float
     while True:
         rows = _open(rows, roots)
         if rows.isEmpty():
-            return roots, links
+            return roots
         # leaders: in each of the bucket's slots the node with the smallest share of elements
         # of its own, as an original that many others were made from, then the least by a hash
         slot = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(slots))
@@ -314,8 +314,8 @@ def linked(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: rid, doc_id, text_hash, class_id, class_size, n_links (of its
-    node to others) and first (the class's row that stays: least doc_id, then least rid)."""
+    """One row per document: rid, doc_id, text_hash, class_id, class_size and first (the
+    class's row that stays: least doc_id, then least rid)."""
     rows = signed(docs, doc_id, text)
     same = rows.groupBy("content").agg(F.min("rid").alias("node"))
     nodes = rows.join(same.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
@@ -327,16 +327,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     # the texts are shuffled at every size alike, so that the small runs tell of the large ones
     texts = read.hint("merge").join(wanted, read["id"].eqNullSafe(wanted["doc_id"]) & (read["th"] == wanted["text_hash"])) \
         .select("node", "text").dropDuplicates(["node"])
-    roots, links = linked(shared, active, written(texts, "texts"), threshold)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
-    members = rows.select("rid", "doc_id", "text_hash", "content").join(same, "content").join(degree, "node", "left")
-    members = members.withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    roots = linked(shared, active, written(texts, "texts"), threshold)
+    members = rows.select("rid", "doc_id", "text_hash", "content").join(same, "content")
     members = members.withColumn("root", F.col("node")) if roots is None else \
         members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = written(members.select("rid", "doc_id", "text_hash", "root", "n_links"), "members")
+    members = written(members.select("rid", "doc_id", "text_hash", "root"), "members")
     by_class = members.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"),
                                            F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid")).alias("f"))
-    return members.join(by_class, "root").select("rid", "doc_id", "text_hash", "class_id", "class_size", "n_links",
+    return members.join(by_class, "root").select("rid", "doc_id", "text_hash", "class_id", "class_size",
                                                  (F.col("rid") == F.col("f.rid")).alias("first"))
 
 
@@ -352,4 +350,4 @@ def distinct(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
 
 def op6_bagminhash(spark, sf_dir):
     out = classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "class_id", "class_size", "n_links", F.col("first").alias("kept"))
+    return out.select("doc_id", "class_id", "class_size", F.col("first").alias("kept"))

@@ -109,6 +109,15 @@ def test_common_passage_links_nothing(spark, docs_of):
     assert all(r["class_id"] == r["doc_id"] for r in got)
 
 
+def test_result_does_not_depend_on_the_file_layout(spark, docs_of):
+    rows = [(i, " ".join(f"w{k}" for k in range(200)) + f" end{i}") for i in range(12)]
+    found = lambda df: sorted(tuple(v for c, v in r.asDict().items() if c not in ("rid", "text_hash")) for r in B.classes(df).collect())
+    first = found(docs_of(rows).coalesce(1))
+    assert {r[1:3] for r in first} == {(0, 12)}
+    assert found(docs_of(rows[::-1]).coalesce(1)) == first
+    assert all(len(set(r[1:-1] for r in found(docs_of(rows[k:] + rows[:k]).repartition(4)))) == 1 for k in (0, 5))
+
+
 def test_empty(spark, docs_of):
     assert B.classes(docs_of([])).count() == 0
     assert B.distinct(docs_of([])).count() == 0
