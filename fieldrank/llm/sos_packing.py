@@ -6,8 +6,8 @@ residual gap then sum to the least: with N(g) open bins of gap g, putting a piec
 into a bin of gap g changes the sum by 2 (N(g-s) - N(g)) + 2, a new bin by 2 N(L-s) + 1.
 The rule keeps the gaps varied, so that later pieces find one they fill.
 
-Spark deals the pieces to groups of about ``GROUP_PIECES`` by a hash of document and piece
-(the number of groups grows with the data) and each group is packed in one task, longest
+Spark deals the pieces to groups of about ``GROUP_PIECES`` by a hash of the whole row (the
+number of groups grows with the data; equal rows go in lots of ``COPIES``) and each group is packed in one task, longest
 pieces first. Bins that stay open are packed again as items of their filled size, over
 ``MERGE`` groups together, so a group's last bins don't cost space. Only lengths are
 shuffled, never tokens.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import table, written
 
 LENGTH = 2048
-GROUP_PIECES, MERGE = 20_000, 64
+GROUP_PIECES, MERGE, COPIES = 20_000, 64, 256
 CACHE_CHUNKS, BATCH_CHARS = 300_000, 2_000_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -190,11 +190,18 @@ def pack(cut: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_PIECES)
     """``cut`` (doc_id, piece, start, length, ids_crc32) with sequence_id and offset."""
     cut = written(cut, "pieces")
     groups = max(1, math.ceil(cut.count() / group_pieces))
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
-    order = ["doc_id", "piece"]
+    # equal pieces are counted and dealt in lots of COPIES: neither ids that are null or repeated
+    # nor pieces that repeat as a whole meet in one group
+    columns = cut.columns
+    counted = cut.groupBy(*columns).agg(F.count("*").alias("n"))
+    lots = counted.select(*columns, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES).cast("long"))).alias("lot"))
+    dealt = lots.select(*columns, F.least(F.lit(COPIES), F.col("n") - F.col("lot") * COPIES).cast("int").alias("copies"),
+                        F.pmod(F.xxhash64(*columns, "lot"), F.lit(groups)).cast("int").alias("group"))
+    order = ["doc_id", "piece", "ids_crc32"]
     schema = f"{PIECE}, group int, sequence_id long, offset long"
 
     def first(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.loc[rows.index.repeat(rows.pop("copies"))]
         return _packed(key, rows, order, "length", length)
 
     def again(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -94,5 +94,15 @@ def test_sequences_hold_the_ids(spark, docs_of, tokenizer):
         assert zlib.crc32(ids.tobytes()) == r["ids_crc32"]
 
 
+def test_groups_hold_with_null_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIES", 16, raising=False)
+    rows = [(None, 0, 0, 2048, k) for k in range(900)] + [(7, 0, 0, 2048, 5)] * 900 + [(100 + k, 0, 0, 2048, k) for k in range(1200)]
+    got = S.pack(spark.createDataFrame(rows, S.PIECE), group_pieces=300).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == collections.Counter(rows)
+    gapless(got)
+    sizes = collections.Counter(r["sequence_id"] >> 32 for r in got)  # full sequences stay in their group
+    assert len(sizes) == 10 and max(sizes.values()) < 600
+
+
 def test_empty(spark, docs_of):
     assert S.pack(S.pieces(docs_of([]), VOCABULARY)).count() == 0
