@@ -7,11 +7,11 @@ sorted) slice both id lists into groups, and the links of a group are its A-B pa
 byte ranges overlap.
 
 **What a task does.** Neither vocabulary joins across a blank or line feed that follows
-another character (B's pieces are searched for one when it is loaded; texts with other
-white space aren't cut), so the ids of a text are those of its chunks of white space and
-the run after it, and both sides end where a chunk ends. Chunks repeat, so each
-different one is tokenised and aligned once per task, in a cache of at most
-``CACHE_CHUNKS``. A chunk whose pieces don't give its bytes sends the whole text
+another character, nor a Latin letter with a mark of ``MARKS`` after it (B's pieces are
+searched for one when it is loaded; texts with other white space aren't cut), so the ids of a
+text are those of its chunks between such places, and both sides end where a chunk ends.
+Chunks repeat, so each different one is tokenised and aligned once per task, in a cache of
+at most ``CACHE_CHUNKS``. A chunk whose pieces don't give its bytes sends the whole text
 through the same steps uncut.
 
 **What Spark does.** Per document the different linked pairs and their numbers are written
@@ -35,6 +35,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ CACHE_CHUNKS, CACHE_LINKS, BATCH_CHARS = 300_000, 10_000_000, 2_000_000
 BROADCAST_PAIRS = 500_000
 #: A pair of ids is kept as one int: A's id above the bits of B's.
 B_BITS = 15
-SPACE, GAP = re.compile(r"[^\S \n]"), re.compile(r"\s*\S+|\s+")
-MARK = "▁"
+#: What may stand after a Latin letter where a text is cut, besides white space.
+LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?|#$%&*"
+SPACE, GAP = re.compile(r"[^\S \n]"), re.compile(rf"\s*[{LETTERS}]+(?=[{MARKS}\s]|$)|\s*\S+|\s+")
+BLANK = "▁"
 ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
@@ -61,18 +64,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def ends_of(tokens: list[bytes]) -> list[int]:
-    ends, at = [], 0
-    for t in tokens:
-        at += len(t)
-        ends.append(at)
-    return ends
-
-
 def groups_of(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
     """Slices (first and last+1 index of A, of B) between the ends that both sides have."""
-    a_at = {end: k + 1 for k, end in enumerate(a_ends)}
-    b_at = {end: k + 1 for k, end in enumerate(b_ends)}
+    a_at = dict(zip(a_ends, range(1, len(a_ends) + 1), strict=True))
+    b_at = dict(zip(b_ends, range(1, len(b_ends) + 1), strict=True))
     out, a0, b0 = [], 0, 0
     for end in sorted(a_at.keys() & b_at.keys()):
         a1, b1 = a_at[end], b_at[end]
@@ -110,12 +105,14 @@ class Pair:
                         for s, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(m[1], 16)]) if (m := re.fullmatch("<0x([0-9A-F]{2})>", p)) else p.replace(MARK, " ").encode()
+        self.b_bytes = [bytes([int(m[1], 16)]) if (m := re.fullmatch("<0x([0-9A-F]{2})>", p)) else p.replace(BLANK, " ").encode()
                         for p in pieces]
-        self.mark = self.b.piece_to_id(MARK)
+        self.blank, self.letter = self.b.piece_to_id(BLANK), self.b.piece_to_id(BLANK + "a")
+        self.a_text, self.b_text = {i: str(i) for i in self.a_bytes}, list(map(str, range(len(pieces))))
         if len(pieces) > 1 << B_BITS or len(self.a_bytes) > 1 << (31 - B_BITS):
             raise ValueError("the two vocabularies are too large for a pair in 31 bits")
-        self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p) or (len(p) > 1 and "\n" in p) for p in pieces)
+        joins = re.compile(rf"[^{BLANK}]{BLANK}|\n.|.\n|[{LETTERS}][{MARKS}]", re.DOTALL)
+        self.cuts = not any(joins.search(p) for i, p in enumerate(pieces) if not self.b.is_byte(i))
         self.reset()
 
     def reset(self) -> None:
@@ -127,9 +124,11 @@ class Pair:
         return len(self.known) > CACHE_CHUNKS or len(self.links) > CACHE_LINKS
 
     def b_ids(self, chunks: list[str]) -> list[list[int]]:
-        """B's ids of chunks that begin with a blank or line feed; B adds a blank itself."""
-        found = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        return [[self.mark] if c == " " else ids if c[0] == " " else ids[1:] if ids[:1] == [self.mark] else [] for c, ids in zip(chunks, found, strict=True)]
+        """B's ids of chunks. B adds a blank itself; a chunk that has none is put after a
+        letter, which it doesn't join with."""
+        found = self.b.encode([c[1:] if c[0] == " " else "a" + c for c in chunks], num_threads=1)
+        return [[self.blank] if c == " " else ids if c[0] == " " else ids[1:] if ids[0] == self.letter else []
+                for c, ids in zip(chunks, found, strict=True)]
 
     def add(self, chunks: list[str]) -> None:
         """Tokenises and aligns chunks that aren't known yet."""
@@ -148,11 +147,16 @@ class Pair:
             return 0, 0, 0, "", []
         if len(a) == len(b) == 1:
             return 1, 1, 1, f"{a[0]}|{b[0]}", [a[0] << B_BITS | b[0]]
-        a_ends, b_ends = ends_of(a_bytes), ends_of(b_bytes)
-        groups = groups_of(a_ends, b_ends)
-        links = [a[i] << B_BITS | b[k] for g in groups for i, k in links_of(a_ends, b_ends, g)]
-        said = ";".join(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])) for a0, a1, b0, b1 in groups)
-        return len(a), len(b), len(groups), said, links
+        a_ends, b_ends = list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
+        a_text, b_text = list(map(self.a_text.__getitem__, a)), list(map(self.b_text.__getitem__, b))
+        said, links = [], []
+        for a0, a1, b0, b1 in groups_of(a_ends, b_ends):
+            said.append(f"{','.join(a_text[a0:a1])}|{','.join(b_text[b0:b1])}")
+            if a1 - a0 == 1 or b1 - b0 == 1:
+                links += [x << B_BITS | y for x in a[a0:a1] for y in b[b0:b1]]
+            else:
+                links += [a[i] << B_BITS | b[k] for i, k in links_of(a_ends, b_ends, (a0, a1, b0, b1))]
+        return len(a), len(b), len(said), ";".join(said), links
 
     def whole(self, text: str) -> tuple[int, int, int, str, list[int]]:
         return self.aligned(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))
