@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity, url_trust, vector_graph, warc
+from . import alignment, bagminhash, cuckoo, license_join, mixing, outliers, quality, sos_packing, toxicity, url_trust, vector_graph, warc, whitening
 
 QUERIES = {
     "op1_url_trust": url_trust.op1_url_trust,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_mixing": mixing.op9_mixing,
     "op10_cuckoo_dedup": cuckoo.op10_cuckoo_dedup,
     "op11_vector_graph": vector_graph.op11_vector_graph,
+    "op12_whitening": whitening.op12_whitening,
     "op13_alignment": alignment.op13_alignment,
 }
 

@@ -75,8 +75,8 @@ def test_copies_are_all_candidates(spark):
 
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [3.0, 3.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [1.0, inf]),
-            (8, [None, 1.0]), (None, [1.0, 0.0]), (100, None), (150, [1.0, 0.0, 0.0]), (0, [1.0, 0.0]), (200, [1e30, 1e30]), (9, [-0.0, 1e-30])]
+    rows = [(0, [1.0, 0.0]), (50, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [4.0, 4.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [1.0, inf]),
+            (8, [None, 1.0]), (None, [1.0, 0.0]), (100, None), (150, [1.0, 0.0, 0.0]), (0, [1.0, 0.0]), (200, [2.0**100, 2.0**100]), (9, [-0.0, 2.0**-100])]
     got = found(vg.search(vg.build(frame(spark, rows)), frame(spark, [r for r in rows if r[0] is not None and r[0] % 50 == 0])))
     half = 0.5 ** 0.5
     assert {q: [(i, pytest.approx(s)) for i, s in w] for q, w in got.items()} == {
