@@ -22,7 +22,7 @@ from fieldrank.plans.rankers import RankingJob
 def _eval(scored: DataFrame, base: DataFrame, part=("param_id",)) -> DataFrame:
     """rank per (param, query) -> DCG per (param, query); IDCG once per query from the
     candidate set ``base`` (the same for every setting) -> NDCG -> mean per param."""
-    r = rank_within(scored, "score", part=(*part, "query_id"))
+    r = rank_within(scored.select(*part, "query_id", "score", "tie", "rel"), "score", part=(*part, "query_id"))
     dcg = dcg_per_group(r, part=(*part, "query_id"))
     return mean_ndcg(ndcg_from(dcg, idcg_per_query(base)), part=part)
 

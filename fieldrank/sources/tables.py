@@ -36,6 +36,9 @@ TABLES = (
 SENTENCE_SPLIT = r"[.!?\n]+"
 WORD = r"[\p{L}\p{N}_]+"
 RUN_WORDS = 4
+#: Longs in the bitmap of the query runs (1 MB): of runs that no query has, about one in
+#: 8,000,000 / (runs of the queries) passes it.
+BITMAP_WORDS = 1 << 17
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,14 +112,51 @@ def _runs(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, some).otherwise(F.array().cast("array<string>"))
 
 
-def candidates(queries: DataFrame, collection: DataFrame) -> DataFrame:
-    """(query_id, page_id): pairs that share a run of words, an equi-join on the run. A
-    frequent run is split by adaptive execution; runs are distinct per page before it."""
+def run_hash(words: Column, at: Column, n: int) -> Column:
+    """64-bit hash of the ``n`` words from the (0-based) place ``at``."""
+    return F.xxhash64(F.lit(n), *[F.get(words, at + i) for i in range(n)])
+
+
+def bitmap(hashes: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
+    """One row ``bits array<long>``: ``words`` longs with one bit set for each hash ``h``. Its
+    size doesn't depend on how many there are; more of them only let more false hits pass."""
+    at = F.pmod(F.col("h"), F.lit(words * 64))
+    marked = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(at & 63))")).alias("marks"))
+    every = hashes.sparkSession.range(0, words, 1, 1).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("marks"))
+    full = marked.unionByName(every).groupBy("word").agg(F.bit_or("marks").alias("marks"))
+    return full.agg(F.sort_array(F.collect_list(F.struct("word", "marks"))).alias("all")).select(F.col("all.marks").alias("bits"))
+
+
+def in_bitmap(h: Column, bits: Column, words: int = BITMAP_WORDS) -> Column:
+    """Whether the bit of a hash is set: always for the hashes the bitmap was built of."""
+    at = F.pmod(h, F.lit(words * 64))
+    return F.getbit(F.element_at(bits, (F.shiftright(at, 6) + 1).cast("int")), at.bitwiseAND(63).cast("int")) == 1
+
+
+def query_runs(queries: DataFrame) -> DataFrame:
+    """(query_id, run): the runs of ``RUN_WORDS`` words of a query, all its words if fewer."""
     q = queries.select("query_id", F.split("query", " ").alias("w"))
-    q = q.select("query_id", F.explode(F.array_distinct(F.when(F.size("w") < RUN_WORDS, F.array(F.array_join("w", " ")))
-                                                       .otherwise(_runs(F.col("w"), RUN_WORDS)))).alias("run"))
-    lengths = [_runs(F.col("body_tokens"), n) for n in range(1, RUN_WORDS + 1)]
-    p = collection.select("page_id", F.explode(F.array_distinct(F.concat(*lengths))).alias("run"))
+    return q.select("query_id", F.explode(F.array_distinct(F.when(F.size("w") < RUN_WORDS, F.array(F.array_join("w", " ")))
+                                                           .otherwise(_runs(F.col("w"), RUN_WORDS)))).alias("run"))
+
+
+def candidates(queries: DataFrame, collection: DataFrame) -> DataFrame:
+    """(query_id, page_id): pairs that share a run of words.
+
+    The runs of a page are hashed inside its row and probed in a bitmap of the query runs
+    (a scalar subquery of bounded size); only runs that pass it, those of some query and a
+    share of false hits, are spelled out and leave the task. The join on the run itself is exact, a frequent
+    run is split by adaptive execution, and runs are distinct per page before it."""
+    q = query_runs(queries)
+    w = F.split("run", " ")
+    hashes = q.select("run").distinct().select(F.xxhash64(F.size(w), *[F.get(w, F.lit(i)) for i in range(RUN_WORDS)]).alias("h"))
+    bits = bitmap(hashes).scalar()
+    words, at = F.col("body_tokens"), F.col("at")
+    placed = collection.select("page_id", "body_tokens", F.posexplode("body_tokens").alias("at", "_word"))
+    lengths = F.array(*[F.struct(F.lit(n).alias("n"), run_hash(words, at, n).alias("h")) for n in range(1, RUN_WORDS + 1)])
+    hits = placed.select("page_id", "body_tokens", "at", F.inline(lengths)) \
+        .where((at + F.col("n") <= F.size(words)) & in_bitmap(F.col("h"), bits))
+    p = hits.select("page_id", F.array_join(F.slice(words, at + 1, F.col("n")), " ").alias("run")).distinct()
     return p.join(q, "run").select("query_id", "page_id").distinct()
 
 
