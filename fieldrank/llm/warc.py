@@ -13,8 +13,10 @@ are absolute after adding the sizes of the file's earlier blocks. Within a block
 are followed to where they leave it; pointer jumping over these exits, doubling its reach
 each round, finds the entries that the file's start leads to, and only records on their
 chains are kept. A magic inside a payload is on no such chain, whatever header follows it.
-Payloads that hold the magic are put together from their parts; groups are blocks of a file
-and single records, never more.
+Payloads that hold the magic are put together from their parts, found by absolute offsets in
+a written table, so that it doesn't matter how Spark splits the files at either read; a
+record that isn't found again is an error. Groups are blocks of a file and single
+records, never more.
 
 Defined results: a null html is the empty payload; a null or odd url is written with control
 characters and blanks escaped; pages that share the largest id of a payload are all
@@ -37,6 +39,8 @@ from .common import scratch, table, written
 
 MAGIC, END = "WARC/1.1\r\n", "\r\n\r\n"
 MIN_REVISIT = 1000
+#: Bytes of a file in which parts look for the record that holds them.
+CELL = 1 << 14
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CANDIDATE = ("file string, block long, local long, size long, length long, kind string, page_id long, refers_to long, "
@@ -195,8 +199,7 @@ def read_archives(spark, path: str) -> DataFrame:
     """One row per record: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     found = written(_split(spark, path).mapInArrow(_candidates, CANDIDATE), "candidates")
     blocks = found.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
-    upto = F.sum("bytes").over(Window.partitionBy("file").orderBy("block"))  # one row per block
-    blocks = written(blocks.select("file", "block", (upto - F.col("bytes")).alias("base"), (upto - len(MAGIC)).alias("end")), "blocks")
+    blocks = written(_bases(blocks), "blocks")
     # a part begins after its magic; the first part of a file has none before it
     placed = written(found.join(blocks, ["file", "block"]).withColumn("at", F.col("base") + F.col("local") - len(MAGIC)).where("at >= 0"), "placed")
     kept = written(reachable(placed), "reachable")
@@ -206,16 +209,27 @@ def read_archives(spark, path: str) -> DataFrame:
     broken = written(records.where("NOT whole").select("file", "at", (F.col("at") + F.col("length")).alias("until")), "broken")
     if broken.isEmpty():
         return whole
-    # each part of a file belongs to the last record before it; at most a file's parts are ordered
-    owner = F.last(F.col("own"), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    owned = placed.select("file", "block", "local", "at").join(broken.select("file", "at", F.col("at").alias("own"), "until"), ["file", "at"], "left")
-    until = F.last(F.col("until"), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    parts = owned.withColumn("own", owner).withColumn("until", until).where("own IS NOT NULL AND at < until") \
-        .select("file", "block", "local", F.col("at").alias("part"), "own")
-    bodies = _split(spark, path).mapInArrow(_bodies, "file string, block long, local long, body binary")
-    again = bodies.join(parts, ["file", "block", "local"]).groupBy("file", "own").applyInPandas(
+    # the parts of these files are read again, written once and placed by their own blocks: the
+    # second read may be split differently from the first
+    stored = written(_split(spark, path).join(broken.select("file").distinct(), "file", "left_semi")
+                     .mapInArrow(_bodies, "file string, block long, local long, body binary"), "bodies")
+    parts = stored.join(_bases(stored.groupBy("file", "block").agg(F.sum(F.octet_length("body") + len(MAGIC)).alias("bytes"))), ["file", "block"]) \
+        .select("file", (F.col("base") + F.col("local") - len(MAGIC)).alias("part"), "body")
+    cell = lambda offset: F.floor(offset / CELL)
+    owners = broken.select("file", F.col("at").alias("own"), "until", F.explode(F.sequence(cell(F.col("at")), cell(F.col("until")))).alias("cell"))
+    held = parts.withColumn("cell", cell(F.col("part"))).join(owners, ["file", "cell"]).where("own <= part AND part < until")
+    again = held.select("file", "own", "part", "body").groupBy("file", "own").applyInPandas(
         _joined, "file string, at long, length long, kind string, page_id long, refers_to long, digest string, payload_bytes long, whole boolean")
-    return whole.unionByName(again.select(*columns))
+    found = broken.select("file", "at").join(again, ["file", "at"], "left")
+    lost = F.raise_error(F.lit("a record of the archive was not found again")).cast("string")
+    return whole.unionByName(found.withColumn("kind", F.coalesce("kind", lost)).select(*columns))
+
+
+def _bases(blocks: DataFrame) -> DataFrame:
+    """(file, block, base, end): where the parts of a block begin and end in the file, from
+    the bytes of each block (magics included)."""
+    upto = F.sum("bytes").over(Window.partitionBy("file").orderBy("block"))  # one row per block
+    return blocks.select("file", "block", (upto - F.col("bytes")).alias("base"), (upto - len(MAGIC)).alias("end"))
 
 
 def op3_warc(spark, sf_dir):

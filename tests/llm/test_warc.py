@@ -35,6 +35,34 @@ def test_round_trip_with_magic_in_payloads(spark, tmp_path, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("first,second", [("2500", "134217728"), ("134217728", "1700"), ("2500", "3300")])
+def test_splits_may_change_between_the_reads(spark, tmp_path, monkeypatch, first, second):
+    """The second read and the action see other splits than the first read, as when executors
+    come or go: no record is lost."""
+    rows = [(k, "u", f"{k}" + INNER * (k % 7) + "y" * 50 * k) for k in range(60)]
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(3), str(tmp_path / "w"))
+    split, sizes = W._split, [first, second]
+
+    def other(spark, path):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", sizes.pop(0) if sizes else second)
+        return split(spark, path)
+    monkeypatch.setattr(W, "_split", other)
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        found = W.read_archives(spark, str(tmp_path / "w"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+        assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_long_payload(spark, tmp_path):
+    rows = [(1, "u", "word " * 400_000 + INNER), (2, "u", "after")]
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    assert sorted((tuple(r) for r in W.read_archives(spark, str(tmp_path / "w")).collect()), key=str) == expected(rows)
+
+
 def test_empty(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     W.write_archives(pages, str(tmp_path / "w"))
