@@ -1,13 +1,17 @@
 """Readers and writers for the reference's indented ``key: value`` text formats.
 
-Reading: the text source splits files on ``"\\nquery:"`` (``lineSep``), so every record is
-one query block and the files stay splittable; the block is parsed with higher-order
-functions inside the row (no Python UDF, no driver loop). Parsing rules:
+Reading: one row per line, so that a query's block may be of any size and no value ever
+holds one. The lines are parsed and written once, with the file, the split and the place in
+it; then the open query and record are filled forward in two steps: inside each split by running
+counts, and over the splits (one row each) by a prefix scan that hands on what was open
+at the end of the splits before. So a block is read by as many tasks as it has splits, and
+all that is joined later sees the same numbering. Only the lines of one record (one page)
+meet in a row. Rules:
 
 * key = text before the first colon, value = the rest, both trimmed (URLs keep colons);
-* unknown keys and lines without a colon are ignored;
-* ``url`` starts a record; later ``title``/``body_length``/``pagerank`` lines of the same
-  record override earlier ones; ``header`` lines accumulate in order;
+* unknown keys and lines without a colon are ignored, and so is what stands before the first query;
+* ``query`` starts a block, ``url`` a record; later ``title``/``body_length``/``pagerank`` lines
+  of the same record override earlier ones; ``header`` lines accumulate in order;
 * ``body_hits: term p1 p2 ...`` — a repeated term keeps its last list;
 * the anchor count line (``ANCHOR_COUNT_KEY``) belongs to the nearest preceding ``anchor_text``; a repeated
   anchor text keeps its last count.
@@ -16,9 +20,10 @@ Repeated ``query:`` blocks and repeated urls are kept as separate rows (``url_po
 ``block`` record the order); ``last_block_wins`` applies the reference's dictionary
 semantics (the last block of a query text replaces earlier ones).
 
-Writing: one row per output line, range-partitioned by query and sorted inside each
-partition, then written as text — lines are streamed, no query's block is gathered into
-a single value.
+Writing: one row per output line, range-partitioned and sorted by (query, place), so that a
+query's lines may fill several files; a file holds at most ``FILE_LINES`` lines. Beside them
+lies a manifest (``ORDER``: file, first line, number of lines), by which the readers go through the
+files as one text. Files without a manifest are read each for itself.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fieldrank.sources.corpus import scratch_path, snapshot
+
 # ---------------------------------------------------------------------------
 # Key names of the feature-file format (must match the input files).
 #   query, url, title, header, body_hits, body_length, pagerank, anchor_text,
@@ -33,70 +40,119 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 ANCHOR_COUNT_KEY = "stanford_anchor_count"
 
-QUERY_SEP = "\nquery:"
-
-
-def _blocks(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path, lineSep=QUERY_SEP)
-    raw = raw.select(F.col("value"), F.col("_metadata.file_path").alias("file"),
-                     F.monotonically_increasing_id().alias("block"))
-    v = F.regexp_replace(F.col("value"), r"^\s*query:", "")
-    lines = F.split(v, "\n", -1)
-    kv = F.transform(F.slice(lines, 2, F.size(lines)), lambda ln: F.struct(
-        F.trim(F.substring_index(ln, ":", 1)).alias("k"),
-        F.trim(F.regexp_extract(ln, r"^[^:]*:(.*)$", 1)).alias("v"),
-        F.instr(ln, ":").alias("has_colon"),
-    ))
-    kv = F.filter(kv, lambda x: x["has_colon"] > 0)
-    return raw.select("file", "block", F.trim(F.try_element_at(lines, F.lit(1))).alias("query"), kv.alias("kv")) \
-        .where(F.length("query") > 0)
+KEYS = ("query", "url", "title", "header", "body_hits", "body_length", "pagerank", "anchor_text", ANCHOR_COUNT_KEY)
+SPACE = " \t\r"
+#: Lines of a written file, and the folder of its manifest.
+FILE_LINES, ORDER = 5_000_000, "_order"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """(file, first_line, lines) of the files that ``_write_lines`` left below ``path``; None
+    where there is no manifest."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{ORDER}")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.parquet(f"{path}/{ORDER}")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(stream, part, split, line, k, v): the lines of known keys, written once. ``stream`` is read as one
+    text, in the order of part (the file), split and line."""
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("split")]
+    raw = spark.read.text(path).select(*meta, F.monotonically_increasing_id().alias("line"), "value")
+    key = F.btrim(F.substring_index("value", ":", 1), F.lit(SPACE))
+    kept = raw.where((F.instr("value", ":") > 0) & key.isin(*KEYS)).select(
+        "file", "name", "split", "line", key.alias("k"), F.btrim(F.regexp_extract("value", r"^[^:]*:(.*)$", 1), F.lit(SPACE)).alias("v"))
+    order = manifest(spark, path)
+    if order is None:
+        kept = kept.withColumn("stream", F.col("file")).withColumn("part", F.lit(0).cast("long"))
+    else:
+        files = order.select(F.col("file").alias("name"), F.col("first_line").alias("part"))
+        kept = kept.join(files, "name").withColumn("stream", F.lit(path))
+    return snapshot(kept.select("stream", "part", "split", "line", "k", "v"), scratch_path(spark, "lines"))
+
+
+def _filled(spark: SparkSession, path: str) -> DataFrame:
+    """``_lines`` with what is open at each line: ``query`` (its text), ``block`` (number of the query
+    line in the stream) and ``url_pos`` (-1 before the block's first url). Lines outside a block or in
+    one without a text are left out."""
+    lines = _lines(spark, path)
+    split = ["stream", "part", "split"]
+    here = Window.partitionBy(*split).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)  # one split of a file
+    is_query, is_url = F.col("k") == "query", F.col("k") == "url"
+    opened = lines.withColumn("_q", F.count(F.when(is_query, 1)).over(here)).withColumn("_u", F.count(F.when(is_url, 1)).over(here)) \
+        .withColumn("_text", F.last(F.when(is_query, F.col("v")), ignorenulls=True).over(here)) \
+        .withColumn("_u0", F.last(F.when(is_query, F.col("_u")), ignorenulls=True).over(here))
+    # at the end of a split: its counts, and its last query's text and url count
+    query_line = F.when(is_query, F.struct("line", "v"))
+    ends = lines.groupBy(*split).agg(F.count(F.when(is_query, 1)).alias("q"), F.count(F.when(is_url, 1)).alias("u"),
+                                     F.max(query_line).alias("last"), F.max(F.when(is_query, F.col("line"))).alias("at"))
+    after = lines.where(is_url).join(ends.select(*split, "at"), split).where(F.col("line") > F.col("at")) \
+        .groupBy(*split).agg(F.count(F.lit(1)).alias("after"))
+    ends = ends.join(after, split, "left").select(*split, "q", "u", F.col("last.v").alias("text"), F.coalesce("after", F.lit(0)).alias("after"))
+    upto = Window.partitionBy("stream").orderBy("part", "split")  # one row per split
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_urls", F.sum("u").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    carried = ends.select(
+        *split, F.coalesce(F.sum("q").over(before), F.lit(0)).alias("q0"), (F.col("_urls") - F.col("u")).alias("u0"),
+        F.last("text", ignorenulls=True).over(before).alias("text0"),
+        F.last(F.when(F.col("q") > 0, F.col("_urls") - F.col("after")), ignorenulls=True).over(before).alias("start0"))
+    at = opened.join(carried, split)
+    start = F.coalesce(F.col("_u0") + F.col("u0"), F.col("start0"))  # urls of the stream before the open query
+    return at.select(*split, "line", "k", "v", F.coalesce("_text", "text0").alias("query"), (F.col("q0") + F.col("_q")).alias("block"),
+                     (F.col("u0") + F.col("_u") - start - 1).cast("int").alias("url_pos")).where(F.length("query") > 0)
 
 
 def _last_value(lines: Column, key: str) -> Column:
     return F.try_element_at(F.filter(lines, lambda x: x["k"] == key), F.lit(-1))["v"]
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the array ``value`` computed once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _dedupe_last(arr: Column, key: str) -> Column:
-    """Keep the last entry for every ``key`` value (dictionary assignment semantics)."""
-    return F.filter(arr, lambda e, i: ~F.exists(F.slice(arr, i + 2, F.size(arr) + 1), lambda y: y[key] == e[key]))
+    """Keep the last entry for every ``key`` value (dictionary assignment semantics): entries
+    sorted by (key, place), of equal keys the last."""
+    placed = F.array_sort(F.transform(arr, lambda e, i: F.struct(e[key].alias("key"), i.alias("i"), e.alias("e"))))
+    return F.transform(_let(placed, lambda s: F.filter(s, lambda x, i: F.coalesce(F.get(s, i + 1)["key"] != x["key"], F.lit(True)))), lambda x: x["e"])
+
+
+def _anchors(lines: Column) -> Column:
+    """(text, cnt) of the anchor texts that a count follows before the next text: the last one."""
+    known = F.filter(lines, lambda x: x["k"].isin("anchor_text", ANCHOR_COUNT_KEY))
+
+    def pairs(known: Column) -> Column:
+        texts = F.filter(F.transform(known, lambda x, i: F.when(x["k"] == "anchor_text", i)), lambda i: i.isNotNull())
+        return _let(texts, lambda texts: F.transform(texts, lambda i, m: F.struct(
+            F.get(known, i)["v"].alias("text"), F.get(known, F.coalesce(F.get(texts, m + 1), F.size(known)) - 1).alias("last"))))
+    found = F.filter(_let(known, pairs), lambda a: a["last"]["k"] == ANCHOR_COUNT_KEY)
+    return F.transform(found, lambda a: F.struct(a["text"].alias("text"), a["last"]["v"].cast("int").alias("cnt")))
 
 
 def read_feature_file(spark: SparkSession, path: str) -> DataFrame:
     """(query, url, url_pos, title, headers, body_hits, body_length, pagerank, anchors,
     file, block)."""
-    b = _blocks(spark, path)
-    upos = F.filter(F.transform("kv", lambda x, i: F.when(x["k"] == "url", i).otherwise(F.lit(-1))),
-                    lambda i: i >= 0)
-    recs = F.transform(upos, lambda u, j: F.struct(
-        j.alias("url_pos"),
-        F.try_element_at(F.col("kv"), u + F.lit(1))["v"].alias("url"),
-        F.slice(F.col("kv"), u + 2,
-                F.coalesce(F.try_element_at(upos, j + F.lit(2)), F.size("kv")) - u - 1).alias("lines"),
-    ))
-    r = b.select("file", "block", "query", F.inline(recs))
+    in_record = _filled(spark, path).where("url_pos >= 0")
+    is_url = F.col("k") == "url"
+    r = in_record.groupBy(F.col("stream").alias("file"), "block", "url_pos").agg(
+        F.max(F.when(is_url, F.col("query"))).alias("query"), F.max(F.when(is_url, F.col("v"))).alias("url"),
+        F.sort_array(F.collect_list(F.when(~is_url, F.struct("part", "split", "line", "k", "v")))).alias("lines"))  # one page's lines
     lines = F.col("lines")
     hits = F.transform(F.filter(lines, lambda x: x["k"] == "body_hits"), lambda x: F.struct(
         F.trim(F.substring_index(x["v"], " ", 1)).alias("term"),
         F.transform(F.filter(F.split(F.trim(F.regexp_extract(x["v"], r"^\S*\s*(.*)$", 1)), r"\s+", -1),
                              lambda t: t != F.lit("")), lambda t: t.cast("int")).alias("positions"),
     ))
-    anchors = F.transform(
-        F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                 lambda y: y["x"]["k"] == ANCHOR_COUNT_KEY),
-        lambda y: F.struct(
-            F.try_element_at(F.filter(F.slice(lines, 1, y["i"]), lambda z: z["k"] == "anchor_text"), F.lit(-1))["v"].alias("text"),
-            y["x"]["v"].cast("int").alias("cnt"),
-        ),
-    )
-    anchors = F.filter(anchors, lambda a: a["text"].isNotNull())
     return r.select(
-        "query", "url", F.col("url_pos").cast("int").alias("url_pos"),
+        "query", "url", "url_pos",
         _last_value(lines, "title").alias("title"),
         F.transform(F.filter(lines, lambda x: x["k"] == "header"), lambda x: x["v"]).alias("headers"),
         F.map_from_entries(_dedupe_last(hits, "term")).alias("body_hits"),
         _last_value(lines, "body_length").cast("int").alias("body_length"),
         _last_value(lines, "pagerank").cast("int").alias("pagerank"),
-        F.map_from_entries(_dedupe_last(anchors, "text")).alias("anchors"),
+        F.map_from_entries(_dedupe_last(_anchors(lines), "text")).alias("anchors"),
         "file", "block",
     )
 
@@ -111,36 +167,41 @@ def last_block_wins(df: DataFrame, key: str = "query") -> DataFrame:
 def read_judgments(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``query: Q`` then ``  url: U REL`` lines -> (query, url, rel); REL is the last
     space-separated token (``rsplit(' ', 1)``)."""
-    b = _blocks(spark, path)
-    u = b.select("query", F.explode(F.filter("kv", lambda x: x["k"] == "url")).alias("x"))
-    m = F.regexp_extract(F.col("x.v"), r"^(.*) (\S+)$", 1)
+    u = _filled(spark, path).where("k = 'url'")
+    m = F.regexp_extract("v", r"^(.*) (\S+)$", 1)
     return u.select("query", F.trim(m).alias("url"),
-                    F.regexp_extract(F.col("x.v"), r"^(.*) (\S+)$", 2).cast("double").alias("rel"))
+                    F.regexp_extract("v", r"^(.*) (\S+)$", 2).cast("double").alias("rel"))
 
 
 def read_ranking(spark: SparkSession, path: str) -> DataFrame:
     """``query: Q`` then ``  url: U`` lines, best first -> (query, rank, url)."""
-    b = _blocks(spark, path)
-    u = b.select("query", F.posexplode(F.filter("kv", lambda x: x["k"] == "url")).alias("pos", "x"))
-    return u.select("query", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.v").alias("url"))
+    return _filled(spark, path).where("k = 'url'").select("query", (F.col("url_pos") + 1).alias("rank"), F.col("v").alias("url"))
 
 
-def _write_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``lines``: (qkey, o1, o2, text). Range partitioning keeps a query's lines in one
-    partition (in order after the local sort); the lines are streamed to the files."""
-    (lines.repartitionByRange("qkey").sortWithinPartitions("qkey", "o1", "o2")
-     .select("text").write.mode(mode).text(path))
+def _write_lines(lines: DataFrame, path: str, mode: str = "overwrite", file_lines: int = FILE_LINES) -> None:
+    """``lines``: (qkey, o1, o2, text), written in this order over the files as they are named,
+    at most ``file_lines`` lines each, with the manifest of their order. A query's lines may fill any
+    number of files."""
+    spark = lines.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["qkey", "o1", "o2"]
+    (lines.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("text")
+     .write.mode(mode).option("maxRecordsPerFile", file_lines).text(path))
+    files = spark.read.text(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("lines"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    files.select("file", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("first_line"), "lines") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{path}/{ORDER}")
 
 
 def write_ranking(ranked: DataFrame, path: str, key_col: str = "query_id", query_col: str = "query",
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", file_lines: int = FILE_LINES) -> None:
     """Per query (``key_col`` identifies a block) ``query: Q`` followed by ``  url: U``
     lines in rank order."""
     head = ranked.select(F.col(key_col).alias("qkey"), F.lit(0).alias("o1"), F.lit(0).alias("o2"),
                          F.concat(F.lit("query: "), F.col(query_col)).alias("text")).distinct()
     body = ranked.select(F.col(key_col).alias("qkey"), F.col("rank").alias("o1"), F.lit(0).alias("o2"),
                          F.concat(F.lit("  url: "), F.col("url")).alias("text"))
-    _write_lines(head.unionByName(body), path, mode)
+    _write_lines(head.unionByName(body), path, mode, file_lines)
 
 
 def write_judgments(judged: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -82,3 +82,69 @@ def test_features_to_collection_dedupes(spark, tmp_text):
     q, c = TF.features_to_collection(TF.read_feature_file(spark, tmp_text("f", FEATURES)))
     assert sorted(r["query"] for r in q.collect()) == ["q one", "q two"]
     assert sorted(r["url"] for r in c.collect()) == ["http://c.org", "http://z.org"]
+
+
+def _records(df):
+    cols = ["query", "url", "url_pos", "title", "headers", "body_hits", "body_length", "pagerank", "anchors"]
+    return sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
+
+
+def _in_splits(spark, size, read):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = read()
+        return df.collect() if not isinstance(df, list) else df
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_one_block_over_many_splits(spark, tmp_text):
+    """A file that is one query's block, cut anywhere: inside records, at any line."""
+    text = "query: only one\n" + "".join(
+        f"  url: http://p{i}.org/a:{i}\n    title: t {i}\n    header: h{i}\n    header: g{i}\n    body_hits: only {i} {i + 5}\n"
+        f"    body_length: {i}\n    anchor_text: a{i}\n      {AC}: {i}\n" for i in range(40))
+    path = tmp_text("one", text)
+    whole = _records(TF.read_feature_file(spark, path))
+    assert len(whole) == 40 and whole[0][0] == "only one"
+    for size in (len(text) // 8, 90, 37):
+        rows = _in_splits(spark, size, lambda: TF._lines(spark, path).select("stream", "part", "split").distinct())
+        assert len(rows) >= (8 if size > 90 else 30)
+        assert _in_splits(spark, size, lambda: _records(TF.read_feature_file(spark, path))) == whole
+        got = _in_splits(spark, size, lambda: TF.read_ranking(spark, path))
+        assert sorted((r["rank"], r["url"]) for r in got) == [(i + 1, f"http://p{i}.org/a:{i}") for i in range(40)]
+
+
+def test_blocks_records_and_odd_lines_over_splits(spark, tmp_text):
+    text = "  url: before any query\nno colon here\n" + FEATURES + "query:\n  url: of a query without text\n  query: indented\n\n  url: u v\n    title: x: y\n"
+    path = tmp_text("odd", text)
+    whole = _records(TF.read_feature_file(spark, path))
+    assert [r[:3] for r in whole if r[0] == "indented"] == [("indented", "u v", "0")] and len(whole) == 5
+    for size in (20, 61, 150):
+        assert _in_splits(spark, size, lambda: _records(TF.read_feature_file(spark, path))) == whole
+
+
+def test_one_query_in_several_files_is_read_back_in_order(spark, tmp_path):
+    rows = [("q1", "hot query", k, f"http://u{k}") for k in range(1, 501)] + [("q0", "cold", 1, "http://c"), ("q2", "last", 1, "http://l")]
+    df = spark.createDataFrame(rows, "query_id string, query string, rank int, url string")
+    path = str(tmp_path / "hot")
+    TF.write_ranking(df, path, file_lines=60)
+    files = TF.manifest(spark, path).orderBy("file").collect()
+    assert len(files) >= 9 and max(f["lines"] for f in files) <= 60
+    assert [f["first_line"] for f in files] == [sum(g["lines"] for g in files[:k]) for k in range(len(files))]
+    assert sorted((r["query"], r["rank"], r["url"]) for r in TF.read_ranking(spark, path).collect()) == sorted((q, k, u) for _, q, k, u in rows)
+
+
+def test_files_without_manifest_are_read_each_for_itself(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a").write_text("query: a\n  url: u1\n")
+    (tmp_path / "d" / "b").write_text("  url: of nothing\nquery: b\n  url: u2\n  url: u3\n")
+    got = sorted(tuple(r) for r in TF.read_ranking(spark, str(tmp_path / "d")).collect())
+    assert got == [("a", 1, "u1"), ("b", 1, "u2"), ("b", 2, "u3")]
+
+
+def test_many_anchors_and_repeated_counts(spark, tmp_text):
+    body = f"      {AC}: 9\n    anchor_text: x\n      {AC}: 1\n      {AC}: 2\n    anchor_text: none\n    anchor_text: x\n      {AC}: 5\n    anchor_text: y\n      {AC}: 3\n"
+    (r,) = TF.read_feature_file(spark, tmp_text("a", "query: q\n  url: u\n" + body)).collect()
+    assert r["anchors"] == {"x": 5, "y": 3}
