@@ -108,6 +108,32 @@ def q_rank_cosine_window(spark, sf):
     return j.rank(j.cosine_window())
 
 
+def stored_job(spark: SparkSession, sf_dir: str) -> RankingJob:
+    """Rankers over a stored index with a history: half of the pages added with other titles, then
+    all of them (the first half replaced), a third removed, added again, and merged."""
+    from fieldrank.operators.store import IndexStore
+    store = IndexStore(spark, CO.scratch_path(spark, "index"), buckets=8)
+    coll = T.pages_collection(spark, sf_dir)
+    store.add(coll.where("page_id % 2 = 0").withColumn("title", F.concat(F.lit("old "), "title")))
+    store.add(coll)
+    third = coll.where("page_id % 3 = 0")
+    store.remove(third)
+    store.add(third)
+    return store.merge(CO.scratch_path(spark, "index")).job(T.queries(spark, sf_dir), T.corpus(spark, sf_dir))
+
+
+@register("stored_rank_bm25f", O.with_sql(O.ranked_sql("pg_bm25f", "bm25f")))
+def q_stored_rank_bm25f(spark, sf):
+    from fieldrank.operators.store import ranked_pages
+    return ranked_pages(stored_job(spark, sf).bm25f())
+
+
+@register("stored_rank_cosine_window", O.with_sql(O.ranked_sql("pg_cw", "cw")))
+def q_stored_rank_cosine_window(spark, sf):
+    from fieldrank.operators.store import ranked_pages
+    return ranked_pages(stored_job(spark, sf).cosine_window())
+
+
 @register("smallest_window", O.with_sql("SELECT query_id, page_id, window_size FROM pg_win"))
 def q_smallest_window(spark, sf):
     return pages_job(spark, sf).windows

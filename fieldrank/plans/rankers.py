@@ -34,6 +34,7 @@ class RankingJob:
     candidate_pairs: DataFrame | None = None  # query_id, page_id to rank; not for feature records, which carry query_id
     weights: CosineWeights = CosineWeights()
     rule: TfRule = TfRule()
+    stored: PageIndex | None = None  # an index that is kept (operators.store); else it is built of the collection
     full_index: bool = False  # keep every body term (page vectors); rankers need query terms only
 
     @cached_property
@@ -48,6 +49,8 @@ class RankingJob:
 
     @cached_property
     def index(self) -> PageIndex:
+        if self.stored is not None:
+            return self.stored
         vocab = None if self.full_index or "query_id" in self.collection.columns else self.qterms.select("term")
         return build_index(self.collection, vocab)
 
