@@ -759,6 +759,33 @@ def q_df_snapshot_roundtrip(spark, sf):
     return CO.snapshot(stats.doc_freq(T.corpus(spark, sf)), CO.scratch_path(spark, "df"))
 
 
+def changed_statistics(spark, sf):
+    """A store of document frequencies with a history: two batches, a third of the documents removed and
+    added again, compacted."""
+    from fieldrank.operators.df_store import DocFreqStore
+    store, docs = DocFreqStore(spark, CO.scratch_path(spark, "stats")), T.corpus(spark, sf)
+    store.add(docs.where("doc_id % 2 = 0"))
+    store.add(docs.where("doc_id % 2 <> 0 OR doc_id IS NULL"))
+    third = docs.where("doc_id % 3 = 0")
+    store.remove(third)
+    store.add(third)
+    return store.compact(CO.scratch_path(spark, "stats")), docs
+
+
+@register("df_incremental", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
+def q_df_incremental(spark, sf):
+    store, docs = changed_statistics(spark, sf)
+    return store.load(docs)  # None, an error, unless it stands for exactly these documents
+
+
+@register("idf_incremental", O.with_sql(
+    "SELECT term, count(*) AS df, round(ln((SELECT n_total FROM d_n)) - ln(count(*) + 1), 6) AS idf "
+    "FROM d_tok GROUP BY term"))
+def q_idf_incremental(spark, sf):
+    store, _ = changed_statistics(spark, sf)
+    return stats.idf(store.table(), store.corpus_size()).select("term", "df", r6("idf").alias("idf"))
+
+
 @register("query_vocab_df", O.with_sql(
     "SELECT term, count(*) AS df FROM d_tok WHERE term IN (SELECT term FROM q_tok) GROUP BY term"))
 def q_query_vocab_df(spark, sf):
