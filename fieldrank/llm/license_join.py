@@ -1,7 +1,7 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
 A block (paragraph) meets a template when it holds at least ``THRESHOLD`` of the template's
-distinct words. The join finds every such pair without comparing each block with each
+distinct words and all that the template names as its licence's own. The join finds every such pair without comparing each block with each
 template:
 
 * all tokens are put in one global order, rarest in the corpus first;
@@ -15,7 +15,7 @@ template:
 * the remaining pairs are verified by counting the whole intersection.
 
 Tokens outside every template can't be shared, so blocks are cut to the template vocabulary
-when they are read; frequencies are counted over all blocks. The templates and their
+when they are read; frequencies are counted over all blocks that can meet any template. The templates and their
 vocabulary are a fixed, small parameter (a few hundred tokens); they are the only thing
 that is broadcast or sent to the driver.
 
@@ -24,8 +24,8 @@ the whole text. All work is done by DataFrame expressions.
 
 Defined results: null, empty and wordless texts have no words, places or labels (empty
 strings, score 0); repeated rows are scanned each for itself and give equal rows; a block
-may meet several templates, and a document has each label once; very long texts are scanned
-whole; only id and text are read.
+may meet several templates (equal containments too), and a document has each label once; very long texts are scanned
+whole; an empty table gives an empty result; only id and text are read.
 """
 
 from __future__ import annotations
@@ -51,23 +51,24 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Public license notices, by label. A label may have several templates.
+# Public license notices, by label, and the words without which a block isn't that
+# licence's, however much else it shares. A label may have several templates.
 TEMPLATES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files (the Software), to deal in the Software without restriction, including without limitation the "
             "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
-    ("mit", "Released under the MIT License"),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("mit", "Released under the MIT License", "mit"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0", "apache", "2"),
     ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-                   "http://www.apache.org/licenses/LICENSE-2.0"),
-    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3"),
+                   "http://www.apache.org/licenses/LICENSE-2.0", "apache", "2"),
+    ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3", "gnu", "3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-            "License as published by the Free Software Foundation"),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
+            "License as published by the Free Software Foundation", "gnu"),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", "creative", "commons", "attribution", "4"),
+    ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0", "cc", "by", "nc", "4"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
             "following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla", "2"),
 ]
 
 
@@ -76,13 +77,16 @@ def tokens(lowered: Column) -> Column:
     return F.array_remove(F.split(lowered, NOT_WORD), "")
 
 
-def template_sets(templates=None) -> list[tuple[int, str, list[str]]]:
-    """(number, label, distinct tokens) of each template that has any."""
+def template_sets(templates=None) -> list[tuple[int, str, list[str], list[str]]]:
+    """(number, label, distinct tokens, those that must be there) of each template that has any;
+    a template is a label, a text and any number of words of it."""
     out = []
-    for i, (label, text) in enumerate(TEMPLATES if templates is None else templates):
+    for i, (label, text, *must) in enumerate(TEMPLATES if templates is None else templates):
         lowered = text.translate(str.maketrans(UPPER, LOWER))
         if found := sorted(set(re.split(NOT_WORD, lowered)) - {""}):
-            out.append((i, label, found))
+            if not set(must) <= set(found):
+                raise ValueError(f"words of template {i} that must be there aren't in its text")
+            out.append((i, label, found, sorted(set(must))))
     return out
 
 
@@ -121,16 +125,17 @@ def scanned(docs: DataFrame, text: str, phrases: dict[str, str], vocabulary: lis
 def set_join(blocks: DataFrame, templates, threshold: float) -> DataFrame:
     """(rid, block, template, containment) of every block (rid, block, held: distinct
     template tokens) that meets a template."""
-    vocabulary = sorted({t for _, _, found in templates for t in found})
+    vocabulary = sorted({t for _, _, found, _ in templates for t in found})
     counts = blocks.select(F.explode("held").alias("token")).groupBy("token").count().collect()  # one row per template token
     count = {r["token"]: r["count"] for r in counts}
     place = {t: k for k, t in enumerate(sorted(vocabulary, key=lambda t: (count.get(t, 0), t)))}
-    ordered = {i: sorted(place[t] for t in found) for i, _, found in templates}
+    ordered = {i: sorted(place[t] for t in found) for i, _, found, _ in templates}
     index = [(i, rank, at, len(ranks), needed(len(ranks), threshold)) for i, ranks in ordered.items()
              for at, rank in enumerate(ranks[: len(ranks) - needed(len(ranks), threshold) + 1])]
     spark = blocks.sparkSession
     prefixes = F.broadcast(spark.createDataFrame(index, "template int, token int, at int, size int, need int"))
-    sets = F.broadcast(spark.createDataFrame(list(ordered.items()), "template int, ranks array<int>"))
+    sets = F.broadcast(spark.createDataFrame([(i, ordered[i], [place[t] for t in must]) for i, _, _, must in templates],
+                                             "template int, ranks array<int>, must array<int>"))
     ranks = F.create_map(*[F.lit(x) for t in vocabulary for x in (t, place[t])])
     rare = F.array(*[F.lit(r) for r in sorted({x[1] for x in index})])
     ranked = blocks.select("rid", "block", F.sort_array(F.transform("held", lambda t: ranks[t])).alias("held"))
@@ -140,7 +145,8 @@ def set_join(blocks: DataFrame, templates, threshold: float) -> DataFrame:
                           & (F.least(F.col("size") - F.col("at"), F.size("held") - F.col("j")) >= F.col("need")))
     pairs = shared.select("rid", "block", "held", "template", "need").distinct().join(sets, "template")
     common = F.size(F.array_intersect("held", "ranks"))
-    return pairs.where(common >= F.col("need")).select("rid", "block", "template", (common / F.size("ranks")).alias("containment"))
+    whole = F.size(F.array_except("must", "held")) == 0
+    return pairs.where((common >= F.col("need")) & whole).select("rid", "block", "template", (common / F.size("ranks")).alias("containment"))
 
 
 def scan(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, phrases: dict[str, str] | None = None,
@@ -150,12 +156,12 @@ def scan(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, phra
     stands, else the highest containment that meets the threshold, else 0."""
     phrases = PHRASES if phrases is None else phrases
     sets = template_sets(templates)
-    vocabulary = sorted({t for _, _, found in sets for t in found})
-    least = min((needed(len(found), threshold) for _, _, found in sets), default=1)
+    vocabulary = sorted({t for _, _, found, _ in sets for t in found})
+    least = min((needed(len(found), threshold) for _, _, found, _ in sets), default=1)
     rows = scanned(docs, text, phrases, vocabulary, least).withColumn("rid", F.monotonically_increasing_id())
     rows = written(rows, "license-blocks")  # from here on the ids stand
     met = set_join(rows.select("rid", F.posexplode("blocks").alias("block", "held")), sets, threshold)
-    names = F.create_map(*[F.lit(x) for i, label, _ in sets for x in (i, label)])
+    names = F.create_map(*[F.lit(x) for i, label, _, _ in sets for x in (i, label)])
     found = met.groupBy("rid").agg(F.collect_set(names[F.col("template")]).alias("met"), F.max("containment").alias("containment"))
     none = F.array().cast("array<string>")
     places = F.flatten(F.array(*[F.col(f"s.p{k}") for k in range(len(phrases))])) if phrases else F.array().cast("array<int>")
@@ -180,7 +186,8 @@ def _sql() -> str:
     """The same by brute force: every block against every template."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     low = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
-    rows = ", ".join(f"({i}, '{label}', [{', '.join(repr(t) for t in found)}])" for i, label, found in template_sets())
+    listed = lambda words: f"[{', '.join(repr(t) for t in words)}]::VARCHAR[]"
+    rows = ", ".join(f"({i}, '{label}', {listed(found)}, {listed(must)})" for i, label, found, must in template_sets())
 
     def places(phrase):
         parts = phrase.split(" ")
@@ -196,8 +203,9 @@ w AS (SELECT rid, doc_id, regexp_extract_all(t, '{word}') AS w FROM d),
 p AS (SELECT rid, doc_id, len(w) AS n_words, {found} FROM w),
 b AS (SELECT rid, unnest(string_split_regex(t, '\\n[ \\t\\r]*\\n')) AS block FROM d),
 s AS (SELECT rid, list_distinct(regexp_extract_all(block, '{word}')) AS held FROM b),
-tm(template, label, tokens) AS (VALUES {rows}),
-m AS (SELECT rid, label, len(list_intersect(held, tokens)) / len(tokens)::DOUBLE AS containment FROM s, tm),
+tm(template, label, tokens, must) AS (VALUES {rows}),
+m AS (SELECT rid, label, len(list_intersect(held, tokens)) / len(tokens)::DOUBLE AS containment
+      FROM s, tm WHERE list_has_all(held, must)),
 f AS (SELECT rid, list(DISTINCT label) AS met, max(containment) AS containment FROM m WHERE containment >= {THRESHOLD} GROUP BY rid),
 r AS (SELECT rid, doc_id, n_words, {every} AS places, {base} AS base FROM p)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, (list_min(places) - 1)::BIGINT AS first_word,

@@ -3,7 +3,7 @@ import re
 
 from fieldrank.llm import license_join as L
 
-TEMPLATES = [("a", "alpha beta gamma delta"), ("b", "alpha omega"), ("c", "one two three four five six seven eight nine ten"), ("none", "...")]
+TEMPLATES = [("a", "alpha beta gamma delta"), ("b", "alpha omega"), ("m", "one two three four", "three"), ("c", "one two three four five six seven eight nine ten"), ("none", "...")]
 
 
 def brute(text, templates, threshold):
@@ -18,9 +18,9 @@ def brute(text, templates, threshold):
     labels, best = set(base), 0.0
     for block in re.split(L.BLOCK_BREAK, low):
         held = set(re.split(L.NOT_WORD, block))
-        for label, t in templates:
+        for label, t, *must in templates:
             tokens = set(re.split(L.NOT_WORD, t.lower())) - {""}
-            if tokens and len(tokens & held) / len(tokens) >= threshold:
+            if tokens and set(must) <= held and len(tokens & held) / len(tokens) >= threshold:
                 labels.add(label)
                 best = max(best, len(tokens & held) / len(tokens))
     return (len(w), len(places), min(places, default=None), max(places, default=None), sorted(base), sorted(labels), 1.0 if places else best)
@@ -42,6 +42,16 @@ def test_edges(spark, docs_of):
     check(spark, docs_of, texts, L.TEMPLATES, L.THRESHOLD)
 
 
+def test_no_licence_that_a_text_does_not_name(spark, docs_of):
+    texts = {"licensed under CC BY 4.0": ["cc-by"], "GNU General Public License, version 2": ["gpl"],
+             "Released under the Apache License": ["apache"], "was released under the old license by its owner": [],
+             "Licensed under the BSD license, version 2.0 of the": [], "released under the MIT license": ["mit"],
+             "Licensed under the Apache License, Version 2.0": ["apache", "apache-2.0"],
+             "This work is licensed under the GNU General Public License, version 3": ["gpl", "gpl-3.0"], "Licensed under CC BY-NC 4.0": ["cc-by", "cc-by-nc-4.0"]}
+    got = {r["row"]["doc_id"]: r["labels"] for r in L.scan(docs_of(list(enumerate(texts)))).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def test_join_equals_all_pairs(spark, docs_of):
     rng = random.Random(5)
     words = "alpha beta gamma delta omega one two three four five six seven eight nine ten other more".split()
