@@ -19,12 +19,13 @@ from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, cosine
 from fieldrank.plans.rankers import RankingJob
 
 
-def _eval(scored: DataFrame, base: DataFrame, part=("param_id",)) -> DataFrame:
-    """rank per (param, query) -> DCG per (param, query); IDCG once per query from the
-    candidate set ``base`` (the same for every setting) -> NDCG -> mean per param."""
+def _eval(scored: DataFrame, part=("param_id",), first=0) -> DataFrame:
+    """rank per (param, query) -> DCG per (param, query); IDCG once per query from the pages of
+    the ``first`` setting (the same for every setting), read from the ranked rows, which
+    are a written table -> NDCG -> mean per param."""
     r = rank_within(scored.select(*part, "query_id", "score", "tie", "rel"), "score", part=(*part, "query_id"))
     dcg = dcg_per_group(r, part=(*part, "query_id"))
-    return mean_ndcg(ndcg_from(dcg, idcg_per_query(base)), part=part)
+    return mean_ndcg(ndcg_from(dcg, idcg_per_query(r.where(F.col(part[0]) == first))), part=part)
 
 
 def boost_params(spark: SparkSession) -> DataFrame:
@@ -38,7 +39,7 @@ def sweep_window_boost(job: RankingJob, spark: SparkSession) -> DataFrame:
                                          "window_size", "rel", "tie")
     s = c.crossJoin(F.broadcast(boost_params(spark))).withColumn(  # 20 rows
         "score", window_boost(F.col("boost"), F.col("function"), F.col("qlen"), F.col("window_size")) * F.col("cosine"))
-    m = _eval(s, c)
+    m = _eval(s)
     return m.join(F.broadcast(boost_params(spark)), "param_id").select("function", "boost", "mean_ndcg", "n_queries")
 
 
@@ -51,7 +52,7 @@ def sweep_bm25f(job: RankingJob, spark: SparkSession, settings=BM25F_SETTINGS) -
     c = job.cands.crossJoin(F.broadcast(pt)).join(text, ["param_id", "query_id", "page_id"], "left")
     s = c.select("param_id", "query_id", "page_id", "rel", "tie",
                  (F.coalesce("text_score", F.lit(0.0)) + F.col("lamd") * bm._vf(p, F.col("pagerank"))).alias("score"))
-    out = _eval(s, job.cands)
+    out = _eval(s)
     return out.join(F.broadcast(pt.select("param_id", "setting")), "param_id").select("setting", "mean_ndcg", "n_queries")
 
 
@@ -83,7 +84,7 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
         .join(query_norms(job.qterms_idf), "query_id", "left")
     norm = F.coalesce("n1", F.lit(0.0)) * (F.coalesce("S", F.lit(0.0)) + F.coalesce("delta", F.lit(0.0)))
     scored = j.withColumn("score", F.when(norm > 0, F.coalesce("dot", F.lit(0.0)) / norm).otherwise(F.lit(0.0)))
-    out = _eval(scored, job.cands)
+    out = _eval(scored)
     return out.join(F.broadcast(prm), "param_id").select(
         "w_url", "w_title", "w_header", "w_body", "w_anchor", "mean_ndcg", "n_queries")
 
@@ -101,7 +102,7 @@ def compare_rankers(job: RankingJob) -> DataFrame:
         d = df.select(F.lit(name).alias("ranker"), "query_id", "page_id", "score", "rel", "tie")
         u = d if u is None else u.unionByName(d)
     r = rank_within(u, "score", part=("ranker", "query_id"))
-    n = ndcg_from(dcg_per_group(r, part=("ranker", "query_id")), idcg_per_query(job.cands))
+    n = ndcg_from(dcg_per_group(r, part=("ranker", "query_id")), idcg_per_query(r.where("ranker = 'baseline'")))
     return n.groupBy("query_id").pivot("ranker", list(parts)).agg(F.first("ndcg")).select(
         "query_id", *[F.col(k).alias(f"ndcg_{k}") for k in parts])
 
