@@ -43,40 +43,100 @@ def test_rejects_odd_documents_of_a_group_only(spark, docs_of):
     rows += [(1000 + i, " ".join(word(9) + "#%&" for _ in range(100)), "en", "s1") for i in range(40)]
     # in another source symbols are usual
     rows += [(2000 + i, " ".join(word(9) + "#%&" for _ in range(rng.randrange(60, 400))), "en", "s2") for i in range(100)]
-    rows += [(3000, " ".join(word(9) for _ in range(100)), None, None)]  # too small a group, even pooled
+    rows += [(3000, " ".join(word(9) for _ in range(100)), None, None)]  # alone in its group and language
     got = {r["row"]["doc_id"]: r["kept"] for r in O.judged(docs_of(rows)).collect()}
     assert not any(got[1000 + i] for i in range(40))
     assert all(got[i] for i in got if i < 1000 or i >= 2000)
 
 
-def test_matches_numpy_mcd(spark, docs_of):
-    """The last estimate's distances equal those computed row by row."""
+def moments(x):
+    import numpy as np
+
+    return x.mean(axis=0), np.cov(x.T, bias=True).reshape(5, 5) + O.FLOOR * np.eye(5)
+
+
+def distances(x, m, c):
+    import numpy as np
+
+    return np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+
+
+def plain_mcd(x):
+    """Mean and covariance by the module's rule, row by row."""
+    import numpy as np
+
+    def core(d2):
+        rung = np.round(np.log1p(d2) * 100 + 1e-9).astype(int)
+        return x[rung <= np.sort(rung)[int(np.ceil(O.CORE * len(x))) - 1]]
+
+    m = np.median(np.round(x, 2), axis=0)
+    mad = np.median(np.round(np.abs(x - m), 2), axis=0)
+    found = []
+    for start, at in enumerate([(m, np.diag((1.4826 * mad) ** 2 + O.FLOOR)), (m, np.eye(5)), moments(x)]):
+        last = np.inf
+        while True:
+            at = moments(core(distances(x, *at)))
+            now = np.linalg.slogdet(at[1])[1]
+            if now >= last - O.LEAST_FALL:
+                break
+            found.append((now, start, at))
+            last = now
+    m, c = min(found, key=lambda f: f[:2])[2]
+    scale = np.expm1(np.median(np.round(np.log1p(distances(x, m, c)), 2))) / O.CHI2_MEDIAN
+    return moments(x[distances(x, m, c) <= O.CUTOFF * max(scale, 1)])
+
+
+def combined(own, n, above):
+    import numpy as np
+
+    w = n / (n + O.PRIOR)
+    gap = own[0] - above[0]
+    return w * own[0] + (1 - w) * above[0], w * own[1] + (1 - w) * above[1] + w * (1 - w) * np.outer(gap, gap)
+
+
+def vectors(spark, rows):
+    """A table of (lang, source, vector) rows."""
+    flat = [(lang, source, i % O.SALTS, *map(float, v)) for i, (lang, source, v) in enumerate(rows)]
+    return spark.createDataFrame(flat, "lang string, source string, salt int, " + ", ".join(f"x{k} double" for k in range(5)))
+
+
+def test_matches_numpy_mcd(spark):
+    """The estimates of groups of 1, 7, 60 and 300 rows equal those computed row by row."""
     import numpy as np
 
     rng = np.random.default_rng(0)
-    x = np.round(rng.normal(size=(300, 5)) @ rng.normal(size=(5, 5)), 6)
-    rows = [(f"g{i % 2}", int(i % O.SALTS), *map(float, v)) for i, v in enumerate(x)]
-    df = spark.createDataFrame(rows, "group string, salt int, " + ", ".join(f"x{k} double" for k in range(5)))
-    got = {r["group"]: r for r in O.mcd_shapes(df).collect()}
-    for g in (0, 1):
-        own = x[np.arange(300) % 2 == g]
-        m, d = np.median(np.round(own, 2), axis=0), None
-        spread = np.sqrt((1.4826 * np.median(np.round(np.abs(own - m), 2), axis=0)) ** 2 + O.FLOOR)
-        d2 = (((own - m) / spread) ** 2).sum(axis=1)
-        for step in range(O.STEPS + 1):
-            if step < O.STEPS:
-                rung = np.round(np.log1p(d2) * 100 + 1e-9).astype(int)
-                order = np.sort(rung)
-                core = own[rung <= order[int(np.ceil(O.CORE * len(own))) - 1]]
-            else:
-                scale = np.expm1(np.median(np.round(np.log1p(d2), 2))) / O.CHI2_MEDIAN
-                core = own[d2 <= O.CUTOFF * max(scale, 1)]
-            m = core.mean(axis=0)
-            c = np.cov(core.T, bias=True) + O.FLOOR * np.eye(5)
-            d2 = np.einsum("ij,jk,ik->i", own - m, np.linalg.inv(c), own - m)
-        assert np.allclose([got[f"g{g}"][f"m{k}"] for k in range(5)], m, atol=1e-6)
+    mix = rng.normal(size=(5, 5))
+    rows = []
+    for lang, source, n in (("en", "a", 300), ("en", "b", 60), ("en", None, 7), ("de", "a", 1), (None, "c", 90)):
+        x = rng.normal(size=(n, 5)) @ mix + rng.normal(size=5)
+        x[: n // 3] += 25  # junk of one kind in a third
+        rows += [(lang, source, np.round(v, 6)) for v in x]
+    group = lambda lang=0, source=0: np.array([v for a, b, v in rows if lang in (0, a) and source in (0, b)])
+    everything = plain_mcd(group())
+    got = {tuple(map(r["group"].__contains__, ('"en"', '"de"', '"a"', '"b"', '"c"'))): r
+           for r in O.group_shapes(vectors(spark, rows)).collect()}
+    assert len(got) == 5
+    for (lang, source), key in {("en", "a"): (1, 0, 1, 0, 0), ("en", "b"): (1, 0, 0, 1, 0), ("en", None): (1, 0, 0, 0, 0),
+                                ("de", "a"): (0, 1, 1, 0, 0), (None, "c"): (0, 0, 0, 0, 1)}.items():
+        language = combined(plain_mcd(group(lang)), len(group(lang)), everything)
+        own = group(lang, source)
+        m, c = combined(plain_mcd(own), len(own), language)
+        r = got[tuple(map(bool, key))]
+        assert np.allclose([r[f"m{k}"] for k in range(5)], m, atol=1e-6)
         l = np.linalg.cholesky(c)
-        assert np.allclose([got[f"g{g}"][f"l{i}_{j}"] for i, j in O.PAIRS], [l[i, j] for i, j in O.PAIRS], atol=1e-6)
+        assert np.allclose([r[f"l{i}_{j}"] for i, j in O.PAIRS], [l[i, j] for i, j in O.PAIRS], atol=1e-6)
+
+
+def test_small_groups_are_judged_by_their_language(spark, docs_of):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    text = lambda tail="": " ".join(word() + tail for _ in range(rng.randrange(60, 400)))
+    rows = [(i, text(), "en", f"s{i % 40}") for i in range(400)]  # ten a source
+    rows += [(1000 + i, text("#%&"), "en", f"s{i}") for i in range(40)]  # one more each
+    rows += [(2000, text("#%&"), "en", "alone"), (2001, text(), "en", "alone2"), (2002, text(), None, None)]
+    rows += [(3000, rows[0][1], "en", "s0")] * 3  # repeated rows
+    got = {r["row"]["doc_id"]: r["kept"] for r in O.judged(docs_of(rows)).collect()}
+    assert {i for i in got if not got[i]} == {*range(1000, 1040), 2000}
 
 
 def test_empty(spark, docs_of):
