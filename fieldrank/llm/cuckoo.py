@@ -5,18 +5,23 @@ are dealt to shards by a hash of their own; in each shard a cuckoo filter (16-bi
 fingerprints, four slots a bucket, two candidate buckets) answers first. A miss means the
 digest is new; a hit is verified against the full digests stored under its bucket, so a
 fingerprint collision never merges two texts. When an insertion finds no slot after
-``MAX_KICKS`` moves, the filter is doubled and rebuilt from the stored keys. Deletion takes
-a digest's fingerprint out of the filter and its key out of the store.
+``MAX_KICKS`` moves, the filter is doubled and rebuilt from the stored keys.
 
-A shard is sized for ``SHARD_KEYS`` entries, so the number of shards grows with the data.
+Deletion is by copy. Beside the entries the index keeps its live rows (digest, doc_id), so
+that the copies left are counted and the largest doc_id among them found by grouped
+aggregation, never inside a shard; a digest's fingerprint and key go with its last copy.
+
+A shard is sized for ``SHARD_KEYS`` entries, so the number of shards grows with the data;
+an insertion that outgrows them deals the stored digests to more.
 Copies are combined within each batch before they are shuffled: a text with a billion
 copies reaches its shard as one row per batch that read it.
 
 Defined results: null and empty texts are equal (the empty text); the largest doc_id of
 equal texts stays, nulls count below every id, and if all ids are null ``keep_id`` is null;
 rows that repeat the kept id are the same document and are all marked kept (``distinct``
-then keeps one of them); an empty table gives an empty result; input columns beyond id and
-text are never read by the index.
+then keeps one of them); very long texts are hashed whole; an empty table gives an empty
+result; deleting a row that isn't live changes nothing, deleting one of several equal rows
+takes away one; input columns beyond id and text are never read by the index.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, table, written
@@ -117,6 +122,13 @@ class Shard:
         self.content[key & self.filter.mask].remove(record)
         return True
 
+    def replace(self, digest: bytes, doc_id, n: int) -> None:
+        """The record of a live digest after a deletion; none are left when n is 0."""
+        if n == 0:
+            self.remove(digest)
+        elif record := self.find(digest):
+            record[1:] = doc_id, n
+
     def grow(self) -> None:
         """Twice the buckets, filled again from the stored keys."""
         records = list(self.records())
@@ -169,7 +181,7 @@ def _changed(key: tuple, stored: pd.DataFrame, new: pd.DataFrame, gone: bool) ->
         shard.add(bytes(digest), doc_id, int(n))
     for digest, doc_id, n in zip(new["digest"], _ids(new["keep_id"]), new["n"], strict=True):
         if gone:
-            shard.remove(bytes(digest))
+            shard.replace(bytes(digest), doc_id, int(n))
         else:
             shard.add(bytes(digest), doc_id, int(n))
     return _frame(int(key[0]), shard)
@@ -191,41 +203,67 @@ def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 
 class CuckooIndex:
-    """Live digests, sharded; ``entries`` holds (shard, digest, keep_id, n)."""
+    """Live digests, sharded; ``entries`` holds (shard, digest, keep_id, n), ``live`` the rows
+    (doc_id, digest, n) behind them."""
 
-    def __init__(self, entries: DataFrame, n_shards: int):
-        self.entries, self.n_shards = entries, n_shards
+    def __init__(self, entries: DataFrame, n_shards: int, live: DataFrame):
+        self.entries, self.n_shards, self.live = entries, n_shards, live
 
     @classmethod
     def build(cls, rows: DataFrame, n_rows: int | None = None) -> CuckooIndex:
-        """Index of (doc_id, digest) rows; the shards are as many as the rows ask for."""
+        """Index of (doc_id, digest) rows, which must stay readable (a table or file); the
+        shards are as many as the rows ask for."""
         n_rows = rows.count() if n_rows is None else n_rows
         n_shards = max(1, math.ceil(n_rows / SHARD_KEYS))
         n_shards = max(n_shards, min(rows.sparkSession.sparkContext.defaultParallelism * 4, math.ceil(n_rows / 1000)) or 1)
         combined = cls._dealt(rows, n_shards)
-        return cls(written(combined.groupBy("shard").applyInPandas(_filled, ENTRY), "cuckoo"), n_shards)
+        return cls(written(combined.groupBy("shard").applyInPandas(_filled, ENTRY), "cuckoo"), n_shards, _copies(rows))
 
     @staticmethod
-    def _dealt(rows: DataFrame, n_shards: int) -> DataFrame:
-        shard = F.pmod(F.crc32("digest"), F.lit(n_shards)).cast("int")
-        return rows.select(shard.alias("shard"), "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n")) \
+    def _shard(n_shards: int) -> Column:
+        return F.pmod(F.crc32("digest"), F.lit(n_shards)).cast("int").alias("shard")
+
+    @classmethod
+    def _dealt(cls, rows: DataFrame, n_shards: int) -> DataFrame:
+        return rows.select(cls._shard(n_shards), "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n")) \
             .mapInPandas(_combined, ENTRY)
 
-    def _with(self, rows: DataFrame, name: str, change) -> DataFrame:
-        new = self._dealt(rows, self.n_shards)
-        return self.entries.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(change, ENTRY)
+    @staticmethod
+    def _with(entries: DataFrame, new: DataFrame, change) -> DataFrame:
+        return entries.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(change, ENTRY)
 
     def insert(self, rows: DataFrame) -> CuckooIndex:
-        """The index with further (doc_id, digest) rows."""
-        return CuckooIndex(written(self._with(rows, "insert", lambda k, a, b: _changed(k, a, b, False)), "cuckoo"), self.n_shards)
+        """The index with further (doc_id, digest) rows. Where the stored digests and the
+        new rows ask for more shards, both are dealt to those."""
+        rows = written(rows.select("doc_id", "digest"), "inserted")
+        n_shards = max(self.n_shards, math.ceil((self.entries.count() + rows.count()) / SHARD_KEYS))
+        entries = self.entries.withColumn("shard", self._shard(n_shards))
+        entries = written(self._with(entries, self._dealt(rows, n_shards), lambda k, a, b: _changed(k, a, b, False)), "cuckoo")
+        live = self.live.unionByName(_copies(rows)).groupBy("doc_id", "digest").agg(F.sum("n").alias("n"))
+        return CuckooIndex(entries, n_shards, written(live, "cuckoo-live"))
 
     def delete(self, rows: DataFrame) -> CuckooIndex:
-        """The index without the digests of these rows; absent ones change nothing."""
-        return CuckooIndex(written(self._with(rows, "delete", lambda k, a, b: _changed(k, a, b, True)), "cuckoo"), self.n_shards)
+        """The index without one copy for each of these (doc_id, digest) rows; rows that aren't
+        live change nothing."""
+        gone = written(_copies(rows), "deleted").select(F.col("doc_id").alias("id"), F.col("digest").alias("sha"), F.col("n").alias("less"))
+        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("sha"))
+        left = F.greatest(F.col("n") - F.coalesce("less", F.lit(0)), F.lit(0))
+        live = written(self.live.join(gone, same, "left").select("doc_id", "digest", left.alias("n"), F.col("less").isNotNull().alias("hit")), "cuckoo-live")
+        touched = live.where("hit").select("digest").distinct()
+        after = live.join(touched, "digest", "left_semi").groupBy("digest").agg(
+            F.max(F.when(F.col("n") > 0, F.col("doc_id"))).alias("keep_id"), F.sum("n").alias("n"))
+        after = after.select(self._shard(self.n_shards), "digest", "keep_id", "n")
+        entries = written(self._with(self.entries, after, lambda k, a, b: _changed(k, a, b, True)), "cuckoo")
+        return CuckooIndex(entries, self.n_shards, live.where("n > 0").drop("hit"))
 
     def lookup(self, rows: DataFrame) -> DataFrame:
         """(digest, keep_id, n) of the digests asked for; n is 0 for those not live."""
-        return self._with(rows, "lookup", _found).select("digest", "keep_id", "n")
+        return self._with(self.entries, self._dealt(rows, self.n_shards), _found).select("digest", "keep_id", "n")
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, digest, n): equal rows as one."""
+    return rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

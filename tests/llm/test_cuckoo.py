@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -74,7 +75,7 @@ def test_distinct_keeps_one_of_each_text(spark, docs_of):
 def test_index_insert_delete_lookup(spark, docs_of):
     rows = C.digests(docs_of(ROWS))
     index = C.CuckooIndex.build(rows)
-    index = index.insert(C.digests(docs_of([(20, "a b"), (21, "new")]))).delete(C.digests(docs_of([(0, "É"), (0, "absent")])))
+    index = index.insert(C.digests(docs_of([(20, "a b"), (21, "new")]))).delete(C.digests(docs_of([(4, "É"), (0, "é"), (0, "absent")])))
     sha = lambda t: hashlib.sha256(norm(t).encode()).digest()
     got = {bytes(r["digest"]): (r["keep_id"], r["n"]) for r in index.lookup(C.digests(docs_of([(0, t) for t in ("a b", "new", "É", "é", "no")]))).collect()}
     assert got == {sha("a b"): (20, 6), sha("new"): (21, 1), sha("É"): (None, 0), sha("é"): (6, 1), sha("no"): (None, 0)}
@@ -82,5 +83,30 @@ def test_index_insert_delete_lookup(spark, docs_of):
     assert again.lookup(C.digests(docs_of([(0, "É")]))).first()["keep_id"] == 30
 
 
+def test_deletion_is_by_copy_and_shards_grow(spark, docs_of, monkeypatch):
+    """Against a plain multiset: copies, repeated rows, null ids; more keys than the first shards hold."""
+    monkeypatch.setattr(C, "SHARD_KEYS", 50)
+    rng = random.Random(4)
+    draw = lambda n: [(rng.choice([None, *range(6)]), f"t{rng.randrange(30)}") for _ in range(n)]
+    first, more = draw(80), draw(60) + [(100 + i, f"new{i}") for i in range(300)]
+    gone = [*first[:40], *more[:20], (1, "absent"), (99, "t1"), *[(5, "t2")] * 30, (100, "new0")]
+    index = C.CuckooIndex.build(C.digests(docs_of(first)))
+    before = index.n_shards
+    index = index.insert(C.digests(docs_of(more))).delete(C.digests(docs_of(gone)))
+    live = Counter(first + more)
+    live.subtract(Counter(gone))
+    live = +live
+    want = {}
+    for (i, t), n in live.items():
+        ids, m = want.get(t, ([], 0))
+        want[t] = (ids + [i], m + n)
+    want = {hashlib.sha256(t.encode()).digest(): (max((i for i in ids if i is not None), default=None), n) for t, (ids, n) in want.items()}
+    entries = index.entries.collect()
+    assert {bytes(r["digest"]): (r["keep_id"], r["n"]) for r in entries} == want and len(entries) == len(want)
+    assert index.n_shards > before and len({r["shard"] for r in entries}) > before
+    emptied = index.delete(C.digests(docs_of([row for row, n in live.items() for _ in range(n)])))
+    assert emptied.entries.isEmpty() and emptied.live.isEmpty()
+
+
 def test_empty(spark, docs_of):
     assert C.dedup(docs_of([])).count() == 0 and C.distinct(docs_of([])).count() == 0
