@@ -585,10 +585,10 @@ def q_sweep_bm25f(spark, sf):
     return SW.sweep_bm25f(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
 
 
-def _cos_sweep_sql() -> str:
+def _cos_sweep_sql(grid=None) -> str:
     ext = {}
     parts = []
-    for i, w in enumerate(cosine_weight_grid()):
+    for i, w in enumerate(grid or cosine_weight_grid()):
         ext.update(O.pairs_cte("dc", w, name=f"dc_cw_{i}"))
         parts.append(f"SELECT {i} AS param_id, {w.url} AS w_url, {w.title} AS w_title, {w.header} AS w_header, "
                      f"{w.body} AS w_body, {w.anchor} AS w_anchor, query_id, page_id, tie, rel, cosine AS score "

@@ -7,6 +7,11 @@ so broadcasting it is safe). Ranking and NDCG are then partitioned by ``(param_i
 
 from __future__ import annotations
 
+import copy
+import dataclasses
+import math
+import random
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +20,9 @@ from fieldrank.operators import bm25f as bm
 from fieldrank.operators.cosine import query_norms
 from fieldrank.operators.evaluate import dcg_per_group, idcg_per_query, mean_ndcg, ndcg_from, rank_within
 from fieldrank.operators.match import body_part, static_part
-from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, cosine_weight_grid
+from fieldrank.params import BOOST_FUNCTIONS, BOOST_GRID, BM25F_SETTINGS, FIELDS, CosineWeights, cosine_weight_grid
 from fieldrank.plans.rankers import RankingJob
+from fieldrank.sources.corpus import scratch_path, snapshot
 
 
 def _eval(scored: DataFrame, part=("param_id",), first=0) -> DataFrame:
@@ -89,6 +95,57 @@ def sweep_cosine_weights(job: RankingJob, spark: SparkSession, grid=None) -> Dat
         "w_url", "w_title", "w_header", "w_body", "w_anchor", "mean_ndcg", "n_queries")
 
 
+def with_stored_features(job: RankingJob, spark: SparkSession) -> RankingJob:
+    """The job with what a weight sweep reads (matched terms, pairs, terms of the candidates'
+    pages, query weights) written once, so that further sweeps parse and match nothing."""
+    keep = lambda df, name: snapshot(df, scratch_path(spark, name))
+    out = copy.copy(job)
+    out.qterms_idf, out.matched = keep(job.qterms_idf, "query-terms"), keep(job.matched, "matched")
+    out.cands = keep(job.cands, "pairs")
+    out.candidate_pairs = out.cands.select("query_id", "page_id")
+    terms = job.index.terms.join(out.candidate_pairs.select("page_id").distinct(), "page_id", "left_semi")
+    out.index = dataclasses.replace(job.index, terms=keep(terms, "page-terms"))
+    return out
+
+
+def next_settings(best: list[CosineWeights], count: int, spread: float, rng: random.Random) -> list[CosineWeights]:
+    """``count`` settings around the best ones in turn, every weight times exp of a uniform
+    number in -spread..spread."""
+    return [CosineWeights(**{f: getattr(best[k % len(best)], f) * math.exp(rng.uniform(-spread, spread)) for f in FIELDS})
+            for k in range(count)]
+
+
+def best_settings(means: dict[CosineWeights, float], keep: int) -> list[CosineWeights]:
+    """The ``keep`` settings of the highest mean NDCG (at 9 digits), ties to those tried first."""
+    return sorted(means, key=lambda w: -round(means[w], 9))[:keep]
+
+
+def search_cosine_weights(job: RankingJob, spark: SparkSession, seed: int = 1, rounds: int = 2, per_round: int = 12,
+                          keep: int = 4, spread: float = math.log(8)) -> DataFrame:
+    """Seeded random search for field weights over all judged pairs. Round 0 tries the fixed
+    grid; each further round tries ``per_round`` settings around the ``keep`` best so far,
+    with half the spread and half the survivors of the round before. The features are stored
+    once; a round is one sweep, of which one row per setting comes to the driver. Returns every
+    setting tried (round, w_*, mean_ndcg, n_queries) and ``best``, true for one row."""
+    stored, rng = with_stored_features(job, spark), random.Random(seed)
+    grid, means, rows = list(cosine_weight_grid()), {}, []
+    for n in range(rounds + 1):
+        got = {tuple(r)[:5]: r for r in sweep_cosine_weights(stored, spark, grid).collect()}
+        for w in grid:
+            if (r := got.get(w.as_tuple())) is not None:  # without judged pairs there is nothing to compare
+                means[w] = r["mean_ndcg"]
+                rows.append((n, *w.as_tuple(), r["mean_ndcg"], r["n_queries"]))
+        if not means:
+            break
+        grid = next_settings(best_settings(means, keep), per_round, spread, rng)
+        keep, spread = max(1, keep // 2), spread / 2
+    top = best_settings(means, 1)
+    return spark.createDataFrame(
+        [(*r, r[1:6] == top[0].as_tuple()) for r in rows],
+        "round int, w_url double, w_title double, w_header double, w_body double, w_anchor double, "
+        "mean_ndcg double, n_queries long, best boolean")
+
+
 def compare_rankers(job: RankingJob) -> DataFrame:
     """NDCG per query for the four rankers side by side (one row per query)."""
     parts = {
@@ -107,5 +164,5 @@ def compare_rankers(job: RankingJob) -> DataFrame:
         "query_id", *[F.col(k).alias(f"ndcg_{k}") for k in parts])
 
 
-__all__ = ["sweep_window_boost", "sweep_bm25f", "sweep_cosine_weights", "compare_rankers",
+__all__ = ["sweep_window_boost", "sweep_bm25f", "sweep_cosine_weights", "search_cosine_weights", "compare_rankers",
            "boost_params", "cosine_params"]
