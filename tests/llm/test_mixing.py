@@ -69,3 +69,30 @@ def test_reruns_agree_and_empty(spark, docs_of):
     rows = [(i, "w " * (i % 7 + 1), "en", "abc"[i % 3]) for i in range(90)]
     assert found(M.mix(docs_of(rows))) == found(M.mix(docs_of(rows).repartition(5)))
     assert M.mix(docs_of([])).count() == 0 and M.mixed(docs_of([(1, None)])).count() == 0
+
+
+def test_rows_without_an_id_or_with_one_id_are_cut_exactly(spark, docs_of):
+    rng = random.Random(8)
+    rows = [(None, "w " * rng.randrange(1, 6) + rng.choice("xyz"), "en", "hot") for _ in range(700)]  # one hash, many equal rows
+    rows += [(i, "w " * rng.randrange(1, 30), "en", rng.choice("ab")) for i in range(200)]
+    rows += [(1007, "same words here", "en", "same")] * 300 + [(8, None, "en", "same")] * 20
+    rows += [(None, "", "en", None), (5, "last", "en", None)]
+    df = docs_of(rows)
+    want = brute(rows)
+    assert found(M.mix(df)) == want and found(M.mix(df.repartition(7))) == want
+    assert any(0 < r[4] for r in want if r[0] == 1007) and len({r[4] for r in want if r[0] == 1007}) == 2
+    # which of the rows without an id are repeated depends on their texts, not on their places
+    texts = lambda d: sorted((r["row"]["text"], r["times"]) for r in M.mix(d).where("row.source = 'hot'").collect())
+    assert texts(df) == texts(df.orderBy("text").repartition(3))
+
+
+def test_equal_rows_are_numbered_over_blocks(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_BITS", 3)
+    rows = [(7, "same words here", "en", "a")] * 200 + [(1, "w " * 90, "en", "b")]
+    assert found(M.mix(docs_of(rows).repartition(4))) == brute(rows)
+
+
+def test_texts_are_not_shuffled(spark, docs_of):
+    out = M.mixed(docs_of([(i, "w " * (i % 9 + 1), "en", "abc"[i % 3]) for i in range(90)]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
