@@ -458,8 +458,7 @@ def q_all_terms_in_field(spark, sf):
     from fieldrank.operators.window import all_terms_in_field, query_term_postings
     j = pages_job(spark, sf)
     full = all_terms_in_field(query_term_postings(j.qterms, j.index, j.candidate_pairs))
-    return full.select("query_id", "page_id", "field", "instance").distinct().groupBy(
-        "query_id", "page_id", "field").agg(F.count(F.lit(1)).alias("n_instances"))
+    return full.groupBy("query_id", "page_id", "field").agg(F.count(F.lit(1)).alias("n_instances"))
 
 
 @register("window_boost", O.with_sql("SELECT query_id, page_id, qlen, window_size, round(boost, 6) AS boost FROM pg_cw"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldrank.operators.cosine import static_norms
 from fieldrank.operators.evaluate import ndcg_per_query, ranking_completeness
-from fieldrank.operators.window import smallest_window_fold
+from fieldrank.operators.window import smallest_window
 from fieldrank.plans.catalog import docs_job, pages_job
 from fieldrank.plans.rankers import ranked
 
@@ -26,16 +26,15 @@ def brute_window(lists):
 
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 40), max_size=5), min_size=1, max_size=4))
-def test_window_fold_matches_brute_force(spark, sets):
+def test_window_merge_matches_brute_force(spark, sets):
     # positions are distinct across terms in a token list: make them so
     seen, lists = set(), []
     for s in sets:
         lst = sorted(p for p in s if p not in seen)
         seen.update(lst)
         lists.append(lst)
-    events = sorted((p, ti) for ti, ps in enumerate(lists) for p in ps)
-    df = spark.createDataFrame([(events, len(lists))], "ev array<struct<pos:int,ti:int>>, k int")
-    got = df.select(smallest_window_fold(F.col("ev"), F.col("k")).alias("w")).first()["w"]
+    df = spark.createDataFrame([(lists,)], "l array<array<int>>")
+    got = df.select(smallest_window(F.col("l")).alias("w")).first()["w"]
     assert got == brute_window(lists)
 
 
@@ -52,6 +51,16 @@ def test_rank_is_permutation(pj):
     assert bad == 0
 
 
+def test_windows_add_one_exchange_at_most_and_no_window(pj):
+    from fieldrank.operators.window import field_windows, query_term_postings
+
+    post = query_term_postings(pj.qterms, pj.index, pj.candidate_pairs)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before, after = plan(post), plan(field_windows(post))
+    assert after.count("Window ") <= before.count("Window ") and "array_sort" not in after
+    assert after.count("Exchange hashpartitioning") <= before.count("Exchange hashpartitioning") + 1
+
+
 def test_window_at_least_distinct_terms(pj):
     w = pj.windows.join(pj.query_stats, "query_id")
     assert w.where("window_size < k").count() == 0
