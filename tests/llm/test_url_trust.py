@@ -99,3 +99,54 @@ def test_a_hosts_number_of_unjudged_urls_does_not_protect_it(spark):
 
 def test_empty(spark):
     assert judge(spark, []) == {}
+
+
+def walk(seed, edges, rounds=200):
+    """Personalised PageRank by plain loops: ``seed`` host -> mass, ``edges`` (from, to) -> links."""
+    leaving = {}
+    for (a, _), n in edges.items():
+        leaving[a] = leaving.get(a, 0) + n
+    r = {}
+    for _ in range(rounds):
+        new = {h: (1 - U.DAMPING) * s for h, s in seed.items()}
+        for (a, b), n in edges.items():
+            new[b] = new.get(b, 0) + U.DAMPING * r.get(a, 0) * n / leaving[a]
+        r = new
+    return r
+
+
+def test_verdicts_equal_a_brute_force_walk(spark):
+    import random
+
+    judged_by_walk = {"block": 0, "allow": 0}
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        hosts = [f"h{i}.{rng.choice(['com', 'net', 'org', 'com'])}" for i in range(60)]
+        pages = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['fr/', 'fr/', ''])}", "".join(f'<a href="//{rng.choice(hosts)}/">' for _ in range(rng.randrange(3))))
+                 for i in range(160)]
+        urls, edges = {}, {}
+        for _, url, html in pages:
+            host, path = url[7:].split("/", 1)
+            kind = "block" if host.endswith(".net") else "allow" if host.endswith(".org") and path == "fr/" else "other"
+            urls.setdefault(host, {"allow": 0, "block": 0, "other": 0})[kind] += 1
+            for to in html.split("//")[1:]:
+                if (to := to.split("/")[0]) != host:
+                    edges[host, to] = edges.get((host, to), 0) + 1
+        back = {(b, a): n for (a, b), n in edges.items()}
+        n = {h: sum(u.values()) for h, u in urls.items()}
+        seeds = {k: {h: u[k] * u[k] / n[h] for h, u in urls.items()} for k in ("allow", "block")}
+        good, bad = walk(seeds["allow"], edges), walk(seeds["block"], back)
+        unsure = walk({h: u["other"] / n[h] for h, u in urls.items()}, edges)
+        got = judge(spark, [(*p, "c", 1) for p in pages])
+        for i, url, _ in pages:
+            r, host = got[i], url[7:].split("/", 1)[0]
+            if r["rule"]:
+                continue
+            own = {k: (1 - U.DAMPING) * (urls[host][k] / n[host] - seeds[k][host]) for k in seeds}
+            g, b = good.get(host, 0) + own["allow"], bad.get(host, 0) + own["block"]
+            share = b / (g + b + unsure.get(host, 0))
+            if abs(share - U.BLOCK_SHARE) > 0.01:  # the rounds stop at a thousandth of a mass
+                want = "block" if share >= U.BLOCK_SHARE else "allow"
+                assert r["verdict"] == want, (host, share)
+                judged_by_walk[want] += 1
+    assert min(judged_by_walk.values()) >= 5
