@@ -116,10 +116,15 @@ def ranking_completeness(ranked: DataFrame, expected: DataFrame, keys=("query_id
     """One row with the number of expected pairs never ranked, ranked pairs not
     expected, and pairs ranked more than once (all 0 for a complete ranking)."""
     k = list(keys)
-    missing = expected.select(*k).join(ranked.select(*k), k, "left_anti").agg(F.count(F.lit(1)).alias("missing"))
-    extra = ranked.select(*k).join(expected.select(*k), k, "left_anti").agg(F.count(F.lit(1)).alias("unexpected"))
-    dup = ranked.groupBy(*k).count().where("count > 1").agg(F.count(F.lit(1)).alias("duplicated"))
-    return missing.crossJoin(extra).crossJoin(dup)
+    there = lambda r, e: [F.lit(r).cast("long").alias("_r"), F.lit(e).cast("long").alias("_e")]
+    pairs = ranked.select(*k, *there(1, 0)).unionByName(expected.select(*k, *there(0, 1)))
+    counts = pairs.groupBy(*k).agg(F.sum("_r").alias("_r"), F.sum("_e").alias("_e"))
+    unknown = F.lit(False)  # a null key equals no other
+    for c in k:
+        unknown = unknown | F.col(c).isNull()
+    total = lambda n, where: F.coalesce(F.sum(F.when(where, F.col(n))), F.lit(0).cast("long"))
+    return counts.agg(total("_e", unknown | (F.col("_r") == 0)).alias("missing"), total("_r", unknown | (F.col("_e") == 0)).alias("unexpected"),
+                      F.count(F.when(F.col("_r") > 1, 1)).alias("duplicated"))
 
 
 def query_result_counts(ranked: DataFrame, part=("query_id",)) -> DataFrame:
