@@ -114,27 +114,33 @@ class PageIndex:
 
 def _tables_from(pages: DataFrame, keys: list[str], vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Postings and the per-term field tf table from the parsed pages. With
-    ``vocab`` (one ``term`` column), body tokens outside it are dropped before aggregating:
-    the rankers read body rows of query terms only (norms use non-body fields, lengths the
-    page scalars), and the body is the bulk of the tokens."""
+    ``vocab`` (``term``, with ``query_id`` for feature records), postings and body tokens outside it are
+    dropped before aggregating: the rankers read those of query terms only (norms use non-body
+    fields, lengths the page scalars), and the body is the bulk of the tokens. The norm of a feature
+    record counts all the body terms that it lists, so its term table keeps them."""
     anchors = F.coalesce(F.col("anchors"), F.array().cast("array<struct<text:string,cnt:int>>"))
     headers = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
-    events = F.concat(
+    lower = F.concat(
         _events(tok_url(F.col("url")), "url").cast(f"array<{EVENT}>"),
         _events(tok_lower(F.col("title")), "title").cast(f"array<{EVENT}>"),
         _events(tok_headers_lower(headers), "header").cast(f"array<{EVENT}>"),
         _anchor_events(anchors, tok_lower, "anchor", weighted=True).cast(f"array<{EVENT}>"),
+    )
+    raw = F.concat(
         _events(tok_raw(F.col("title")), "title_raw").cast(f"array<{EVENT}>"),
         _events(tok_headers_raw(headers), "header_raw").cast(f"array<{EVENT}>"),
         _anchor_events(anchors, tok_raw, "anchor_raw", weighted=False).cast(f"array<{EVENT}>"),
     )
-    small = pages.select(*keys, *TERM_SCALARS, F.inline(events))
     body = _body_events(pages, keys)
+    placed = body.unionByName(pages.select(*keys, *TERM_SCALARS, F.inline(lower)))
     if vocab is not None:
-        body = body.join(vocab.select("term").distinct(), "term", "left_semi")
-    ev = body.unionByName(small)
-    is_raw = F.col("field").endswith("_raw")
-    postings = ev.where(~is_raw).groupBy(*keys, "field", "instance", "term").agg(
+        own = [c for c in keys if c in vocab.columns]  # the terms of a record's own query
+        known = vocab.select(*own, "term").distinct()
+        placed = placed.join(known, [*own, "term"], "left_semi")
+        if not own:
+            body = body.join(known, "term", "left_semi")
+    ev = body.unionByName(pages.select(*keys, *TERM_SCALARS, F.inline(F.concat(lower, raw))))
+    postings = placed.groupBy(*keys, "field", "instance", "term").agg(
         F.count(F.lit(1)).alias("tf"),
         F.max("w").alias("w"),
         F.sort_array(F.collect_list("pos")).alias("positions"),

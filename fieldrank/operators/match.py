@@ -75,12 +75,16 @@ def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extr
     )
 
 
+def pair_pages(index: PageIndex, queries_stats: DataFrame, cands: DataFrame | None = None) -> DataFrame:
+    """Every candidate pair with the page attributes and the query's lengths."""
+    base = index.pages if index.keyed_by_query else index.pages.join(cands, "page_id")
+    return base.join(queries_stats, "query_id", "left")
+
+
 def candidates(pairs: DataFrame, index: PageIndex, queries_stats: DataFrame, cands: DataFrame | None = None) -> DataFrame:
     """Every candidate pair with the page attributes and its aggregates (zeros where no term
     matched, or the query has no term at all)."""
-    base = index.pages if index.keyed_by_query else index.pages.join(cands, "page_id")
-    base = base.join(queries_stats, "query_id", "left")
-    out = base.join(pairs.drop("qlen", "k", *TERM_SCALARS), ["page_id", "query_id"], "left")
+    out = pair_pages(index, queries_stats, cands).join(pairs.drop("qlen", "k", *TERM_SCALARS), ["page_id", "query_id"], "left")
     fill = {"hits": F.lit(0).cast("long"), "has_body": F.lit(False), "dot": F.lit(0.0), "delta": F.lit(0.0)}
     for c, v in fill.items():
         if c in out.columns:

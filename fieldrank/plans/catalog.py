@@ -48,6 +48,22 @@ def docs_job(spark: SparkSession, sf_dir: str) -> RankingJob:
     return RankingJob(q, c, T.corpus(spark, sf_dir), T.candidates(q, c))
 
 
+def terms_once(job: RankingJob) -> RankingJob:
+    """The job with its term table written once, for rankers that match it and sum its norms."""
+    terms = CO.snapshot(job.index.terms, CO.scratch_path(job.collection.sparkSession, "terms"))
+    job.index = replace(job.index, terms=terms)
+    return job
+
+
+def parsed_once(job: RankingJob) -> RankingJob:
+    """The job over its parsed pages and candidate pairs, each written once: its parts read them
+    several times, and parsing html and probing every word's runs is most of a ranking's work."""
+    spark = job.collection.sparkSession
+    pages = CO.snapshot(job.collection, CO.scratch_path(spark, "parsed"))
+    pairs = CO.snapshot(T.candidates(job.queries, pages), CO.scratch_path(spark, "pairs"))
+    return replace(job, collection=pages, candidate_pairs=pairs)
+
+
 # ------------------------------------------------------------------ corpus statistics
 @register("doc_freq", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
 def q_doc_freq(spark, sf):
@@ -78,13 +94,13 @@ def q_tfidf_query(spark, sf):
 # ------------------------------------------------------------------ rankers (pages)
 @register("rank_baseline", O.with_sql(O.ranked_sql("pg_pairs", "CAST(hits AS DOUBLE)")))
 def q_rank_baseline(spark, sf):
-    j = pages_job(spark, sf)
+    j = parsed_once(pages_job(spark, sf))
     return j.rank(j.baseline())
 
 
 @register("rank_cosine", O.with_sql(O.ranked_sql("pg_pairs_cos", "cosine")))
 def q_rank_cosine(spark, sf):
-    j = pages_job(spark, sf)
+    j = parsed_once(pages_job(spark, sf))
     return j.rank(j.cosine())
 
 
@@ -98,13 +114,13 @@ for _name, _rule in (("rank_cosine_raw_tf", TfRule(False, False)), ("rank_cosine
 
 @register("rank_bm25f", O.with_sql(O.ranked_sql("pg_bm25f", "bm25f")))
 def q_rank_bm25f(spark, sf):
-    j = pages_job(spark, sf)
+    j = parsed_once(pages_job(spark, sf))
     return j.rank(j.bm25f())
 
 
 @register("rank_cosine_window", O.with_sql(O.ranked_sql("pg_cw", "cw")))
 def q_rank_cosine_window(spark, sf):
-    j = pages_job(spark, sf)
+    j = parsed_once(pages_job(spark, sf))
     return j.rank(j.cosine_window())
 
 
@@ -112,8 +128,8 @@ def stored_job(spark: SparkSession, sf_dir: str) -> RankingJob:
     """Rankers over a stored index with a history: half of the pages added with other titles, then
     all of them (the first half replaced), a third removed, added again, and merged."""
     from fieldrank.operators.store import IndexStore
-    store = IndexStore(spark, CO.scratch_path(spark, "index"), buckets=8)
-    coll = T.pages_collection(spark, sf_dir)
+    store = IndexStore(spark, CO.scratch_path(spark, "index"), buckets=max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    coll = CO.snapshot(T.pages_collection(spark, sf_dir), CO.scratch_path(spark, "parsed"))  # added twice and a third again
     store.add(coll.where("page_id % 2 = 0").withColumn("title", F.concat(F.lit("old "), "title")))
     store.add(coll)
     third = coll.where("page_id % 3 = 0")
@@ -530,8 +546,8 @@ def q_join_judgments(spark, sf):
     extra={"r": O.ranked_sql("pg_bm25f", "bm25f")}))
 def q_ranking_completeness(spark, sf):
     from fieldrank.operators.evaluate import ranking_completeness
-    j = pages_job(spark, sf)
-    return ranking_completeness(ranked(j.bm25f()), j.cands)
+    j = parsed_once(pages_job(spark, sf))
+    return ranking_completeness(ranked(j.bm25f()), j.pages_of_pairs)
 
 
 # ------------------------------------------------------------------ sweeps
@@ -564,7 +580,7 @@ _BOOST_COLS = ("(CASE WHEN w.window_size IS NULL THEN 1.0 WHEN w.window_size = s
                 CROSS JOIN bp""",
            **ndcg_cte("sw_sc", "score", "sw_nd", "param_id, query_id")}))
 def q_sweep_window_boost(spark, sf):
-    return SW.sweep_window_boost(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+    return SW.sweep_window_boost(terms_once(parsed_once(docs_job(spark, sf))), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
 
 
 def _bm25_sweep_sql() -> str:
@@ -581,7 +597,7 @@ def _bm25_sweep_sql() -> str:
 
 @register("sweep_bm25f", _bm25_sweep_sql())
 def q_sweep_bm25f(spark, sf):
-    return SW.sweep_bm25f(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+    return SW.sweep_bm25f(parsed_once(docs_job(spark, sf)), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
 
 
 def _cos_sweep_sql(grid=None) -> str:
@@ -601,7 +617,7 @@ def _cos_sweep_sql(grid=None) -> str:
 
 @register("sweep_cosine_weights", _cos_sweep_sql())
 def q_sweep_cosine_weights(spark, sf):
-    return SW.sweep_cosine_weights(docs_job(spark, sf), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
+    return SW.sweep_cosine_weights(parsed_once(docs_job(spark, sf)), spark).withColumn("mean_ndcg", r6("mean_ndcg"))
 
 
 def _compare_sql() -> str:
@@ -616,7 +632,7 @@ def _compare_sql() -> str:
 
 @register("compare_rankers", _compare_sql())
 def q_compare_rankers(spark, sf):
-    c = SW.compare_rankers(docs_job(spark, sf))
+    c = SW.compare_rankers(terms_once(parsed_once(docs_job(spark, sf))))
     return c.select("query_id", *[r6(x).alias(x) for x in c.columns if x != "query_id"])
 
 
@@ -629,7 +645,7 @@ def feature_records(spark, sf) -> DataFrame:
     """Feature records (the reference's input shape) of the page candidates of every
     distinct query text: body_hits hold the query's terms (and, where the page id divides by
     5, a listed term outside the query). Each query also has a record without any token."""
-    q, coll = T.queries(spark, sf), T.pages_collection(spark, sf)
+    q, coll = T.queries(spark, sf), CO.snapshot(T.pages_collection(spark, sf), CO.scratch_path(spark, "parsed"))
     texts = q.groupBy("query").agg(F.min("query_id").alias("query_id"))
     c = T.candidates(q, coll).join(texts, "query_id")
     place = F.row_number().over(Window.partitionBy("query").orderBy("page_id")) - 1  # a query's candidates
@@ -643,6 +659,7 @@ def feature_records(spark, sf) -> DataFrame:
     anchors = F.map_from_entries(F.transform("anchors", lambda a: F.struct(a["text"], a["cnt"])))
     rows = c.join(coll, "page_id").select("query", "url", "url_pos", "title", "headers", F.map_from_entries(hits).alias("body_hits"),
                                           "body_length", "pagerank", anchors.alias("anchors"))
+    rows = CO.snapshot(rows, CO.scratch_path(spark, "records"))  # read for blocks, lines and their order
     none = rows.groupBy("query").agg((F.max("url_pos") + 1).cast("int").alias("url_pos")).withColumn("url", F.lit("///"))
     return rows.unionByName(none, allowMissingColumns=True)
 
@@ -651,8 +668,10 @@ def records_job(spark, sf) -> RankingJob:
     """The rankers' only way in the reference: a feature file, read and ranked."""
     path = CO.scratch_path(spark, "features")
     TF.write_feature_file(feature_records(spark, sf), path)
-    queries, coll = TF.features_to_collection(TF.read_feature_file(spark, path))
-    return RankingJob(queries, coll, T.corpus(spark, sf))
+    _, coll = TF.features_to_collection(TF.read_feature_file(spark, path))
+    coll = CO.snapshot(coll, CO.scratch_path(spark, "records"))
+    queries = coll.select("query_id", F.col("query_id").alias("query")).distinct()
+    return terms_once(RankingJob(queries, coll, T.corpus(spark, sf)))
 
 
 def _features_rank(ranker):
@@ -721,7 +740,7 @@ def q_read_judgments_roundtrip(spark, sf):
 @register("write_ranking_roundtrip", O.with_sql(
     "SELECT q.query, r.rank, r.url FROM (" + O.ranked_sql("pg_bm25f", "bm25f") + ") r JOIN fx_queries q USING (query_id)"))
 def q_write_ranking_roundtrip(spark, sf):
-    r = ranked(pages_job(spark, sf).bm25f()).join(T.queries(spark, sf), "query_id")
+    r = ranked(parsed_once(pages_job(spark, sf)).bm25f()).join(T.queries(spark, sf), "query_id")
     path = CO.scratch_path(spark, "ranking")
     TF.write_ranking(r, path)
     return TF.read_ranking(spark, path)
@@ -737,7 +756,7 @@ def q_score_files(spark, sf):
     urls without a judgment are dropped."""
     from fieldrank.operators.evaluate import join_judgments
     one = T.queries(spark, sf).groupBy("query").agg(F.min("query_id").alias("query_id"))
-    r = ranked(pages_job(spark, sf).bm25f()).join(one, "query_id")
+    r = ranked(parsed_once(pages_job(spark, sf)).bm25f()).join(one, "query_id")
     ranking, judged = CO.scratch_path(spark, "ranking"), CO.scratch_path(spark, "judgments")
     TF.write_ranking(r, ranking)
     labels = T.judgments(spark, sf).withColumnRenamed("doc_id", "page_id")

@@ -18,7 +18,7 @@ from fieldrank.operators import bm25f as bm
 from fieldrank.operators.cosine import cosine_scores
 from fieldrank.operators.evaluate import rank_within
 from fieldrank.operators.index import PageIndex, build_index
-from fieldrank.operators.match import candidates, match_terms, pair_aggregates
+from fieldrank.operators.match import candidates, match_terms, pair_aggregates, pair_pages
 from fieldrank.operators.stats import join_term_idf, query_terms
 from fieldrank.operators.window import smallest_windows
 from fieldrank.params import BM25FParams, CosineWeights, TfRule, WindowBoost
@@ -51,8 +51,7 @@ class RankingJob:
     def index(self) -> PageIndex:
         if self.stored is not None:
             return self.stored
-        vocab = None if self.full_index or "query_id" in self.collection.columns else self.qterms.select("term")
-        return build_index(self.collection, vocab)
+        return build_index(self.collection, None if self.full_index else self.qterms.select("query_id", "term"))
 
     @cached_property
     def matched(self) -> DataFrame:
@@ -66,6 +65,11 @@ class RankingJob:
         w = (weights or self.weights).as_tuple()
         return candidates(pair_aggregates(self.matched, w, rule=self.rule), self.index, self.query_stats, self.candidate_pairs)
 
+    @cached_property
+    def pages_of_pairs(self) -> DataFrame:
+        """Candidate pairs with the page attributes only: nothing is matched for them."""
+        return pair_pages(self.index, self.query_stats, self.candidate_pairs)
+
     @cached_property
     def cands(self) -> DataFrame:
         """Candidate pairs with their aggregates."""
@@ -113,7 +117,7 @@ class RankingJob:
 
     @cached_property
     def avg_len(self) -> DataFrame:
-        return bm.avg_field_len(self.cands)
+        return bm.avg_field_len(self.pages_of_pairs)
 
     def bm25f(self, params: BM25FParams = BM25FParams()) -> DataFrame:
         """C11: BM25F text score + lambda * Vf(pagerank)."""
