@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldrank.functions.scoring import logify
-from fieldrank.operators.index import TERM_SCALARS, PageIndex
+from fieldrank.operators.index import TERM_SCALARS, PageIndex, of_pairs
 from fieldrank.params import CosineWeights, TfRule
 
 
@@ -51,7 +51,7 @@ def match_terms(qterms: DataFrame, index: PageIndex, cands: DataFrame | None = N
     candidates of their own query."""
     if index.keyed_by_query:
         return index.terms.join(qterms, ["term", "query_id"])
-    return index.terms.join(cands.join(qterms, "query_id"), ["page_id", "term"])
+    return of_pairs(index, "terms", cands.join(qterms, "query_id"))
 
 
 def pair_aggregates(matched: DataFrame, weights=CosineWeights().as_tuple(), extra=(), rule: TfRule = TfRule()) -> DataFrame:

@@ -4,8 +4,8 @@ The parsed pages and their index are written once and shared by all rankers: ``p
 read when a segment is added, never when one ranks. Below ``path`` lie
 
 * ``coll``: the parsed pages, one row per version of a page;
-* ``index_pages``, ``terms``, ``postings``: the index of each version (``operators.index``), written in
-  buckets of their join keys, so that a ranker joins them without an exchange of the index;
+* ``terms``: the index of each version (``operators.index``), a row per page with its terms and postings in
+  arrays, written in buckets of the page, so that a ranker joins them without an exchange of the index;
 * ``removed``: (page, segment) of removed pages;
 * ``log``: one row per finished change. It is written last, and only segments in it count, so a
   change that failed half-way leaves nothing that is read.
@@ -25,12 +25,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldrank.operators.index import PageIndex, build_index
+from fieldrank.operators.index import PageIndex, kept_index, page_rows, page_rows_of_repeated
 from fieldrank.plans.rankers import RankingJob, ranked
+from fieldrank.sources.corpus import scratch_path, snapshot
 from fieldrank.sources.tables import candidates
 
-#: The bucket columns of the index tables.
-KEYS = {"index_pages": ["page_id"], "terms": ["page_id", "term"], "postings": ["page_id", "term"]}
+#: The bucket columns of the index table.
+KEYS = {"terms": ["page_id"]}
 
 
 @dataclass
@@ -48,7 +49,7 @@ class IndexStore:
             .withColumn("page_id", F.concat_ws(":", "page", "segment"))
         versions.write.mode("append").parquet(f"{self.path}/coll")
         own = self.spark.read.parquet(f"{self.path}/coll").where(F.col("segment") == segment)  # html is read once
-        self._write(build_index(own.withColumn("url_pos", F.col("page"))))
+        self._write(self._rows(own.withColumn("url_pos", F.col("page"))))
         self._done(segment, "add")
         return segment
 
@@ -62,11 +63,10 @@ class IndexStore:
     def merge(self, path: str) -> "IndexStore":
         """A store at ``path`` with the live versions only, as one segment."""
         new = IndexStore(self.spark, path, self.buckets)
-        coll, index = self.collection(), self.index()
-        live = coll.select("page_id")
-        coll.drop("url_pos").write.parquet(f"{path}/coll")
-        keep = lambda df: df.join(live, "page_id", "left_semi")
-        new._write(PageIndex(keep(index.pages), keep(index.postings), keep(index.terms), False))
+        live = snapshot(self.live(), f"{path}/live")  # its size is known then, and no page is shuffled for a small one
+        self.versions().join(live, "page_id", "left_semi").drop("url_pos").write.parquet(f"{path}/coll")
+        rows = self.spark.read.parquet(f"{self.path}/terms")  # files, not buckets: each new bucket gets one file
+        new._write(rows.join(live, "page_id", "left_semi"))
         self._log().where("kind = 'add'").write.parquet(f"{path}/log")
         return new
 
@@ -93,8 +93,7 @@ class IndexStore:
 
     def index(self) -> PageIndex:
         """The index of all versions."""
-        pages, terms, postings = (self._table(t) for t in KEYS)
-        return PageIndex(pages=pages, postings=postings, terms=terms, keyed_by_query=False)
+        return kept_index(self._table("terms"), self.buckets)
 
     def job(self, queries: DataFrame, corpus: DataFrame) -> RankingJob:
         """Rankers over the live pages: candidates from the stored words (of all versions, then the live
@@ -119,11 +118,18 @@ class IndexStore:
     def _done(self, segment: int, kind: str) -> None:
         self.spark.createDataFrame([(segment, kind)], "segment int, kind string").coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
-    def _write(self, index: PageIndex) -> None:
-        for table, df in (("index_pages", index.pages), ("terms", index.terms), ("postings", index.postings)):
+    def _rows(self, own: DataFrame) -> DataFrame:
+        """The index rows of a segment's pages; only ids that repeat, if any, take the way of a shuffle."""
+        repeated = snapshot(own.groupBy("page_id").count().where("count > 1").select("page_id"), scratch_path(self.spark, "repeated"))
+        if repeated.isEmpty():
+            return page_rows(own)
+        own = own.join(repeated.withColumn("_repeated", F.lit(True)), "page_id", "left")
+        return page_rows(own.where("_repeated IS NULL")).unionByName(page_rows_of_repeated(own.where("_repeated")))
+
+    def _write(self, rows: DataFrame) -> None:
+        for table, keys in KEYS.items():
             self._open(table)
-            keys = KEYS[table]
-            df.repartition(self.buckets, *keys).write.bucketBy(self.buckets, *keys).sortBy(*keys).mode("append").format("parquet") \
+            rows.repartition(self.buckets, *keys).write.bucketBy(self.buckets, *keys).sortBy(*keys).mode("append").format("parquet") \
                 .option("path", f"{self.path}/{table}").saveAsTable(f"{self.name}_{table}")
 
     def _open(self, table: str) -> None:

@@ -19,18 +19,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldrank.operators.index import LOWER_FIELDS, PageIndex
+from fieldrank.operators.index import LOWER_FIELDS, PageIndex, of_pairs
 
 INT_MAX = 2**31 - 1
 
 
 def query_term_postings(qdistinct: DataFrame, index: PageIndex, cands: DataFrame | None = None) -> DataFrame:
     """(page_id, query_id, field, instance, term, ti, k, qlen, positions) of candidate pairs."""
-    post = index.postings.where(F.col("field").isin(*LOWER_FIELDS))
     q = qdistinct.select("query_id", "term", "ti", "k", "qlen")
     if index.keyed_by_query:
-        return post.join(q, ["term", "query_id"])
-    return post.join(cands.join(q, "query_id"), ["page_id", "term"])
+        return index.postings.where(F.col("field").isin(*LOWER_FIELDS)).join(q, ["term", "query_id"])
+    return of_pairs(index, "postings", cands.join(q, "query_id")).where(F.col("field").isin(*LOWER_FIELDS))
 
 
 GROUP = ("query_id", "page_id", "field", "instance")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldrank.operators.evaluate import ranking_completeness
+from fieldrank.operators.index import build_index, kept_index, page_rows, page_rows_of_repeated
+from fieldrank.operators.store import IndexStore
 from fieldrank.plans import catalog
 from fieldrank.plans.rankers import RankingJob
 
@@ -45,3 +47,31 @@ def test_completeness_counts(spark):
     assert tuple(got.first()) == (3, 2, 1)  # a null key equals no other
     assert plan(got).count("Join") == 0
     assert tuple(ranking_completeness(ranked.limit(0), expected.limit(0)).first()) == (0, 0, 0)
+
+
+COLLECTION = "page_id long, url string, title string, headers array<string>, anchors array<struct<text:string,cnt:int>>, " \
+    "body_tokens array<string>, body_length int, pagerank int"
+ODD_PAGES = [(1, "http://a.b/x_y", "Title a A", ["h a", "h A"], [("a A", 3), ("", None), ("a b", 0), (None, 2)], ["a", None, "a", "b"], None, None),
+             (2, None, None, None, None, None, None, None), (3, "", "", [], [], [], 5, 2), (4, "c", "c", ["c"], [("c", 2)], ["c"] * 700, 700, 1)]
+
+
+def test_kept_rows_equal_the_index(spark):
+    coll = spark.createDataFrame(ODD_PAGES, COLLECTION)
+    twice = coll.unionByName(coll.where("page_id = 1").withColumn("title", F.lit("b b"))).unionByName(coll.where("page_id = 4"))
+    for pages, made in ((coll, page_rows), (coll, page_rows_of_repeated), (twice, page_rows_of_repeated), (coll.limit(0), page_rows)):
+        want, kept = build_index(pages), made(pages)
+        for part in ("pages", "terms", "postings"):
+            w, g = getattr(want, part), getattr(kept_index(kept, 4), part)
+            assert sorted(w.columns) == sorted(g.columns)
+            assert sorted(map(str, w.collect())) == sorted(map(str, g.select(w.columns).collect()))
+
+
+def test_store_keeps_a_row_per_page(spark, tmp_path):
+    coll = spark.createDataFrame(ODD_PAGES, COLLECTION)
+    assert "Exchange" not in plan(page_rows(coll)) and "Generate" not in plan(page_rows(coll))  # tokens are counted in their page
+    store = IndexStore(spark, str(tmp_path / "s"), buckets=2)
+    store.add(coll.unionByName(coll.where("page_id = 4")))  # an id that repeats
+    assert spark.read.parquet(str(tmp_path / "s" / "terms")).count() == 5
+    store.remove(coll.where("page_id = 2"))
+    merged = store.merge(str(tmp_path / "m"))
+    assert merged.index().by_page.count() == 4 and {r.page_id for r in merged.index().terms.collect()} == {"1:1", "4:1"}
