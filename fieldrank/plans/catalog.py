@@ -64,6 +64,15 @@ def parsed_once(job: RankingJob) -> RankingJob:
     return replace(job, collection=pages, candidate_pairs=pairs)
 
 
+def matched_once(job: RankingJob) -> RankingJob:
+    """The job with its query terms' statistics and its matched terms written once, for parts that read them
+    several times: documents are read and pairs meet the index a single time."""
+    spark = job.collection.sparkSession
+    job.qterms_idf = CO.snapshot(job.qterms_idf, CO.scratch_path(spark, "idf"))
+    job.matched = CO.snapshot(job.matched, CO.scratch_path(spark, "matched"))
+    return job
+
+
 # ------------------------------------------------------------------ corpus statistics
 @register("doc_freq", O.with_sql("SELECT term, count(*) AS df FROM d_tok GROUP BY term"))
 def q_doc_freq(spark, sf):
@@ -632,7 +641,7 @@ def _compare_sql() -> str:
 
 @register("compare_rankers", _compare_sql())
 def q_compare_rankers(spark, sf):
-    c = SW.compare_rankers(terms_once(parsed_once(docs_job(spark, sf))))
+    c = SW.compare_rankers(matched_once(terms_once(parsed_once(docs_job(spark, sf)))))
     return c.select("query_id", *[r6(x).alias(x) for x in c.columns if x != "query_id"])
 
 

@@ -75,3 +75,9 @@ def test_store_keeps_a_row_per_page(spark, tmp_path):
     store.remove(coll.where("page_id = 2"))
     merged = store.merge(str(tmp_path / "m"))
     assert merged.index().by_page.count() == 4 and {r.page_id for r in merged.index().terms.collect()} == {"1:1", "4:1"}
+
+
+def test_compared_rankers_match_once(spark):
+    job = catalog.matched_once(catalog.parsed_once(catalog.docs_job(spark, SF)))
+    for scored in (job.cosine(), job.bm25f()):
+        assert "n_total" not in plan(scored)  # documents are counted and pairs matched by then
