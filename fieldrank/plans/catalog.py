@@ -650,23 +650,35 @@ from fieldrank.sources import corpus as CO  # noqa: E402
 from fieldrank.sources import textfmt as TF  # noqa: E402
 
 
+def term_positions(coll: DataFrame, queries: DataFrame) -> DataFrame:
+    """(_row, _positions): the places (from 1) of the terms of any query in each body of ``coll``, whose rows
+    ``_row`` names: a body is read once for all its queries. Its tokens stay in one partition."""
+    known = stats.query_terms(queries).select("term").distinct()
+    parts = int(coll.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = coll.select("_row", "body_tokens").repartition(parts, "_row").select("_row", F.posexplode("body_tokens").alias("at", "term"))
+    places = tokens.join(known, "term", "left_semi").groupBy("_row", "term").agg(F.sort_array(F.collect_list(F.col("at") + 1)).alias("positions"))
+    return places.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("_positions"))
+
+
 def feature_records(spark, sf) -> DataFrame:
     """Feature records (the reference's input shape) of the page candidates of every
     distinct query text: body_hits hold the query's terms (and, where the page id divides by
     5, a listed term outside the query). Each query also has a record without any token."""
-    q, coll = T.queries(spark, sf), CO.snapshot(T.pages_collection(spark, sf), CO.scratch_path(spark, "parsed"))
+    q, coll = T.queries(spark, sf), T.pages_collection(spark, sf).withColumn("_row", F.monotonically_increasing_id())
+    coll = CO.snapshot(coll, CO.scratch_path(spark, "parsed"))
     texts = q.groupBy("query").agg(F.min("query_id").alias("query_id"))
     c = T.candidates(q, coll).join(texts, "query_id")
     place = F.row_number().over(Window.partitionBy("query").orderBy("page_id")) - 1  # a query's candidates
     c = c.withColumn("url_pos", place.cast("int"))
     terms = F.array_distinct(TX.tok_query(F.col("query")))
-    found = F.transform(terms, lambda t: F.struct(t.alias("term"), F.filter(F.transform(
-        "body_tokens", lambda x, i: F.when(x == t, i + 1)), lambda p: p.isNotNull()).alias("positions")))
-    hits = F.filter(found, lambda h: F.size(h["positions"]) > 0)
+    known = F.filter(terms, lambda t: F.map_contains_key("_positions", t))
+    hits = F.transform(known, lambda t: F.struct(t.alias("term"), F.try_element_at("_positions", t).alias("positions")))
     extra = F.array(F.struct(F.lit("zz_listed").alias("term"), F.array(F.lit(3), F.lit(7)).alias("positions")))
     hits = F.concat(hits, F.filter(extra, lambda h: F.col("page_id") % 5 == 0))
     anchors = F.map_from_entries(F.transform("anchors", lambda a: F.struct(a["text"], a["cnt"])))
-    rows = c.join(coll, "page_id").select("query", "url", "url_pos", "title", "headers", F.map_from_entries(hits).alias("body_hits"),
+    pages = coll.drop("body_tokens").join(term_positions(coll, q), "_row", "left") \
+        .withColumn("_positions", F.coalesce("_positions", F.create_map().cast("map<string,array<int>>")))
+    rows = c.join(pages, "page_id").select("query", "url", "url_pos", "title", "headers", F.map_from_entries(hits).alias("body_hits"),
                                           "body_length", "pagerank", anchors.alias("anchors"))
     rows = CO.snapshot(rows, CO.scratch_path(spark, "records"))  # read for blocks, lines and their order
     none = rows.groupBy("query").agg((F.max("url_pos") + 1).cast("int").alias("url_pos")).withColumn("url", F.lit("///"))
@@ -705,9 +717,9 @@ register("features_rank_cosine_window", _features_sql("fr_cw", "cw"))(_features_
 
 
 def _flat_features(df: DataFrame) -> DataFrame:
-    hits = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")))),
+    hits = F.array_join(F.transform(F.sort_array(F.map_entries(F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")))),
                                     lambda e: F.concat_ws(" ", e["key"], F.array_join(e["value"].cast("array<string>"), " "))), ";")
-    anch = F.array_join(F.transform(F.array_sort(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>")))),
+    anch = F.array_join(F.transform(F.sort_array(F.map_entries(F.coalesce("anchors", F.create_map().cast("map<string,int>")))),
                                     lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
     return df.select("query", "url", "url_pos", "title", F.size("headers").cast("int").alias("n_headers"),
                      F.array_join("headers", "|").alias("headers"), hits.alias("body_hits"),

@@ -1,5 +1,8 @@
 """Reader/writer rules for the indented key: value formats (synthetic inputs)."""
 
+from pyspark.sql import functions as F
+
+from fieldrank.plans import catalog
 from fieldrank.sources import textfmt as TF
 
 AC = TF.ANCHOR_COUNT_KEY
@@ -148,3 +151,49 @@ def test_many_anchors_and_repeated_counts(spark, tmp_text):
     body = f"      {AC}: 9\n    anchor_text: x\n      {AC}: 1\n      {AC}: 2\n    anchor_text: none\n    anchor_text: x\n      {AC}: 5\n    anchor_text: y\n      {AC}: 3\n"
     (r,) = TF.read_feature_file(spark, tmp_text("a", "query: q\n  url: u\n" + body)).collect()
     assert r["anchors"] == {"x": 5, "y": 3}
+
+
+def test_lines_are_gathered_where_they_are_read(spark, tmp_text):
+    """A row per query, record and split start, not one per line; what is read is not sorted by lines again."""
+    path = tmp_text("f", "title: before any query\n" + FEATURES)
+    assert [(r["k"], r["v"], len(r["lines"])) for r in TF._lines(spark, path).orderBy("n").collect()] == [
+        (None, None, 1), ("query", "q one", 0), ("url", "http://a.org/x:1", 15), ("url", "http://b.org", 0),
+        ("query", "q two", 0), ("url", "http://c.org", 1), ("query", "q one", 0), ("url", "http://z.org", 0)]
+    for df in (TF.read_ranking(spark, path), TF.read_judgments(spark, path), TF.features_to_collection(TF.read_feature_file(spark, path))[1]):
+        assert "Window" not in df._jdf.queryExecution().toString()
+
+
+def test_records_over_batches(spark, tmp_text):
+    path = tmp_text("odd", "  url: before any query\n" + FEATURES + "query:\n  url: of a query without text\nquery: last\n  url: u\n")
+    whole = _records(TF.read_feature_file(spark, path))
+    assert [r[:3] for r in whole if r[0] == "last"] == [("last", "u", "0")] and len(whole) == 5
+    for rows in (1, 2, 3, 7):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        try:
+            assert _records(TF.read_feature_file(spark, path)) == whole
+            assert _in_splits(spark, 150, lambda: _records(TF.read_feature_file(spark, path))) == whole
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_records_of_one_place_take_turns(spark, tmp_path):
+    """Lines of two records with one place are sorted by their place in the record; the others stay whole."""
+    rows = [("q", "u1", 0, "t", ["h"], {"b": [1], "a": [2, 3]}, 5, 6, {"x": 1}), ("q", "u2", 1, "t", [], None, None, None, None),
+            ("q", "u2", 1, "t", [], None, None, None, None)]
+    df = spark.createDataFrame(rows, "query string, url string, url_pos int, title string, headers array<string>, body_hits map<string,array<int>>, "
+                                     "body_length int, pagerank int, anchors map<string,int>")
+    path = str(tmp_path / "f")
+    TF.write_feature_file(df, path)
+    names = sorted(r["file"] for r in TF.manifest(spark, path).collect())
+    text = "".join((tmp_path / "f" / n).read_text() for n in names)
+    assert [x.strip() for x in text.splitlines()] == [
+        "query: q", "url: u1", "title: t", "header: h", "body_hits: a 2 3", "body_hits: b 1", "body_length: 5", "pagerank: 6", "anchor_text: x",
+        f"{AC}: 1", "url: u2", "url: u2", "title: t", "title: t"]
+
+
+def test_positions_of_query_terms(spark):
+    rows = [(7, ["a", "b", "a", None, "zz"]), (8, ["zz"]), (9, None), (10, []), (11, ["b"])]
+    coll = spark.createDataFrame(rows, "_row long, body_tokens array<string>")
+    queries = spark.createDataFrame([("1", "a b"), ("2", "b c"), ("3", "")], "query_id string, query string")
+    got = {r["_row"]: r["_positions"] for r in catalog.term_positions(coll, queries).collect()}
+    assert got == {7: {"a": [1, 3], "b": [2]}, 11: {"b": [1]}}
