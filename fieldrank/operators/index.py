@@ -137,15 +137,29 @@ def _tables_from(pages: DataFrame, keys: list[str], vocab: DataFrame | None = No
     fields, lengths the page scalars), and the body is the bulk of the tokens. The norm of a feature
     record counts all the body terms that it lists, so its term table keeps them."""
     lower, raw = _field_events(lower=True), _field_events(lower=False)
+    if "body_tokens" not in pages.columns:  # records are moved once, not their tokens
+        pages = pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_id")
+        hits = F.flatten(F.transform(F.map_entries("body_hits"), lambda e: F.transform(
+            F.filter(e["value"], lambda p: p.isNotNull()), lambda p: F.struct(
+                F.lit("body").alias("field"), F.lit(0).alias("instance"), p.cast("int").alias("pos"), e["key"].alias("term"), F.lit(1).alias("w")))))
+        hits = F.coalesce(hits, F.array().cast(f"array<{EVENT}>")).cast(f"array<{EVENT}>")
+        placed = pages.select(*keys, *TERM_SCALARS, F.inline(F.concat(hits, lower)))
+        ev = pages.select(*keys, *TERM_SCALARS, F.inline(F.concat(hits, lower, raw)))
+        if vocab is not None:
+            own = [c for c in keys if c in vocab.columns]  # the terms of a record's own query
+            placed = placed.join(vocab.select(*own, "term").distinct(), [*own, "term"], "left_semi")
+        return _counted(placed, ev, keys)
     body = _body_events(pages, keys)
     placed = body.unionByName(pages.select(*keys, *TERM_SCALARS, F.inline(lower)))
     if vocab is not None:
-        own = [c for c in keys if c in vocab.columns]  # the terms of a record's own query
-        known = vocab.select(*own, "term").distinct()
-        placed = placed.join(known, [*own, "term"], "left_semi")
-        if not own:
-            body = body.join(known, "term", "left_semi")
+        known = vocab.select("term").distinct()
+        placed, body = (x.join(known, "term", "left_semi") for x in (placed, body))
     ev = body.unionByName(pages.select(*keys, *TERM_SCALARS, F.inline(F.concat(lower, raw))))
+    return _counted(placed, ev, keys)
+
+
+def _counted(placed: DataFrame, ev: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Postings of the ``placed`` tokens and the term table of all tokens ``ev``."""
     postings = placed.groupBy(*keys, "field", "instance", "term").agg(
         F.count(F.lit(1)).alias("tf"),
         F.max("w").alias("w"),

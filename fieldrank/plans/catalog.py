@@ -67,9 +67,14 @@ def parsed_once(job: RankingJob) -> RankingJob:
 def matched_once(job: RankingJob) -> RankingJob:
     """The job with its query terms' statistics and its matched terms written once, for parts that read them
     several times: documents are read and pairs meet the index a single time."""
-    spark = job.collection.sparkSession
-    job.qterms_idf = CO.snapshot(job.qterms_idf, CO.scratch_path(spark, "idf"))
-    job.matched = CO.snapshot(job.matched, CO.scratch_path(spark, "matched"))
+    job = idf_once(job)
+    job.matched = CO.snapshot(job.matched, CO.scratch_path(job.collection.sparkSession, "matched"))
+    return job
+
+
+def idf_once(job: RankingJob) -> RankingJob:
+    """The job with its query terms' statistics written once: their size is known where they are joined."""
+    job.qterms_idf = CO.snapshot(job.qterms_idf, CO.scratch_path(job.collection.sparkSession, "idf"))
     return job
 
 
@@ -691,8 +696,8 @@ def records_job(spark, sf) -> RankingJob:
     TF.write_feature_file(feature_records(spark, sf), path)
     _, coll = TF.features_to_collection(TF.read_feature_file(spark, path))
     coll = CO.snapshot(coll, CO.scratch_path(spark, "records"))
-    queries = coll.select("query_id", F.col("query_id").alias("query")).distinct()
-    return terms_once(RankingJob(queries, coll, T.corpus(spark, sf)))
+    queries = CO.snapshot(coll.select("query_id", F.col("query_id").alias("query")).distinct(), CO.scratch_path(spark, "queries"))
+    return terms_once(idf_once(RankingJob(queries, coll, T.corpus(spark, sf))))
 
 
 def _features_rank(ranker):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from fieldrank.operators.evaluate import ranking_completeness
@@ -13,6 +15,14 @@ from fieldrank.plans.rankers import RankingJob
 SF = "/root/testdata/sf0.001"
 
 
+def exchanged(df):
+    """The columns that the exchanges of a plan carry."""
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    parts = re.findall(r"\n\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[([^\]]*)\]", text)
+    assert parts
+    return {re.sub(r"#\d+L?", "", c.strip()) for p in parts for c in p.split(",")}
+
+
 def plan(df):
     return df._jdf.queryExecution().toString()
 
@@ -40,6 +50,15 @@ def test_postings_of_records_hold_their_own_query_only(spark):
     assert {r.term for r in index.terms.collect()} == {"http", "a", "b", "c", "zz"}  # the norms count every term
 
 
+def test_tokens_of_records_are_not_shuffled(spark):
+    """A record is moved once and its tokens are counted there; its terms meet the statistics of query terms without an exchange."""
+    job = catalog.records_job(spark, SF)
+    index = build_index(job.collection, job.qterms.select("query_id", "term"))
+    assert "term" not in exchanged(index.terms)
+    matched = job.matched._sc._jvm.PythonSQLUtils.explainString(job.matched._jdf.queryExecution(), "simple")
+    assert matched.count("Exchange") == matched.count("BroadcastExchange") > 0
+
+
 def test_completeness_counts(spark):
     ranked = spark.createDataFrame([("q", 1), ("q", 1), ("q", 2), (None, 3)], "query_id string, page_id long")
     expected = spark.createDataFrame([("q", 1), ("q", 4), ("q", 4), (None, 3)], "query_id string, page_id long")
