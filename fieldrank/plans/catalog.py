@@ -783,6 +783,7 @@ def q_score_files(spark, sf):
     from fieldrank.operators.evaluate import join_judgments
     one = T.queries(spark, sf).groupBy("query").agg(F.min("query_id").alias("query_id"))
     r = ranked(parsed_once(pages_job(spark, sf)).bm25f()).join(one, "query_id")
+    r = CO.snapshot(r, CO.scratch_path(spark, "ranked"))  # both files are made of it, each in several passes
     ranking, judged = CO.scratch_path(spark, "ranking"), CO.scratch_path(spark, "judgments")
     TF.write_ranking(r, ranking)
     labels = T.judgments(spark, sf).withColumnRenamed("doc_id", "page_id")
